@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, language_id, packing, toxicity
+from siftline.llm import byte_bpe, embedding_dedup, language_id, minhash, packing, toxicity, warc
+from siftline.llm import oracles
 from siftline.llm.common import table
 
 
@@ -14,6 +15,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language_id.learn(docs.where(language_id.remainder("doc_id", 4) != 2))
@@ -26,6 +35,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, capacity=2048)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(table(spark, sf_dir, "pages"), min_payload=0)
+    return warc.read_all(spark, archive)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(language_id.remainder("doc_id", 5) != 0).select("doc_id", "toxic")
@@ -35,5 +49,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op6_language_id, op8_best_fit_packing, op10_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_byte_bpe, op3_minhash, op4_embedding_dedup, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
+}
+ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op9_warc": oracles.WARC}
