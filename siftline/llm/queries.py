@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, embedding_dedup, language_id, minhash, packing, toxicity, warc
+from siftline.llm import byte_bpe, embedding_dedup, language_id, minhash, packing, suffix_array, toxicity, warc
 from siftline.llm import oracles
 from siftline.llm.common import table
 
@@ -15,6 +15,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, sf_dir, "documents"), length=400, keep="none", digests=True)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -51,6 +55,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_byte_bpe, op3_minhash, op4_embedding_dedup, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
+    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
 }
 ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op9_warc": oracles.WARC}
