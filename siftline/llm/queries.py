@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, embedding_dedup, language_id, minhash, packing, suffix_array, toxicity, warc
+from siftline.llm import byte_bpe, embedding_dedup, fingerprint, language_id, minhash, packing, suffix_array, toxicity, warc
 from siftline.llm import oracles
 from siftline.llm.common import table
 
@@ -27,6 +27,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edited(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language_id.learn(docs.where(language_id.remainder("doc_id", 4) != 2))
@@ -55,6 +59,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
+    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op5_fingerprint, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
 }
 ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op9_warc": oracles.WARC}
