@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,16 +46,19 @@ def discard(df: DataFrame) -> None:
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """mapInArrow with per-task state: `make()` runs once in each task and returns the function for a batch."""
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch] | None]], schema: str) -> DataFrame:
+    """mapInArrow with per-task state: `make()` runs once in each task and returns the function for a batch, which
+    returns a batch or yields several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
             if batch.num_rows:
                 out = each(batch)
-                if out is not None:
+                if isinstance(out, pa.RecordBatch):
                     yield out
+                elif out is not None:
+                    yield from out
 
     return df.mapInArrow(run, schema)
 
@@ -64,6 +67,14 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def _measured(links: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    """The links as a written table, with their count and a sum of their hashes, both taken while writing."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("hashes")
+    written = materialize(links.observe(seen, F.count(F.lit(1)).alias("n"), hashes), label)
+    return written, (seen.get["n"], seen.get["hashes"])
+
+
 def components(edges: DataFrame, label: str = "components", partitions: int | None = None) -> DataFrame:
     """Connected components of undirected links, by alternating large-star and small-star steps.
 
@@ -76,7 +87,7 @@ def components(edges: DataFrame, label: str = "components", partitions: int | No
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .distinct()
     )
-    links = materialize(links, label)
+    links, size = _measured(links, label)
     while True:
         # large-star: each larger neighbour of a node is linked to the smallest one around the node
         both = links.select(F.col("hi").alias("n"), F.col("lo").alias("m")).unionByName(
@@ -86,18 +97,11 @@ def components(edges: DataFrame, label: str = "components", partitions: int | No
         large = both.where("m > n").join(least, "n").select(F.col("m").alias("hi"), F.col("low").alias("lo")).distinct()
         # small-star: each smaller neighbour and the node itself are linked to the smallest one
         low = large.groupBy("hi").agg(F.min("lo").alias("low"))
-        small = (
-            large.join(low, "hi")
-            .select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("low").alias("lo")), F.struct("hi", F.col("low").alias("lo")))).alias("e"))
-            .select("e.hi", "e.lo")
-            .where("hi <> lo")
-            .distinct()
-        )
-        new = materialize(small, label)
-        size_sum = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        done = tuple(size_sum(new)) == tuple(size_sum(links))
+        to_low = F.array(F.struct(F.col("lo").alias("hi"), F.col("low").alias("lo")), F.struct("hi", F.col("low").alias("lo")))
+        small = large.join(low, "hi").select(F.explode(to_low).alias("e")).select("e.hi", "e.lo").where("hi <> lo").distinct()
+        new, new_size = _measured(small, label)
         discard(links)
-        links = new
+        done, links, size = new_size == size, new, new_size
         if done:
             break
     nodes = links.select(F.col("hi").alias("node"), F.col("lo").alias("component_id"))

@@ -32,8 +32,8 @@ from siftline.llm.common import discard, map_batches, materialize
 GRAM = 48
 GROUP = 4096
 BASE = 0x9E3779B97F4A7C15 | 1
-BUFFER = 1 << 20
-WINDOWS = 1 << 20
+BUFFER = 1 << 19
+WINDOWS = 1 << 19
 PLACE = np.uint64((1 << 21) - 1)
 
 
@@ -52,7 +52,7 @@ class Hashes:
     """Prefix polynomial hashes of a buffer: the hash of any substring in constant time."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(21, int(len(data) + 1).bit_length())
+        size = 1 << max(19, int(len(data) + 1).bit_length())
         up, self.down = powers(size)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.prefix[1:])
@@ -133,15 +133,15 @@ def _pass_segments(docs: DataFrame, length: int) -> DataFrame:
 
     def make():
         def each(b):
-            ids, rids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for at in range(0, b.num_rows, 64):
-                texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(2).slice(at, 64).to_pylist()]
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            for at in range(0, b.num_rows, 128):
+                ids, rids = (b.column(c).slice(at, 128).to_pylist() for c in (0, 1))
+                out: tuple[list, ...] = ([], [], [], [], [], [], [])
+                texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(2).slice(at, 128).to_pylist()]
                 for number, start, n, anchor, key, content in segments(texts, length):
-                    for column, value in zip(out, (key - (1 << 63), digest(content, anchor), ids[at + number], rids[at + number], start, n, anchor), strict=True):
+                    for column, value in zip(out, (key - (1 << 63), digest(content, anchor), ids[number], rids[number], start, n, anchor), strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "doc_id", "rid", "start", "n", "anchor"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "doc_id", "rid", "start", "n", "anchor"])
 
         return each
 
@@ -387,15 +387,16 @@ def _contents(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
     def make():
         def each(b):
-            out: tuple[list, ...] = tuple([] for _ in range(9))
-            for rid, text, w in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            for i in range(b.num_rows):
+                out: tuple[list, ...] = tuple([] for _ in range(9))
+                rid, text, w = (b.column(c)[i].as_py() for c in range(3))
                 data = (text or "").encode("utf-8", "surrogatepass")
                 for s in w:
                     content = data[s["start"] : s["start"] + s["n"] + length - 1]
                     for column, value in zip(out, (s["key"], s["seg"], content, s["n"], s["anchor"], s["segs"], s["doc_id"], rid, s["start"]), strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "content", "n", "anchor", "segs", "doc_id", "rid", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "content", "n", "anchor", "segs", "doc_id", "rid", "start"])
 
         return each
 
