@@ -91,7 +91,8 @@ def with_next(rows: DataFrame, id_col: str, carried: list[str], tie: Column) ->
     heads = keyed.groupBy("_range").agg(F.min(F.struct("_order", "_tie")).alias("_head"))
     by_range = Window.orderBy("_range")  # a row per range
     heads = heads.select("_head", F.coalesce(F.lag("_range").over(by_range), F.max("_range").over(Window.partitionBy())).alias("_guest_of"))
-    joined = keyed.withColumn("_head", F.struct("_order", "_tie")).join(heads, "_head", "left")
+    # a row per range, 2048 at most
+    joined = keyed.withColumn("_head", F.struct("_order", "_tie")).join(F.broadcast(heads), "_head", "left")
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("_guest_of").alias("r"), F.lit(True).alias("guest"))
     dealt = joined.withColumn("_place", F.explode(F.when(F.col("_guest_of").isNull(), F.array(own)).otherwise(F.array(own, guest))))
