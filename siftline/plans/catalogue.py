@@ -1,4 +1,483 @@
-"""Registered queries over the driver tables and the SQL each must agree with."""
+"""Registered queries: operators over the driver tables, each with the SQL that it must agree with.
+
+Line items stand for poses of an order (the parent), return flags for protocols, parts for scored records with brand and
+type as group, documents for raw records with their source as precedence, embeddings for points.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from siftline.functions import scalars as S
+from siftline.operators import dedupe, filters, gates, geometry, jobs, joining, ranking, selection
+from siftline.plans import final_score
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r8(c, name: str):
+    """Rounded for comparison; + 0.0 turns -0.0 into 0.0."""
+    return (F.round(S.col(c), 8) + F.lit(0.0)).alias(name)
+
+
+POSE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+POSES_SQL = """poses AS (SELECT l_orderkey AS parent, l_partkey AS p1, l_suppkey AS p2, l_linenumber AS p3, l_returnflag AS proto,
+    -l_extendedprice AS score, 5.0::DOUBLE + l_quantity / 25.0::DOUBLE AS pred, (l_discount + 0.0::DOUBLE) * 10.0::DOUBLE AS sim FROM lineitem)"""
+PCT_SQL = """pct AS (SELECT *, CASE WHEN n = 1 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - ((r - 1) + (t - 1) / 2.0::DOUBLE) / (n - 1) END AS pct FROM (
+    SELECT *, rank() OVER (PARTITION BY proto ORDER BY score) AS r, count(*) OVER (PARTITION BY proto, score) AS t,
+           count(*) OVER (PARTITION BY proto) AS n FROM poses))"""
+BEST_SQL = """best AS (SELECT * FROM (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(pred - 6.0::DOUBLE))) AS ev,
+    row_number() OVER (PARTITION BY parent, proto ORDER BY 1.0::DOUBLE / (1.0::DOUBLE + exp(-(pred - 6.0::DOUBLE))) DESC, p1, p2, p3) AS k FROM pct) WHERE k = 1)"""
+SCORE_SQL = """agg AS (SELECT parent, 0.7::DOUBLE * max(ev) + 0.3::DOUBLE * avg(ev) AS aff, 0.7::DOUBLE * max(pct) + 0.3::DOUBLE * avg(pct) AS dock,
+    0.7::DOUBLE * max(sim) + 0.3::DOUBLE * avg(sim) AS s3, count(*) AS np FROM best GROUP BY parent),
+scored AS (SELECT a.*, o_totalprice / (SELECT max(o_totalprice) FROM orders) AS qed FROM agg a JOIN orders ON o_orderkey = parent),
+final AS (SELECT *, 100.0::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+    0.55::DOUBLE * aff + 0.20::DOUBLE * s3 + 0.15::DOUBLE * dock + 0.10::DOUBLE * qed)) AS score FROM scored)"""
+
+
+def evidence_tables(spark, sf_dir):
+    """parents, poses, affinity, similarity from orders and line items. pose_id spells the four-column key."""
+    items = table(spark, sf_dir, "lineitem")
+    pose_id = F.concat_ws("|", *POSE_KEY)
+    poses = items.select(pose_id.alias("pose_id"), F.col("l_orderkey").alias("parent_structure_key"), F.col("l_orderkey").alias("state_id"), F.col("l_returnflag").alias("protocol_id"), F.lit("WT").alias("mutant_id"), (-F.col("l_extendedprice")).alias("smina_score"), *POSE_KEY[1:])
+    affinity = items.select(pose_id.alias("pose_id"), (F.lit(5.0) + F.col("l_quantity") / F.lit(25.0)).alias("predicted_paffinity"))
+    similarity = items.select(pose_id.alias("pose_id"), F.lit("ok").alias("postdock_3d_status"), ((F.col("l_discount") + F.lit(0.0)) * F.lit(10.0)).alias("postdock_3d_similarity"))
+    orders = table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_totalprice").alias("m")).scalar()
+    parents = orders.select(F.col("o_orderkey").alias("structure_key"), (F.col("o_totalprice") / top).alias("qed"))
+    return parents, poses, affinity, similarity
+
+
+def scored_parents(spark, sf_dir):
+    parents, poses, affinity, similarity = evidence_tables(spark, sf_dir)
+    s = final_score.Settings()
+    return final_score.integrated(parents, final_score.per_parent(poses, affinity, similarity, s, POSE_KEY[1:]), s)
+
+
+@query(f"WITH {POSES_SQL}, {PCT_SQL}, {BEST_SQL}, {SCORE_SQL} SELECT parent AS structure_key, np AS wt_protocol_count, round(score, 8) AS integrated_score FROM final")
+def integrated_score(spark, sf_dir):
+    return scored_parents(spark, sf_dir).select("structure_key", "wt_protocol_count", r8("integrated_score", "integrated_score"))
+
+
+@query(f"WITH {POSES_SQL}, {PCT_SQL} SELECT parent AS l_orderkey, p1 AS l_partkey, p2 AS l_suppkey, p3 AS l_linenumber, round(pct, 8) AS percentile FROM pct")
+def avg_rank_percentile(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select(*POSE_KEY, "l_returnflag", (-F.col("l_extendedprice")).alias("score"))
+    return ranking.average_rank_percentile(items, ["l_returnflag"], "score", "percentile").select(*POSE_KEY, r8("percentile", "percentile"))
+
+
+@query(f"WITH {POSES_SQL}, {PCT_SQL}, {BEST_SQL} SELECT parent AS l_orderkey, proto AS l_returnflag, p1 AS l_partkey, p2 AS l_suppkey, p3 AS l_linenumber, round(ev, 8) AS evidence FROM best")
+def best_pose(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").withColumn("evidence", S.scaled_affinity(F.lit(5.0) + F.col("l_quantity") / F.lit(25.0)))
+    order = [-F.col("evidence"), *[F.col(c) for c in POSE_KEY[1:]]]
+    return ranking.best_values(items, ["l_orderkey", "l_returnflag"], order, [*POSE_KEY[1:], "evidence"]).select("l_orderkey", "l_returnflag", *POSE_KEY[1:], r8("evidence", "evidence"))
+
+
+@query(f"""WITH {POSES_SQL}, {PCT_SQL}, {BEST_SQL}, {SCORE_SQL}, ranked AS (SELECT parent, round(score, 8) AS s, row_number() OVER (ORDER BY round(score, 8) DESC, round(aff, 8) DESC, parent) AS r FROM final)
+SELECT parent::VARCHAR AS hit_id, r AS "Rank", printf('%.8f', s) AS score FROM ranked WHERE r <= 100""")
+def top_n_hits(spark, sf_dir):
+    scored = scored_parents(spark, sf_dir).select("structure_key", r8("integrated_score", "integrated_score"), r8("wt_affinity", "wt_affinity"))
+    top = final_score.ranked_parents(scored, ["structure_key"], 100).withColumn("compound_id", F.col("structure_key").cast("string")).withColumn("standardized_smiles", F.lit("-"))
+    return final_score.top_hits(top, 100).select("hit_id", F.col("Rank").cast("long").alias("Rank"), "score")
+
+
+@query("""SELECT l_orderkey, round(0.7::DOUBLE * max(l_tax + 0.0::DOUBLE) + 0.3::DOUBLE * avg(l_tax + 0.0::DOUBLE), 8) AS consensus FROM lineitem GROUP BY l_orderkey""")
+def or_consensus(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(S.or_aggregate(F.col("l_tax") + F.lit(0.0)).alias("c")).select("l_orderkey", r8("c", "consensus"))
+
+
+DOCS_SQL = """docs AS (SELECT doc_id, source, sha1(coalesce(text, '')) AS key, text IS NOT NULL AND text <> '' AS ok,
+    CASE WHEN source = 'src0' THEN 0 ELSE 1 END AS source_index FROM documents)"""
+
+
+def raw_records(spark, sf_dir):
+    """Documents as raw records: one source is the active pool and comes first; the key is the text's SHA-1."""
+    docs = table(spark, sf_dir, "documents")
+    active = F.col("source") == "src0"
+    return docs.select("doc_id", "source", S.structure_hash(F.coalesce("text", F.lit(""))).alias("key"), F.coalesce(F.col("text") != "", F.lit(False)).alias("ok"), F.when(active, 0).otherwise(1).alias("source_index"), F.when(active, "activity_recorded").otherwise("unlabeled").alias("pool"))
+
+
+@query(f"""WITH {DOCS_SQL}, d AS (SELECT *, row_number() OVER w AS rn, max(CASE WHEN source_index = 0 THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS act
+    FROM docs WINDOW w AS (PARTITION BY key, ok ORDER BY source_index, doc_id))
+SELECT doc_id, key, CASE WHEN NOT ok THEN 'not_in_parent_pool' WHEN rn = 1 THEN 'unique_parent' ELSE 'exact_duplicate' END AS dedup_status,
+    CASE WHEN ok AND rn > 1 AND coalesce(act, 0) = 1 THEN 'activity_recorded' WHEN source_index = 0 THEN 'activity_recorded' ELSE 'unlabeled' END AS resolved_pool FROM d""")
+def dedupe_precedence(spark, sf_dir):
+    out = dedupe.first_wins(raw_records(spark, sf_dir), "key", ["source_index", "doc_id"], F.col("ok"), "pool", "activity_recorded")
+    return out.select("doc_id", "key", "dedup_status", "resolved_pool")
+
+
+@query(f"""WITH {DOCS_SQL} SELECT doc_id, coalesce(max(CASE WHEN source_index = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY source_index, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS active_exact_overlap FROM docs""")
+def overlap_flags(spark, sf_dir):
+    out = dedupe.running_overlap(raw_records(spark, sf_dir), "key", ["source_index", "doc_id"], F.col("pool") == "activity_recorded", "active_exact_overlap")
+    return out.select("doc_id", "active_exact_overlap")
+
+
+@query(f"""WITH {DOCS_SQL}, d AS (SELECT *, row_number() OVER (PARTITION BY key, ok ORDER BY source_index, doc_id) AS rn FROM docs)
+SELECT source_index, CASE WHEN NOT ok THEN 'not_in_parent_pool' WHEN rn = 1 THEN 'unique_parent' ELSE 'exact_duplicate' END AS dedup_status, count(*) AS n FROM d GROUP BY 1, 2""")
+def dedupe_counts(spark, sf_dir):
+    out = dedupe.first_wins(raw_records(spark, sf_dir), "key", ["source_index", "doc_id"], F.col("ok"), "pool", "activity_recorded")
+    return dedupe.status_counts(out, "source_index", "dedup_status")
+
+
+@query(f"""WITH {DOCS_SQL} SELECT key, min(source_index * 1000000000000 + doc_id) % 1000000000000 AS doc_id FROM docs GROUP BY key""")
+def first_rows(spark, sf_dir):
+    return dedupe.first_rows(raw_records(spark, sf_dir), "key", ["source_index", "doc_id"]).select("key", "doc_id")
+
+
+PART_SQL = """props AS (SELECT p_partkey, p_size::INTEGER AS heavy_atoms, p_retailprice::DOUBLE / 5.0::DOUBLE AS mw, (p_partkey % 17) - 5 AS clogp, (p_partkey % 211)::DOUBLE AS tpsa,
+    p_partkey % 9 AS hbd, p_partkey % 16 AS hba, p_partkey % 18 AS rotatable_bonds, p_partkey % 12 AS ring_count, (p_partkey % 7) - 3 AS formal_charge,
+    CASE WHEN p_partkey % 13 = 0 THEN 26 ELSE 6 END AS element FROM part),
+reasons AS (SELECT p_partkey, array_to_string(list_filter([
+    CASE WHEN element = 26 THEN 'disallowed_element' END, CASE WHEN heavy_atoms < 10 THEN 'heavy_atoms_low' END, CASE WHEN heavy_atoms > 70 THEN 'heavy_atoms_high' END,
+    CASE WHEN mw < 180 THEN 'mw_low' END, CASE WHEN mw > 650 THEN 'mw_high' END, CASE WHEN clogp < -1.5 THEN 'clogp_low' END, CASE WHEN clogp > 6.5 THEN 'clogp_high' END,
+    CASE WHEN tpsa < 15 THEN 'tpsa_low' END, CASE WHEN tpsa > 180 THEN 'tpsa_high' END, CASE WHEN hbd > 7 THEN 'hbd_high' END, CASE WHEN hba > 14 THEN 'hba_high' END,
+    CASE WHEN rotatable_bonds > 15 THEN 'rotatable_bonds_high' END, CASE WHEN ring_count > 10 THEN 'ring_count_high' END, CASE WHEN abs(formal_charge) > 2 THEN 'formal_charge_extreme' END],
+    lambda x: x IS NOT NULL), '|') AS hard_filter_reasons FROM props)"""
+
+
+def properties(spark, sf_dir):
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        k, F.col("p_size").cast("int").alias("heavy_atoms"), (F.col("p_retailprice").cast("double") / F.lit(5.0)).alias("mw"), (k % 17 - 5).alias("clogp"), (k % 211).cast("double").alias("tpsa"), (k % 9).alias("hbd"), (k % 16).alias("hba"), (k % 18).alias("rotatable_bonds"), (k % 12).alias("ring_count"), (k % 7 - 3).alias("formal_charge"),
+        F.array(F.when(k % 13 == 0, 26).otherwise(6)).alias("atomic_numbers"),
+    )
+
+
+@query(f"WITH {PART_SQL} SELECT p_partkey, hard_filter_reasons, (hard_filter_reasons = '')::INTEGER AS hard_filter_pass FROM reasons")
+def reasons_filter(spark, sf_dir):
+    return filters.hard_filter(properties(spark, sf_dir)).select("p_partkey", "hard_filter_reasons", "hard_filter_pass")
+
+
+@query(f"WITH {PART_SQL} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(hard_filter_reasons, '|')) AS reason FROM reasons WHERE hard_filter_reasons <> '') GROUP BY reason")
+def reject_counts(spark, sf_dir):
+    return filters.reason_counts(filters.hard_filter(properties(spark, sf_dir)))
+
+
+@query("SELECT event_id, k AS sample_rank FROM (SELECT event_id, row_number() OVER (ORDER BY substr(sha256('7|' || event_id::VARCHAR), 1, 16), event_id) AS k FROM events) WHERE k <= 500")
+def bottom_k_sample(spark, sf_dir):
+    got = ranking.bottom_k(table(spark, sf_dir, "events").select("event_id"), "event_id", 7, 500, "event_id")
+    w = Window.orderBy(S.stable_hash("event_id", 7), "event_id")
+    return got.select("event_id", F.row_number().over(w).cast("long").alias("sample_rank"))
+
+
+@query("""WITH s AS (SELECT source, row_number() OVER (ORDER BY source) AS no, count(*) OVER () AS n FROM (SELECT DISTINCT source FROM documents)),
+h AS (SELECT doc_id, d.source, no, n, row_number() OVER (PARTITION BY d.source ORDER BY substr(sha256((7 + no)::VARCHAR || '|' || doc_id::VARCHAR), 1, 16), doc_id) AS k FROM documents d JOIN s ON s.source = d.source)
+SELECT doc_id, source, no::INTEGER AS stratum_no, k::INTEGER AS stratum_rank FROM h WHERE k <= 150 // n + CASE WHEN no <= 150 % n THEN 1 ELSE 0 END""")
+def stratified_sample(spark, sf_dir):
+    return ranking.stratified_bottom_k(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 7, 150, "doc_id")
+
+
+@query("""WITH f AS (SELECT p_type AS name, count(*) / (SELECT count(*) FROM part)::DOUBLE AS fraction FROM part GROUP BY p_type),
+q AS (SELECT name, floor(14837 * fraction)::BIGINT AS base, row_number() OVER (ORDER BY fraction DESC, name DESC) AS k, 14837 - sum(floor(14837 * fraction)::BIGINT) OVER () AS rest FROM f)
+SELECT name, (base + CASE WHEN k <= rest THEN 1 ELSE 0 END)::BIGINT AS quota FROM q""")
+def quotas(spark, sf_dir):
+    parts = table(spark, sf_dir, "part")
+    total = parts.agg(F.count("*").alias("n")).scalar()
+    shares = parts.groupBy(F.col("p_type").alias("name")).agg(F.count("*").alias("c")).select("name", (F.col("c") / total).alias("fraction"))
+    return ranking.largest_remainder_table(shares, "name", "fraction", 14837).select("name", "quota")
+
+
+CANDIDATES_SQL = """cand AS (SELECT p_partkey AS key, p_brand || '/' || p_type AS grp, (p_partkey * 7919 % 1009) / 1009.0::DOUBLE AS evidence, (p_partkey * 104729 % 997) / 997.0::DOUBLE AS pharm,
+    (p_partkey * 31 % 101) / 101.0::DOUBLE AS consensus, p_size / 50.0::DOUBLE AS quality, (p_partkey % 3 = 0)::INTEGER AS alerts FROM part)"""
+
+
+def candidates(spark, sf_dir):
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        k.alias("structure_key"), k.alias("row_ord"), F.concat_ws("/", "p_brand", "p_type").alias("murcko_scaffold"), (k * 7919 % 1009 / F.lit(1009.0)).alias("library_evidence_score"), (k * 104729 % 997 / F.lit(997.0)).alias("pharm2d_similarity"),
+        (k * 31 % 101 / F.lit(101.0)).alias("pnu_consensus"), (F.col("p_size") / F.lit(50.0)).alias("quality_score"), (k % 3 == 0).cast("int").alias("soft_alert_count"),
+    )
+
+
+@query(f"""WITH {CANDIDATES_SQL} SELECT key, grp FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY (alerts = 0) DESC, quality DESC, substr(sha256('3|' || key::VARCHAR), 1, 16), key) AS k FROM cand) WHERE k = 1""")
+def group_representatives(spark, sf_dir):
+    out = selection.representatives(candidates(spark, sf_dir), 3, selection.Columns())
+    return out.select(F.col("structure_key").alias("key"), F.col("murcko_scaffold").alias("grp"))
+
+
+@query(f"""WITH {CANDIDATES_SQL}, med AS (SELECT median(consensus) AS m FROM cand),
+c1 AS (SELECT key, row_number() OVER (ORDER BY evidence DESC, quality DESC, key) AS k FROM cand QUALIFY k <= 24),
+c2 AS (SELECT key, row_number() OVER (ORDER BY pharm DESC, quality DESC, key) AS k FROM cand WHERE key NOT IN (SELECT key FROM c1) QUALIFY k <= 18),
+l3 AS (SELECT * FROM cand WHERE key NOT IN (SELECT key FROM c1) AND key NOT IN (SELECT key FROM c2)),
+r3 AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY (alerts = 0) DESC, quality DESC, substr(sha256('2|' || key::VARCHAR), 1, 16), key) AS g FROM l3 QUALIFY g = 1),
+c3 AS (SELECT key, row_number() OVER (ORDER BY substr(sha256('3|' || key::VARCHAR), 1, 16), key) AS k FROM r3 QUALIFY k <= 54),
+l4 AS (SELECT * FROM l3 WHERE key NOT IN (SELECT key FROM c3) AND consensus <= (SELECT m FROM med) AND alerts = 0 AND quality >= 0.35),
+r4 AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY (alerts = 0) DESC, quality DESC, substr(sha256('12|' || key::VARCHAR), 1, 16), key) AS g FROM l4 QUALIFY g = 1),
+c4 AS (SELECT key, row_number() OVER (ORDER BY substr(sha256('13|' || key::VARCHAR), 1, 16), key) AS k FROM r4 QUALIFY k <= 24),
+alls AS (SELECT key, 'pnu_2d' AS channel FROM c1 UNION ALL SELECT key, 'pharm2d' FROM c2 UNION ALL SELECT key, 'scaffold_diversity' FROM c3 UNION ALL SELECT key, 'exploration' FROM c4),
+b3 AS (SELECT key, 'scaffold_diversity' AS channel, row_number() OVER (ORDER BY quality DESC, substr(sha256('103|' || key::VARCHAR), 1, 16), key) AS k FROM cand WHERE key NOT IN (SELECT key FROM alls)
+    QUALIFY k <= 54 - (SELECT count(*) FROM c3)),
+b4 AS (SELECT key, 'exploration' AS channel, row_number() OVER (ORDER BY quality DESC, substr(sha256('104|' || key::VARCHAR), 1, 16), key) AS k FROM cand WHERE key NOT IN (SELECT key FROM alls) AND key NOT IN (SELECT key FROM b3)
+    QUALIFY k <= 24 - (SELECT count(*) FROM c4))
+SELECT key, channel FROM alls UNION ALL SELECT key, channel FROM b3 UNION ALL SELECT key, channel FROM b4""")
+def channel_select(spark, sf_dir):
+    quotas = ranking.largest_remainder({"pnu_2d": 0.20, "pharm2d": 0.15, "scaffold_diversity": 0.45, "exploration": 0.20}, 120)
+    out = selection.fill_channels(candidates(spark, sf_dir), quotas, 1)
+    return out.select(F.col("structure_key").alias("key"), F.col("prescreen_channel").alias("channel"))
+
+
+@query(f"""WITH {CANDIDATES_SQL}, fits AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY evidence DESC, quality DESC, key) AS g FROM cand QUALIFY g <= 2)
+SELECT key, row_number() OVER (ORDER BY evidence DESC, quality DESC, key)::INTEGER AS take_rank FROM fits QUALIFY take_rank <= 60""")
+def capped_selection(spark, sf_dir):
+    order = [F.desc("library_evidence_score"), F.desc("quality_score"), F.col("row_ord")]
+    out = ranking.capped_take(candidates(spark, sf_dir), "murcko_scaffold", order, 60, 2)
+    return out.select(F.col("structure_key").alias("key"), "take_rank")
+
+
+@query(None)
+def final_select(spark, sf_dir):
+    rows = candidates(spark, sf_dir).withColumns({
+        "source_pool": F.when(F.col("structure_key") % 10 == 0, "activity_recorded").otherwise("unlabeled"), "structure3d_status": F.when(F.col("structure_key") % 11 == 0, "feasible_only").otherwise("ok"),
+        "structure3d_score": F.col("pharm2d_similarity") * F.lit(0.5), "qed": F.col("quality_score"), "bits": F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: (F.col("structure_key") * i * 37 % 256).cast("int")),
+        "structure_key": F.format_string("%012d", "structure_key"),
+    })
+    targets = {"pnu_structure3d_enrichment": 8, "pnu_2d_enrichment": 8, "pnu_pharm2d_enrichment": 8, "h9e937_pocket_discovery": 10, "diversity": 20, "exploration": 10}
+    return selection.final_selection(rows, targets, 1, "bits")
+
+
+@query(None)
+def maxmin_pick(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.filter(F.transform("embedding", lambda x, i: F.when(x > 0.5, i)), lambda i: i.isNotNull()).alias("bits"))
+    return selection.maxmin_pick(v, "vec_id", "bits", [S.stable_hash("vec_id", 5), F.col("vec_id")], 40)
+
+
+@query("SELECT count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1997-01-01') AS covered, count(*) AS total, round(count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1997-01-01') / count(*)::DOUBLE, 8) AS coverage FROM lineitem")
+def coverage_gate(spark, sf_dir):
+    out = gates.coverage(table(spark, sf_dir, "lineitem"), F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    return out.select("covered", "total", r8("coverage", "coverage"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)")
+def referential_gate(spark, sf_dir):
+    heavy = table(spark, sf_dir, "lineitem").where("l_quantity > 25").select(F.col("l_orderkey").alias("o_orderkey"))
+    return gates.orphans(table(spark, sf_dir, "orders").select("o_orderkey"), heavy, ["o_orderkey"])
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def uniqueness_gate(spark, sf_dir):
+    return gates.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT o_orderkey AS ligand_record_index, o_orderstatus AS keep, printf('%.8f', o_totalprice / 1000.0::DOUBLE) AS predicted_paffinity FROM orders")
+def fill_table(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    template = orders.select(F.col("o_orderkey").alias("ligand_record_index"), F.col("o_orderstatus").alias("keep"), F.lit("").alias("predicted_paffinity"))
+    values = orders.select(F.col("o_orderkey").alias("ligand_record_index"), (F.col("o_totalprice") / F.lit(1000.0)).alias("predicted_paffinity"))
+    return joining.fill_table(template, values, "ligand_record_index", "predicted_paffinity")
+
+
+@query("""SELECT o_orderkey, o_custkey, c_nationkey, o_totalprice, c_mktsegment, n_name FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def wide_package(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    poses = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").join(customers.select("o_custkey", "c_nationkey"), "o_custkey")
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    out = joining.wide_package(poses, customers, nations, None, "o_custkey", "c_nationkey", "o_orderkey")
+    return out.select("o_orderkey", "o_custkey", "c_nationkey", "o_totalprice", "c_mktsegment", "n_name")
+
+
+@query("""SELECT o_orderkey, round(coalesce(CASE WHEN l.status = 'ok' THEN l.v END, 0.0::DOUBLE), 8) AS similarity FROM orders LEFT JOIN
+(SELECT l_orderkey, max(l_tax + 0.0::DOUBLE) AS v, CASE WHEN max(l_quantity) > 40 THEN 'ok' ELSE 'failed' END AS status FROM lineitem GROUP BY l_orderkey) l ON l_orderkey = o_orderkey""")
+def optional_similarity(spark, sf_dir):
+    side = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max(F.col("l_tax") + F.lit(0.0)).alias("v"), F.when(F.max("l_quantity") > 40, "ok").otherwise("failed").alias("status"))
+    out = joining.with_optional(table(spark, sf_dir, "orders").select("o_orderkey"), side, "o_orderkey", "v", "status")
+    return out.select("o_orderkey", r8("v", "similarity"))
+
+
+@query("""(SELECT o_orderkey AS k, 'missing' AS side FROM orders WHERE o_totalprice > 100000 EXCEPT SELECT l_orderkey, 'missing' FROM lineitem WHERE l_quantity > 45)
+UNION ALL (SELECT l_orderkey, 'unexpected' FROM lineitem WHERE l_quantity > 45 EXCEPT SELECT o_orderkey, 'unexpected' FROM orders WHERE o_totalprice > 100000)""")
+def set_difference_gate(spark, sf_dir):
+    expected = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select(F.col("o_orderkey").alias("k"))
+    observed = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("k"))
+    return joining.set_differences(expected, observed, ["k"])
+
+
+@query("""SELECT o_orderpriority, o_orderkey, ((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) // 100 + 1)::BIGINT AS chunk FROM orders""")
+def chunk_jobs(spark, sf_dir):
+    return ranking.chunk_numbers(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], [F.col("o_orderkey")], 100)
+
+
+@query("""WITH c AS (SELECT l_returnflag, ((row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1) // 100 + 1)::BIGINT AS chunk FROM lineitem)
+SELECT l_returnflag, c.chunk AS chunk, count(*) AS states, ((20260805 + CASE l_returnflag WHEN 'A' THEN 3554254475 WHEN 'N' THEN 1130791706 WHEN 'R' THEN 1466425173 END + c.chunk) % 2147483647)::BIGINT AS seed FROM c GROUP BY l_returnflag, c.chunk""")
+def job_seeds(spark, sf_dir):
+    return jobs.plan_jobs(table(spark, sf_dir, "lineitem").select("l_returnflag", *POSE_KEY), "l_returnflag", POSE_KEY, 100, 20260805)
+
+
+@query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag || '|' || l_orderkey || '|' || row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS pose_id,
+row_number() OVER (ORDER BY l_returnflag, l_partkey, l_suppkey, l_linenumber, l_orderkey) AS ligand_record_index FROM lineitem""")
+def pose_ranks(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", *POSE_KEY)
+    return jobs.rank_poses(items, "l_returnflag", "l_orderkey", POSE_KEY[1:]).select(*POSE_KEY, "pose_id", "ligand_record_index")
+
+
+@query("""WITH t AS (SELECT doc_id, list_distinct(string_split(lower(coalesce(text, '')), ' ')) AS ws FROM documents), q AS (SELECT ws FROM t WHERE doc_id = (SELECT min(doc_id) FROM documents)),
+s AS (SELECT doc_id, len(list_intersect(t.ws, q.ws)) / len(list_distinct(t.ws || q.ws))::DOUBLE AS s FROM t, q)
+SELECT doc_id, round(s, 8) AS similarity FROM (SELECT *, row_number() OVER (ORDER BY s DESC, doc_id) AS k FROM s) WHERE k <= 50""")
+def tanimoto_topk(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), " ")).alias("ws"))
+    reference = docs.orderBy("doc_id").limit(1).select(F.col("ws").alias("ref"))
+    scored = docs.withColumn("s", S.jaccard(F.col("ws"), reference.scalar()))
+    return scored.orderBy(F.desc("s"), "doc_id").limit(50).select("doc_id", r8("s", "similarity"))
+
+
+@query("""WITH b AS (SELECT p_partkey, [p_partkey * 2654435761 % 4294967296, p_partkey * 40503 % 65536] AS ws FROM part)
+SELECT p_partkey, round(CASE WHEN u > 0 THEN i / u::DOUBLE ELSE 0.0::DOUBLE END, 8) AS similarity FROM (SELECT p_partkey, bit_count((ws[1] & 123456789012)::BIGINT) + bit_count((ws[2] & 54321)::BIGINT) AS i,
+    bit_count((ws[1] | 123456789012)::BIGINT) + bit_count((ws[2] | 54321)::BIGINT) AS u FROM b)""")
+def bit_tanimoto(spark, sf_dir):
+    k = F.col("p_partkey").cast("long")
+    words = F.array(k * F.lit(2654435761) % F.lit(4294967296), k * 40503 % 65536)
+    reference = F.array(F.lit(123456789012), F.lit(54321).cast("long"))
+    return table(spark, sf_dir, "part").select("p_partkey", r8(S.bit_tanimoto(words, reference), "similarity"))
+
+
+POINTS_SQL = "pts AS (SELECT vec_id, label, embedding[1]::DOUBLE * 4.0::DOUBLE AS x, embedding[2]::DOUBLE * 4.0::DOUBLE AS y, embedding[3]::DOUBLE * 4.0::DOUBLE AS z FROM embeddings)"
+DIST_SQL = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"
+XYZ = ["x", "y", "z"]
+
+
+def points(spark, sf_dir):
+    e = lambda i: (F.element_at("embedding", i).cast("double") * F.lit(4.0)).alias("xyz"[i - 1])
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", e(1), e(2), e(3))
+
+
+@query(f"WITH {POINTS_SQL} SELECT a.label, a.vec_id, b.vec_id AS other, round({DIST_SQL}, 6) AS distance FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0 WHERE {DIST_SQL} <= 0.6::DOUBLE")
+def radius_pairs(spark, sf_dir):
+    p = points(spark, sf_dir)
+    right = p.where("vec_id % 5 <> 0").withColumnRenamed("vec_id", "other")
+    out = geometry.radius_pairs(p.where("vec_id % 5 = 0"), right, "label", "vec_id", "other", XYZ, 0.6)
+    return out.select("label", "vec_id", "other", F.round("distance", 6).alias("distance"))
+
+
+@query(f"""WITH {POINTS_SQL}, near AS (SELECT DISTINCT b.label, b.vec_id // 20 AS unit FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 WHERE {DIST_SQL} <= 0.3::DOUBLE)
+SELECT vec_id, label FROM pts WHERE (label, vec_id // 20) IN (SELECT (label, unit) FROM near)""")
+def radius_semijoin(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("unit", F.floor(F.col("vec_id") / 20))
+    return geometry.whole_groups_within(p, p.where("vec_id % 5 = 0").select("label", *XYZ), "label", ["unit"], XYZ, 0.3).select("vec_id", "label")
+
+
+@query(f"""WITH {POINTS_SQL}, hit AS (SELECT DISTINCT a.vec_id FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0 WHERE {DIST_SQL} < 0.5::DOUBLE)
+SELECT label, round(avg(CASE WHEN hit.vec_id IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END), 8) AS clash FROM pts LEFT JOIN hit USING (vec_id) WHERE pts.vec_id % 5 = 0 GROUP BY label""")
+def clash(spark, sf_dir):
+    p = points(spark, sf_dir)
+    out = geometry.clash_fraction(p.where("vec_id % 5 = 0"), p.where("vec_id % 5 <> 0").select("label", *XYZ), "label", "vec_id", XYZ, 0.5)
+    return out.select("label", r8("clash", "clash"))
+
+
+@query(f"""WITH {POINTS_SQL}, d AS (SELECT a.label, a.vec_id, b.vec_id AS other, {DIST_SQL} AS d FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0),
+k AS (SELECT *, count(*) FILTER (WHERE d < 0.6::DOUBLE) OVER (PARTITION BY label, vec_id) AS near, row_number() OVER (PARTITION BY label, vec_id ORDER BY d, other) AS r FROM d)
+SELECT label, vec_id, other, round(d, 6) AS distance, near > 0 AS valid FROM k WHERE (near > 0 AND d < 0.6::DOUBLE AND r <= 3) OR (near = 0 AND r = 1)""")
+def nearest_neighbours(spark, sf_dir):
+    p = points(spark, sf_dir)
+    right = p.where("vec_id % 5 <> 0").withColumnRenamed("vec_id", "other")
+    out = geometry.neighbours(p.where("vec_id % 5 = 0"), right, "label", "vec_id", "other", XYZ, 0.6, 3, 1_000_000)
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+@query(None)
+def feature_match(spark, sf_dir):
+    p = points(spark, sf_dir).withColumns({"family": F.when(F.col("vec_id") % 2 == 0, "Donor").otherwise("Acceptor"), "ord": F.col("vec_id")})
+    reference = [{"family": f, "position": xyz, "tolerance": t, "weight": w} for f, xyz, t, w in (("Donor", (0, 0, 0), 1.8, 1.0), ("Acceptor", (0.5, 0, 0), 1.8, 1.0), ("Donor", (0, 0.5, 0.5), 2.5, 0.8))]
+    return geometry.feature_scores(p, reference, "label").select("label", r8("feature_score", "feature_score"))
+
+
+@query(f"WITH {POINTS_SQL} SELECT vec_id, round(x - avg(x) OVER (PARTITION BY label), 6) + 0.0::DOUBLE AS cx FROM pts")
+def centred_points(spark, sf_dir):
+    return geometry.centred(points(spark, sf_dir), "label", XYZ).select("vec_id", (F.round("x", 6) + F.lit(0.0)).alias("cx"))
+
+
+@query(f"""WITH {POINTS_SQL}, g AS (SELECT *, y - max(y) OVER (PARTITION BY label) AS h, row_number() OVER (PARTITION BY label ORDER BY y DESC, x DESC) AS k FROM pts)
+SELECT label, round(avg(x), 6) AS mean, round(max(x), 6) AS max, round(sum(exp(h) * x) / sum(exp(h)), 6) AS softmax_mean, round(avg(x) FILTER (WHERE k <= 8), 6) AS top_mean, round(ln(1 + count(*)), 6) AS log_count FROM g GROUP BY label""")
+def graph_pooling(spark, sf_dir):
+    out = geometry.pooled(points(spark, sf_dir), "label", "x", "y")
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("mean", "max", "softmax_mean", "top_mean", "log_count")])
+
+
+@query("""SELECT p_partkey, round(exp(-0.5::DOUBLE * pow((p_size / 10.0::DOUBLE - 1.0::DOUBLE) / 1.0::DOUBLE, 2)), 8) AS rbf_1, round(exp(-0.5::DOUBLE * pow((p_size / 10.0::DOUBLE - 5.0::DOUBLE) / 1.0::DOUBLE, 2)), 8) AS rbf_5 FROM part""")
+def radial_basis(spark, sf_dir):
+    basis = S.radial_basis(F.col("p_size") / F.lit(10.0), 6, 0.0, 5.0)
+    return table(spark, sf_dir, "part").select("p_partkey", r8(F.element_at(basis, 2), "rbf_1"), r8(F.element_at(basis, 6), "rbf_5"))
+
+
+@query("""SELECT o_orderkey, substr(sha256('42|' || o_orderkey::VARCHAR), 1, 16) AS stable_hash, sha1(o_orderkey::VARCHAR) AS structure_key, substr(sha1(o_orderkey::VARCHAR), 1, 16) || '_s01' AS state_id,
+(('0x' || substr(sha1(o_orderkey::VARCHAR), 1, 8))::BIGINT & 2147483647)::BIGINT AS embed_seed FROM orders""")
+def hash_functions(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", S.stable_hash("o_orderkey", 42).alias("stable_hash"), S.structure_hash(F.col("o_orderkey").cast("string")).alias("structure_key"))
+    return o.select("*", S.state_id("structure_key").alias("state_id"), S.embed_seed("structure_key").alias("embed_seed"))
+
+
+@query("""SELECT p_partkey, round(greatest(0.0::DOUBLE, p_size / 50.0::DOUBLE - 0.08::DOUBLE * a), 8) AS quality, a AS alerts, round(1e9::DOUBLE * pow(10.0::DOUBLE, -(p_size / 10.0::DOUBLE)), 6) AS nm,
+CASE WHEN p_partkey % 4 = 0 THEN 'ACYCLIC:' || p_partkey ELSE p_brand END AS label FROM (SELECT *, (p_partkey % 2 = 0)::INTEGER + (p_partkey % 3 = 0)::INTEGER AS a FROM part)""")
+def score_functions(spark, sf_dir):
+    k = F.col("p_partkey")
+    alerts = S.alert_count(F.when(k % 2 == 0, "a|b").otherwise(""), F.when(k % 3 == 0, "c"))
+    return table(spark, sf_dir, "part").select("p_partkey", r8(S.quality_score(F.col("p_size") / F.lit(50.0), alerts), "quality"), alerts.alias("alerts"), F.round(S.concentration_nm(F.col("p_size") / F.lit(10.0)), 6).alias("nm"), S.group_label(F.when(k % 4 == 0, "").otherwise(F.col("p_brand")), k.cast("string")).alias("label"))
+
+
+@query("""WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'no value' ELSE ['Ki', 'Kd', 'ic50'][p_partkey % 3 + 1] || '=' || p_size || ['nM', 'uM', 'mM', 'pM'][p_partkey % 4 + 1] || ' // note' END AS s FROM part),
+m AS (SELECT p_partkey, upper(regexp_extract(s, '(?i)\\b(Ki|Kd|IC50)\\s*=', 1)) AS kind, regexp_extract(s, '=([0-9.]+)', 1)::DOUBLE AS v, regexp_extract(s, '([num p])M ', 1) AS u FROM t WHERE s <> 'no value')
+SELECT p_partkey, kind, round(-log10(v * CASE u WHEN 'n' THEN 1e-9::DOUBLE WHEN 'u' THEN 1e-6::DOUBLE WHEN 'm' THEN 1e-3::DOUBLE ELSE 1e-12::DOUBLE END), 8) AS pk FROM m""")
+def parsed_affinities(spark, sf_dir):
+    k = F.col("p_partkey")
+    text = F.when(k % 5 == 0, "no value").otherwise(F.concat(F.element_at(F.array(*map(F.lit, ["Ki", "Kd", "ic50"])), (k % 3 + 1).cast("int")), F.lit("="), F.col("p_size").cast("string"), F.element_at(F.array(*map(F.lit, ["nM", "uM", "mM", "pM"])), (k % 4 + 1).cast("int")), F.lit(" // note")))
+    out = table(spark, sf_dir, "part").select("p_partkey", S.parsed_affinity(text).alias("m")).where("m is not null")
+    return out.select("p_partkey", F.col("m.kind").alias("kind"), r8("m.pk", "pk"))
+
+
+@query("""SELECT p_partkey, round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_pop(p_size) FROM part), 8) + 0.0::DOUBLE AS z FROM part""")
+def standard_scores(spark, sf_dir):
+    return filters.population_zscore(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_size", "z").select("p_partkey", r8("z", "z"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_retailprice <= (SELECT median(p_retailprice) FROM part)")
+def median_gate(spark, sf_dir):
+    return filters.at_most_median(table(spark, sf_dir, "part"), "p_retailprice").select("p_partkey")
+
+
+@query("""WITH f AS (SELECT l_orderkey, min((l_partkey, l_suppkey, l_linenumber)) AS m FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY l_orderkey ORDER BY m, l_orderkey LIMIT 200)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_orderkey IN (SELECT l_orderkey FROM f)""")
+def protocol_scope(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", *POSE_KEY)
+    return filters.in_scope(items, "l_returnflag", ["A", "R"], "l_orderkey", [*POSE_KEY[1:], "l_orderkey"], 200).select(*POSE_KEY)
+
+
+@query("""SELECT source, lang, count(*) AS n, count(DISTINCT text) AS structures FROM documents GROUP BY source, lang""")
+def cross_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.count_distinct("text").alias("structures"))
+
+
+@query("SELECT p_brand, max(n) AS most FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL) GROUP BY p_brand")
+def group_multiplicity(spark, sf_dir):
+    return table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n")).groupBy("p_brand").agg(F.max("n").alias("most"))
+
+
+@query("""SELECT check_name, failures, failures = 0 AS passed FROM (
+SELECT 'price_positive' AS check_name, count(*) FILTER (WHERE NOT l_extendedprice > 0) AS failures FROM lineitem UNION ALL
+SELECT 'discount_unit', count(*) FILTER (WHERE NOT (l_discount BETWEEN 0 AND 1)) FROM lineitem UNION ALL
+SELECT 'flag_known', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM lineitem UNION ALL
+SELECT 'quantity_small', count(*) FILTER (WHERE NOT l_quantity <= 40) FROM lineitem)""")
+def qc_report(spark, sf_dir):
+    checks = {"price_positive": F.col("l_extendedprice") > 0, "discount_unit": F.col("l_discount").between(0, 1), "flag_known": F.col("l_returnflag").isin("A", "N"), "quantity_small": F.col("l_quantity") <= 40}
+    return gates.report(table(spark, sf_dir, "lineitem"), checks)
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0""")
+def outstanding_jobs(spark, sf_dir):
+    planned = jobs.signatures(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    ledger = planned.where("o_orderkey % 7 = 0 or o_orderkey % 5 = 0 or o_orderkey % 3 = 0")
+    stale = (F.col("o_orderkey") % 7 != 0) & (F.col("o_orderkey") % 5 != 0)
+    ledger = ledger.select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).when(stale, F.lit("old")).otherwise(F.col("signature")).alias("signature"), F.lit(True).alias("valid"))
+    return jobs.outstanding(planned, ledger, ["o_orderkey"]).select("o_orderkey")
