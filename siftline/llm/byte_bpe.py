@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 
 from siftline.llm.common import map_batches, texts_of
 
-#: Entries of a worker's memo of encoded chunks (about 60 MB); beyond it the memo starts anew. Results do not depend on it.
-MEMO = 250_000
+#: Entries of a worker's memo of encoded parts (about 60 MB); a full one stays as the older of two. Results do not depend on it.
+MEMO = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,32 +68,47 @@ class Codec:
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         back = {ord(letter): b for b, letter in self.letters.items()}
         self.token_bytes = {str(i): bytes(back[ord(c)] for c in self.sp.id_to_piece(i)) for i in range(self.sp.get_piece_size() - 1)}
+        self.decimal = list(map(str, range(self.sp.get_piece_size())))
+        # What follows a space (memo) or begins a text (first), as ids in decimal. A single space between two non-space
+        # characters always starts a pre-token; so texts can be cut there, and each distinct part is encoded once.
         self.memo: dict[str, str] = {}
-        # A single space between two non-space characters always starts a pre-token; so texts can be cut there first.
+        self.older: dict[str, str] = {}
         self.cut = regex.compile(r"(?<=\S) (?=\S)", regex.V0).split
-        self.loose = regex.compile(r"\s{2}|^\s|\s$|[\x1c-\x1f]").search
 
-    def chunks(self, text: str) -> list[str]:
-        """Context-free pieces of a text that together are the text."""
-        parts = self.cut(text) if self.loose(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
+    def encode_parts(self, parts: list[str]) -> list[str]:
+        """Context-free parts of texts: pre-tokens by the pattern, each encoded alone."""
+        pre = list(map(self.find, parts))
+        flat = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for ps in pre for p in ps]
+        ids, decimal = iter(self.sp.encode(flat, num_threads=1)), self.decimal.__getitem__
+        return [" ".join([" ".join(map(decimal, next(ids))) for _ in ps]) for ps in pre]
 
     def encode_all(self, texts: list[str]) -> list[str]:
         """The ids of each text, in decimal, joined by a space."""
-        cut = [self.chunks(t) if t else [] for t in texts]
+        cut = [t.split(" ") for t in texts]
         if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        new = list({c for chunks in cut for c in chunks if c not in memo})
-        step = 20_000
-        for at in range(0, len(new), step):
-            some = new[at : at + step]
-            pre = [self.find(c) for c in some]
-            flat = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for ps in pre for p in ps]
-            ids = iter(self.sp.encode(flat, num_threads=1))
-            for chunk, ps in zip(some, pre, strict=True):
-                memo[chunk] = " ".join(" ".join(map(str, next(ids))) for _ in ps)
-        return [" ".join(map(memo.__getitem__, chunks)) for chunks in cut]
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
+        new = set().union(*(c[1:] for c in cut)).difference(memo)
+        # A part with white space at an end is not context-free: texts that have one are cut with more care.
+        loose = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
+        ends: dict[int, str] = {}
+        for i, parts in enumerate(cut):
+            if (parts[0] == "" or parts[0][-1].isspace()) or not loose.isdisjoint(parts):
+                cut[i] = self.cut(texts[i])
+                if len(cut[i]) > 1 and cut[i][-1][-1].isspace():  # right at the end of a text only, so it is not kept
+                    ends[i] = self.encode_parts([" " + cut[i].pop()])[0]
+                loose.difference_update(cut[i][1:])  # no white space to the pattern after all
+                new.update(cut[i][1:])
+        memo.update({p: older[p] for p in new & older.keys()})
+        new = list(new.difference(memo, loose))
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            memo.update(zip(some, self.encode_parts([" " + p for p in some]), strict=True))
+        firsts = self.encode_parts([c[0] for c in cut])
+        out = [" ".join([first, *map(memo.__getitem__, c[1:])]) if len(c) > 1 else first for first, c in zip(firsts, cut, strict=True)]
+        for i, end in ends.items():
+            out[i] = f"{out[i]} {end}"
+        return out
 
     def decode(self, ids: str) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids.split(" "))) if ids else b""
