@@ -6,10 +6,13 @@ sets are one class. Two sets of Jaccard similarity >= t share at least `need` of
 leave out its need - 1 most frequent values and still meet: only the rarer ones enter the inverted lists, and documents
 with too few values that occur elsewhere enter none.
 
-Lists generate overlaps in two rounds. First each member meets the smallest member of its list. Then, where a list
-still spans several components, its members meet in blocks, except those already connected to each other; a block
-counts overlaps with sketches at hand and passes on only pairs whose union sketch allows the similarity. Passed pairs
-are verified on full sets. No list is cut or dropped.
+Lists generate overlaps in rounds. Each member meets the hub of its list, the member whose values are in the most
+lists, which in a group of near copies is what they were made from; pairs that the union sketch allows are compared on full sets, and what differs from the hub is kept for members within distance 1 - NEAR.
+From these differences the exact similarity of any two members of a hub follows, so members in different components
+are compared in blocks without their texts. A member within distance 1 - SETTLED of its hub is done in that list: what
+is similar to it is NEAR the hub, by the triangle inequality of Jaccard distance (that chance estimates miss such a
+pair is below 2e-6). What is not goes through a second hub; what is left then meets in blocks of sketches, and pairs
+that the union sketch allows are verified on full sets. No list is cut or dropped.
 
 Defined results: texts are lower-cased in A-Z; null texts and texts without words have the empty set and link with
 nothing; fewer than w words are one shingle; repeated rows are copies and share their links; rows with a null id have
@@ -31,6 +34,8 @@ from siftline.llm.common import components, discard, map_batches, materialize, t
 
 K = 32
 BLOCK = 64
+#: Similarity (percent) to a hub from which on differences are kept, and from which on a member is done with its list.
+NEAR, SETTLED = 50, 65
 _words: dict[bytes, int] = {}
 
 
@@ -96,110 +101,169 @@ def _enough(shared, union, k: int, percent: int):
 
 
 def _lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """value, rep: inverted lists of the rarer retained values, those with two members or more."""
+    """value, rep, weight: inverted lists of the rarer retained values, those with two members or more. The weight of a
+    document grows with the documents that its values are in."""
     each = materialize(classes.select("rep", F.size("sketch").alias("size"), F.explode("sketch").alias("value")), "values")
     often = each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = each.join(often, "value")
     least = F.least(F.ceil(F.col("size") * percent / 100), F.when(F.col("size") >= k, needed(k, percent)).otherwise(F.col("size")))
     by_rarity = Window.partitionBy("rep").orderBy("df", "value")
     alone = F.col("size") - F.count("*").over(Window.partitionBy("rep"))
-    kept = shared.select("rep", "value", (F.row_number().over(by_rarity) + alone).alias("place"), (F.col("size") - least + 1).alias("room")).where("place <= room").select("value", "rep")
+    weight = F.sum("df").over(Window.partitionBy("rep")).alias("weight")
+    kept = shared.select("rep", "value", weight, (F.row_number().over(by_rarity) + alone).alias("place"), (F.col("size") - least + 1).alias("room")).where("place <= room").select("value", "rep", "weight")
     out = materialize(kept, "lists")
     discard(each)
     return out
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    pairs = materialize(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialize(docs.join(ids, "doc_id", "left_semi"), "texts")
+def _texts(lists: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, text of documents in lists. Ids grow with the input, so they are merged with texts, never broadcast."""
+    ids = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    return materialize(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, least: int) -> DataFrame:
+    """a, b, n_a, n_b, both (sizes of the full sets and their intersection), diff (what only one has): pairs with
+    100 * intersection >= least * union."""
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
 
     def make():
         last: list = [None, None]
 
         def each(batch):
-            a_out, b_out = [], []
+            out: tuple[list, ...] = tuple([] for _ in range(6))
             for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 if last[0] != ta:
                     last[:] = [ta, shingles(ta or "", width)]
                 one, two = last[1], shingles(tb or "", width)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                if both and 100 * both >= percent * (len(one) + len(two) - both):
-                    a_out.append(a), b_out.append(b)
-            return pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+                diff = np.setxor1d(one, two, assume_unique=True)
+                both = (len(one) + len(two) - len(diff)) // 2
+                if both and 100 * both >= least * (both + len(diff)):
+                    for column, value in zip(out, (a, b, len(one), len(two), both, diff), strict=True):
+                        column.append(value)
+            kinds = (*[pa.int64()] * 5, pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["a", "b", "n_a", "n_b", "both", "diff"])
 
         return each
 
-    out = materialize(map_batches(both, make, "a long, b long"), "verified")
-    discard(texts), discard(pairs)
-    return out
+    return materialize(map_batches(rows, make, "a long, b long, n_a long, n_b long, both long, diff array<long>"), "compared")
+
 
+def _similarity_at_least(percent: int):
+    return F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
 
-def _first_round(lists: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs of each member with the smallest of its list, where the union sketch allows them."""
-    heads = lists.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("m")).where("m > 1").select("value", "a")
-    pairs = lists.join(heads, "value").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+def _meet_hub(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """The hub round: compared pairs (a the hub), and the lists that are not done."""
+    heads = lists.groupBy("value").agg(F.max_by("rep", F.struct("weight", F.negate("rep"))).alias("a"), F.count("*").alias("m")).where("m > 1").select("value", "a")
+    placed = materialize(lists.join(heads, "value").where("rep <> a").select("value", "a", F.col("rep").alias("b"), "weight"), "placed")
     side = lambda s: classes.select(F.col("rep").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    both = placed.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-    return both.where(_enough(shared, F.size(union), k, percent)).select("a", "b")
-
-
-def _second_round(lists: DataFrame, classes: DataFrame, comp: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs across components within a list, found block by block."""
-    placed = lists.join(comp.select(F.col("node").alias("rep"), "component_id"), "rep", "left")
-    placed = materialize(placed.select("value", "rep", F.coalesce("component_id", "rep").alias("comp")), "placed")
-    sizes = placed.groupBy("value", "comp").agg(F.count("*").alias("n"))
-    spread = sizes.groupBy("value").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("n") <= BLOCK, F.col("n")).otherwise(0)).alias("small")).where("comps > 1").select("value", "small")
-    sizes = sizes.join(spread, "value")
-    # A large component fills blocks of its own; small ones share blocks. A block is named by component (or null) and number.
+    compared = _compared(both.where(_enough(shared, F.size(union), k, NEAR)).select("a", "b"), texts, width, NEAR)
+    known = compared.select("a", "b", _similarity_at_least(SETTLED).alias("settled"))
+    found = placed.join(known, ["a", "b"], "left").where("not coalesce(settled, false)")
+    found = materialize(found.select("value", F.col("b").alias("rep"), "weight", F.col("settled").isNull().alias("far")), "left")
+    # where all that are left are near the hub, their differences decide
+    undecided = found.groupBy("value").agg(F.count_if("far").alias("far")).where("far > 0").select("value")
+    discard(placed)
+    return compared, found.join(undecided, "value", "left_semi").drop("far")
+
+
+def _across(placed: DataFrame, payload: list[str]) -> DataFrame:
+    """Groups of rows that must meet: m, an array of (rep, comp, *payload), two blocks at most.
+
+    placed: key, rep, comp and the payload. Rows of a key meet block by block unless they are in one component.
+    A large component fills blocks of its own; small ones share blocks.
+    """
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    spread = sizes.groupBy("key").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("n") <= BLOCK, F.col("n")).otherwise(0)).alias("small")).where("comps > 1").select("key", "small")
+    sizes = sizes.join(spread, "key")
     blocks_of = F.when(F.col("n") > BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(F.ceil(F.col("small") / BLOCK))
-    pure = F.when(F.col("n") > BLOCK, F.col("comp"))
-    sizes = materialize(sizes.select("value", "comp", "n", pure.alias("pure"), blocks_of.cast("int").alias("blocks")), "list-sizes")
-    spot = F.when(F.col("pure").isNotNull(), F.pmod(F.xxhash64("rep"), F.col("blocks"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("blocks"))).cast("int")
-    members = placed.join(sizes, ["value", "comp"]).select("value", "rep", "comp", "pure", spot.alias("spot"))
-    blocks = members.select("value", "pure", "spot").distinct()
-    left, right = blocks.toDF("value", "pure_l", "spot_l"), blocks.toDF("value", "pure_r", "spot_r")
-    order = lambda s: F.struct(F.coalesce(f"pure_{s}", F.lit(-(1 << 63))), f"spot_{s}")
-    meets = left.join(right, "value").where((order("l") <= order("r")) & ~F.coalesce(F.col("pure_l") == F.col("pure_r"), F.lit(False)))
-    meets = meets.withColumn("meet", F.xxhash64("value", "pure_l", "spot_l", "pure_r", "spot_r"))
-    mine = members.join(classes.select("rep", "sketch"), "rep")
-    at = lambda s: meets.select("value", F.col(f"pure_{s}").alias("pure"), F.col(f"spot_{s}").alias("spot"), "meet")
-    roles = at("l").unionByName(at("r")).distinct()
-    same_block = (mine["value"] == roles["value"]) & mine["pure"].eqNullSafe(roles["pure"]) & (mine["spot"] == roles["spot"])
-    dealt = mine.join(roles, same_block).select("meet", mine["rep"], mine["comp"], "sketch")
-    grouped = dealt.groupBy("meet").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("m"))  # two blocks at most
+    sizes = sizes.select("key", "comp", F.coalesce(F.when(F.col("n") > BLOCK, F.col("comp")), F.lit(-(1 << 63))).alias("pure"), blocks_of.alias("blocks"))
+    spot = F.pmod(F.xxhash64(F.when(F.col("pure") == F.col("comp"), F.col("rep")).otherwise(F.col("comp"))), F.col("blocks"))
+    members = materialize(placed.join(sizes, ["key", "comp"]).select("key", "rep", "comp", *payload, F.struct("pure", spot.cast("int").alias("spot")).alias("block")), "members")
+    blocks = members.select("key", "block").distinct()
+    other = blocks.select("key", F.col("block").alias("right"))
+    both_pure = (F.col("block.pure") == F.col("right.pure")) & (F.col("block.pure") > F.lit(-(1 << 63)))
+    meets = blocks.join(other, "key").where((F.col("block") <= F.col("right")) & ~both_pure)
+    roles = meets.select("key", F.explode(F.array_distinct(F.array("block", "right"))).alias("block"), F.xxhash64("key", "block", "right").alias("meet"))
+    dealt = members.join(roles, ["key", "block"])
+    return dealt.groupBy("meet").agg(F.collect_list(F.struct("rep", "comp", *payload)).alias("m")).select("m")
+
+
+def _shared(arrays: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of these duplicate-free arrays share."""
+    if not sum(map(len, arrays)):
+        return np.zeros((len(arrays), len(arrays)), np.float32)
+    _, where, counts = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
+    often = counts[where] > 1
+    place = np.cumsum(counts > 1) - 1
+    has = np.zeros((len(arrays), max(int(place[-1]) + 1, 1)), np.float32)
+    has[row[often], place[where[often]]] = 1
+    return has @ has.T
+
+
+def _pairs_out(found: dict) -> pa.RecordBatch:
+    cols = list(zip(*found.values(), strict=True)) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+
+def _hub_links(compared: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one hub in different components, exact from their differences to the hub."""
+    placed = compared.select(F.col("a").alias("key"), F.col("b").alias("rep"), F.col("n_b").alias("n"), "diff")
+    placed = placed.join(comp.select(F.col("node").alias("rep"), "component_id"), "rep", "left").withColumn("comp", F.coalesce("component_id", "rep"))
 
     def make():
-        need = needed(k, percent)
+        def each(batch):
+            found: dict = {}  # one link for each two components is enough
+            for m in batch.column(0).to_pylist():
+                reps, comps, n = (np.array([x[c] for x in m]) for c in ("rep", "comp", "n"))
+                diffs = [np.array(x["diff"], np.int64) for x in m]
+                d = np.array([len(x) for x in diffs])
+                both = (n[:, None] + n - d[:, None] - d + 2 * _shared(diffs).astype(np.int64)) // 2
+                hit = (100 * both >= percent * (n[:, None] + n - both)) & (comps[:, None] < comps) & (both > 0)
+                for x, y in zip(*np.nonzero(hit), strict=True):
+                    found[int(comps[x]), int(comps[y])] = (int(reps[x]), int(reps[y]))
+            return _pairs_out(found)
+
+        return each
+
+    return materialize(map_batches(_across(placed.select("key", "rep", "comp", "n", "diff"), ["n", "diff"]), make, "a long, b long"), "hub-links")
 
+
+def _list_links(lists: DataFrame, compared: DataFrame, comp: DataFrame, texts: DataFrame, width: int, k: int, percent: int) -> DataFrame:
+    """Links within lists between components and not near one hub, candidates from blocks of sketches eight times as long: few documents are left."""
+    left = texts.join(lists.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    k *= 8
+    classes = materialize(sets(left, width, k).select(F.col("doc_id").alias("rep"), "sketch"), "long-sketches")
+    hubs = compared.groupBy(F.col("b").alias("rep")).agg(F.collect_set("a").alias("hubs"))  # a member has as many as it has lists
+    placed = lists.join(comp.select(F.col("node").alias("rep"), "component_id"), "rep", "left").join(classes.select("rep", "sketch"), "rep").join(hubs, "rep", "left")
+    placed = placed.select(F.col("value").alias("key"), "rep", F.coalesce("component_id", "rep").alias("comp"), "sketch", F.coalesce("hubs", F.array().cast("array<bigint>")).alias("hubs"))
+
+    def make():
         def each(batch):
-            found: set[tuple[int, int]] = set()
-            for m in batch.column(1).to_pylist():
-                reps, comps = np.array([x["rep"] for x in m]), np.array([x["comp"] for x in m])
+            found: dict = {}
+            for m in batch.column(0).to_pylist():
+                reps, comps = (np.array([x[c] for x in m]) for c in ("rep", "comp"))
                 sketches = [np.array(x["sketch"], np.int64) for x in m]
-                lengths = np.array([len(s) for s in sketches])
-                _, where = np.unique(np.concatenate(sketches), return_inverse=True)
-                has = np.zeros((len(m), where.max() + 1), np.float32)
-                has[np.repeat(np.arange(len(m)), lengths), where] = 1
-                shared = has @ has.T
-                least = np.minimum(need, np.ceil(lengths * percent / 100))
-                i, j = np.nonzero((shared >= np.minimum(least[:, None], least)) & (comps[:, None] != comps) & (reps[:, None] < reps))
-                for x, y in zip(i, j, strict=True):
+                least = np.minimum(needed(k, percent), np.ceil(np.array([len(x) for x in sketches]) * percent / 100))
+                near = _shared([np.array(x["hubs"], np.int64) for x in m]) > 0
+                may = ~near & (_shared(sketches) >= np.minimum(least[:, None], least)) & (comps[:, None] != comps) & (reps[:, None] < reps)
+                for x, y in zip(*np.nonzero(may), strict=True):
                     union = np.union1d(sketches[x], sketches[y])[:k]
                     both = np.intersect1d(np.intersect1d(sketches[x], sketches[y], assume_unique=True), union, assume_unique=True)
                     if _enough(len(both), len(union), k, percent):
-                        found.add((int(reps[x]), int(reps[y])))
-            cols = list(zip(*found, strict=True)) or [(), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+                        found[int(reps[x]), int(reps[y])] = (int(reps[x]), int(reps[y]))
+            return _pairs_out(found)
 
         return each
 
-    return map_batches(grouped, make, "a long, b long").distinct()
+    pairs = map_batches(_across(placed, ["sketch", "hubs"]), make, "a long, b long").distinct()
+    return _compared(pairs, texts, width, percent).select("a", "b")
 
 
 def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,11 +273,14 @@ def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: s
     classes = whole.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
     classes = materialize(classes.where("rep is not null"), "set-classes")
     lists = _lists(classes, k, percent)
-    first = _verified(_first_round(lists, classes, k, percent), docs, width, percent)
-    comp = components(first, "first-components")
-    second = _verified(_second_round(lists, classes, comp, k, percent), docs, width, percent)
-    edges = comp.where("node <> component_id").select(F.col("node").alias("a"), F.col("component_id").alias("b")).unionByName(second)
-    comp = components(edges, "components")
+    texts = _texts(lists, docs)
+    first, lists = _meet_hub(lists, classes, texts, width, k)
+    second, lists = _meet_hub(lists, classes, texts, width, k)
+    compared = first.unionByName(second)
+    links = compared.where(_similarity_at_least(percent)).select("a", "b")
+    comp = components(links, "hub-components")
+    more = _hub_links(compared, comp, percent).unionByName(_list_links(lists, compared, comp, texts, width, k, percent))
+    comp = components(comp.select(F.col("node").alias("a"), F.col("component_id").alias("b")).unionByName(more), "components")
     named = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component_id", "rep").alias("_component"))
     out = whole.select("doc_id", "n", "key").join(named, "key", "left")
     component = F.coalesce("_component", "doc_id")
