@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,18 +64,18 @@ def stratified_bottom_k(df: DataFrame, stratum: str, key: str, seed: int, total:
 
 
 def largest_remainder(fractions: dict[str, float], size: int) -> dict[str, int]:
-    """Whole quotas that sum to size: floors, then one more each by (fraction, name) from the largest down."""
-    quotas = {name: int(size * f) for name, f in fractions.items()}
-    for name in sorted(fractions, key=lambda n: (fractions[n], n), reverse=True)[: size - sum(quotas.values())]:
-        quotas[name] += 1
-    return quotas
+    """Whole quotas that sum to size: floors, then one more each by (remainder, name) from the largest down."""
+    whole = {name: int(size * share) for name, share in fractions.items()}
+    lifted = heapq.nlargest(size - sum(whole.values()), fractions, key=lambda name: (size * fractions[name] % 1, name))
+    return {name: n + (name in lifted) for name, n in whole.items()}
 
 
 def largest_remainder_table(df: DataFrame, name: str, fraction: str, size: int) -> DataFrame:
     """The same for a small table of names and fractions: adds quota."""
     floors = df.withColumn("_floor", F.floor(F.lit(size) * F.col(fraction)).cast("long"))
     left = F.lit(size) - F.sum("_floor").over(Window.partitionBy())
-    place = F.row_number().over(Window.orderBy(F.desc(fraction), F.desc(name)))
+    rest = F.lit(size) * F.col(fraction) - F.col("_floor")
+    place = F.row_number().over(Window.orderBy(rest.desc(), F.desc(name)))
     return floors.withColumn("quota", F.col("_floor") + (place <= left).cast("long")).drop("_floor")
 
 

@@ -183,7 +183,7 @@ def stratified_sample(spark, sf_dir):
 
 
 @query("""WITH f AS (SELECT p_type AS name, count(*) / (SELECT count(*) FROM part)::DOUBLE AS fraction FROM part GROUP BY p_type),
-q AS (SELECT name, floor(14837 * fraction)::BIGINT AS base, row_number() OVER (ORDER BY fraction DESC, name DESC) AS k, 14837 - sum(floor(14837 * fraction)::BIGINT) OVER () AS rest FROM f)
+q AS (SELECT name, floor(14837 * fraction)::BIGINT AS base, row_number() OVER (ORDER BY 14837 * fraction - floor(14837 * fraction) DESC, name DESC) AS k, 14837 - sum(floor(14837 * fraction)::BIGINT) OVER () AS rest FROM f)
 SELECT name, (base + CASE WHEN k <= rest THEN 1 ELSE 0 END)::BIGINT AS quota FROM q""")
 def quotas(spark, sf_dir):
     parts = table(spark, sf_dir, "part")

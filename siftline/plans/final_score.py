@@ -96,7 +96,7 @@ def top_hits(ranked: DataFrame, n: int) -> DataFrame:
     """hit_id, SMILES, Rank, score of the first n. A missing structure is an error."""
     smiles = F.nullif(F.col("standardized_smiles"), F.lit(""))
     smiles = F.when(smiles.isNotNull(), smiles).otherwise(F.raise_error("a hit has no SMILES").cast("string"))
-    hit = F.coalesce(F.nullif(F.col("compound_id"), F.lit("")), F.col("structure_key"))
+    hit = F.coalesce(F.nullif(F.col("compound_id").cast("string"), F.lit("")), F.col("structure_key").cast("string"))
     return ranked.where(F.col("rank") <= n).select(hit.alias("hit_id"), smiles.alias("SMILES"), F.col("rank").alias("Rank"), F.format_string("%.8f", "integrated_score").alias("score"))
 
 
