@@ -63,6 +63,11 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df but those that an operator is about to add; Spark's names ignore letter case."""
+    return [c for c in df.columns if c.lower() not in names]
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import map_batches
+from siftline.llm.common import map_batches, without
 
 TOP = 300
 EDGE = 1
@@ -131,8 +131,9 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def predict(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """All columns of df and lang_pred, lang_score."""
+    """All columns of df and lang_pred, lang_score, which replace columns of these names."""
     model = df.sparkSession.sparkContext.broadcast(profiles)
+    df = df.select(*without(df, "lang_pred", "lang_score"))
     columns, kinds = df.columns, dict(df.dtypes)
 
     def make():

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import discard, map_batches, materialize
+from siftline.llm.common import discard, map_batches, materialize, without
 
 GRAM = 48
 GROUP = 4096
@@ -417,7 +417,7 @@ def merged(found: list[dict], length: int) -> list[tuple[int, int]]:
 
 def remove_repeats(df: DataFrame, length: int = 400, keep: str = "none", id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """All columns of df with the text replaced by what remains, and n_bytes, n_removed, spans (array of first, past the
-    last byte). With digests only doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the remaining bytes).
+    last byte), which replace columns of these names. With digests only doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the remaining bytes).
 
     Where bytes are removed from within a character, its remaining bytes leave the replaced text too."""
     if keep not in ("none", "first"):
@@ -425,8 +425,9 @@ def remove_repeats(df: DataFrame, length: int = 400, keep: str = "none", id_col:
     rid = F.xxhash64(df[id_col], F.coalesce(df[text_col], F.lit("")))
     docs = df.select(df[id_col].cast("long").alias("doc_id"), rid.alias("rid"), df[text_col].alias("text"))
     found = repeated_spans(docs, length, keep)
-    columns = [id_col] if digests else df.columns
-    rows = df.select(*[df[c] for c in columns], df[text_col].alias("_text"), rid.alias("rid")).join(found, "rid", "left").select(*columns, "_text", "found")
+    columns = [id_col] if digests else without(df, "n_bytes", "n_removed", "spans")
+    mine = "_siftline_rid", "_siftline_found", "_siftline_text"
+    rows = df.select(*[df[c] for c in columns], df[text_col].alias(mine[2]), rid.alias(mine[0])).join(found.toDF(*mine[:2]), mine[0], "left").select(*columns, mine[2], mine[1])
     kinds = dict(df.dtypes)
 
     def make():
