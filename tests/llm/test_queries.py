@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -19,7 +20,8 @@ def test_matches_sql(spark, name):
         con.sql(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM read_parquet('{SF}/{file}')")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.sql(queries.ORACLE_SQL[name]).df()
     columns = sorted(want.columns)
-    rows = lambda d: sorted([tuple(None if v is None or v != v else int(v) if isinstance(v, float) else v for v in r) for r in d[columns].astype(object).itertuples(index=False)], key=str)
+    value = lambda v: None if pd.isna(v) else int(v) if isinstance(v, float) else v
+    rows = lambda d: sorted((tuple(map(value, r)) for r in d[columns].astype(object).itertuples(index=False)), key=str)
     assert rows(got) == rows(want)
 
 
