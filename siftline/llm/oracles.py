@@ -47,3 +47,18 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
     CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM f"""
+
+LINES = r"""
+WITH split AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(text, '') = '' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END AS ls FROM documents),
+places AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split),
+lines AS (SELECT doc_id, i, ls[i] AS line, list_sum([0] || list_transform(ls[1:i - 1], lambda x: length(x) + 1))::BIGINT AS start,
+    trim(regexp_replace(lower(ls[i]), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain FROM places),
+flagged AS (SELECT *, plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 5 AS counts,
+    row_number() OVER (PARTITION BY plain ORDER BY doc_id, start) AS k FROM lines),
+cut AS (SELECT *, counts AND k > 1 AS gone FROM flagged),
+per_doc AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, coalesce(sum(length(line)) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
+    coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM cut GROUP BY doc_id)
+SELECT s.doc_id, len(s.ls)::BIGINT AS n_units, coalesce(p.n_removed, 0)::BIGINT AS n_removed, coalesce(p.removed_chars, 0)::BIGINT AS removed_chars,
+    coalesce(p.removed, '') AS removed, sha256(coalesce(p.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN per_doc p ON p.doc_id = s.doc_id"""

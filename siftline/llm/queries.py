@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, embedding_dedup, fingerprint, language_id, minhash, packing, suffix_array, toxicity, warc
+from siftline.llm import byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, minhash, packing, suffix_array, toxicity, warc
 from siftline.llm import oracles
 from siftline.llm.common import table
 
@@ -38,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(language_id.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"), digests=True)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
     return packing.pack(parts, capacity=2048)
@@ -60,6 +64,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op5_fingerprint, op6_language_id, op8_best_fit_packing, op9_warc, op10_toxicity)
+    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op5_fingerprint, op6_language_id, op7_line_dedup, op8_best_fit_packing, op9_warc, op10_toxicity)
 }
-ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op9_warc": oracles.WARC}
+ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op7_line_dedup": oracles.LINES, "op9_warc": oracles.WARC}

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, common, embedding_dedup, fingerprint, language_id, minhash, packing, suffix_array, toxicity, warc
+from siftline.llm import byte_bpe, common, embedding_dedup, fingerprint, language_id, line_dedup, minhash, packing, suffix_array, toxicity, warc
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 DOCS = "doc_id long, text string"
@@ -150,6 +150,32 @@ def test_empty_and_null_ids_in_repeats(spark):
     assert got == [(50, 50), (50, 50), (54, 50)]
 
 
+def test_repeated_lines_equal_brute_force(spark):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice(["Ab", "cd,", "ef!", "gh", "ïj"]) for _ in range(rng.randrange(1, 9))) for _ in range(30)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 9))) for _ in range(40)] + [None, "", "\n\n", "a,b,c,d,e", "A B C D E", "a b c d\n" * 3]
+    seen, want = set(), {}
+    for d, t in enumerate(texts):
+        kept, gone, at = [], [], 0
+        lines = t.split("\n") if t else []
+        for line in lines:
+            plain = " ".join("".join(c if c.isalnum() else " " for c in line.lower()).split())
+            if len(plain.split()) >= 5 and plain in seen:
+                gone += [at, at + len(line)]
+            else:
+                kept.append(line)
+                seen.add(plain)
+            at += len(line) + 1
+        want[d] = (len(lines), gone, "\n".join(kept) if gone else t)
+    df = documents(spark, texts).withColumn("removed", F.lit(1)).withColumn("digest", F.lit(2))
+    got = line_dedup.remove_repeated_lines(df)
+    assert got.columns == ["doc_id", "text", "digest", "n_units", "n_removed", "removed"]
+    assert {r["doc_id"]: (r["n_units"], list(r["removed"]), r["text"]) for r in got.collect()} == want
+    assert line_dedup.remove_repeated_lines(df.limit(0)).count() == 0
+    twice = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e")], DOCS)
+    assert sorted(r["n_removed"] for r in line_dedup.remove_repeated_lines(twice).collect()) == [0, 1, 1]
+
+
 def brute_near(texts, width, percent):
     sets = []
     for t in texts:
