@@ -2,7 +2,7 @@
 
 A term is a run of letters and digits in lower case. Terms whose inverse document frequency lies in a band form the
 lexicon; a document keeps its distinct lexicon terms, sorted, and hashes those of several randomised subsets of the
-lexicon (a subset takes a term by some bits of the term's hash, a share of 1/8 to 1/64 of all), and all of them
+lexicon (a subset takes a term by some bits of the term's hash, a share of 1/16 to 1/512 of all), and all of them
 together. Likeness of two fingerprints is the share of equal hashes among the subsets in which either has a term.
 
 The band bounds the lexicon: a term in it occurs in at least `low` of all documents, so there are at most (mean number
@@ -23,8 +23,8 @@ LOW, HIGH = 1 / 256, 1 / 5
 SLOTS = 1 << 13
 #: Subsets of the lexicon: first bit of the term's hash, number of bits, the value they must have.
 SUBSETS = [
-    (0, 3, 0), (3, 3, 1), (6, 3, 2), (9, 4, 0), (13, 4, 1), (17, 4, 2), (21, 4, 3), (25, 5, 0),
-    (30, 5, 1), (35, 5, 2), (40, 5, 3), (45, 5, 4), (50, 6, 0), (56, 6, 1), (1, 6, 43), (7, 6, 21),
+    (0, 4, 0), (4, 5, 0), (9, 6, 0), (15, 6, 1), (21, 7, 0), (28, 7, 1), (35, 7, 2), (42, 7, 3),
+    (49, 8, 0), (56, 8, 1), (2, 8, 171), (11, 8, 77), (19, 8, 182), (26, 9, 301), (33, 9, 107), (44, 9, 450),
 ]
 
 
