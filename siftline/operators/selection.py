@@ -5,6 +5,7 @@ Steps depend on what earlier ones took, so each channel's choice is small, writt
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -34,11 +35,9 @@ class Columns:
 
 def _cut(df: DataFrame) -> DataFrame:
     """Cut the plan: a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftline-"))
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftline-"))
     return df.checkpoint()
 
 
