@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import or_aggregate, percent_score, scaled_affinity
 from siftline.operators.gates import GateError, require_coverage, require_none, require_subset, require_unique
-from siftline.operators.ranking import average_rank_percentile, best_values, top_n
+from siftline.operators.ranking import average_rank_percentile, best_values, global_index, top_n
 
 # Components of the integrated score and their weights.
 WEIGHTS = {"wt_affinity": 0.55, "postdock_3d_similarity": 0.20, "docking_consensus": 0.15, "qed": 0.10}
@@ -86,10 +86,10 @@ def integrated(parents: DataFrame, evidence: DataFrame, s: Settings) -> DataFram
 
 def ranked_parents(scored: DataFrame, tie: Sequence[str], limit: int | None = None) -> DataFrame:
     """Ranks by score, then affinity, then the parents' own order. With a limit, only the top rows."""
-    order = [F.desc("integrated_score"), F.desc("wt_affinity"), *[F.col(t) for t in tie]]
     if limit is not None:
-        return top_n(scored, order, limit)
-    return scored.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        return top_n(scored, [F.desc("integrated_score"), F.desc("wt_affinity"), *[F.col(t) for t in tie]], limit)
+    falling = scored.withColumns({"_score": -F.col("integrated_score"), "_affinity": -F.col("wt_affinity")})
+    return global_index(falling, ["_score", "_affinity", *tie], "rank").drop("_score", "_affinity")
 
 
 def top_hits(ranked: DataFrame, n: int) -> DataFrame:
