@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from siftline.llm.common import map_batches, texts_of
+from siftline.llm.common import map_batches, own_memory, texts_of
 
 #: Entries of a worker's memo of encoded parts (about 60 MB); a full one stays as the older of two. Results do not depend on it.
 MEMO = 300_000
@@ -123,6 +123,7 @@ def codec(model: bytes, pattern: str) -> Codec:
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(model, pattern)
+        own_memory(__name__, _codecs.clear)
     return _codecs[key]
 
 

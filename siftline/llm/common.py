@@ -46,11 +46,30 @@ def discard(df: DataFrame) -> None:
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+#: Bytes of an Arrow batch, about. Texts may be long, so rows alone do not bound what a worker holds.
+BATCH_BYTES = 4 << 20
+_memos: dict[str, Callable[[], None]] = {}
+
+
+def own_memory(name: str, clear: Callable[[], None]) -> None:
+    """In a worker process: drop what other operators' tasks have kept in memory, and register how to drop this one's."""
+    for other in [n for n in _memos if n != name]:
+        _memos.pop(other)()
+    _memos[name] = clear
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch] | None]], schema: str) -> DataFrame:
     """mapInArrow with per-task state: `make()` runs once in each task and returns the function for a batch, which
     returns a batch or yields several."""
 
+    name = f"{make.__module__}"
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _memos and name not in _memos:
+            own_memory(name, lambda: None)
         each = make()
         for batch in batches:
             if batch.num_rows:

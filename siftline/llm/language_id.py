@@ -140,7 +140,7 @@ def predict(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFr
         p = model.value
 
         def each(batch):
-            found = [p.predict(t or "") for t in batch.column(columns.index(text_col)).to_pylist()]
+            found = [p.predict(t.as_py() or "") for t in batch.column(columns.index(text_col))]
             return pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], [*columns, "lang_pred", "lang_score"])
 
         return each

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import components, discard, map_batches, materialize, texts_of
+from siftline.llm.common import components, discard, map_batches, materialize, own_memory, texts_of
 
 K = 32
 BLOCK = 64
@@ -66,8 +66,10 @@ def shingles(text: str, width: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b"\x00".join(words), 1) >> 1], np.int64)
-    if len(_words) > 400_000:
+    if len(_words) > 300_000:
         _words.clear()
+    if not _words:
+        own_memory(__name__, _words.clear)
     get, h = _words.get, []
     for w in words:
         x = get(w)

@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.llm.byte_bpe import byte_letters
-from siftline.llm.common import map_batches, materialize
+from siftline.llm.common import map_batches, materialize, own_memory
 
-#: Entries of a worker's memo of encoded words (some 60 MB); a full one stays as the older of two. Results do not depend on it.
-MEMO = 300_000
+#: Entries of a worker's memo of encoded words (some 50 MB); a full one stays as the older of two. Results do not depend on it.
+MEMO = 250_000
 _tokenizers: dict = {}
 
 
@@ -87,6 +87,7 @@ def word_codec(definition: str) -> WordCodec:
     if key not in _tokenizers:
         _tokenizers.clear()
         _tokenizers[key] = WordCodec(definition)
+        own_memory(__name__, _tokenizers.clear)
     return _tokenizers[key]
 
 
