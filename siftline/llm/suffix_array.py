@@ -183,6 +183,8 @@ class SuffixSort:
         """Bottom-up merge sort of consecutive groups of these sizes, all groups at a level together: each element's
         place among the other run is bisected. Returns the order."""
         order = np.arange(len(suffixes))
+        if not len(sizes):
+            return order
         start = np.repeat(np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
         total = np.repeat(sizes, sizes)
         within = np.arange(len(suffixes)) - start
