@@ -205,7 +205,8 @@ def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:
         raise ValueError("a piece is empty or longer than the capacity")
     plan = spark.sparkContext.broadcast(best_fit_plan(histogram, capacity))
     within = Window.partitionBy("length", "_deal").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = parts.withColumn("_row", F.row_number().over(within) - 1).join(base, ["length", "_deal"])
+    # merged, as both sides are dealt by these columns; the totals grow with the number of deals and are not broadcast
+    ranked = parts.withColumn("_row", F.row_number().over(within) - 1).join(base.hint("merge"), ["length", "_deal"])
     ranked = ranked.withColumn("_rank", F.col("_row") + F.col("_base")).drop("_row", "_base", "_deal")
     columns = [c for c in ranked.columns if c != "_rank"]
     kinds = dict(ranked.dtypes)
