@@ -280,9 +280,10 @@ def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: s
     second, lists = _meet_hub(lists, classes, texts, width, k)
     compared = first.unionByName(second)
     links = compared.where(_similarity_at_least(percent)).select("a", "b")
-    comp = components(links, "hub-components")
+    # members linked to one hub are connected; labels that say no more than that need no rounds, and a hub has its own id
+    comp = materialize(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component_id")), "labels")
     more = _hub_links(compared, comp, percent).unionByName(_list_links(lists, compared, comp, texts, width, k, percent))
-    comp = components(comp.select(F.col("node").alias("a"), F.col("component_id").alias("b")).unionByName(more), "components")
+    comp = components(links.unionByName(more), "components")
     named = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component_id", "rep").alias("_component"))
     out = whole.select("doc_id", "n", "key").join(named, "key", "left")
     component = F.coalesce("_component", "doc_id")
