@@ -7,11 +7,10 @@ leave out its need - 1 most frequent values and still meet: only the rarer ones
 with too few values that occur elsewhere enter none.
 
 Lists generate overlaps in rounds. Each member meets the hub of its list, the member whose values are in the most
-lists, which in a group of near copies is what they were made from; pairs that the union sketch allows are compared on full sets, and what differs from the hub is kept for members within distance 1 - NEAR.
+lists, which in a group of near copies is what they were made from; pairs that the union sketch allows are compared on full sets, and what differs from the hub is kept for members near it.
 From these differences the exact similarity of any two members of a hub follows, so members in different components
-are compared in blocks without their texts. A member within distance 1 - SETTLED of its hub is done in that list: what
-is similar to it is NEAR the hub, by the triangle inequality of Jaccard distance (that chance estimates miss such a
-pair is below 2e-6). What is not goes through a second hub; what is left then meets in blocks of sketches, and pairs
+are compared in blocks without their texts. A settled member, closer still, is done in that list: what is similar to it is near the
+hub, by the triangle inequality of Jaccard distance (an estimate misses such a pair with chance below 2e-7). What is not goes through a second hub; what is left then meets in blocks of sketches, and pairs
 that the union sketch allows are verified on full sets. No list is cut or dropped.
 
 Defined results: texts are lower-cased in A-Z; null texts and texts without words have the empty set and link with
@@ -34,11 +33,18 @@ from siftline.llm.common import components, discard, map_batches, materialize, o
 
 K = 32
 BLOCK = 64
-#: Similarity (percent) to a hub from which on differences are kept, and from which on a member is done with its list.
-NEAR, SETTLED = 50, 65
+#: Similarity (percent) to a hub from which on a member is done with its list, at least.
+SETTLED = 65
 _words: dict[bytes, int] = {}
 
 
+def settled_and_near(percent: int) -> tuple[int, int]:
+    """Similarities to a hub: from the first on a member is done with its list, from the second on its differences are
+    kept. What is similar to a settled member is near the hub: distances add up to no more than 100 - near."""
+    settled = max(SETTLED, 101 - percent)
+    return settled, settled + percent - 100
+
+
 @lru_cache
 def needed(k: int, percent: int) -> int:
     """The most values that sketches of sets of at least this similarity fall short of with chance below 2e-7."""
@@ -156,16 +162,17 @@ def _similarity_at_least(percent: int):
     return F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
 
 
-def _meet_hub(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, k: int) -> tuple[DataFrame, DataFrame]:
+def _meet_hub(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The hub round: compared pairs (a the hub), and the lists that are not done."""
+    settled, near = settled_and_near(percent)
     heads = lists.groupBy("value").agg(F.max_by("rep", F.struct("weight", F.negate("rep"))).alias("a"), F.count("*").alias("m")).where("m > 1").select("value", "a")
     placed = materialize(lists.join(heads, "value").where("rep <> a").select("value", "a", F.col("rep").alias("b"), "weight"), "placed")
     side = lambda s: classes.select(F.col("rep").alias(s), F.col("sketch").alias(f"sketch_{s}"))
     both = placed.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-    compared = _compared(both.where(_enough(shared, F.size(union), k, NEAR)).select("a", "b"), texts, width, NEAR)
-    known = compared.select("a", "b", _similarity_at_least(SETTLED).alias("settled"))
+    compared = _compared(both.where(_enough(shared, F.size(union), k, near)).select("a", "b"), texts, width, near)
+    known = compared.select("a", "b", _similarity_at_least(settled).alias("settled"))
     found = placed.join(known, ["a", "b"], "left").where("not coalesce(settled, false)")
     found = materialize(found.select("value", F.col("b").alias("rep"), "weight", F.col("settled").isNull().alias("far")), "left")
     # where all that are left are near the hub, their differences decide
@@ -276,8 +283,8 @@ def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: s
     classes = materialize(classes.where("rep is not null"), "set-classes")
     lists = _lists(classes, k, percent)
     texts = _texts(lists, docs)
-    first, lists = _meet_hub(lists, classes, texts, width, k)
-    second, lists = _meet_hub(lists, classes, texts, width, k)
+    first, lists = _meet_hub(lists, classes, texts, width, k, percent)
+    second, lists = _meet_hub(lists, classes, texts, width, k, percent)
     compared = first.unionByName(second)
     links = compared.where(_similarity_at_least(percent)).select("a", "b")
     # members linked to one hub are connected; labels that say no more than that need no rounds, and a hub has its own id

@@ -202,7 +202,7 @@ def near_texts(seed, groups=6, copies=12):
     return [*texts, "one", "ONE", "one two", None, "", " \n"]
 
 
-@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80), (2, 50)])
 def test_near_copies_equal_brute_force(spark, width, percent):
     texts = near_texts(percent)
     sets, component = brute_near(texts, width, percent)
@@ -210,6 +210,12 @@ def test_near_copies_equal_brute_force(spark, width, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {i: (len(s), c, i == c) for i, (s, c) in enumerate(zip(sets, component, strict=True))}
 
 
+def test_hub_bounds_add_up():
+    for percent in range(1, 101):
+        settled, near = minhash.settled_and_near(percent)
+        assert (100 - settled) + (100 - percent) == 100 - near and 0 < near <= settled
+
+
 def test_near_copies_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 2)
     texts = near_texts(11, groups=3, copies=25)
