@@ -41,6 +41,12 @@ def hard_filter(df: DataFrame, bounds: Mapping[str, tuple] = HARD_BOUNDS, elemen
     return df.withColumn("hard_filter_pass", (F.col("hard_filter_reasons") == "").cast("int"))
 
 
+def rule_alerts(text: str | Column, rules: Mapping[str, str]) -> Column:
+    """Names of the rules whose pattern matches, sorted, joined by a bar."""
+    named = [F.when(F.rlike(F.col(text) if isinstance(text, str) else text, F.lit(pattern)), F.lit(name)) for name, pattern in sorted(rules.items())]
+    return F.array_join(F.array(*named), "|")
+
+
 def reason_counts(df: DataFrame, column: str = "hard_filter_reasons") -> DataFrame:
     """How often each reason occurs."""
     each = df.where(F.col(column) != "").select(F.explode(F.split(column, r"\|")).alias("reason"))

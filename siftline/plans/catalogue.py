@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import scalars as S
-from siftline.operators import dedupe, filters, gates, geometry, jobs, joining, ranking, selection
+from siftline.operators import dedupe, filters, gates, geometry, jobs, joining, ranking, selection, splits
 from siftline.plans import final_score
 
 QUERIES: dict = {}
@@ -481,3 +481,18 @@ def outstanding_jobs(spark, sf_dir):
     stale = (F.col("o_orderkey") % 7 != 0) & (F.col("o_orderkey") % 5 != 0)
     ledger = ledger.select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).when(stale, F.lit("old")).otherwise(F.col("signature")).alias("signature"), F.lit(True).alias("valid"))
     return jobs.outstanding(planned, ledger, ["o_orderkey"]).select("o_orderkey")
+
+
+@query("""SELECT p_partkey, array_to_string(list_filter([CASE WHEN regexp_matches(p_name, 'a[a-m]') THEN 'early' END, CASE WHEN regexp_matches(p_name, '[aeiou]{2}') THEN 'vowels' END,
+CASE WHEN regexp_matches(p_name, 'z') THEN 'z' END], lambda x: x IS NOT NULL), '|') AS alerts FROM part""")
+def rule_alerts(spark, sf_dir):
+    rules = {"vowels": "[aeiou]{2}", "early": "a[a-m]", "z": "z"}
+    return table(spark, sf_dir, "part").select("p_partkey", filters.rule_alerts("p_name", rules).alias("alerts"))
+
+
+@query("""WITH h AS (SELECT o_orderkey, o_custkey, ('0x' || substr(sha256('5|' || o_custkey::VARCHAR), 1, 15))::BIGINT / pow(2.0::DOUBLE, 60) AS share, o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3) AS forced FROM orders)
+SELECT o_orderkey, CASE WHEN forced THEN 'test' WHEN share < 0.1::DOUBLE THEN 'validation' WHEN share < 0.3::DOUBLE THEN 'test' ELSE 'train' END AS split FROM h""")
+def hash_split(spark, sf_dir):
+    forced = table(spark, sf_dir, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("o_custkey"))
+    out = splits.split_by_group(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", forced, 0.1, 0.2, 5)
+    return splits.require_disjoint(out, "o_custkey").select("o_orderkey", "split")

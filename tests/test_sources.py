@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siftline.operators import external, jobs
 from siftline.operators.gates import GateError
-from siftline.sources import molecular, sinks, tabular
+from siftline.sources import fetch, molecular, sinks, tabular
 
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 
@@ -192,3 +192,22 @@ def test_resume_needs_a_prefix(spark):
         external.resumed(todo, todo.where("i = 2"), "i", "pose_id")
     with pytest.raises(GateError, match="unknown"):
         external.resumed(todo, todo.where("i = 1").withColumn("pose_id", F.lit("z")), "i", "pose_id")
+
+
+def test_fetch_checks_before_installing(tmp_path):
+    path, calls = str(tmp_path / "d" / "x.sdf"), []
+
+    def read(url):
+        calls.append(url)
+        if len(calls) == 1:
+            raise OSError("busy")
+        return b"a\n>  <WHEN>\n2026\n\n>  <KEEP>\n1\n\n$$$$\n"
+
+    clean = lambda data: fetch.without_properties(data, ["WHEN"])
+    digest = fetch.fetch("u", path, read=read, clean=clean, pause=0)
+    assert open(path, "rb").read() == b"a\n>  <KEEP>\n1\n\n$$$$\n" and len(calls) == 2
+    assert fetch.fetch("u", path, digest, read=read) == digest and len(calls) == 2
+    assert fetch.verify({"x.sdf": digest, "y": digest}, str(tmp_path / "d")) == {"x.sdf": True, "y": False}
+    with pytest.raises(fetch.ChecksumError):
+        fetch.fetch("u", str(tmp_path / "z"), "0" * 64, read=lambda url: b"other")
+    assert not (tmp_path / "z").exists()
