@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from siftline.llm.byte_bpe import byte_letters
 from siftline.llm.common import map_batches, materialize, own_memory
 
-#: Entries of a worker's memo of encoded words (some 50 MB); a full one stays as the older of two. Results do not depend on it.
-MEMO = 250_000
+#: Entries of a worker's memo of encoded words (some 100 MB); a full one stays as the older of two. Results do not depend on it.
+MEMO = 500_000
 _tokenizers: dict = {}
 
 
