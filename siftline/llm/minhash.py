@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from siftline.llm.common import components, discard, map_batches, materialize, own_memory, texts_of
 
 K = 32
-BLOCK = 64
+BLOCK = 128
 #: Similarity (percent) to a hub from which on a member is done with its list, at least.
 SETTLED = 65
 _words: dict[bytes, int] = {}
