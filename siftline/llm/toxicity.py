@@ -2,17 +2,17 @@
 
 Each class has a bigram model, p(w|v) = discounted count + weight(v) * p(w), over a class unigram model, p(w) =
 discounted count + weight * shared(w). The last level is shared by both classes: continuation counts (how many
-different frequent words precede w, in either class). Words and pairs that both classes together have seen too rarely
-for a count in the smaller class to mean anything (see `rare_below`) have no count of their own in either class: the
-shared level scores them alike. No word speaks against toxicity by more than AGAINST.
+different words precede w, in either class). Every word, context and pair of the labelled rows has its discounted count
+in each class. An unseen pair has the
+ratio of its second word. No word speaks against toxicity by more than AGAINST.
 
 Log-likelihoods are compared per word: evidence is the highest mean of log p_toxic - log p_ordinary over any PASSAGE
 words in a row (a shorter text counts as filled up with neutral words), so a few words in a long text still count. An
-expression counts once in a document, in counts and in scores, so that repetitions prove nothing. A
-logistic curve, fitted on labelled rows that the counts left out, turns it into a probability.
+expression counts once in a document, in counts and in scores, so that repetitions prove nothing. A logistic curve turns
+it into a probability: it is fitted on a sample of labelled rows scored by the counts of the others.
 
-Counts cover every labelled row. What is sent to executors has a fixed size: `vocabulary` words, `contexts` left
-contexts and `bigrams` pairs, the most frequent ones; everything else backs off to the shared level.
+Words and pairs are 64-bit hashes. Their log ratios are a table in the shared folder, as long as the labelled rows make
+it. The SENT most frequent ones are sent to executors; the others that a document has are joined to it.
 
 Defined results: null and empty texts have no evidence and get the base rate; without labelled rows of both classes
 every score is the base rate (0 without any); repeated rows are scored each; only the named columns are read.
@@ -21,12 +21,12 @@ every score is the base rate (0 without any); repeated rows are scored each; onl
 from __future__ import annotations
 
 import re
-from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.common import discard, map_batches, materialize, without
@@ -35,150 +35,172 @@ WORDS = re.compile(r"\w+")
 D1, D2 = 0.75, 0.75
 PASSAGE = 32
 AGAINST = 0.5
+#: Log ratios that executors hold, the most frequent; all others are joined.
+SENT = 1 << 19
+#: Words whose hashes a task remembers.
+REMEMBERED = 1 << 18
+
+
+class Codes:
+    """Hashes of a text's words and of its pairs of neighbours."""
+
+    def __init__(self):
+        self.memo: dict[str, int] = {}
+
+    def words(self, text: str) -> np.ndarray:
+        if len(self.memo) > REMEMBERED:
+            self.memo.clear()
+        found, memo = WORDS.findall(text.lower()), self.memo
+        for x in set(found).difference(memo):
+            memo[x] = xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))
+        return np.fromiter((memo[x] for x in found), np.uint64, len(found)).view(np.int64)
+
+    @staticmethod
+    def pairs(w: np.ndarray) -> np.ndarray:
+        u = w.view(np.uint64)
+        code = u[:-1] * np.uint64(0x9E3779B97F4A7C15) + u[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        return (code ^ code >> np.uint64(29)).view(np.int64)
+
+
+@dataclass
+class Ratios:
+    """Sorted codes with a log ratio each."""
+
+    codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    ratio: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    @classmethod
+    def of(cls, codes, ratio) -> Ratios:
+        codes = np.asarray(codes, np.int64)
+        order = np.argsort(codes)
+        return cls(codes[order], np.asarray(ratio, float)[order])
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of codes, and whether they are there."""
+        if not len(self.codes):
+            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+        k = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return k, self.codes[k] == codes
 
 
 @dataclass
 class Model:
-    words: dict[str, int] = field(default_factory=dict)
-    uni: np.ndarray | None = None  # p(w) by class (ordinary, toxic) and word, rare words as one, last
-    codes: np.ndarray | None = None  # sorted bigram codes v * size + w
-    pair: np.ndarray | None = None  # discounted relative counts of bigrams by class
-    back: np.ndarray | None = None  # weight of the lower order by class and context; 1 where the context is unseen
-    contexts: int = 0
+    sent: Ratios = field(default_factory=Ratios)
+    joined: DataFrame | None = None  # code, ratio of all others
     base: float = 0.0
     slope: float = 0.0
     shift: float = 0.0
     fitted: bool = False
 
-    def evidence(self, text: str) -> float | None:
-        """Highest mean log-likelihood ratio of a passage; None without words or model."""
-        found = WORDS.findall(text.lower())
-        if not found or self.uni is None:
-            return None
-        unknown = len(self.words)
-        w = np.fromiter((self.words.get(x, unknown) for x in found), np.int64, len(found))
-        p = self.uni[:, w]
-        v = w[:-1]
-        at = np.flatnonzero(v < self.contexts)
-        if len(at) and len(self.codes):
-            code = v[at] * (unknown + 1) + w[at + 1]
-            k = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            hit = self.codes[k] == code
-            p[:, at + 1] = p[:, at + 1] * self.back[:, v[at]] + np.where(hit, self.pair[:, k], 0.0)
-        again = np.ones(len(w), bool)
-        again[np.unique(np.fromiter(map(hash, found), np.int64, len(w)), return_index=True)[1]] = False
-        p[:, again] = 1.0
-        total = np.concatenate(([0.0], np.cumsum(np.maximum(np.log(p[1]) - np.log(p[0]), -AGAINST))))
-        n = min(PASSAGE, len(found))
-        return float((total[n:] - total[:-n]).max() / PASSAGE)
-
-    def score(self, text: str) -> float:
-        x = self.evidence(text) if self.fitted else None
-        if x is None:
-            return self.base
-        return float(1 / (1 + np.exp(-np.clip(self.shift + self.slope * x, -40, 40))))
-
-
-def _count(rows: DataFrame, make_keys, schema: str) -> DataFrame:
-    """Partial counts by class, of a thousand documents at a time. make_keys(words) gives the keys of a document."""
+
+def evidence(w: np.ndarray, pairs: np.ndarray, known: tuple[Ratios, ...]) -> float | None:
+    """Highest mean log-likelihood ratio of a passage; None without words."""
+    if not len(w):
+        return None
+    x, seen = np.zeros(len(w)), [r.find(pairs) for r in known]
+    for r in known:
+        k, there = r.find(w)
+        x[there] = r.ratio[k[there]]
+    for r, (k, there) in zip(known, seen, strict=True):
+        x[1:][there] = r.ratio[k[there]]
+    again = np.ones(len(w), bool)
+    again[np.unique(w, return_index=True)[1]] = False
+    x[again] = 0.0
+    total = np.concatenate(([0.0], np.cumsum(np.maximum(x, -AGAINST))))
+    n = min(PASSAGE, len(w))
+    return float((total[n:] - total[:-n]).max() / PASSAGE)
+
+
+def _count(rows: DataFrame) -> DataFrame:
+    """Documents by class that have a word (v and w null) or a pair: n0, n1; of them in the sample h0, h1."""
 
     def make():
-        keys_of = make_keys()
-        key_type = pa.string() if "word string" in schema else pa.int64()
+        codes = Codes()
 
         def each(batch):
-            for at in range(0, batch.num_rows, 1000):
-                counts = (Counter(), Counter())
-                for text, toxic in zip(batch.column(0).slice(at, 1000).to_pylist(), batch.column(1).slice(at, 1000).to_pylist(), strict=True):
-                    counts[toxic].update(set(keys_of(WORDS.findall(text.lower()))))
-                keys = list(counts[0].keys() | counts[1].keys())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), *(pa.array([c[k] for k in keys], pa.int64()) for c in counts)], ["word" if key_type == pa.string() else "code", "n0", "n1"])
+            parts, kinds = [], []
+            for text, toxic, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                w = codes.words(text)
+                if not len(w):
+                    continue
+                one, (two, at) = np.unique(w), np.unique(codes.pairs(w), return_index=True)
+                nothing = np.zeros(len(one), np.int64)
+                parts.append(np.stack((np.append(one, two), np.append(nothing, w[:-1][at]), np.append(nothing, w[1:][at]), np.append(nothing, np.ones(len(two), np.int64)))))
+                kinds.append(np.full(len(one) + len(two), toxic + 2 * held))
+            if not parts:
+                return None
+            every, kind = np.concatenate(parts, 1), np.concatenate(kinds)
+            code, first, inverse = np.unique(every[0], return_index=True, return_inverse=True)
+            by = [np.bincount(inverse, kind == k, len(code)).astype(np.int64) for k in range(4)]
+            single = every[3, first] == 0
+            v, w = (pa.array(every[i, first], pa.int64(), mask=single) for i in (1, 2))
+            return pa.RecordBatch.from_arrays([pa.array(code), v, w, *map(pa.array, (by[0] + by[2], by[1] + by[3], by[2], by[3]))], ["code", "v", "w", "n0", "n1", "h0", "h1"])
 
         return each
 
-    return map_batches(rows, make, schema)
+    parts = map_batches(rows.select("text", "toxic", "held"), make, "code long, v long, w long, n0 long, n1 long, h0 long, h1 long")
+    return parts.groupBy("code").agg(F.first("v").alias("v"), F.first("w").alias("w"), *[F.sum(c).alias(c) for c in ("n0", "n1", "h0", "h1")])
+
+
+def _ratios(counts: DataFrame, n0: Column, n1: Column) -> DataFrame | None:
+    """code, n, ratio of every word and pair with such counts, as a written table; None if a class has no word."""
+    col = F.col
+    seen = counts.select("code", "v", "w", n0.alias("n0"), n1.alias("n1")).where("n0 + n1 > 0")
+    words, pairs = seen.where("v is null").select("code", "n0", "n1"), seen.where("v is not null")
+    sums = seen.agg(*[F.sum(F.when(col("v").isNull(), x)).alias(f"s{i}") for i, x in enumerate((col("n0"), col("n1"), F.least("n0", F.lit(D1)), F.least("n1", F.lit(D1)), F.lit(1)))], F.count("v").alias("pairs")).first()
+    if not sums["s0"] or not sums["s1"]:
+        return None
+    before = pairs.groupBy(col("w").alias("code")).agg(F.count("*").alias("before"))
+    after = pairs.groupBy(col("v").alias("code")).agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.count_if(col("n0") > 0).alias("t0"), F.count_if(col("n1") > 0).alias("t1"))
+    shared = (F.coalesce("before", F.lit(0)) + 0.5) / (sums["pairs"] + 0.5 * sums["s4"])
+    words = words.join(before.hint("merge"), "code", "left").join(after.hint("merge"), "code", "left").na.fill(0, ["before", "c0", "c1", "t0", "t1"])
+    for c in "01":
+        words = words.withColumn(f"p{c}", (F.greatest(col(f"n{c}") - D1, F.lit(0.0)) + sums[f"s{int(c) + 2}"] * shared) / sums[f"s{c}"])
+        words = words.withColumn(f"b{c}", F.when(col(f"c{c}") > 0, D2 * col(f"t{c}") / col(f"c{c}")).otherwise(1.0))
+    n = col("n0") + col("n1")
+    words = words.select("code", n.alias("n"), (F.log(col("p1") / col("p0"))).alias("ratio"), "p0", "p1", "b0", "b1", "c0", "c1")
+    words = materialize(words, "words")
+    context = words.select(col("code").alias("v"), "b0", "b1", "c0", "c1")
+    lower = words.select(col("code").alias("w"), "ratio", "p0", "p1")
+    own = lambda c: F.when(col(f"c{c}") > 0, F.greatest(col(f"n{c}") - D2, F.lit(0.0)) / col(f"c{c}")).otherwise(0.0) + col(f"b{c}") * col(f"p{c}")
+    pairs = pairs.join(context.hint("merge"), "v").join(lower.hint("merge"), "w")
+    pairs = pairs.select("code", n.alias("n"), (col("ratio") + (F.log(own(1) / own(0)) - col("ratio"))).cast("float").alias("ratio"))
+    both = words.select("code", "n", col("ratio").cast("float").alias("ratio")).unionByName(pairs)
+    out = materialize(both, "ratios")
+    discard(words)
+    return out
 
 
-def rare_below(ordinary: int, toxic: int) -> int:
-    """Documents that must have an expression: so many that the smaller class is expected to have it three times, but no
-    more than a quarter of that class, and 8 at least."""
-    least = min(ordinary, toxic)
-    return max(8, min(-(-3 * (ordinary + toxic) // least), least // 4))
+def _split(model: Model, ratios: DataFrame) -> Model:
+    """The model with the SENT most frequent log ratios at hand and the others as a table."""
+    top = ratios.orderBy(F.desc("n"), "code").limit(SENT).toPandas()  # SENT rows
+    joined = ratios.select("code", "ratio") if len(top) == SENT else None
+    return replace(model, sent=Ratios.of(top["code"], top["ratio"]), joined=joined)
 
 
-def learn(labelled: DataFrame, vocabulary: int = 1 << 16, contexts: int = 1 << 10, bigrams: int = 1 << 18, calibration: int = 20_000) -> Model:
-    """Model from rows with id, text, toxic (0 or 1). A fifth of the rows, by a hash of id, only calibrates the curve;
-    `calibration` bounds how many of those, about, are scored for it."""
+def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
+    """Model from rows with id, text, toxic (0 or 1). A sample by a hash of id, a fifth of the rows and about `calibration`
+    at most, fits the curve before it is counted with the others."""
     rows = labelled.where("id is not null and text is not null and toxic in (0, 1)").select("id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows = materialize(rows.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)).cast("int")), "labelled")
-    spark, model = labelled.sparkSession, Model()
-    by: Counter = Counter()  # rows by (left out of the counts, toxic)
-    for r in rows.groupBy("fold", "toxic").count().collect():
-        by[r["fold"] == 0, r["toxic"]] += r["count"]
-    total = by.total()
-    model.base = sum(n for (_, toxic), n in by.items() if toxic) / total if total else 0.0
-    if min(by[False, 0], by[False, 1]) == 0:
+    rows, model = materialize(rows, "labelled"), Model()
+    by = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    total = sum(by.values())
+    model.base = by.get(1, 0) / total if total else 0.0
+    if len(by) < 2:
         discard(rows)
         return model
-    counted = rows.where("fold <> 0").select("text", "toxic")
-    rare = rare_below(by[False, 0], by[False, 1])
-
-    words = materialize(_count(counted, lambda: lambda ws: ws, "word string, n0 long, n1 long").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "words")
-    sums = words.agg(F.sum("n0"), F.sum("n1")).first()
-    top = words.where(F.col("n0") + F.col("n1") >= rare).orderBy(F.desc(F.col("n0") + F.col("n1")), "word").limit(vocabulary).collect()  # `vocabulary` rows
-    discard(words)
-    model.words = {r["word"]: i for i, r in enumerate(top)}
-    size, model.contexts = len(top), min(contexts, len(top))
-    ids, n_contexts = spark.sparkContext.broadcast(model.words), model.contexts
-
-    def pairs():
-        known = ids.value
-        unknown = len(known)
-
-        def keys(found: list[str]) -> list[int]:
-            w = np.fromiter((known.get(x, unknown) for x in found), np.int64, len(found))
-            v = w[:-1]
-            return (v * (unknown + 1) + w[1:])[v < n_contexts].tolist()
-
-        return keys
-
-    two = _count(counted, pairs, "code long, n0 long, n1 long").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    two = materialize(two.withColumn("v", F.floor(F.col("code") / (size + 1))).withColumn("w", F.col("code") % (size + 1)), "bigrams")
-    before = {r["w"]: r["n"] for r in two.groupBy("w").agg(F.count("*").alias("n")).collect()}  # a row per word of the vocabulary
-    around = two.groupBy("v").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()  # `contexts` rows
-    often = two.where((F.col("n0") + F.col("n1") >= rare) & (F.col("w") < size)).orderBy(F.desc(F.col("n0") + F.col("n1")), "code").limit(bigrams).select("code", "n0", "n1").toPandas()
-    discard(two)
-
-    shared = np.array([before.get(i, 0) + 0.5 for i in range(size)])
-    n = np.array([[r["n0"], r["n1"]] for r in top] or np.zeros((0, 2)), float).reshape(-1, 2).T
-    tokens = np.array([sums[0], sums[1]], float)[:, None]
-    known = (np.maximum(n - D1, 0) + np.minimum(n, D1).sum(1, keepdims=True) * shared / shared.sum()) / tokens
-    rest = np.maximum(1 - known.sum(1), 1e-6).mean()  # of rare words, alike in both classes
-    model.uni = np.append(known, np.full((2, 1), rest), 1)
-
-    often = often.sort_values("code")
-    context = np.zeros((2, model.contexts))
-    for r in around:
-        context[:, int(r["v"])] = r["n0"], r["n1"]
-    model.codes = often["code"].to_numpy(np.int64)
-    v = model.codes // (size + 1)
-    counts = often[["n0", "n1"]].to_numpy(float).T
-    # A context that one class has hardly seen says nothing about the pair: then both classes back off.
-    usable = (context.min(0) >= rare)[v]
-    model.pair = np.where(usable, np.maximum(counts - D2, 0) / np.maximum(context[:, v], 1), 0.0)
-    model.back = np.stack([1 - np.bincount(v, pair, model.contexts) for pair in model.pair])
-    model.back = np.maximum(model.back, 1e-6)
-
-    held = sum(n for (is_held, _), n in by.items() if is_held)
-    part = min(1.0, calibration / max(held, 1))
-    sample = rows.where("fold = 0").where(F.pmod(F.xxhash64("id", F.lit(8)), F.lit(1 << 20)) < part * (1 << 20))
-    got = np.array([(r["x"], r["toxic"]) for r in _evidence(sample, model).collect()], float).reshape(-1, 2)  # `calibration` rows
+    part = min(0.2, calibration / total)
+    rows_held = rows.withColumn("held", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < part * (1 << 20)).cast("int"))
+    counts = materialize(_count(rows_held), "counts")
+    others = _ratios(counts, F.col("n0") - F.col("h0"), F.col("n1") - F.col("h1"))
+    if others is not None:
+        sample = _evidence(rows_held.where("held = 1").select("text", "toxic"), _split(model, others), "text")
+        got = np.array([(r["_siftline_x"], r["toxic"]) for r in sample.select("_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 2)  # `calibration` rows
+        if len(set(got[:, 1])) == 2:
+            model.slope, model.shift = fit_logistic(got[:, 0], got[:, 1])
+            model = replace(_split(model, others), fitted=True)
     discard(rows)
-    got = got[np.isfinite(got[:, 0])]
-    if len(set(got[:, 1])) < 2:
-        return model
-    model.slope, model.shift = fit_logistic(got[:, 0], got[:, 1])
-    model.fitted = True
+    discard(counts)
     return model
 
 
@@ -195,34 +217,57 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(b[1] - slope * mean)
 
 
-def _evidence(rows: DataFrame, model: Model) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+def _evidence(df: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """All columns of df and _siftline_x, null without words."""
+    spark = df.sparkSession
+    sent = spark.sparkContext.broadcast(model.sent)
+    columns, kinds = df.columns, dict(df.dtypes)
+    if model.joined is None:
+        rows = df.withColumn("_siftline_more", F.lit(None).cast("array<struct<code:long,ratio:float>>"))
+    else:
+        key = F.xxhash64(*[df[c] for c in columns if "map<" not in kinds[c]])
+
+        def unknown():
+            codes, known = Codes(), sent.value
+
+            def each(batch):
+                for at in range(0, batch.num_rows, 256):
+                    keys, found = [], []
+                    for rid, text in zip(*(batch.column(i).slice(at, 256).to_pylist() for i in (0, 1)), strict=True):
+                        w = codes.words(text or "")
+                        mine = np.unique(np.append(w, codes.pairs(w)))
+                        mine = mine[~known.find(mine)[1]]
+                        keys.append(np.full(len(mine), rid, np.int64))
+                        found.append(mine)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(found))], ["rid", "code"])
+
+            return each
+
+        asked = map_batches(df.select(key.alias("rid"), text_col), unknown, "rid long, code long")
+        more = asked.join(model.joined.hint("merge"), "code").groupBy(F.col("rid").alias("_siftline_rid")).agg(F.collect_list(F.struct("code", "ratio")).alias("_siftline_more"))
+        rows = df.withColumn("_siftline_rid", key).join(more.hint("merge"), "_siftline_rid", "left").select(*columns, "_siftline_more")
 
     def make():
-        m = sent.value
+        codes, known = Codes(), sent.value
 
         def each(batch):
-            x = [m.evidence(t) for t in batch.column(0).to_pylist()]
-            return pa.RecordBatch.from_arrays([pa.array([float("nan") if e is None else e for e in x], pa.float64()), batch.column(1)], ["x", "toxic"])
+            out, lists = [], batch.column(len(columns))
+            for i, text in enumerate(batch.column(columns.index(text_col)).to_pylist()):
+                more = lists[i].values
+                w = codes.words(text or "")
+                own = () if more is None else (Ratios.of(*(more.field(f).to_numpy(zero_copy_only=False) for f in ("code", "ratio"))),)
+                out.append(evidence(w, codes.pairs(w), (known, *own)))
+            return pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(out, pa.float64())], [*columns, "_siftline_x"])
 
         return each
 
-    return map_batches(rows.select("text", "toxic"), make, "x double, toxic int")
+    return map_batches(rows, make, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", _siftline_x double")
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of df and toxic_score, which replaces a column of this name."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
     df = df.select(*without(df, "toxic_score"))
-    columns, kinds = df.columns, dict(df.dtypes)
-
-    def make():
-        m = sent.value
-
-        def each(batch):
-            scores = pa.array([m.score(t.as_py() or "") for t in batch.column(columns.index(text_col))], pa.float64())
-            return pa.RecordBatch.from_arrays([*batch.columns, scores], [*columns, "toxic_score"])
-
-        return each
-
-    return map_batches(df, make, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", toxic_score double")
+    if not model.fitted:
+        return df.withColumn("toxic_score", F.lit(model.base))
+    z = F.least(F.greatest(model.shift + model.slope * F.col("_siftline_x"), F.lit(-40.0)), F.lit(40.0))
+    return _evidence(df, model, text_col).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x")
