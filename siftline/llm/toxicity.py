@@ -3,8 +3,9 @@
 Each class has a bigram model, p(w|v) = discounted count + weight(v) * p(w), over a class unigram model, p(w) =
 discounted count + weight * shared(w). The last level is shared by both classes: continuation counts (how many
 different words precede w, in either class). Every word, context and pair of the labelled rows has its discounted count
-in each class. An unseen pair has the
-ratio of its second word. No word speaks against toxicity by more than AGAINST.
+in each class. What n documents say of a word or a pair is weighted n / (n + damping) against the lower level, so that a
+few documents prove little and none are left out; a pair's weight also falls where one class has hardly seen its
+context, and an unseen pair has the ratio of its second word. No word speaks against toxicity by more than AGAINST.
 
 Log-likelihoods are compared per word: evidence is the highest mean of log p_toxic - log p_ordinary over any PASSAGE
 words in a row (a shorter text counts as filled up with neutral words), so a few words in a long text still count. An
@@ -33,6 +34,7 @@ from siftline.llm.common import discard, map_batches, materialize, without
 
 WORDS = re.compile(r"\w+")
 D1, D2 = 0.75, 0.75
+DAMPING, PAIR_DAMPING = 4, 32
 PASSAGE = 32
 AGAINST = 0.5
 #: Log ratios that executors hold, the most frequent; all others are joined.
@@ -153,18 +155,19 @@ def _ratios(counts: DataFrame, n0: Column, n1: Column) -> DataFrame | None:
     before = pairs.groupBy(col("w").alias("code")).agg(F.count("*").alias("before"))
     after = pairs.groupBy(col("v").alias("code")).agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.count_if(col("n0") > 0).alias("t0"), F.count_if(col("n1") > 0).alias("t1"))
     shared = (F.coalesce("before", F.lit(0)) + 0.5) / (sums["pairs"] + 0.5 * sums["s4"])
+    weight = lambda n, damping: n / (n + damping)
     words = words.join(before.hint("merge"), "code", "left").join(after.hint("merge"), "code", "left").na.fill(0, ["before", "c0", "c1", "t0", "t1"])
     for c in "01":
         words = words.withColumn(f"p{c}", (F.greatest(col(f"n{c}") - D1, F.lit(0.0)) + sums[f"s{int(c) + 2}"] * shared) / sums[f"s{c}"])
         words = words.withColumn(f"b{c}", F.when(col(f"c{c}") > 0, D2 * col(f"t{c}") / col(f"c{c}")).otherwise(1.0))
     n = col("n0") + col("n1")
-    words = words.select("code", n.alias("n"), (F.log(col("p1") / col("p0"))).alias("ratio"), "p0", "p1", "b0", "b1", "c0", "c1")
+    words = words.select("code", n.alias("n"), (weight(n, DAMPING) * F.log(col("p1") / col("p0"))).alias("ratio"), "p0", "p1", "b0", "b1", "c0", "c1")
     words = materialize(words, "words")
     context = words.select(col("code").alias("v"), "b0", "b1", "c0", "c1")
     lower = words.select(col("code").alias("w"), "ratio", "p0", "p1")
     own = lambda c: F.when(col(f"c{c}") > 0, F.greatest(col(f"n{c}") - D2, F.lit(0.0)) / col(f"c{c}")).otherwise(0.0) + col(f"b{c}") * col(f"p{c}")
     pairs = pairs.join(context.hint("merge"), "v").join(lower.hint("merge"), "w")
-    pairs = pairs.select("code", n.alias("n"), (col("ratio") + (F.log(own(1) / own(0)) - col("ratio"))).cast("float").alias("ratio"))
+    pairs = pairs.select("code", n.alias("n"), (col("ratio") + weight(n, PAIR_DAMPING) * weight(F.least("c0", "c1"), PAIR_DAMPING) * (F.log(own(1) / own(0)) - col("ratio"))).cast("float").alias("ratio"))
     both = words.select("code", "n", col("ratio").cast("float").alias("ratio")).unionByName(pairs)
     out = materialize(both, "ratios")
     discard(words)

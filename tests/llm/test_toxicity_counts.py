@@ -35,3 +35,9 @@ def test_joined_ratios_score_like_sent_ones(labelled, monkeypatch):
     whole = scores()
     monkeypatch.setattr(toxicity, "SENT", 40)
     assert len(whole) == 121 and scores() == whole
+
+
+def test_rare_expressions_keep_damped_counts(labelled):
+    model = toxicity.learn(labelled)
+    assert 0.5 < ratio(model, "insult") and ratio(model, "only0") is not None
+    assert abs(ratio(model, "only1")) < ratio(model, "insult")
