@@ -10,7 +10,8 @@ context, and an unseen pair has the ratio of its second word. No word speaks aga
 Log-likelihoods are compared per word: evidence is the highest mean of log p_toxic - log p_ordinary over any PASSAGE
 words in a row (a shorter text counts as filled up with neutral words), so a few words in a long text still count. An
 expression counts once in a document, in counts and in scores, so that repetitions prove nothing. A logistic curve turns
-it into a probability: it is fitted on a sample of labelled rows scored by the counts of the others.
+it into a probability: it is fitted on a sample of labelled rows scored by the counts of the others; then these rows are
+counted too, so that the counts cover every labelled row.
 
 Words and pairs are 64-bit hashes. Their log ratios are a table in the shared folder, as long as the labelled rows make
 it. The SENT most frequent ones are sent to executors; the others that a document has are joined to it.
@@ -38,7 +39,7 @@ DAMPING, PAIR_DAMPING = 4, 32
 PASSAGE = 32
 AGAINST = 0.5
 #: Log ratios that executors hold, the most frequent; all others are joined.
-SENT = 1 << 19
+SENT = 1 << 18
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 18
 
@@ -175,9 +176,18 @@ def _ratios(counts: DataFrame, n0: Column, n1: Column) -> DataFrame | None:
 
 
 def _split(model: Model, ratios: DataFrame) -> Model:
-    """The model with the SENT most frequent log ratios at hand and the others as a table."""
-    top = ratios.orderBy(F.desc("n"), "code").limit(SENT).toPandas()  # SENT rows
-    joined = ratios.select("code", "ratio") if len(top) == SENT else None
+    """The model with the most frequent log ratios, SENT at most, at hand and the others as a table."""
+    step = F.floor(F.log2("n") * 4)
+    steps = sorted(((r["step"], r["count"]) for r in ratios.groupBy(step.alias("step")).count().collect()), reverse=True)  # some 200 rows at most
+    least, room = float("inf"), SENT
+    for at, n in steps:
+        room -= n
+        if room < 0:
+            break
+        least = at
+    rare = F.lit(True) if least == float("inf") else step < least
+    top = ratios.where(~rare).select("code", "ratio").toPandas()  # SENT rows at most
+    joined = ratios.where(rare).select("code", "ratio") if room < 0 else None
     return replace(model, sent=Ratios.of(top["code"], top["ratio"]), joined=joined)
 
 
@@ -199,9 +209,10 @@ def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
     if others is not None:
         sample = _evidence(rows_held.where("held = 1").select("text", "toxic"), _split(model, others), "text")
         got = np.array([(r["_siftline_x"], r["toxic"]) for r in sample.select("_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 2)  # `calibration` rows
+        discard(others)
         if len(set(got[:, 1])) == 2:
             model.slope, model.shift = fit_logistic(got[:, 0], got[:, 1])
-            model = replace(_split(model, others), fitted=True)
+            model = replace(_split(model, _ratios(counts, F.col("n0"), F.col("n1"))), fitted=True)
     discard(rows)
     discard(counts)
     return model

@@ -41,3 +41,8 @@ def test_rare_expressions_keep_damped_counts(labelled):
     model = toxicity.learn(labelled)
     assert 0.5 < ratio(model, "insult") and ratio(model, "only0") is not None
     assert abs(ratio(model, "only1")) < ratio(model, "insult")
+
+
+def test_every_labelled_row_is_counted(labelled):
+    model = toxicity.learn(labelled)
+    assert None not in [ratio(model, f"only{i}") for i in range(120)]
