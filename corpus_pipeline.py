@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from siftline.llm import language_id, minhash, packing, suffix_array, toxicity
 from siftline.llm.common import materialize, table
 
-#: Least likeness to the nearest language profile. Prose of a learned language has 0.4 and more; strings that share
-#: hardly an n-gram with any language fall below.
-MIN_LANGUAGE_SCORE = 0.1
+#: Least likeness to the nearest language profile. Prose of a learned language has 0.4 and more; random letters, hex and
+#: other languages in the same script share single letters and have less than 0.25.
+MIN_LANGUAGE_SCORE = 0.3
 TOXIC = 0.5
 #: Bytes of a repeated passage, about 50 of the shortest common words.
 PASSAGE_BYTES = 200
