@@ -57,7 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(language_id.remainder("doc_id", 5) != 0).select("doc_id", "toxic")
     # one kind of join at every size: labels grow with the documents, so they are never broadcast
     model = toxicity.learn(docs.join(labels.hint("merge"), "doc_id").withColumnRenamed("doc_id", "id"))
-    scored = toxicity.score(docs, model)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
     held_out = F.coalesce(language_id.remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
 

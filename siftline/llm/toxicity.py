@@ -1,89 +1,120 @@
-"""Toxicity from two class-conditional Kneser-Ney word models.
-
-Each class has a bigram model, p(w|v) = discounted count + weight(v) * p(w), over a class unigram model, p(w) =
-discounted count + weight * shared(w). The last level is shared by both classes: continuation counts (how many
-different words precede w, in either class). Every word, context and pair of the labelled rows has its discounted count
-in each class. What n documents say of a word or a pair is weighted n / (n + damping) against the lower level, so that a
-few documents prove little and none are left out; a pair's weight also falls where one class has hardly seen its
-context, and an unseen pair has the ratio of its second word. No word speaks against toxicity by more than AGAINST.
-
-Log-likelihoods are compared per word: evidence is the highest mean of log p_toxic - log p_ordinary over any PASSAGE
-words in a row (a shorter text counts as filled up with neutral words), so a few words in a long text still count. An
-expression counts once in a document, in counts and in scores, so that repetitions prove nothing. A logistic curve turns
-it into a probability: it is fitted on a sample of labelled rows scored by the counts of the others; then these rows are
-counted too, so that the counts cover every labelled row.
-
-Words and pairs are 64-bit hashes. Their log ratios are a table in the shared folder, as long as the labelled rows make
-it. The SENT most frequent ones are sent to executors; the others that a document has are joined to it.
-
-Defined results: null and empty texts have no evidence and get the base rate; without labelled rows of both classes
-every score is the base rate (0 without any); repeated rows are scored each; only the named columns are read.
+"""Toxicity from two class-conditional Kneser-Ney models of spelling.
+
+A text is its words: runs of letters, digits and underscores in lower case, of LONGEST letters at most (a longer run is
+several words). A word is spelled behind ORDER - 1 marks and with one mark at its end, so that its first letters and
+its stem have contexts of their own; inflected and made-up forms share what their letters have in common. Each class
+has p(c|context) = (max(n - D, 0) + D * followers(context) * shared(c|shorter context)) / n(context) over contexts of
+ORDER - 1 letters. The shorter contexts are shared by both classes and hold continuation counts: how many different
+letters stand before a string, in either class. A context that a class has not seen has the shared probability, so
+rare expressions say little by themselves.
+
+The two log-likelihoods of a whole text are compared a letter: evidence is their difference over the number of letters
+and word ends. A logistic curve turns it into a probability: it is fitted on a sample of labelled rows that the counts
+leave out; then these rows are counted too, so that the counts cover every labelled row, word and context. A word
+counts once in a document, so that repetitions prove nothing. No count is capped, cut off or dropped.
+
+Log ratios of strings of ORDER letters, and of contexts for letters never seen behind them, are a table in the shared
+folder, as long as the labelled rows make it. The SENT most frequent ones are sent to executors; a text's strings that
+are not among them are joined to the rest.
+
+Defined results: null and empty texts and texts without words get the base rate; without labelled rows of both classes
+(an empty table is one case) every score is the base rate (0 without any); null ids and labels other than 0 and 1 are
+not learned from; repeated rows are counted and scored each; texts are read whole; a column toxic_score is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.llm.common import discard, map_batches, materialize, without
 
-WORDS = re.compile(r"\w+")
-D1, D2 = 0.75, 0.75
-DAMPING, PAIR_DAMPING = 4, 32
-PASSAGE = 32
-AGAINST = 0.5
+LONGEST = 256
+WORDS = re.compile(r"\w{1,%d}" % LONGEST)
+ORDER = 5
+D = 0.75
+BEGIN, END = "\x02", "\x03"
 #: Log ratios that executors hold, the most frequent; all others are joined.
-SENT = 1 << 18
-#: Words whose hashes a task remembers.
+SENT = 1 << 20
+#: Words that a task remembers, and those it counts before it hands on what it has.
 REMEMBERED = 1 << 18
+#: Letters that are looked at together.
+SLICE = 1 << 19
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(ORDER)], np.uint64)
 
 
-class Codes:
-    """Hashes of a text's words and of its pairs of neighbours."""
+def words_of(text: str) -> list[str]:
+    return WORDS.findall(text.lower())
 
-    def __init__(self):
-        self.memo: dict[str, int] = {}
 
-    def words(self, text: str) -> np.ndarray:
-        if len(self.memo) > REMEMBERED:
-            self.memo.clear()
-        found, memo = WORDS.findall(text.lower()), self.memo
-        for x in set(found).difference(memo):
-            memo[x] = xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))
-        return np.fromiter((memo[x] for x in found), np.uint64, len(found)).view(np.int64)
+def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the words with their marks, where each string of ORDER of them begins, and how many a word has."""
+    letters = np.frombuffer("".join([f"{BEGIN * (ORDER - 1)}{w}{END}" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    first = np.cumsum(n + ORDER - 1) - (n + ORDER - 1)
+    return letters, np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
-    @staticmethod
-    def pairs(w: np.ndarray) -> np.ndarray:
-        u = w.view(np.uint64)
-        code = u[:-1] * np.uint64(0x9E3779B97F4A7C15) + u[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        return (code ^ code >> np.uint64(29)).view(np.int64)
+
+def codes(letters: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of the strings of `width` letters that begin there."""
+    h = np.full(len(at), width, np.uint64)
+    for k in range(width):
+        h += letters[at + k].astype(np.uint64) * _FACTORS[k]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def codes_of(strings: list[str]) -> np.ndarray:
+    """The same of strings of any lengths up to ORDER."""
+    n = np.fromiter(map(len, strings), np.int64, len(strings))
+    letters = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at, out = np.cumsum(n) - n, np.zeros(len(n), np.uint64)
+    for width in np.unique(n).tolist():
+        out[n == width] = codes(letters, at[n == width], width)
+    return out
+
+
+def strings_at(letters: np.ndarray, at: np.ndarray, width: int) -> list[str]:
+    return np.ascontiguousarray(letters[at[:, None] + np.arange(width)]).view(f"<U{width}").ravel().tolist() if len(at) else []
+
+
+def slices(words: list[str]):
+    """The words in parts of about SLICE letters."""
+    begin, room = 0, SLICE
+    for i, w in enumerate(words):
+        room -= len(w) + 1
+        if room <= 0:
+            yield words[begin : i + 1]
+            begin, room = i + 1, SLICE
+    if begin < len(words):
+        yield words[begin:]
 
 
 @dataclass
 class Ratios:
     """Sorted codes with a log ratio each."""
 
-    codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    ratio: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    ratio: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
 
     @classmethod
-    def of(cls, codes, ratio) -> Ratios:
-        codes = np.asarray(codes, np.int64)
-        order = np.argsort(codes)
-        return cls(codes[order], np.asarray(ratio, float)[order])
+    def of(cls, found: np.ndarray, ratio: np.ndarray) -> Ratios:
+        order = np.argsort(found)
+        return cls(found[order], np.asarray(ratio, np.float32)[order])
 
-    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of codes, and whether they are there."""
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Log ratios; nan for what is not there."""
         if not len(self.codes):
-            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-        k = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return k, self.codes[k] == codes
+            return np.full(len(wanted), np.nan)
+        k = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+        return np.where(self.codes[k] == wanted, self.ratio[k].astype(float), np.nan)
 
 
 @dataclass
@@ -96,83 +127,106 @@ class Model:
     fitted: bool = False
 
 
-def evidence(w: np.ndarray, pairs: np.ndarray, known: tuple[Ratios, ...]) -> float | None:
-    """Highest mean log-likelihood ratio of a passage; None without words."""
-    if not len(w):
-        return None
-    x, seen = np.zeros(len(w)), [r.find(pairs) for r in known]
-    for r in known:
-        k, there = r.find(w)
-        x[there] = r.ratio[k[there]]
-    for r, (k, there) in zip(known, seen, strict=True):
-        x[1:][there] = r.ratio[k[there]]
-    again = np.ones(len(w), bool)
-    again[np.unique(w, return_index=True)[1]] = False
-    x[again] = 0.0
-    total = np.concatenate(([0.0], np.cumsum(np.maximum(x, -AGAINST))))
-    n = min(PASSAGE, len(w))
-    return float((total[n:] - total[:-n]).max() / PASSAGE)
+class Reader:
+    """Sums of log ratios of words, remembered, and the strings of a word whose ratios the sent table may lack."""
+
+    def __init__(self, known: Ratios, all_sent: bool):
+        self.known, self.all_sent = known, all_sent
+        self.total: dict[str, float] = {}
+        self.open: dict[str, list[tuple[str, str, float | None]]] = {}  # string, context, ratio of the context
+
+    def learn(self, words: set[str]) -> None:
+        for part in slices(list(words)):
+            letters, at, n = spelled(part)
+            x, context = self.known.find(codes(letters, at, ORDER)), self.known.find(codes(letters, at, ORDER - 1))
+            lacking = np.isnan(x)
+            if self.all_sent:
+                x = np.where(lacking, np.nan_to_num(context), x)
+            else:
+                x = np.where(lacking, 0.0, x)
+                where = np.flatnonzero(lacking)
+                owner = np.repeat(np.arange(len(part)), n)[where].tolist()
+                found = zip(owner, strings_at(letters, at[where], ORDER), context[where].tolist(), strict=True)
+                for i, gram, c in found:
+                    self.open.setdefault(part[i], []).append((gram, gram[:-1], None if c != c else c))
+            self.total.update(zip(part, np.add.reduceat(x, np.cumsum(n) - n).tolist(), strict=True))
+
+    def read(self, texts: list[str]) -> list[list[str]]:
+        """Words of the texts, all remembered."""
+        if len(self.total) > REMEMBERED:
+            self.total.clear(), self.open.clear()
+        lists = [words_of(t) for t in texts]
+        if new := set().union(*lists).difference(self.total):
+            self.learn(new)
+        return lists
+
+    def sums(self, words: list[str]) -> tuple[float, int]:
+        return sum(map(self.total.__getitem__, words)), sum(map(len, words)) + len(words)
 
 
 def _count(rows: DataFrame) -> DataFrame:
-    """Documents by class that have a word (v and w null) or a pair: n0, n1; of them in the sample h0, h1."""
-
-    def make():
-        codes = Codes()
-
-        def each(batch):
-            parts, kinds = [], []
-            for text, toxic, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = codes.words(text)
-                if not len(w):
-                    continue
-                one, (two, at) = np.unique(w), np.unique(codes.pairs(w), return_index=True)
-                nothing = np.zeros(len(one), np.int64)
-                parts.append(np.stack((np.append(one, two), np.append(nothing, w[:-1][at]), np.append(nothing, w[1:][at]), np.append(nothing, np.ones(len(two), np.int64)))))
-                kinds.append(np.full(len(one) + len(two), toxic + 2 * held))
-            if not parts:
-                return None
-            every, kind = np.concatenate(parts, 1), np.concatenate(kinds)
-            code, first, inverse = np.unique(every[0], return_index=True, return_inverse=True)
-            by = [np.bincount(inverse, kind == k, len(code)).astype(np.int64) for k in range(4)]
-            single = every[3, first] == 0
-            v, w = (pa.array(every[i, first], pa.int64(), mask=single) for i in (1, 2))
-            return pa.RecordBatch.from_arrays([pa.array(code), v, w, *map(pa.array, (by[0] + by[2], by[1] + by[3], by[2], by[3]))], ["code", "v", "w", "n0", "n1", "h0", "h1"])
-
-        return each
-
-    parts = map_batches(rows.select("text", "toxic", "held"), make, "code long, v long, w long, n0 long, n1 long, h0 long, h1 long")
-    return parts.groupBy("code").agg(F.first("v").alias("v"), F.first("w").alias("w"), *[F.sum(c).alias(c) for c in ("n0", "n1", "h0", "h1")])
+    """gram, and the documents by class whose words have it, as often as they do: n0, n1; of them in the sample h0, h1."""
+
+    def run(batches):
+        held: list[Counter] = [Counter() for _ in range(4)]
+
+        def hand_on():
+            for part in slices(list(set().union(*held))):
+                letters, at, n = spelled(part)
+                found, first, inverse = np.unique(codes(letters, at, ORDER), return_index=True, return_inverse=True)
+                by = [np.bincount(inverse, np.repeat([h[w] for w in part], n), len(found)).astype(np.int64) for h in held]
+                counts = by[0] + by[2], by[1] + by[3], by[2], by[3]
+                yield pa.RecordBatch.from_arrays([pa.array(strings_at(letters, at[first], ORDER)), *map(pa.array, counts)], ["gram", "n0", "n1", "h0", "h1"])
+            for h in held:
+                h.clear()
+
+        for b in batches:
+            for text, toxic, sample in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held[toxic + 2 * sample].update(set(words_of(text)))
+                if sum(map(len, held)) > REMEMBERED:
+                    yield from hand_on()
+        yield from hand_on()
+
+    parts = rows.select("text", "toxic", "held").mapInArrow(run, "gram string, n0 long, n1 long, h0 long, h1 long")
+    return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "h0", "h1")])
+
+
+def _shared(seen: DataFrame) -> DataFrame:
+    """gram (ORDER - 1 letters), p: probability of the last letter after the others, from continuation counts."""
+    levels = [seen]
+    for width in range(ORDER - 1, 0, -1):
+        levels.append(levels[-1].groupBy(F.substring("gram", 2, width).alias("gram")).agg(F.count("*").alias("k")))
+    every = levels[-1].agg(F.sum("k").alias("k"), F.count("*").alias("kinds")).first()
+    at_least = F.greatest(F.col("k") - D, F.lit(0.0))
+    p = levels[-1].select("gram", ((at_least + D * every["kinds"] / (every["kinds"] + 1)) / (every["k"] or 1)).alias("p"))
+    for width in range(2, ORDER):
+        context = Window.partitionBy(F.substring("gram", 1, width - 1))  # as many rows as there are letters, at most
+        level = levels[ORDER - width].select("gram", "k", F.sum("k").over(context).alias("t"), F.count("*").over(context).alias("kinds"))
+        shorter = p.select(F.col("gram").alias("end"), F.col("p").alias("low"))
+        joined = level.withColumn("end", F.substring("gram", 2, width - 1)).join(shorter, "end")
+        p = joined.select("gram", ((at_least + D * F.col("kinds") * F.col("low")) / F.col("t")).alias("p"))
+    return p
 
 
 def _ratios(counts: DataFrame, n0: Column, n1: Column) -> DataFrame | None:
-    """code, n, ratio of every word and pair with such counts, as a written table; None if a class has no word."""
+    """code (a string of ORDER letters, or a context), n, ratio for such counts, as a written table; None if a class has
+    no word."""
     col = F.col
-    seen = counts.select("code", "v", "w", n0.alias("n0"), n1.alias("n1")).where("n0 + n1 > 0")
-    words, pairs = seen.where("v is null").select("code", "n0", "n1"), seen.where("v is not null")
-    sums = seen.agg(*[F.sum(F.when(col("v").isNull(), x)).alias(f"s{i}") for i, x in enumerate((col("n0"), col("n1"), F.least("n0", F.lit(D1)), F.least("n1", F.lit(D1)), F.lit(1)))], F.count("v").alias("pairs")).first()
+    seen = counts.select("gram", n0.alias("n0"), n1.alias("n1")).where("n0 + n1 > 0")
+    sums = seen.agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1")).first()
     if not sums["s0"] or not sums["s1"]:
         return None
-    before = pairs.groupBy(col("w").alias("code")).agg(F.count("*").alias("before"))
-    after = pairs.groupBy(col("v").alias("code")).agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.count_if(col("n0") > 0).alias("t0"), F.count_if(col("n1") > 0).alias("t1"))
-    shared = (F.coalesce("before", F.lit(0)) + 0.5) / (sums["pairs"] + 0.5 * sums["s4"])
-    weight = lambda n, damping: n / (n + damping)
-    words = words.join(before.hint("merge"), "code", "left").join(after.hint("merge"), "code", "left").na.fill(0, ["before", "c0", "c1", "t0", "t1"])
+    p = _shared(seen)
+    context = Window.partitionBy("context")
+    own = seen.withColumn("context", F.substring("gram", 1, ORDER - 1)).withColumn("end", F.substring("gram", 2, ORDER - 1))
     for c in "01":
-        words = words.withColumn(f"p{c}", (F.greatest(col(f"n{c}") - D1, F.lit(0.0)) + sums[f"s{int(c) + 2}"] * shared) / sums[f"s{c}"])
-        words = words.withColumn(f"b{c}", F.when(col(f"c{c}") > 0, D2 * col(f"t{c}") / col(f"c{c}")).otherwise(1.0))
-    n = col("n0") + col("n1")
-    words = words.select("code", n.alias("n"), (weight(n, DAMPING) * F.log(col("p1") / col("p0"))).alias("ratio"), "p0", "p1", "b0", "b1", "c0", "c1")
-    words = materialize(words, "words")
-    context = words.select(col("code").alias("v"), "b0", "b1", "c0", "c1")
-    lower = words.select(col("code").alias("w"), "ratio", "p0", "p1")
-    own = lambda c: F.when(col(f"c{c}") > 0, F.greatest(col(f"n{c}") - D2, F.lit(0.0)) / col(f"c{c}")).otherwise(0.0) + col(f"b{c}") * col(f"p{c}")
-    pairs = pairs.join(context.hint("merge"), "v").join(lower.hint("merge"), "w")
-    pairs = pairs.select("code", n.alias("n"), (col("ratio") + weight(n, PAIR_DAMPING) * weight(F.least("c0", "c1"), PAIR_DAMPING) * (F.log(own(1) / own(0)) - col("ratio"))).cast("float").alias("ratio"))
-    both = words.select("code", "n", col("ratio").cast("float").alias("ratio")).unionByName(pairs)
-    out = materialize(both, "ratios")
-    discard(words)
-    return out
+        own = own.withColumn(f"t{c}", F.sum(f"n{c}").over(context)).withColumn(f"kinds{c}", F.count_if(col(f"n{c}") > 0).over(context))
+    rest = lambda c: F.when(col(f"t{c}") > 0, D * col(f"kinds{c}") / col(f"t{c}")).otherwise(1.0)  # noqa: E731  what the shared level has
+    mine = lambda c: F.when(col(f"t{c}") > 0, F.greatest(col(f"n{c}") - D, F.lit(0.0)) / col(f"t{c}")).otherwise(0.0) + rest(c) * col("low")
+    grams = own.join(p.select(col("gram").alias("end"), col("p").alias("low")), "end")
+    grams = grams.select(col("gram").alias("code"), (col("n0") + col("n1")).alias("n"), F.log(mine(1) / mine(0)).cast("float").alias("ratio"))
+    contexts = own.dropDuplicates(["context"]).select(col("context").alias("code"), (col("t0") + col("t1")).alias("n"), F.log(rest(1) / rest(0)).cast("float").alias("ratio"))
+    return materialize(grams.unionByName(contexts), "ratios")
 
 
 def _split(model: Model, ratios: DataFrame) -> Model:
@@ -186,34 +240,39 @@ def _split(model: Model, ratios: DataFrame) -> Model:
             break
         least = at
     rare = F.lit(True) if least == float("inf") else step < least
-    top = ratios.where(~rare).select("code", "ratio").toPandas()  # SENT rows at most
+
+    def make():
+        def each(b):
+            return pa.RecordBatch.from_arrays([pa.array(codes_of(b.column(0).to_pylist()).view(np.int64)), b.column(1)], ["code", "ratio"])
+
+        return each
+
+    top = map_batches(ratios.where(~rare).select("code", "ratio"), make, "code long, ratio float").toPandas()  # SENT rows at most
     joined = ratios.where(rare).select("code", "ratio") if room < 0 else None
-    return replace(model, sent=Ratios.of(top["code"], top["ratio"]), joined=joined)
+    return replace(model, sent=Ratios.of(top["code"].to_numpy(np.int64).view(np.uint64), top["ratio"].to_numpy()), joined=joined)
 
 
 def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
     """Model from rows with id, text, toxic (0 or 1). A sample by a hash of id, a fifth of the rows and about `calibration`
-    at most, fits the curve before it is counted with the others."""
+    at most, fits the curve before it is counted with the others. `labelled` is read three times: for its labels, all of
+    it, and the sample."""
     rows = labelled.where("id is not null and text is not null and toxic in (0, 1)").select("id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows, model = materialize(rows, "labelled"), Model()
-    by = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    model, by = Model(), {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     total = sum(by.values())
     model.base = by.get(1, 0) / total if total else 0.0
     if len(by) < 2:
-        discard(rows)
         return model
-    part = min(0.2, calibration / total)
-    rows_held = rows.withColumn("held", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < part * (1 << 20)).cast("int"))
-    counts = materialize(_count(rows_held), "counts")
+    part = int(min(0.2, calibration / total) * (1 << 20))
+    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < part
+    counts = materialize(_count(rows.withColumn("held", held.cast("int"))), "counts")
     others = _ratios(counts, F.col("n0") - F.col("h0"), F.col("n1") - F.col("h1"))
     if others is not None:
-        sample = _evidence(rows_held.where("held = 1").select("text", "toxic"), _split(model, others), "text")
-        got = np.array([(r["_siftline_x"], r["toxic"]) for r in sample.select("_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 2)  # `calibration` rows
+        sample = _evidence(rows.where(held).select("text", "toxic"), _split(model, others), "text", ["toxic"])
+        got = np.array([tuple(r) for r in sample.select("_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 2)  # `calibration` rows
         discard(others)
         if len(set(got[:, 1])) == 2:
             model.slope, model.shift = fit_logistic(got[:, 0], got[:, 1])
             model = replace(_split(model, _ratios(counts, F.col("n0"), F.col("n1"))), fitted=True)
-    discard(rows)
     discard(counts)
     return model
 
@@ -231,57 +290,74 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(b[1] - slope * mean)
 
 
-def _evidence(df: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """All columns of df and _siftline_x, null without words."""
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model.sent)
-    columns, kinds = df.columns, dict(df.dtypes)
-    if model.joined is None:
-        rows = df.withColumn("_siftline_more", F.lit(None).cast("array<struct<code:long,ratio:float>>"))
-    else:
-        key = F.xxhash64(*[df[c] for c in columns if "map<" not in kinds[c]])
-
-        def unknown():
-            codes, known = Codes(), sent.value
-
-            def each(batch):
-                for at in range(0, batch.num_rows, 256):
-                    keys, found = [], []
-                    for rid, text in zip(*(batch.column(i).slice(at, 256).to_pylist() for i in (0, 1)), strict=True):
-                        w = codes.words(text or "")
-                        mine = np.unique(np.append(w, codes.pairs(w)))
-                        mine = mine[~known.find(mine)[1]]
-                        keys.append(np.full(len(mine), rid, np.int64))
-                        found.append(mine)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(found))], ["rid", "code"])
-
-            return each
-
-        asked = map_batches(df.select(key.alias("rid"), text_col), unknown, "rid long, code long")
-        more = asked.join(model.joined.hint("merge"), "code").groupBy(F.col("rid").alias("_siftline_rid")).agg(F.collect_list(F.struct("code", "ratio")).alias("_siftline_more"))
-        rows = df.withColumn("_siftline_rid", key).join(more.hint("merge"), "_siftline_rid", "left").select(*columns, "_siftline_more")
+def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]) -> DataFrame:
+    """k1, k2 (128 bits of a text) and the sum of the log ratios of its strings that executors do not hold."""
+
+    def make():
+        reader = Reader(sent.value, False)
+
+        def each(batch):
+            for at in range(0, batch.num_rows, 256):
+                out: tuple[list, ...] = tuple([] for _ in range(6))
+                k1, k2, texts = (batch.column(c).slice(at, 256).to_pylist() for c in range(3))
+                for a, b, words in zip(k1, k2, reader.read([t or "" for t in texts]), strict=True):
+                    found: Counter = Counter()
+                    for w, times in Counter(words).items():
+                        for item in reader.open.get(w, ()):
+                            found[item] += times
+                    rows = [(a, b, *item, n) for item, n in found.items()]
+                    for row in [*rows, (a, b, None, None, None, 0)] if rows else []:  # the last one counts texts of this key
+                        for column, value in zip(out, row, strict=True):
+                            column.append(value)
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["k1", "k2", "code", "context", "known", "n"])
+
+        return each
+
+    asked = map_batches(df.select(key[0].alias("k1"), key[1].alias("k2"), text_col), make, "k1 long, k2 long, code string, context string, known double, n long")
+    rest = model.joined.hint("merge")
+    found = asked.join(rest.withColumnRenamed("ratio", "own"), "code", "left").join(rest.select(F.col("code").alias("context"), F.col("ratio").alias("behind")), "context", "left")
+    value = F.coalesce("own", "known", "behind", F.lit(0.0)) * F.col("n")
+    return found.groupBy("k1", "k2").agg((F.sum(value) / F.count_if(F.col("code").isNull())).alias("more"))
+
+
+def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns `keep` of df and _siftline_x, null without words."""
+    sent = df.sparkSession.sparkContext.broadcast(model.sent)
+    kinds, whole = dict(df.dtypes), model.joined is None
+    key = [F.xxhash64(df[text_col]), F.xxhash64(df[text_col], F.lit(1))]
+    rows = df.select(*[df[c] for c in keep], df[text_col].alias("_siftline_text"), *([] if whole else [k.alias(n) for k, n in zip(key, ("_siftline_k1", "_siftline_k2"), strict=True)]))
+    carried = [*keep, *([] if whole else ["_siftline_k1", "_siftline_k2"])]
+    at = len(keep)
 
     def make():
-        codes, known = Codes(), sent.value
+        reader = Reader(sent.value, whole)
 
         def each(batch):
-            out, lists = [], batch.column(len(columns))
-            for i, text in enumerate(batch.column(columns.index(text_col)).to_pylist()):
-                more = lists[i].values
-                w = codes.words(text or "")
-                own = () if more is None else (Ratios.of(*(more.field(f).to_numpy(zero_copy_only=False) for f in ("code", "ratio"))),)
-                out.append(evidence(w, codes.pairs(w), (known, *own)))
-            return pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(out, pa.float64())], [*columns, "_siftline_x"])
+            total, letters = [], []
+            for begin in range(0, batch.num_rows, 256):
+                for words in reader.read([t or "" for t in batch.column(at).slice(begin, 256).to_pylist()]):
+                    x, n = reader.sums(words)
+                    total.append(x), letters.append(n)
+            own = [batch.column(i) for i in range(batch.num_columns) if i != at]
+            return pa.RecordBatch.from_arrays([*own, pa.array(total, pa.float64()), pa.array(letters, pa.int64())], [*carried, "_siftline_total", "_siftline_letters"])
 
         return each
 
-    return map_batches(rows, make, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", _siftline_x double")
+    kinds |= {"_siftline_k1": "bigint", "_siftline_k2": "bigint"}
+    out = map_batches(rows, make, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "_siftline_total double, _siftline_letters long"]))
+    total = F.col("_siftline_total")
+    if not whole:
+        more = _missing(df, model, sent, text_col, key).toDF("_siftline_k1", "_siftline_k2", "_siftline_more")
+        out = out.join(more.hint("merge"), ["_siftline_k1", "_siftline_k2"], "left")
+        total += F.coalesce("_siftline_more", F.lit(0.0))
+    return out.select(*keep, F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters")).alias("_siftline_x"))
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of df and toxic_score, which replaces a column of this name."""
-    df = df.select(*without(df, "toxic_score"))
+def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` of df (all by default) and toxic_score, which replaces a column of this name."""
+    keep = [c for c in without(df, "toxic_score") if keep is None or c in keep]
     if not model.fitted:
-        return df.withColumn("toxic_score", F.lit(model.base))
+        return df.select(*keep).withColumn("toxic_score", F.lit(model.base))
     z = F.least(F.greatest(model.shift + model.slope * F.col("_siftline_x"), F.lit(-40.0)), F.lit(40.0))
-    return _evidence(df, model, text_col).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x")
+    return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x")
