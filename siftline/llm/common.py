@@ -15,12 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor and the driver can reach; a local one only where none is set (tests)."""
+    """The folder that every executor and the driver can reach. Where none is set, a local master gets one of its own
+    (one machine shares its folders with itself); a cluster gets an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="siftline-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        path = _own_dirs.setdefault(spark.sparkContext.applicationId, "")
+        if not path:
+            path = _own_dirs[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="siftline-")
     return path.rstrip("/")
 
 
@@ -82,6 +89,40 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+#: A key is hot if it holds more than 1 / HOT of all rows; there are at most HOT of them.
+HOT = 1 << 14
+
+
+def join_skewed(rows: DataFrame, info: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """rows joined to info, a table with a row per key and the rows that the key has (column `weight`, which is dropped).
+
+    Hot keys (HOT at most, so their table has a bound) are told to every task, whose rows stay where they are; all
+    others are few rows each and merge. Both inputs are read twice: written tables, best.
+    """
+    total = info.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * HOT >= total
+    hot, cold = info.where(is_hot).drop(weight), info.where(~is_hot).drop(weight)
+    met = rows.join(F.broadcast(hot), on)
+    others = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold.hint("merge"), on)
+    return met.unionByName(others)
+
+
+def fresh_ids(keys: DataFrame, taken: DataFrame) -> DataFrame:
+    """key, id: for the distinct column `key` of keys, an id each that is no `id` of taken. Drawn by hash; those that
+    meet another one are drawn again, so all are different."""
+    done, left, seed = None, keys, 0
+    while True:
+        drawn = materialize(left.select("key", F.xxhash64("key", F.lit(seed)).alias("id")), "drawn-ids")
+        free = drawn.groupBy("id").agg(F.min("key").alias("key")).join(taken.select("id"), "id", "left_anti")
+        if done is not None:
+            free = free.join(done.select("id"), "id", "left_anti")
+        free = materialize(free.select("key", "id"), "fresh-ids")
+        done = free if done is None else done.unionByName(free)
+        left, seed = drawn.join(free.select("key"), "key", "left_anti").select("key"), seed + 1
+        if left.isEmpty():
+            return done
+
+
 def without(df: DataFrame, *names: str) -> list[str]:
     """The columns of df but those that an operator is about to add; Spark's names ignore letter case."""
     return [c for c in df.columns if c.lower() not in names]

@@ -49,16 +49,18 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
 FROM f"""
 
 LINES = r"""
-WITH split AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(text, '') = '' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END AS ls FROM documents),
-places AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split),
-lines AS (SELECT doc_id, i, ls[i] AS line, list_sum([0] || list_transform(ls[1:i - 1], lambda x: length(x) + 1))::BIGINT AS start,
-    trim(regexp_replace(lower(ls[i]), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain FROM places),
-flagged AS (SELECT *, plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 5 AS counts,
-    row_number() OVER (PARTITION BY plain ORDER BY doc_id, start) AS k FROM lines),
-cut AS (SELECT *, counts AND k > 1 AS gone FROM flagged),
-per_doc AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, coalesce(sum(length(line)) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
-    coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed,
-    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM cut GROUP BY doc_id)
-SELECT s.doc_id, len(s.ls)::BIGINT AS n_units, coalesce(p.n_removed, 0)::BIGINT AS n_removed, coalesce(p.removed_chars, 0)::BIGINT AS removed_chars,
-    coalesce(p.removed, '') AS removed, sha256(coalesce(p.kept, '')) AS kept_sha256
-FROM split s LEFT JOIN per_doc p ON p.doc_id = s.doc_id"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n.!?]+[.!?]*|[.!?]+|\n') AS ps FROM docs),
+places AS (SELECT doc_id, unnest(ps) AS piece, unnest(range(1, len(ps) + 1)) AS i FROM split),
+offsets AS (SELECT doc_id, i, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS start,
+    trim(regexp_replace(lower(piece), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain FROM places),
+units AS (SELECT *, start + length(piece) AS stop, length(plain) - length(replace(plain, ' ', '')) + 1 AS words,
+    row_number() OVER (PARTITION BY plain ORDER BY doc_id, start) > 1 AS again FROM offsets WHERE plain <> ''),
+grouped AS (SELECT *, count(*) FILTER (WHERE NOT again) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM units),
+cut AS (SELECT doc_id, g, count(*) AS n, min(start) AS a, max(stop) AS b FROM grouped WHERE again GROUP BY doc_id, g HAVING sum(words) >= 40),
+per_doc AS (SELECT doc_id, sum(n)::BIGINT AS n_removed, sum(b - a)::BIGINT AS removed_chars, string_agg(a::BIGINT || '-' || b::BIGINT, ',' ORDER BY a) AS removed FROM cut GROUP BY doc_id),
+kept AS (SELECT o.doc_id, string_agg(o.piece, '' ORDER BY o.i) AS t FROM offsets o
+    WHERE NOT EXISTS (SELECT 1 FROM cut c WHERE c.doc_id = o.doc_id AND o.start >= c.a AND o.start < c.b) GROUP BY o.doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM units u WHERE u.doc_id = d.doc_id)::BIGINT AS n_units, coalesce(p.n_removed, 0)::BIGINT AS n_removed,
+    coalesce(p.removed_chars, 0)::BIGINT AS removed_chars, coalesce(p.removed, '') AS removed, sha256(coalesce(k.t, '')) AS kept_sha256, coalesce(k.t, '') AS text
+FROM docs d LEFT JOIN per_doc p ON p.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id"""
