@@ -5,10 +5,14 @@ equal anchors at equal offsets, so only windows of one anchor string need compar
 once rules out all of its windows. Windows next to each other with the same anchor are one segment. Segments that are
 equal as a whole are found by digest; different segments of one anchor string are compared by sorting their suffixes:
 a merge sort whose comparisons find the common extension of two suffixes by bisection over prefix polynomial hashes.
-Windows that the sort puts together are verified byte by byte.
+Windows that the sort puts together are verified byte by byte; whole segments are one if 160 bits of a cryptographic
+digest agree, so that their bytes need not travel.
 
-An anchor string with more than `GROUP` different segments (one that may grow with the corpus) is not sorted in one
-task: its windows are counted by 128-bit digest, with partial counts before the shuffle.
+An anchor string that lies in very many different surroundings would put them all into one group. A group of more than
+`GROUP` segments is divided: windows whose offsets from the anchor lie in one block of offsets have bytes in common,
+and only those with the same ones need comparing. Pieces that are equal as a whole become one, what is left is sorted,
+and groups that are still too large are divided by finer blocks; at one offset a group is one string. Keys that many
+rows share are told to every task instead of being shuffled.
 
 keep="none" removes every occurrence; keep="first" leaves the earliest one, by id and place.
 
@@ -27,10 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import discard, map_batches, materialize, without
+from siftline.llm.common import discard, join_skewed, map_batches, materialize, without
 
 GRAM = 48
+#: Segments that are sorted together, at most, and the blocks of offsets by which larger groups are divided.
 GROUP = 4096
+BLOCKS = (64, 8, 1)
 BASE = 0x9E3779B97F4A7C15 | 1
 BUFFER = 1 << 19
 WINDOWS = 1 << 19
@@ -125,7 +131,7 @@ def _segments_of(group: list[tuple[int, int, bytes]], length: int):
 
 
 def digest(content: bytes, anchor: int) -> bytes:
-    return xxhash.xxh3_128_digest(content, seed=anchor)
+    return hashlib.blake2b(content, digest_size=20, salt=anchor.to_bytes(8, "little", signed=True)).digest()
 
 
 def _pass_segments(docs: DataFrame, length: int) -> DataFrame:
@@ -321,82 +327,141 @@ def _sorted_flags(contents: DataFrame, length: int) -> DataFrame:
     return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "key long, seg binary, spans array<int>, later array<int>")
 
 
-def _counted_flags(contents: DataFrame, length: int) -> DataFrame:
-    """The same for anchor strings of very many segments, by counting window digests."""
+def _cut(rows: DataFrame, length: int, block: int) -> DataFrame:
+    """The segments' windows in pieces: those of one block of offsets. A piece's key hashes the bytes that all of the
+    block's windows have, so equal windows have equal keys. key0, seg0, at: the segment it is from, and which window."""
+    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+    names = ["key0", "seg0", "at", "key", "seg", "content", "n", "anchor", "doc_id", "rid", "start"]
 
     def make():
         def each(b):
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for key, seg, content, n, anchor, place in zip(*(b.column(c).to_pylist() for c in range(6)), strict=True):
-                for w in range(n):
-                    for column, value in zip(out, (key, seg, w, xxhash.xxh3_128_digest(content[w : w + length], seed=anchor - w), place), strict=True):
+            for i in range(b.num_rows):
+                out: tuple[list, ...] = tuple([] for _ in names)
+                key0, seg0, at, key, content, n, anchor, doc, rid, start = (b.column(c)[i].as_py() for c in range(10))
+                for k in range((anchor - n + 1) // block, anchor // block + 1):
+                    last = anchor - k * block  # window numbers that the whole block would have: up to last
+                    first = last - block + 1
+                    w, end = max(0, first), min(n - 1, last)
+                    group = xxhash.xxh3_64_intdigest(content[last : first + length], seed=(key + k * 0x9E3779B97F4A7C15) & ((1 << 64) - 1))
+                    piece = content[w : end + length]
+                    row = (key0, seg0, at + w, group - (1 << 63), digest(piece, anchor - w), piece, end - w + 1, anchor - w, doc, rid, start + w)
+                    for column, value in zip(out, row, strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), b.column(5).type)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "w", "hash", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
         return each
 
-    rows = contents.select("key", "seg", "content", "n", "anchor", F.struct("doc_id", "rid", "start").alias("place"))
-    windows = map_batches(rows, make, "key long, seg binary, w int, hash binary, place struct<doc_id:long,rid:long,start:int>")
-    repeated = windows.groupBy("hash").agg(F.count("*").alias("c"), F.min("place").alias("first")).where("c > 1")
-    hit = windows.join(repeated, "hash").groupBy("key", "seg").agg(F.sort_array(F.collect_list(F.struct("w", (~F.col("place").eqNullSafe(F.col("first"))).alias("late")))).alias("ws"))
+    wanted = rows.select("key0", "seg0", "at", "key", "content", "n", "anchor", "doc_id", "rid", "start")
+    return map_batches(wanted, make, "key0 long, seg0 binary, at int, key long, seg binary, content binary, n int, anchor int, doc_id long, rid long, start int")
+
+
+def _divided_flags(contents: DataFrame, length: int) -> DataFrame:
+    """The same for groups of very many segments, divided by blocks of offsets until none is too large."""
+    place = F.struct("doc_id", "rid", "start")
+    rows = contents.select(F.col("key").alias("key0"), F.col("seg").alias("seg0"), F.lit(0).alias("at"), "key", "content", "n", "anchor", "doc_id", "rid", "start")
+    found = []
+    for block in BLOCKS:
+        pieces = materialize(_cut(rows, length, min(block, length)), "pieces")
+        alike = materialize(pieces.groupBy("key", "seg").agg(F.count("*").alias("copies"), F.min(place).alias("first")), "alike")
+        per_key = materialize(alike.groupBy("key").agg(F.count("*").alias("segs"), F.sum("copies").alias("rows")), "pieces-per-key")
+        crowded = per_key.where(F.col("segs") > GROUP) if block > 1 else per_key.limit(0)
+        few = per_key if block == 1 else per_key.where(F.col("segs") <= GROUP)
+        known = materialize(join_skewed(alike, few.select("key", "segs", F.col("segs").alias("weight")), ["key"], "weight"), "pieces-known")
+        mine = join_skewed(pieces, known.withColumn("weight", F.col("copies")), ["key", "seg"], "weight").withColumn("is_first", place.eqNullSafe(F.col("first")))
+        mine = materialize(mine, "pieces-placed")
+        flags = materialize(_sorted_flags(mine.where("is_first and segs > 1"), length), "piece-flags")
+        flagged = mine.drop("content").join(flags.hint("merge"), ["key", "seg"], "left").where("copies > 1 or spans is not null")
+        whole = F.array(F.lit(0), F.col("n"))
+        spans = F.when(F.col("copies") > 1, whole).otherwise(F.col("spans"))
+        later = F.when(~F.col("is_first"), whole).otherwise(F.coalesce("later", F.array().cast("array<int>")))
+        moved = lambda a: F.transform(a, lambda x: x + F.col("at"))
+        found.append(materialize(flagged.select("key0", "seg0", moved(spans).alias("spans"), moved(later).alias("later")), "pieces-flagged"))
+        for t in (alike, known, mine, flags):
+            discard(t)
+        if crowded.isEmpty():
+            break
+        rows = materialize(join_skewed(pieces.drop("seg"), crowded.select("key", "rows"), ["key"], "rows"), "crowded")
+        discard(pieces)
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    lists = every.groupBy(F.col("key0").alias("key"), F.col("seg0").alias("seg")).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("later")).alias("later"))
 
-    def make_spans():
+    def make():
         def each(b):
-            found = [([x["w"] for x in ws], [x["w"] for x in ws if x["late"]]) for ws in b.column(2).to_pylist()]
-            lists = [pa.array([spans_of(np.array(f[i], np.int64)) for f in found], pa.list_(pa.int32())) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], ["key", "seg", "spans", "later"])
+            arrays = [pa.array([joined(x) for x in b.column(c).to_pylist()], pa.list_(pa.int32())) for c in (2, 3)]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], ["key", "seg", "spans", "later"])
 
         return each
 
-    return map_batches(hit, make_spans, "key long, seg binary, spans array<int>, later array<int>")
+    return map_batches(lists, make, "key long, seg binary, spans array<int>, later array<int>")
+
+
+def joined(flat: list[int]) -> list[int]:
+    """Flat [first, past the last, ...] of ranges in any order, as the fewest ranges."""
+    out: list[int] = []
+    for a, b in sorted(zip(flat[::2], flat[1::2], strict=True)):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += [a, b]
+    return out
 
 
 def repeated_spans(docs: DataFrame, length: int, keep: str) -> DataFrame:
-    """rid, spans: byte ranges (first, past the last) to remove, a row per document that has any."""
+    """doc_id, rid, found: byte ranges to remove (first, past the last), a row per document that has any."""
     everything = materialize(_pass_segments(docs, length), "segments")
-    often = everything.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    occurrences = materialize(everything.join(often, "key"), "occurrences")
+    often = materialize(everything.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "repeated-keys")
+    occurrences = materialize(join_skewed(everything, often, ["key"], "c"), "occurrences")
     discard(everything)
+    discard(often)
     first = F.min(F.struct("doc_id", "rid", "start", "n", "anchor")).alias("first")
     distinct = occurrences.groupBy("key", "seg").agg(F.count("*").alias("copies"), first)
     distinct = materialize(distinct.select("key", "seg", "copies", "first.*"), "distinct-segments")
-    per_key = distinct.groupBy("key").agg(F.count("*").alias("segs")).where("segs > 1")
-    wanted = distinct.join(per_key, "key").select("key", "seg", "doc_id", "rid", "start", "n", "anchor", "segs")
+    per_key = materialize(distinct.groupBy("key").agg(F.count("*").alias("segs")).where("segs > 1"), "segments-per-key")
+    wanted = join_skewed(distinct.drop("copies"), per_key.withColumn("weight", F.col("segs")), ["key"], "weight")
     contents = materialize(_contents(wanted, docs, length), "contents")
     flags = _sorted_flags(contents.where(F.col("segs") <= GROUP), length)
-    hot = contents.where(F.col("segs") > GROUP)
-    if hot.limit(1).count():
-        flags = flags.unionByName(_counted_flags(hot, length))
+    crowded = contents.where(F.col("segs") > GROUP)
+    if not crowded.isEmpty():
+        flags = flags.unionByName(_divided_flags(crowded, length))
     flags = materialize(flags, "flags")
-    discard(contents)
-    info = distinct.select("key", "seg", "copies", F.struct("rid", "start").alias("first")).join(flags, ["key", "seg"], "left").where("copies > 1 or spans is not null")
-    placed = occurrences.select("key", "seg", "rid", "start", "n").join(info, ["key", "seg"])
+    for t in (contents, per_key):
+        discard(t)
+    info = distinct.select("key", "seg", "copies", F.struct("doc_id", "rid", "start").alias("first"), F.col("copies").alias("weight")).join(flags.hint("merge"), ["key", "seg"], "left")
+    info = materialize(info.where("copies > 1 or spans is not null"), "segment-info")
+    discard(flags)
+    discard(distinct)
+    placed = join_skewed(occurrences.select("key", "seg", "doc_id", "rid", "start", "n"), info, ["key", "seg"], "weight")
     whole = F.array(F.lit(0), F.col("n"))
     if keep == "none":
         ranges = F.when(F.col("copies") > 1, whole).otherwise(F.col("spans"))
     else:
-        is_first = F.struct("rid", "start") == F.col("first")
+        is_first = F.struct("doc_id", "rid", "start").eqNullSafe(F.col("first"))
         ranges = F.when(~is_first, whole).otherwise(F.coalesce("later", F.array().cast("array<int>")))
-    placed = placed.select("rid", "start", ranges.alias("ranges")).where(F.size("ranges") > 0)
-    return materialize(placed.groupBy("rid").agg(F.collect_list(F.struct("start", "ranges")).alias("found")), "found")
+    placed = placed.select("doc_id", "rid", "start", ranges.alias("ranges")).where(F.size("ranges") > 0)
+    out = materialize(placed.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("start", "ranges")).alias("found")), "found")
+    for t in (occurrences, info):
+        discard(t)
+    return out
 
 
 def _contents(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The bytes of wanted segments, cut from their documents."""
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "seg", "doc_id", "start", "n", "anchor", "segs")).alias("w"))
-    both = docs.select("rid", "text").join(lists, "rid").select("rid", "text", "w")
+    lists = wanted.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("key", "seg", "start", "n", "anchor", "segs")).alias("w"))
+    lists = lists.toDF("_id", "_rid", "w").hint("merge")
+    both = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("rid") == F.col("_rid"))).select("rid", "text", "w", "doc_id")
 
     def make():
         def each(b):
             kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
             for i in range(b.num_rows):
                 out: tuple[list, ...] = tuple([] for _ in range(9))
-                rid, text, w = (b.column(c)[i].as_py() for c in range(3))
+                rid, text, w, doc = (b.column(c)[i].as_py() for c in range(4))
                 data = (text or "").encode("utf-8", "surrogatepass")
                 for s in w:
                     content = data[s["start"] : s["start"] + s["n"] + length - 1]
-                    for column, value in zip(out, (s["key"], s["seg"], content, s["n"], s["anchor"], s["segs"], s["doc_id"], rid, s["start"]), strict=True):
+                    for column, value in zip(out, (s["key"], s["seg"], content, s["n"], s["anchor"], s["segs"], doc, rid, s["start"]), strict=True):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "seg", "content", "n", "anchor", "segs", "doc_id", "rid", "start"])
 
@@ -419,24 +484,26 @@ def merged(found: list[dict], length: int) -> list[tuple[int, int]]:
 
 def remove_repeats(df: DataFrame, length: int = 400, keep: str = "none", id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """All columns of df with the text replaced by what remains, and n_bytes, n_removed, spans (array of first, past the
-    last byte), which replace columns of these names. With digests only doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the remaining bytes).
+    last byte), which replace columns of these names. With digests only doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of
+    the remaining bytes) and text.
 
     Where bytes are removed from within a character, its remaining bytes leave the replaced text too."""
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
-    rid = F.xxhash64(df[id_col], F.coalesce(df[text_col], F.lit("")))
+    rid = F.xxhash64(F.coalesce(df[text_col], F.lit("")))
     docs = df.select(df[id_col].cast("long").alias("doc_id"), rid.alias("rid"), df[text_col].alias("text"))
-    found = repeated_spans(docs, length, keep)
+    found = repeated_spans(docs, length, keep).toDF("_siftline_id", "_siftline_rid", "_siftline_found")
     columns = [id_col] if digests else without(df, "n_bytes", "n_removed", "spans")
-    mine = "_siftline_rid", "_siftline_found", "_siftline_text"
-    rows = df.select(*[df[c] for c in columns], df[text_col].alias(mine[2]), rid.alias(mine[0])).join(found.toDF(*mine[:2]), mine[0], "left").select(*columns, mine[2], mine[1])
+    rows = df.select(*[df[c] for c in columns], df[text_col].alias("_siftline_text"), df[id_col].cast("long").alias("_siftline_doc"), rid.alias("_siftline_own"))
+    same = F.col("_siftline_doc").eqNullSafe(F.col("_siftline_id")) & (F.col("_siftline_own") == F.col("_siftline_rid"))
+    rows = rows.join(found.hint("merge"), same, "left").select(*columns, "_siftline_text", "_siftline_found")
     kinds = dict(df.dtypes)
 
     def make():
         at = len(columns)
 
         def each(b):
-            n, removed, spans, kept = [], [], [], []
+            n, removed, spans, kept, shas = [], [], [], [], []
             for text, f in zip(b.column(at).to_pylist(), b.column(at + 1).to_pylist(), strict=True):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 gone = merged(f, length) if f else []
@@ -444,15 +511,17 @@ def remove_repeats(df: DataFrame, length: int = 400, keep: str = "none", id_col:
                 if gone:
                     edges = [0, *spans[-1], len(data)]
                     data = b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                kept.append(hashlib.sha256(data).hexdigest() if digests else data.decode("utf-8", "ignore") if gone else text)
+                kept.append(data.decode("utf-8", "ignore") if gone else text)
+                if digests:
+                    shas.append(hashlib.sha256(data).hexdigest())
             counts = [pa.array(n, pa.int64()), pa.array(removed, pa.int64())]
             if digests:
-                return pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array([len(s) // 2 for s in spans], pa.int64()), pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                return pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array([len(s) // 2 for s in spans], pa.int64()), pa.array(shas), pa.array([t or "" for t in kept])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
             own = [pa.array(kept, pa.string()) if c == text_col else b.column(i) for i, c in enumerate(columns)]
             return pa.RecordBatch.from_arrays([*own, *counts, pa.array(spans, pa.list_(pa.int64()))], [*columns, "n_bytes", "n_removed", "spans"])
 
         return each
 
     if digests:
-        return map_batches(rows, make, f"doc_id {kinds[id_col]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        return map_batches(rows, make, f"doc_id {kinds[id_col]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
     return map_batches(rows, make, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", n_bytes long, n_removed long, spans array<long>")
