@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any, NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,71 +27,96 @@ SCHEMA = (
 )
 
 
-def fragment_status(parts: Column) -> Column:
-    """struct(status, component_class, parent) from an array of struct(smiles, has_carbon, has_metal, known_counterion).
+class Counts(NamedTuple):
+    """How many parts a structure has, and how many of them are so; numbers or columns."""
+
+    n: Any
+    metals: Any  # unlisted with a metal
+    organic: Any  # unlisted with carbon
+    listed: Any
+    listed_organic: Any
+    carbons: Any
+
+
+# Status and class, the first that holds. A lone part is the parent even if it is listed.
+RULES: list[tuple[str, str, Callable[[Counts], Any]]] = [
+    ("quarantine_special_element", "metal_or_special", lambda c: c.metals > 0),
+    ("quarantine_ambiguous_components", "ambiguous_multi_component", lambda c: (c.n > 1) & ((c.organic != 1) | (c.listed != c.n - 1))),
+    ("quarantine_no_organic_parent", "no_organic_parent", lambda c: c.carbons == 0),
+    ("valid_parent", "single_component", lambda c: c.n == 1),
+    ("valid_parent", "organic_counterion_salt", lambda c: c.listed_organic > 0),
+    ("valid_parent", "simple_salt_or_solvate", lambda c: c.n > 1),
+]
 
-    The metal test comes first; a lone part is the parent even if it is on the counter-ion list; of several, exactly one
-    must be organic and unlisted and all others listed; a parent needs carbon. `parent` is its position, from 1.
-    """
+
+def fragment_status(parts: Column) -> Column:
+    """struct(status, component_class, parent) from an array of struct(smiles, has_carbon, has_metal, known_counterion),
+    by RULES. `parent` is its position, from 1; null where there is none."""
     count = lambda test: F.size(F.filter(parts, test))
     plausible = lambda p: p["has_carbon"] & ~p["known_counterion"]
-    metal = F.exists(parts, lambda p: p["has_metal"] & ~p["known_counterion"])
-    alone = F.size(parts) == 1
-    clear = alone | ((count(plausible) == 1) & (count(lambda p: p["known_counterion"]) == F.size(parts) - 1))
-    parent = F.when(alone, 1).otherwise(F.array_position(F.transform(parts, plausible), F.lit(True)).cast("int"))
-    organic = F.exists(parts, lambda p: p["known_counterion"] & p["has_carbon"])
-    kind = F.when(alone, "single_component").when(organic, "organic_counterion_salt").otherwise("simple_salt_or_solvate")
-    no_carbon = ~F.element_at(parts, parent)["has_carbon"]
-    result = lambda status, kind, parent: F.struct(F.lit(status).alias("status"), (F.lit(kind) if isinstance(kind, str) else kind).alias("component_class"), parent.cast("int").alias("parent"))
-    none = F.lit(None)
-    return (
-        F.when(metal, result("quarantine_special_element", "metal_or_special", none))
-        .when(~clear, result("quarantine_ambiguous_components", "ambiguous_multi_component", none))
-        .when(no_carbon, result("quarantine_no_organic_parent", "no_organic_parent", none))
-        .otherwise(result("valid_parent", kind, parent))
-    )
+    counts = Counts(F.size(parts), count(lambda p: p["has_metal"] & ~p["known_counterion"]), count(plausible), count(lambda p: p["known_counterion"]), count(lambda p: p["known_counterion"] & p["has_carbon"]), count(lambda p: p["has_carbon"]))
+    parent = F.when(counts.n == 1, 1).otherwise(F.array_position(F.transform(parts, plausible), F.lit(True)).cast("int"))
+    out = F.lit(None)
+    for status, kind, holds in reversed(RULES):
+        found = F.struct(F.lit(status).alias("status"), F.lit(kind).alias("component_class"), (parent if status == "valid_parent" else F.lit(None).cast("int")).alias("parent"))
+        out = F.when(holds(counts), found).otherwise(out)
+    return out
 
 
 def _listed() -> frozenset[str]:
     return frozenset(chem.write(chem.parse(s)) for s in COUNTERIONS)
 
 
+class Part(NamedTuple):
+    mol: Any
+    text: str
+    carbon: bool
+    metal: bool
+    listed: bool
+
+
+def parts_of(smiles: str, listed: frozenset[str]) -> list[Part]:
+    """A structure's unconnected parts; none of a blank text."""
+    out = []
+    for mol in chem.fragments(chem.parse(smiles)) if smiles else []:
+        numbers, text = {chem.NUMBERS[a.element] for a in mol.atoms}, chem.write(mol)
+        out.append(Part(mol, text, 6 in numbers, bool(numbers & chem.METALS), text in listed))
+    return out
+
+
+def counted(parts: Sequence[Part]) -> Counts:
+    return Counts(len(parts), sum(p.metal and not p.listed for p in parts), sum(p.carbon and not p.listed for p in parts), sum(p.listed for p in parts), sum(p.listed and p.carbon for p in parts), sum(p.carbon for p in parts))
+
+
+def identity(parent: Part, allowed: Sequence[int]) -> dict:
+    """What a parent is known by: its neutral form, keys and counts."""
+    neutral = chem.uncharged(parent.mol)
+    found, names = chem.properties(neutral), {"standardized_smiles": chem.write(neutral), "connectivity_smiles": chem.write(neutral, stereo=False)}
+    eligible = not set(found["atomic_numbers"]) - {1, *allowed}
+    keys = {key: hashlib.sha1(names[name].encode()).hexdigest() for key, name in (("structure_key", "standardized_smiles"), ("connectivity_key", "connectivity_smiles"))}
+    weight = None if found["mw"] is None else round(found["mw"], 6)
+    return names | keys | {"charged_parent_smiles": parent.text, "std_mol_weight": weight, "heavy_atom_count": found["heavy_atoms"], "formal_charge": found["formal_charge"], "has_permanent_charge": int(found["formal_charge"] != 0), "model_eligible": int(eligible)}
+
+
 def standardize_one(smiles: str | None, listed: frozenset[str], allowed: Sequence[int] = ALLOWED) -> dict:
-    """The status machine on one structure, with the reduced kernel."""
-    out = dict.fromkeys((c.split()[0] for c in SCHEMA.split(", ")), None) | {"has_permanent_charge": 0, "model_eligible": 0, "original_fragment_count": 0, "component_class": "", "removed_component_smiles": ""}
-    raw = (smiles or "").strip()
-    if not raw:
-        return out | {"status": "empty_smiles"}
+    """SCHEMA's values of one structure, with the reduced kernel."""
+    blank = {"component_class": "", "removed_component_smiles": "", "original_fragment_count": 0, "has_permanent_charge": 0, "model_eligible": 0}
+    out = dict.fromkeys(c.split()[0] for c in SCHEMA.split(", ")) | blank
     try:
-        mol = chem.parse(raw)
+        parts = parts_of((smiles or "").strip(), listed)
     except chem.SmilesError:
         return out | {"status": "invalid_smiles"}
-    parts = [(m, chem.write(m)) for m in chem.fragments(mol)]
-    numbers = [{chem.NUMBERS[a.element] for a in m.atoms} for m, _ in parts]
-    known = [text in listed for _, text in parts]
-    out["original_fragment_count"] = len(parts)
-    if any(n & chem.METALS and not k for n, k in zip(numbers, known, strict=True)):
-        return out | {"status": "quarantine_special_element", "component_class": "metal_or_special"}
-    at, kind = 0, "single_component"
-    if len(parts) > 1:
-        organic = [i for i, n in enumerate(numbers) if 6 in n and not known[i]]
-        if len(organic) != 1 or sum(known) != len(parts) - 1:
-            return out | {"status": "quarantine_ambiguous_components", "component_class": "ambiguous_multi_component"}
-        at = organic[0]
-        kind = "organic_counterion_salt" if any(k and 6 in n for n, k in zip(numbers, known, strict=True)) else "simple_salt_or_solvate"
-        out["removed_component_smiles"] = ".".join(sorted(t for i, (_, t) in enumerate(parts) if i != at))
-    if 6 not in numbers[at]:
-        return out | {"status": "quarantine_no_organic_parent", "component_class": "no_organic_parent"}
-    neutral = chem.uncharged(parts[at][0])
-    text, flat = chem.write(neutral), chem.write(neutral, stereo=False)
-    counts = chem.properties(neutral)
-    eligible = set(counts["atomic_numbers"]) - {1} <= set(allowed)
-    key = lambda t: hashlib.sha1(t.encode()).hexdigest()
-    return out | {
-        "status": "valid_parent" if eligible else "quarantine_special_element", "component_class": kind, "charged_parent_smiles": parts[at][1], "standardized_smiles": text, "connectivity_smiles": flat,
-        "structure_key": key(text), "connectivity_key": key(flat), "std_mol_weight": round(counts["mw"], 6), "heavy_atom_count": counts["heavy_atoms"], "formal_charge": counts["formal_charge"],
-        "has_permanent_charge": int(counts["formal_charge"] != 0), "model_eligible": int(eligible),
-    }
+    if not parts:
+        return out | {"status": "empty_smiles"}
+    counts = counted(parts)
+    status, kind = next((status, kind) for status, kind, holds in RULES if holds(counts))
+    out |= {"status": status, "component_class": kind, "original_fragment_count": len(parts)}
+    if status == "valid_parent":
+        parent = next(p for p in parts if counts.n == 1 or (p.carbon and not p.listed))
+        out |= identity(parent, allowed) | {"removed_component_smiles": ".".join(sorted(p.text for p in parts if p is not parent))}
+        if not out["model_eligible"]:
+            out["status"] = "quarantine_special_element"
+    return out
 
 
 def standardize(df: DataFrame, smiles: str = "original_smiles", kernel: Callable[[str | None, frozenset[str]], dict] = standardize_one) -> DataFrame:
@@ -128,6 +154,6 @@ def score_structures(df: DataFrame, smiles: str, key: str, reference: Sequence[i
                 rows.append(dict.fromkeys(names))
         return pd.DataFrame(rows, columns=names).astype({n: "Int32" for n in ("heavy_atoms", "formal_charge", "ring_count", "rotatable_bonds", "hbd", "hba")})
 
-    scored = df.withColumn("_s", run(smiles)).where("_s.mw is not null").select("*", "_s.*").drop("_s")
+    scored = df.withColumn("_s", run(smiles)).where("_s.heavy_atoms is not null").select("*", "_s.*").drop("_s")
     wanted = F.array(*[F.lit(int(b)) for b in reference]) if reference else F.array().cast("array<int>")
     return scored.withColumns({"murcko_scaffold": group_label("scaffold", key), "similarity": jaccard(F.col("bits"), wanted)}).drop("scaffold")
