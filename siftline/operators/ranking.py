@@ -9,18 +9,67 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import stable_hash
+from siftline.operators.storage import cut
+
+
+#: Rows from which the bounds of ranges are taken, for each range and at most; bounds that are looked at together.
+SAMPLED, MOST_SAMPLED, BESIDE = 100, 200_000, 64
+
+
+def in_ranges(df: DataFrame, key: Sequence[Column]) -> DataFrame:
+    """Adds _range: rows in the order of the key go to as many ranges as there are shuffle partitions, rows of one key to
+    the same. The bounds are of a hash sample; any would be right, these are even. A row's range is found in two steps."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)])
+    keys = df.select(own.alias("k"))
+    sample = keys.orderBy(F.xxhash64("k")).limit(min(SAMPLED * parts, MOST_SAMPLED))  # as many rows in each task, at most
+    cuts = sample.withColumn("i", F.ntile(parts).over(Window.orderBy("k"))).groupBy("i").agg(F.max("k").alias("k")).orderBy("i")
+    bounds = [r["k"] for r in cuts.collect()][:-1]
+    kinds = [f.dataType for f in keys.schema["k"].dataType.fields]
+    literal = lambda b: F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(b, kinds, strict=True))])
+    below = lambda values: F.size(F.filter(values, lambda b: b < own))
+    groups = [bounds[i : i + BESIDE] for i in range(0, len(bounds), BESIDE)]
+    if not groups:
+        return df.withColumn("_range", F.lit(0))
+    group = below(F.array(*[literal(g[-1]) for g in groups]))
+    inside = F.element_at(F.array(*[F.array(*map(literal, g)) for g in groups]), F.least(group + 1, F.lit(len(groups))))
+    return df.withColumn("_range", group * BESIDE + F.when(group < len(groups), below(inside)).otherwise(0))
+
+
+def _with_starts(ranged: DataFrame, group: Sequence[str], size: Column) -> DataFrame:
+    """Adds _start: the sizes of a group's earlier ranges, and _total: those of all."""
+    sizes = ranged.groupBy("_range", *group).agg(size.alias("_size"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col("_range").alias("_at"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"), F.sum("_size").over(Window.partitionBy(*group)).alias("_total"),
+    )
+    same = F.col("_range") == F.col("_at")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    # without groups a row per range; with them as many more as there are groups, so Spark decides by their size
+    return ranged.join(starts if group else F.broadcast(starts), same).drop("_at", *[f"_g{i}" for i in range(len(group))])
+
+
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """Adds the 1-based position of a row in its group in this order, which ends with a unique column. Ranges are counted,
+    and each adds the counts of those before it: a single group is spread over tasks."""
+    ranged = _with_starts(in_ranges(df, [*[F.col(g) for g in group], *order]), group, F.count("*"))
+    place = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order))
+    return ranged.withColumn(out, (place + F.col("_start")).cast("long")).drop("_range", "_start", "_total")
 
 
 def average_rank_percentile(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:
     """1 for the lowest score of a group, 0 for the highest; ties share their mean rank; a single row has 1.
 
-    Scores are counted per group and value first, so the ranking window sees a row per distinct score.
+    Scores are counted per group and value first; the distinct scores of a group are then ranked range by range.
     """
-    values = df.groupBy(*group, score).agg(F.count("*").alias("_ties"))
-    running = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    before, n = F.coalesce(F.sum("_ties").over(running), F.lit(0)), F.sum("_ties").over(Window.partitionBy(*group))
+    values = cut(df.groupBy(*group, score).agg(F.count("*").alias("_ties")))
+    ranged = _with_starts(in_ranges(values, [*[F.col(g) for g in group], F.col(score)]), group, F.sum("_ties"))
+    running = Window.partitionBy("_range", *group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    before, n = F.col("_start") + F.coalesce(F.sum("_ties").over(running), F.lit(0)), F.col("_total")
     percentile = F.when(n == 1, F.lit(1.0)).otherwise(F.lit(1.0) - (before + (F.col("_ties") - 1) / F.lit(2.0)) / (n - 1))
-    keyed = values.select(*[F.col(g).alias(f"_{g}") for g in group], F.col(score).alias("_score"), percentile.alias(out))
+    keyed = ranged.select(*[F.col(g).alias(f"_{g}") for g in group], F.col(score).alias("_score"), percentile.alias(out))
     same = df[score].eqNullSafe(keyed["_score"])
     for g in group:
         same = same & df[g].eqNullSafe(keyed[f"_{g}"])
@@ -94,29 +143,13 @@ def capped_take(df: DataFrame, group: str, order: Sequence[Column], target: int,
 
 def chunk_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column], size: int) -> DataFrame:
     """Adds chunk: 1 for the first `size` rows of a group in this order, and so on."""
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("chunk", (F.floor((place - 1) / size) + 1).cast("long"))
+    placed = numbered(df, group, order, "_place")
+    return placed.withColumn("chunk", (F.floor((F.col("_place") - 1) / size) + 1).cast("long")).drop("_place")
 
 
 def global_index(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
-    """A 1-based position over the whole table. Rows are range-partitioned and sorted, ranges are counted, and each adds
-    the count of those before it: no single task sees all rows."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*order)
-    # any bounds are right; those of a hash sample of about 100 rows per range are even ones
-    share = min(1.0, 100.0 * parts / max(df.count(), 1))
-    sample = df.where(F.pmod(F.xxhash64(*order), F.lit(1 << 20)) < share * (1 << 20)).select(key.alias("k"))
-    bounds = [r["k"] for r in sample.select("k").orderBy("k").withColumn("i", F.ntile(parts).over(Window.orderBy("k"))).groupBy("i").agg(F.max("k").alias("k")).orderBy("i").collect()][:-1]
-    kinds = dict(df.dtypes)
-    literal = lambda b: F.struct(*[F.lit(b[i]).cast(kinds[c]).alias(c) for i, c in enumerate(order)])
-    number = F.size(F.filter(F.array(*map(literal, bounds)), lambda b: b < key)) if bounds else F.lit(0)
-    ranged = df.withColumn("_range", number)
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_range", before.alias("_start"))  # a row per range
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.join(F.broadcast(starts), "_range").withColumn(out, (place + F.col("_start")).cast("long")).drop("_range", "_start")
+    """A 1-based position over the whole table; no single task sees all rows."""
+    return numbered(df, [], [F.col(c) for c in order], out)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

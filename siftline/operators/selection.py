@@ -5,7 +5,6 @@ Steps depend on what earlier ones took, so each channel's choice is small, writt
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +16,10 @@ from pyspark.sql import functions as F
 from siftline.functions.scalars import stable_hash
 from siftline.operators.gates import GateError
 from siftline.operators.ranking import best_per_group, capped_take, largest_remainder
+from siftline.operators.storage import cut
+
+#: Candidates that the sequential picker takes.
+MOST_CANDIDATES = 30_000
 
 
 @dataclass(frozen=True)
@@ -33,14 +36,6 @@ class Columns:
     alerts: str = "soft_alert_count"
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the plan: a reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftline-"))
-    return df.checkpoint()
-
-
 def representatives(df: DataFrame, seed: int, c: Columns) -> DataFrame:
     """The best row of each group: no alerts first, then quality, then the smaller hash."""
     order = [(F.col(c.alerts) == 0).desc(), F.desc(c.quality), stable_hash(c.key, seed), F.col(c.ord)]
@@ -56,7 +51,7 @@ def fill_channels(df: DataFrame, quotas: dict[str, int], seed: int, c: Columns =
 
     def take(channel: str, chosen: DataFrame, round_no: int) -> int:
         nonlocal left
-        chosen = _cut(chosen.select(c.key).withColumn("_pick", F.monotonically_increasing_id()))
+        chosen = cut(chosen.select(c.key).withColumn("_pick", F.monotonically_increasing_id()))
         picks.append(chosen.select(c.key, F.lit(channel).alias("prescreen_channel"), F.lit(round_no).alias("_round"), "_pick"))
         left = left.join(chosen.select(c.key), c.key, "left_anti")
         return chosen.count()
@@ -102,8 +97,10 @@ def maxmin_pick(df: DataFrame, key: str, vector: str, order: Sequence[Column], n
     """Greedy max-min diversity over a bounded candidate set, by Jaccard distance of integer sets: the first row in
     order, then always the row farthest from all picked ones, ties to the earlier row. Adds pick_rank.
 
-    The greedy choice is sequential; callers bound the candidates (30,000 in the final selection).
+    The greedy choice is sequential, in one task; more than MOST_CANDIDATES rows are an error.
     """
+    if df.limit(MOST_CANDIDATES + 1).count() > MOST_CANDIDATES:
+        raise GateError(f"max-min picking takes {MOST_CANDIDATES} candidates at most")
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_at")
@@ -132,8 +129,8 @@ def maxmin_pick(df: DataFrame, key: str, vector: str, order: Sequence[Column], n
 def diverse_candidates(df: DataFrame, vector: str, target: int, seed: int, oversample: int, c: Columns) -> DataFrame:
     """One row per group, in hash order, cut to the picker's pool; picked by max-min beyond the target. Adds pick_rank."""
     order = [stable_hash(c.key, seed + 1), F.col(c.ord)]
-    limit = max(target, min(target * oversample, 30_000))
-    pool = _cut(representatives(df, seed, c).orderBy(*order).limit(limit))
+    limit = max(target, min(target * oversample, MOST_CANDIDATES))
+    pool = cut(representatives(df, seed, c).orderBy(*order).limit(limit))
     if pool.count() <= target:
         return pool.withColumn("pick_rank", F.row_number().over(Window.orderBy(*order)))
     return pool.join(maxmin_pick(pool, c.key, vector, order, max(target, int(1.25 * target))), c.key)
@@ -144,14 +141,27 @@ RANKED = {"pnu_structure3d_enrichment": "structure3d_score", "pnu_2d_enrichment"
 DIVERSE = {"h9e937_pocket_discovery": 103, "diversity": 104, "exploration": 105}
 
 
-def final_selection(df: DataFrame, targets: dict[str, int], seed: int, vector: str, min_score: float = 0.0, min_qed: float = 0.35, exploration_qed: float = 0.45, targeted_cap: int = 6, diverse_cap: int = 3, global_cap: int = 6, oversample: int = 8, pool: str = "source_pool", active: str = "activity_recorded", status: str = "structure3d_status", c: Columns = Columns()) -> DataFrame:
+def activity_failures(df: DataFrame, pool: str = "source_pool", active: str = "activity_recorded", status: str = "structure3d_status", c: Columns = Columns()) -> DataFrame:
+    """Active rows without a usable 3D structure, by key: what the final selection leaves out."""
+    usable = F.coalesce(F.col(status).isin("ok", "feasible_only"), F.lit(False))
+    names = [n for n in ("compound_id", c.key, "standardized_smiles", status, "structure3d_embedding_method") if n in df.columns]
+    return df.where((F.col(pool) == active) & ~usable).select(*names).orderBy(c.key)
+
+
+def final_selection(df: DataFrame, targets: dict[str, int], seed: int, vector: str, min_score: float = 0.0, min_qed: float = 0.35, exploration_qed: float = 0.45, targeted_cap: int = 6, diverse_cap: int = 3, global_cap: int = 6, oversample: int = 8, pool: str = "source_pool", active: str = "activity_recorded", status: str = "structure3d_status", c: Columns = Columns(), require_all_active: bool = False) -> DataFrame:
     """key, selection_channel, selection_rank: every feasible active row by key, then six channels over the others, each
     under a cap per group that counts what earlier channels took (active rows use no room). A short channel is filled by
-    quality under the same cap; one that stays short is an error."""
+    quality under the same cap; one that stays short is an error. With require_all_active, so is an active row without a
+    usable 3D structure."""
+    if require_all_active and (n := activity_failures(df, pool, active, status, c).count()):
+        raise GateError(f"{n} active rows have no usable 3D structure")
     ok = df.where(F.col(status).isin("ok", "feasible_only"))
     actives = ok.where(F.col(pool) == active).select(c.key, F.lit("activity_recorded_all").alias("selection_channel"), F.lit(0).alias("_no"), F.col(c.key).alias("_at"))
     others = ok.where(F.col(pool) != active)
-    median = others.agg(F.median(c.consensus)).first()[0]
+    have = others.agg(F.median(c.consensus).alias("median"), F.count("*").alias("n")).first()
+    median = have["median"]
+    if have["n"] < sum(targets.values()):
+        raise GateError(f"other rows are short: {have['n']} usable ones for {sum(targets.values())}")
     chosen: DataFrame | None = None
     calm = F.col(c.alerts) == 0
     for no, (channel, target) in enumerate(targets.items(), start=1):
@@ -164,7 +174,7 @@ def final_selection(df: DataFrame, targets: dict[str, int], seed: int, vector: s
         else:
             gate = {"h9e937_pocket_discovery": calm & (F.col("qed") >= min_qed), "diversity": F.col("qed") >= min_qed, "exploration": (F.col(c.consensus) <= F.lit(median)) & calm & (F.col("qed") >= exploration_qed)}[channel]
             gated, order = diverse_candidates(left.where(gate), vector, target, seed + DIVERSE[channel], oversample, c), [F.col("pick_rank")]
-        got = _cut(capped_take(gated, c.group, order, target, cap, used).select(c.key, c.group, F.lit(channel).alias("selection_channel"), F.lit(no).alias("_no"), F.format_string("%012d", "take_rank").alias("_at")))
+        got = cut(capped_take(gated, c.group, order, target, cap, used).select(c.key, c.group, F.lit(channel).alias("selection_channel"), F.lit(no).alias("_no"), F.format_string("%012d", "take_rank").alias("_at")))
         n = got.count()
         chosen = got if chosen is None else chosen.unionByName(got)
         if n < target:
@@ -172,7 +182,7 @@ def final_selection(df: DataFrame, targets: dict[str, int], seed: int, vector: s
             used = chosen.groupBy(c.group).agg(F.count("*").alias("n"))
             order = [F.desc(c.quality), stable_hash(c.key, seed + 999), F.col(c.ord)]
             more = capped_take(left, c.group, order, target - n, cap, used).select(c.key, c.group, F.lit(channel).alias("selection_channel"), F.lit(no).alias("_no"), F.format_string("%012d", F.col("take_rank") + n).alias("_at"))
-            chosen = _cut(chosen.unionByName(more))
+            chosen = cut(chosen.unionByName(more))
             if chosen.where(F.col("_no") == no).count() < target:
                 raise GateError(f"channel {channel} is short")
     everything = actives.unionByName(chosen.drop(c.group)) if chosen is not None else actives

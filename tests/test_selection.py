@@ -66,6 +66,23 @@ def test_final_selection_says_when_short(spark):
         selection.final_selection(final_rows(spark).limit(30), {"pnu_2d_enrichment": 500}, 1, "bits")
 
 
+def test_active_rows_without_a_structure(spark):
+    df = final_rows(spark).withColumn("compound_id", F.concat(F.lit("c"), "row_ord"))
+    gone = selection.activity_failures(df).collect()
+    assert [r["compound_id"] for r in gone] == ["c40", "c220"] and gone[0]["structure3d_status"] == "embed_failed"
+    with pytest.raises(GateError, match="2 active rows"):
+        selection.final_selection(df, {"pnu_2d_enrichment": 5}, 1, "bits", require_all_active=True)
+    assert selection.activity_failures(df.withColumn("structure3d_status", F.lit(None).cast("string"))).count() == 12
+
+
+def test_maxmin_refuses_more_than_it_can_hold(spark, monkeypatch):
+    monkeypatch.setattr(selection, "MOST_CANDIDATES", 3)
+    df = spark.createDataFrame([(i, [i]) for i in range(4)], "id int, v array<int>")
+    assert selection.maxmin_pick(df.limit(3), "id", "v", [F.col("id")], 2).count() == 2
+    with pytest.raises(GateError, match="3 candidates"):
+        selection.maxmin_pick(df, "id", "v", [F.col("id")], 2)
+
+
 def test_maxmin_takes_the_farthest(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, [1, 2]), (3, [3]), (4, [1, 2, 4])], "id int, v array<int>")
     got = selection.maxmin_pick(df, "id", "v", [F.col("id")], 3).orderBy("pick_rank").collect()
