@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
 from siftline.operators import selection
 from siftline.plans import config as configuration
-from siftline.plans import final_score, screening
+from siftline.plans import final_score, handoff, qc, screening
 from siftline.sources import sinks, tabular
 
 
@@ -53,12 +54,52 @@ def _jobs(spark: SparkSession, a: argparse.Namespace) -> None:
     members.write.mode("errorifexists").parquet(f"{a.out}/job_states")
 
 
+def _select_failures(spark: SparkSession, a: argparse.Namespace) -> None:
+    sinks.write_csv(selection.activity_failures(spark.read.parquet(a.scored)), a.out, ["structure_key"])
+
+
+def _collect(spark: SparkSession, a: argparse.Namespace) -> None:
+    read = spark.read.parquet
+    screening.collected(read(a.records), read(a.states), read(a.job_states), int(a.modes)).write.mode("errorifexists").parquet(a.out)
+
+
+def _handoff(spark: SparkSession, a: argparse.Namespace) -> None:
+    read = spark.read.parquet
+    handoff.package(spark, a.out, read(a.poses), read(a.parents), read(a.states), read(a.similarity), a.receptor, a.ligands)
+
+
+def _qc(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A run's folder has a Parquet folder for each table of qc.Run that there is."""
+    tables = {n: spark.read.parquet(f"{a.run}/{n}") for n in ("mapping", "scored", "pool", "scored3d", "selected", "states", "failures", "jobs", "job_states") if os.path.isdir(f"{a.run}/{n}")}
+    c = configuration.validate(configuration.load(a.config))
+    final, protocols = c["final_selection"], [p["protocol_id"] for p in c["docking"]["protocols"] if p.get("enabled")]
+    settings = {"pool_size": int(c["prescreen_3d_pool"]["size"]), "unlabeled_count": int(final["unlabeled_count"]), "channel_counts": final["unlabeled_channel_counts"], "scaffold_cap": int(final.get("global_scaffold_cap", 6)), "protocols": protocols}
+    found = qc.write(spark, qc.Run(settings, **tables), a.run)
+    if found["failed"]:
+        raise SystemExit(f"{found['failed']} checks failed, see {a.run}/QC_REPORT.md")
+
+
+def _path(spark: SparkSession, a: argparse.Namespace) -> None:
+    print(configuration.load(a.config)["output_dir"])
+
+
+def _integrated(spark: SparkSession, a: argparse.Namespace) -> None:
+    read = spark.read.parquet
+    final_score.run(read(a.parents), read(a.poses), read(a.affinity), read(a.similarity)).write.mode("errorifexists").parquet(a.out)
+
+
 COMMANDS = {
     "standardize": (_standardize, ["data", "out"]),
     "score2d": (_score2d, ["parents", "reference", "out"]),
     "pool3d": (_pool3d, ["config", "scored", "out"]),
     "select": (_select, ["config", "scored", "out"]),
     "prepare-jobs": (_jobs, ["config", "states", "out"]),
+    "activity-failures": (_select_failures, ["scored", "out"]),
+    "collect-docking": (_collect, ["records", "states", "job-states", "modes", "out"]),
+    "prepare-affinity": (_handoff, ["poses", "parents", "states", "similarity", "receptor", "ligands", "out"]),
+    "integrated-score": (_integrated, ["parents", "poses", "affinity", "similarity", "out"]),
+    "qc": (_qc, ["config", "run"]),
+    "path": (_path, ["config"]),
     "final-score": (_final_score, ["parents", "poses", "affinity", "out"]),
 }
 

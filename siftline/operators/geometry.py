@@ -44,6 +44,15 @@ def whole_groups_within(points: DataFrame, centres: DataFrame, group: str, unit:
     return points.join(units, [group, *unit], "left_semi")
 
 
+def pocket_graph(atoms: DataFrame, ligand: DataFrame, group: str, unit: Sequence[str], order: str, xyz: Sequence[str], radius: float) -> DataFrame:
+    """Atoms of all residues (`unit`) of which any atom lies within radius of a ligand atom of the group, with residue_id,
+    0 for the residue that comes first in order, and so on. A group without such a residue has no rows."""
+    near = whole_groups_within(atoms, ligand, group, unit, xyz, radius)
+    firsts = near.groupBy(group, *unit).agg(F.min(order).alias("_first"))
+    ids = firsts.withColumn("residue_id", F.row_number().over(Window.partitionBy(group).orderBy("_first")) - 1)
+    return near.join(ids.drop("_first"), [group, *unit])
+
+
 def neighbours(left: DataFrame, right: DataFrame, group: str, left_id: str, right_id: str, xyz: Sequence[str], cutoff: float, k: int, max_pairs: int) -> DataFrame:
     """Per left point the k nearest right points closer than cutoff, or the single nearest one flagged invalid; then at
     most max_pairs per group, valid ones first, by distance. Adds distance and valid."""

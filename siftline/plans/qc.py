@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.operators.gates import GateError, duplicates, orphans
+from siftline.sources.sinks import write_json, write_text
 
 
 @dataclass
@@ -26,6 +27,7 @@ class Run:
     jobs: DataFrame | None = None
     job_states: DataFrame | None = None
     reference: dict | None = None
+    ligand_records: int | None = None
 
 
 def _n(df: DataFrame) -> int:
@@ -74,6 +76,8 @@ def checks(run: Run):
         yield "one_state_per_parent", (n := _n(duplicates(run.states, ["parent_structure_key"]))) == 0, f"{n} parents with several"
         lost = orphans(run.selected.select(F.col("structure_key").alias("parent_structure_key")), run.states, ["parent_structure_key"])
         yield "failures_are_reported", (n := _n(orphans(lost, gone, ["parent_structure_key"]))) == 0, f"{n} unreported"
+        if run.ligand_records is not None:
+            yield "ligand_record_count", run.ligand_records == (n := _n(run.states)), f"{run.ligand_records} records for {n} states"
     if run.job_states is not None and run.states is not None:
         yield "only_embedded_states_enter", (n := _n(orphans(run.job_states, run.states.where("embed_status like 'ok%'"), ["state_id"]))) == 0, f"{n} others"
         yield "job_input_state_count", (n := _n(run.job_states)) == _n(run.states.where("embed_status like 'ok%'")), f"{n} states"
@@ -96,3 +100,16 @@ def require(spark: SparkSession, run: Run) -> DataFrame:
     if failed := [r["check_name"] for r in out.where("not passed").collect()]:
         raise GateError(f"failed: {', '.join(failed)}")
     return out
+
+
+def write(spark: SparkSession, run: Run, folder: str, production_ready: bool = False) -> dict:
+    """The report as QC_REPORT.json and QC_REPORT.md in a folder that the driver reaches; returns the JSON's content."""
+    rows = [r.asDict() for r in report(spark, run).collect()]
+    failed = [r["check_name"] for r in rows if not r["passed"]]
+    status = "FAIL" if failed else "PASS" if production_ready else "PRE_DOCKING_PASS_PRODUCTION_BLOCKED"
+    found = {"status": status, "passed": len(rows) - len(failed), "failed": len(failed), "production_ready": production_ready, "checks": rows}
+    write_json(f"{folder}/QC_REPORT.json", found)
+    lines = ["# Quality report", "", f"Status: **{status}**", "", "| check | result | detail |", "|-|-|-|"]
+    lines += [f"| {r['check_name']} | {'pass' if r['passed'] else 'FAIL'} | {r['detail']} |" for r in rows]
+    write_text(f"{folder}/QC_REPORT.md", "\n".join(lines) + "\n")
+    return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 import pandas as pd
@@ -150,6 +151,48 @@ def residue_instances(atoms: DataFrame, resname: str) -> DataFrame:
     return atoms.where(F.col("hetatm") & (F.col("resname") == resname)).groupBy("chain", "resseq").agg(F.count("*").alias("n"))
 
 
+def database_references(spark: SparkSession, path: str) -> DataFrame:
+    """chain, text of the lines that name a chain's entry in a sequence database."""
+    lines = spark.read.text(path).where(F.col("value").startswith("DBREF ") | F.col("value").startswith("DBREF1"))
+    return lines.select(F.trim(_field(13, 13)).alias("chain"), F.col("value").alias("text"))
+
+
+def residue_name(spark: SparkSession, path: str, chain: str, number: int) -> str | None:
+    """The name of the first residue of this chain and number among ATOM lines."""
+    lines = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id()).where(F.col("value").startswith("ATOM  "))
+    hit = lines.where((F.trim(_field(22, 22)) == chain) & (_field(23, 26).try_cast("int") == number))
+    row = hit.orderBy("_at").select(F.trim(_field(18, 20)).alias("name")).first()
+    return row["name"] if row else None
+
+
+def rigid_atoms(text: str) -> int:
+    """Atoms of a receptor in the docking program's format; ValueError if it has torsions, like a ligand, or no atoms."""
+    lines = text.splitlines()
+    if flexible := next((line for line in lines if line.startswith(("ROOT", "BRANCH", "TORSDOF"))), None):
+        raise ValueError(f"a receptor with {flexible.split()[0]} is no rigid one")
+    n = sum(line.startswith(("ATOM", "HETATM")) for line in lines)
+    if not n:
+        raise ValueError("a receptor without atoms")
+    return n
+
+
+def located(codes: DataFrame, folder: str, code: str = "complex_id") -> DataFrame:
+    """Adds ligand_path and pocket_path: the first file of each kind in a complex's folder on mounted storage, named by
+    the code in lower case, then in upper case, SDF before MOL2; null if there is none."""
+
+    @F.pandas_udf("ligand_path string, pocket_path string")
+    def find(values: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v in values:
+            inside = lambda name, v=v: os.path.join(folder, v, name)
+            spelled = (v.lower(), v.upper())
+            ligands = [inside(f"{c}_ligand.{end}") for end in ("sdf", "mol2") for c in spelled]
+            rows.append([next((p for p in paths if os.path.isfile(p)), None) for paths in (ligands, [inside(f"{c}_pocket.pdb") for c in spelled])])
+        return pd.DataFrame(rows, columns=["ligand_path", "pocket_path"])
+
+    return codes.withColumn("_found", find(code)).select(*codes.columns, "_found.*")
+
+
 def receptor_subset(spark: SparkSession, path: str, chains: Sequence[str], removed: Sequence[str]) -> DataFrame:
     """Lines of kept chains without the removed residues, in order; excluded ones carry their reason."""
     lines = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())

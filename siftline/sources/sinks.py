@@ -14,14 +14,27 @@ from pyspark.sql import functions as F
 from siftline.sources.molecular import sdf_record
 
 
-def write_json(path: str, value: dict) -> None:
+def write_text(path: str, text: str) -> None:
     """On the driver, by a partial file that is renamed when whole."""
     partial = Path(f"{path}.partial")
     partial.parent.mkdir(parents=True, exist_ok=True)
-    partial.write_text(json.dumps(value, indent=2, sort_keys=True, default=str) + "\n", encoding="utf-8")
+    partial.write_text(text, encoding="utf-8")
     os.replace(partial, path)
 
 
+def write_json(path: str, value: dict) -> None:
+    write_text(path, json.dumps(value, indent=2, sort_keys=True, default=str) + "\n")
+
+
+def copy_whole(source: str, target: str) -> str:
+    """A copy under its final name only once it is whole; returns the target."""
+    partial = Path(f"{target}.partial")
+    partial.parent.mkdir(parents=True, exist_ok=True)
+    shutil.copyfile(source, partial)
+    os.replace(partial, target)
+    return target
+
+
 def blank_nulls(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
