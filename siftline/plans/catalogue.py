@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import scalars as S
-from siftline.operators import dedupe, filters, gates, geometry, jobs, joining, ranking, selection, splits
-from siftline.plans import final_score
+from siftline.operators import conformers, dedupe, external, filters, gates, geometry, jobs, joining, ranking, selection, splits, standardize
+from siftline.operators.storage import scratch
+from siftline.plans import final_score, screening
+from siftline.sources import molecular, sinks, tabular
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -250,7 +252,16 @@ def final_select(spark, sf_dir):
     return selection.final_selection(rows, targets, 1, "bits")
 
 
-@query(None)
+@query("""WITH RECURSIVE items AS (SELECT vec_id, list_filter(range(64), lambda i: embedding[i + 1] > 0.5) AS bits, substr(sha256('5|' || vec_id::VARCHAR), 1, 16) AS h FROM embeddings),
+lists AS (SELECT list(bits ORDER BY h, vec_id) AS vs, list(vec_id ORDER BY h, vec_id) AS ids FROM items),
+walk(step, now, far) AS (
+    SELECT 1, 1::BIGINT, list_transform(ids, lambda x: 9.0::DOUBLE) FROM lists
+    UNION ALL
+    SELECT step + 1, list_position(nf, list_max(nf))::BIGINT, nf FROM (
+        SELECT step, list_transform(range(1, len(ids) + 1), lambda i: CASE WHEN i = now OR far[i] < 0 THEN -1.0::DOUBLE ELSE least(far[i], 1.0::DOUBLE - CASE WHEN len(vs[i]) + len(vs[now]) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(vs[i], vs[now])) / (len(vs[i]) + len(vs[now]) - len(list_intersect(vs[i], vs[now])))::DOUBLE END) END) AS nf FROM walk, lists WHERE step < 40)
+)
+SELECT ids[now] AS vec_id, step::BIGINT AS pick_rank FROM walk, lists""")
 def maxmin_pick(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.filter(F.transform("embedding", lambda x, i: F.when(x > 0.5, i)), lambda i: i.isNotNull()).alias("bits"))
     return selection.maxmin_pick(v, "vec_id", "bits", [S.stable_hash("vec_id", 5), F.col("vec_id")], 40)
@@ -354,39 +365,60 @@ def points(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", e(1), e(2), e(3))
 
 
-@query(f"WITH {POINTS_SQL} SELECT a.label, a.vec_id, b.vec_id AS other, round({DIST_SQL}, 6) AS distance FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0 WHERE {DIST_SQL} <= 0.6::DOUBLE")
+# Roles by a coordinate that the distances do not use: ligand points and pocket points.
+ROLES_SQL = f"{POINTS_SQL}, roled AS (SELECT p.*, e.embedding[4] >= 0 AS ligand FROM pts p JOIN embeddings e USING (vec_id))"
+
+
+def by_role(spark, sf_dir):
+    roles = table(spark, sf_dir, "embeddings").select("vec_id", (F.element_at("embedding", 4) >= 0).alias("ligand"))
+    p = points(spark, sf_dir).join(roles, "vec_id")
+    return p.where("ligand").drop("ligand"), p.where("not ligand").drop("ligand")
+
+
+@query(f"WITH {POINTS_SQL} SELECT a.label, a.vec_id, b.vec_id AS other, round({DIST_SQL}, 6) AS distance FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE {DIST_SQL} <= 0.6::DOUBLE")
 def radius_pairs(spark, sf_dir):
     p = points(spark, sf_dir)
-    right = p.where("vec_id % 5 <> 0").withColumnRenamed("vec_id", "other")
-    out = geometry.radius_pairs(p.where("vec_id % 5 = 0"), right, "label", "vec_id", "other", XYZ, 0.6)
+    out = geometry.radius_pairs(p, p.withColumnRenamed("vec_id", "other"), "label", "vec_id", "other", XYZ, 0.6).where("vec_id <> other")
     return out.select("label", "vec_id", "other", F.round("distance", 6).alias("distance"))
 
 
-@query(f"""WITH {POINTS_SQL}, near AS (SELECT DISTINCT b.label, b.vec_id // 20 AS unit FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 WHERE {DIST_SQL} <= 0.3::DOUBLE)
-SELECT vec_id, label FROM pts WHERE (label, vec_id // 20) IN (SELECT (label, unit) FROM near)""")
+@query(f"""WITH {ROLES_SQL}, near AS (SELECT DISTINCT b.label, b.vec_id // 20 AS unit FROM roled a JOIN roled b ON a.label = b.label AND a.ligand AND NOT b.ligand WHERE {DIST_SQL} <= 0.3::DOUBLE)
+SELECT vec_id, label FROM roled WHERE NOT ligand AND (label, vec_id // 20) IN (SELECT (label, unit) FROM near)""")
 def radius_semijoin(spark, sf_dir):
-    p = points(spark, sf_dir).withColumn("unit", F.floor(F.col("vec_id") / 20))
-    return geometry.whole_groups_within(p, p.where("vec_id % 5 = 0").select("label", *XYZ), "label", ["unit"], XYZ, 0.3).select("vec_id", "label")
+    ligand, pocket = by_role(spark, sf_dir)
+    return geometry.whole_groups_within(pocket.withColumn("unit", F.floor(F.col("vec_id") / 20)), ligand.select("label", *XYZ), "label", ["unit"], XYZ, 0.3).select("vec_id", "label")
+
+
+@query(f"""WITH {ROLES_SQL}, near AS (SELECT DISTINCT b.label, b.vec_id // 20 AS unit FROM roled a JOIN roled b ON a.label = b.label AND a.ligand AND NOT b.ligand WHERE {DIST_SQL} <= 0.3::DOUBLE)
+SELECT vec_id, label, dense_rank() OVER (PARTITION BY label ORDER BY vec_id // 20) - 1 AS residue_id FROM roled WHERE NOT ligand AND (label, vec_id // 20) IN (SELECT (label, unit) FROM near)""")
+def pocket_graph(spark, sf_dir):
+    ligand, pocket = by_role(spark, sf_dir)
+    out = geometry.pocket_graph(pocket.withColumn("unit", F.floor(F.col("vec_id") / 20)), ligand.select("label", *XYZ), "label", ["unit"], "vec_id", XYZ, 0.3)
+    return out.select("vec_id", "label", F.col("residue_id").cast("long").alias("residue_id"))
 
 
-@query(f"""WITH {POINTS_SQL}, hit AS (SELECT DISTINCT a.vec_id FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0 WHERE {DIST_SQL} < 0.5::DOUBLE)
-SELECT label, round(avg(CASE WHEN hit.vec_id IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END), 8) AS clash FROM pts LEFT JOIN hit USING (vec_id) WHERE pts.vec_id % 5 = 0 GROUP BY label""")
+@query(f"""WITH {ROLES_SQL}, hit AS (SELECT DISTINCT a.vec_id FROM roled a JOIN roled b ON a.label = b.label AND a.ligand AND NOT b.ligand WHERE {DIST_SQL} < 0.5::DOUBLE)
+SELECT label, round(avg(CASE WHEN hit.vec_id IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END), 8) AS clash FROM roled LEFT JOIN hit USING (vec_id) WHERE ligand GROUP BY label""")
 def clash(spark, sf_dir):
-    p = points(spark, sf_dir)
-    out = geometry.clash_fraction(p.where("vec_id % 5 = 0"), p.where("vec_id % 5 <> 0").select("label", *XYZ), "label", "vec_id", XYZ, 0.5)
-    return out.select("label", r8("clash", "clash"))
+    ligand, pocket = by_role(spark, sf_dir)
+    return geometry.clash_fraction(ligand, pocket.select("label", *XYZ), "label", "vec_id", XYZ, 0.5).select("label", r8("clash", "clash"))
 
 
-@query(f"""WITH {POINTS_SQL}, d AS (SELECT a.label, a.vec_id, b.vec_id AS other, {DIST_SQL} AS d FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0),
+@query(f"""WITH {ROLES_SQL}, d AS (SELECT a.label, a.vec_id, b.vec_id AS other, {DIST_SQL} AS d FROM roled a JOIN roled b ON a.label = b.label AND a.ligand AND NOT b.ligand),
 k AS (SELECT *, count(*) FILTER (WHERE d < 0.6::DOUBLE) OVER (PARTITION BY label, vec_id) AS near, row_number() OVER (PARTITION BY label, vec_id ORDER BY d, other) AS r FROM d)
 SELECT label, vec_id, other, round(d, 6) AS distance, near > 0 AS valid FROM k WHERE (near > 0 AND d < 0.6::DOUBLE AND r <= 3) OR (near = 0 AND r = 1)""")
 def nearest_neighbours(spark, sf_dir):
-    p = points(spark, sf_dir)
-    right = p.where("vec_id % 5 <> 0").withColumnRenamed("vec_id", "other")
-    out = geometry.neighbours(p.where("vec_id % 5 = 0"), right, "label", "vec_id", "other", XYZ, 0.6, 3, 1_000_000)
+    ligand, pocket = by_role(spark, sf_dir)
+    out = geometry.neighbours(ligand, pocket.withColumnRenamed("vec_id", "other"), "label", "vec_id", "other", XYZ, 0.6, 3, 1_000_000)
     return out.withColumn("distance", F.round("distance", 6))
 
 
+@query(f"""WITH {POINTS_SQL}, d AS (SELECT a.label, a.vec_id, b.vec_id AS neighbour, {DIST_SQL} AS d FROM pts a JOIN pts b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE {DIST_SQL} <= 0.8::DOUBLE)
+SELECT label, vec_id, neighbour, round(d, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY label, vec_id ORDER BY d, neighbour) AS k FROM d) WHERE k <= 4""")
+def radius_graph(spark, sf_dir):
+    return geometry.radius_graph(points(spark, sf_dir), "label", "vec_id", XYZ, 0.8, 4).withColumn("distance", F.round("distance", 6))
+
+
 @query(None)
 def feature_match(spark, sf_dir):
     p = points(spark, sf_dir).withColumns({"family": F.when(F.col("vec_id") % 2 == 0, "Donor").otherwise("Acceptor"), "ord": F.col("vec_id")})
@@ -496,3 +528,212 @@ def hash_split(spark, sf_dir):
     forced = table(spark, sf_dir, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("o_custkey"))
     out = splits.split_by_group(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", forced, 0.1, 0.2, 5)
     return splits.require_disjoint(out, "o_custkey").select("o_orderkey", "split")
+
+
+EVIDENCE_SQL = """ev AS (SELECT p_partkey, (p_partkey * 7919 % 1009) / 1009.0::DOUBLE AS e, (p_partkey * 31 % 101) / 101.0::DOUBLE AS f, (p_partkey * 104729 % 997) / 997.0::DOUBLE AS p, p_size / 50.0::DOUBLE AS q FROM part)"""
+
+
+@query(f"""WITH {EVIDENCE_SQL} SELECT p_partkey, round(0.55::DOUBLE * e + 0.20::DOUBLE * f + 0.25::DOUBLE * p, 8) AS consensus,
+round(0.65::DOUBLE * (0.55::DOUBLE * e + 0.20::DOUBLE * f + 0.25::DOUBLE * p) + 0.35::DOUBLE * q, 8) AS evidence FROM ev""")
+def evidence_scores(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(k, (k * 7919 % 1009 / F.lit(1009.0)).alias("pnu_ecfp_similarity"), (k * 31 % 101 / F.lit(101.0)).alias("pnu_fcfp_similarity"), (k * 104729 % 997 / F.lit(997.0)).alias("pharm2d_similarity"), (F.col("p_size") / F.lit(50.0)).alias("quality_score"))
+    rows = rows.withColumn("pnu_consensus", S.weighted_sum(screening.CONSENSUS)).withColumn("evidence", S.weighted_sum(screening.EVIDENCE))
+    return rows.select("p_partkey", r8("pnu_consensus", "consensus"), r8("evidence", "evidence"))
+
+
+@query("""WITH p AS (SELECT p_partkey, i, (p_partkey + i) % 3 <> 0 AS c, (p_partkey * i) % 11 = 0 AS m, (p_partkey + i) % 2 = 0 AS k FROM part, range(1, 4) t(i) WHERE i <= 1 + p_partkey % 3),
+g AS (SELECT p_partkey, count(*) AS n, count(*) FILTER (WHERE m AND NOT k) AS metals, count(*) FILTER (WHERE c AND NOT k) AS organic, count(*) FILTER (WHERE k) AS listed, count(*) FILTER (WHERE k AND c) AS salts,
+    count(*) FILTER (WHERE c) AS carbons, min(i) FILTER (WHERE c AND NOT k) AS place FROM p GROUP BY p_partkey),
+s AS (SELECT *, CASE WHEN metals > 0 THEN 'metal_or_special' WHEN n > 1 AND NOT (organic = 1 AND listed = n - 1) THEN 'ambiguous_multi_component' WHEN carbons = 0 THEN 'no_organic_parent'
+    WHEN n = 1 THEN 'single_component' WHEN salts > 0 THEN 'organic_counterion_salt' ELSE 'simple_salt_or_solvate' END AS kind FROM g)
+SELECT p_partkey, kind AS component_class, CASE kind WHEN 'metal_or_special' THEN 'quarantine_special_element' WHEN 'ambiguous_multi_component' THEN 'quarantine_ambiguous_components'
+    WHEN 'no_organic_parent' THEN 'quarantine_no_organic_parent' ELSE 'valid_parent' END AS status,
+    CASE WHEN kind IN ('single_component', 'organic_counterion_salt', 'simple_salt_or_solvate') THEN (CASE WHEN n = 1 THEN 1 ELSE place END)::INTEGER ELSE 0 END AS parent FROM s""")
+def fragment_rules(spark, sf_dir):
+    k = F.col("p_partkey")
+    one = lambda i: F.struct(i.cast("string").alias("smiles"), ((k + i) % 3 != 0).alias("has_carbon"), ((k * i) % 11 == 0).alias("has_metal"), ((k + i) % 2 == 0).alias("known_counterion"))
+    parts = F.transform(F.sequence(F.lit(1).cast("long"), 1 + k % 3), one)
+    return table(spark, sf_dir, "part").select("p_partkey", standardize.fragment_status(parts).alias("s")).select("p_partkey", "s.component_class", "s.status", F.coalesce("s.parent", F.lit(0)).alias("parent"))
+
+
+@query("SELECT p_partkey, [0, 1, 19, 25, 7, 3][p_partkey % 6 + 1]::INTEGER AS code FROM part")
+def category_codes(spark, sf_dir):
+    symbol = F.element_at(F.array(*map(F.lit, ["H", "C", "Zn", "Xx", "Cl", "O"])), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", S.coded(symbol, S.ATOM_CODES, S.ATOM_CODES["OTHER"]).alias("code"))
+
+
+@query("""SELECT l_orderkey AS structure_key, count(DISTINCT l_returnflag) AS protocols FROM lineitem WHERE l_returnflag <> 'A' GROUP BY l_orderkey""")
+def excluded_protocols(spark, sf_dir):
+    _, poses, affinity, similarity = evidence_tables(spark, sf_dir)
+    out = final_score.per_parent(poses, affinity, similarity, final_score.Settings(excluded=("A",)), POSE_KEY[1:])
+    return out.select(F.col("parent_structure_key").alias("structure_key"), F.col("wt_protocol_count").alias("protocols"))
+
+
+@query("""SELECT o_custkey, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderkey) <> 1""")
+def states_per_parent(spark, sf_dir):
+    states = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_distinct("o_orderkey").alias("n"))
+    return states.where("n <> 1")
+
+
+@query("""SELECT l_returnflag, l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL""")
+def poses_per_state(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey")
+    jobs.require_complete(items, items.distinct(), "l_returnflag", "l_orderkey", 100)
+    return items.groupBy("l_returnflag", "l_orderkey").agg(F.count("*").alias("n"))
+
+
+INDEXED_SQL = "indexed AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) AS i FROM customer), broke AS (SELECT min(i) AS debt FROM indexed WHERE c_acctbal < 0)"
+
+
+def indexed_customers(spark, sf_dir):
+    """Customers by index, and those before the first one in debt as the finished ones."""
+    rows = ranking.global_index(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), ["c_custkey"], "i")
+    at = rows.where("c_acctbal < 0").agg(F.min("i")).first()[0]
+    return rows, rows.where(F.col("i") < at).withColumn("c_custkey", F.col("c_custkey").cast("string"))
+
+
+@query(f"WITH {INDEXED_SQL} SELECT i, c_custkey FROM indexed, broke WHERE i >= debt")
+def resumed_rows(spark, sf_dir):
+    rows, done = indexed_customers(spark, sf_dir)
+    return external.resumed(rows.withColumn("c_custkey", F.col("c_custkey").cast("string")), done, "i", "c_custkey").select("i", F.col("c_custkey").cast("long").alias("c_custkey"))
+
+
+@query(f"WITH {INDEXED_SQL} SELECT i, c_custkey, CASE WHEN i < debt THEN 'finished' ELSE 'new' END AS kind, round(c_acctbal / 100.0::DOUBLE, 8) AS prediction FROM indexed, broke")
+def completed_predictions(spark, sf_dir):
+    rows, done = indexed_customers(spark, sf_dir)
+    todo = external.resumed(rows.withColumn("c_custkey", F.col("c_custkey").cast("string")), done, "i", "c_custkey")
+    new = external.predicted(todo, lambda: lambda pdf: pdf["c_acctbal"].astype(float) / 100.0, "p").withColumn("kind", F.lit("new"))
+    old = done.withColumns({"p": F.col("c_acctbal").cast("double") / F.lit(100.0), "kind": F.lit("finished")})
+    return old.unionByName(new).select("i", F.col("c_custkey").cast("long").alias("c_custkey"), "kind", r8("p", "prediction"))
+
+
+@query("SELECT r_regionkey FROM region")
+def id_set_equality(spark, sf_dir):
+    regions, nations = table(spark, sf_dir, "region").select("r_regionkey"), table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("r_regionkey"))
+    gates.require_same_keys(regions, nations, ["r_regionkey"], "region")
+    return regions
+
+
+@query("""SELECT o_orderkey, sha256('{"version":1,"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}') AS signature FROM orders""")
+def job_signatures(spark, sf_dir):
+    return jobs.signatures(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.lit("/x").alias("output"))).select("o_orderkey", "signature")
+
+
+CONFORMER_SQL = """k AS (SELECT p_partkey AS id, p_partkey % 4 AS n, CASE WHEN p_partkey % 9 = 0 THEN 'invalid_smiles' WHEN p_partkey % 10 = 0 THEN 'embed_error:RuntimeError' END AS err,
+    ['pnu_2d', 'pharm2d', 'scaffold_diversity'][p_partkey % 3 + 1] AS channel FROM part),
+c AS (SELECT id, i, (id * 7 + i * 5) % 13 / 13.0::DOUBLE - 0.3::DOUBLE AS s, (id + i) % 3 / 3.0::DOUBLE AS clash FROM k, range(0, 3) t(i) WHERE i < n AND err IS NULL AND channel <> 'scaffold_diversity'),
+b AS (SELECT id, i, CASE WHEN s < 0 THEN s ELSE s * greatest(0.0::DOUBLE, 1.0::DOUBLE - 0.80::DOUBLE * clash) END AS score, clash FROM c),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, i) AS r FROM b) WHERE r = 1)"""
+
+
+def conformer_rows(spark, sf_dir):
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(k.alias("structure_key"), F.element_at(F.array(*map(F.lit, ["pnu_2d", "pharm2d", "scaffold_diversity"])), (k % 3 + 1).cast("int")).alias("prescreen_channel"))
+
+
+def embedded(df):
+    """Stands in for a toolkit: id % 4 conformers, some errors."""
+    k = F.col("structure_key")
+    some = F.filter(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.struct(i.alias("conformer_id"), F.concat_ws("/", k, i).alias("molblock"))), lambda c: c["conformer_id"] < k % 4)
+    return df.withColumns({"embed_error": F.when(k % 9 == 0, "invalid_smiles").when(k % 10 == 0, "embed_error:RuntimeError"), "embedding_method": F.lit("stand-in"), "conformers": some})
+
+
+def aligned(df):
+    key, i = F.split("molblock", "/")[0].cast("long"), F.split("molblock", "/")[1].cast("long")
+    return df.withColumns({"combined": (key * 7 + i * 5) % 13 / F.lit(13.0) - F.lit(0.3), "feature": F.lit(0.5), "shape": F.lit(0.5), "clash": (key + i) % 3 / F.lit(3.0), "o3a": F.lit(1.0)})
+
+
+@query(f"""WITH {CONFORMER_SQL} SELECT k.id AS structure_key, CASE WHEN err IS NOT NULL THEN err WHEN n = 0 THEN 'embed_failed' WHEN channel = 'scaffold_diversity' THEN 'feasible_only' WHEN score >= 0 THEN 'ok' ELSE 'alignment_failed' END AS status,
+round(CASE WHEN err IS NULL AND n > 0 THEN greatest(0.0::DOUBLE, coalesce(score, 0.0::DOUBLE)) ELSE -1.0::DOUBLE END, 8) AS score, (CASE WHEN err IS NULL AND n > 0 THEN coalesce(i, 0) ELSE -1 END)::INTEGER AS best FROM k LEFT JOIN best ON best.id = k.id""")
+def conformer_scores(spark, sf_dir):
+    out = conformers.structure_scores(conformer_rows(spark, sf_dir), embedded, aligned)
+    return out.select("structure_key", F.col("structure3d_status").alias("status"), r8(F.coalesce("structure3d_score", F.lit(-1.0)), "score"), F.coalesce("structure3d_best_conformer", F.lit(-1)).alias("best"))
+
+
+@query("""WITH k AS (SELECT p_partkey AS id, p_partkey % 9 = 0 AS bad, (p_partkey * 7 + 5) % 13 / 13.0::DOUBLE - 0.3::DOUBLE AS s FROM part)
+SELECT id AS pose_id, CASE WHEN bad THEN 'invalid_pose' WHEN s >= 0 THEN 'ok' ELSE 'alignment_failed' END AS status, round(CASE WHEN bad THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, s) END, 8) AS similarity FROM k""")
+def pose_similarities(spark, sf_dir):
+    k = F.col("p_partkey")
+    poses = table(spark, sf_dir, "part").select(k.alias("pose_id"), F.when(k % 9 != 0, F.concat(k.cast("string"), F.lit("/1"))).alias("molblock"))
+    return conformers.pose_similarities(poses, aligned).select("pose_id", F.col("postdock_3d_status").alias("status"), r8("postdock_3d_similarity", "similarity"))
+
+
+@query("SELECT p_partkey, ['ok', 'feasible_only'][p_partkey % 4 + 1] AS status FROM part WHERE p_partkey % 4 < 2")
+def feasible_rows(spark, sf_dir):
+    status = F.element_at(F.array(*map(F.lit, ["ok", "feasible_only", "embed_failed", "invalid_smiles"])), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return filters.feasible(table(spark, sf_dir, "part").select("p_partkey", status.alias("status")), "status")
+
+
+@query("SELECT p_partkey AS structure_key, CASE WHEN p_partkey % 4 = 3 THEN 'embed_failed' END AS status FROM part WHERE p_partkey % 2 = 1 AND p_partkey % 4 >= 2")
+def activity_failures(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(k.alias("structure_key"), F.when(k % 2 == 1, "activity_recorded").otherwise("unlabeled").alias("source_pool"), F.when(k % 4 < 2, "ok").when(k % 4 == 3, "embed_failed").alias("structure3d_status"))
+    return selection.activity_failures(rows).withColumnRenamed("structure3d_status", "status")
+
+
+def local_path(uri: str) -> str:
+    return uri.removeprefix("file://").removeprefix("file:")
+
+
+@query("""SELECT 0 AS source_index, 'a_2w.csv' AS source_file, (row_number() OVER (ORDER BY n_nationkey) + 1)::VARCHAR AS source_row, n_nationkey::VARCHAR AS compound_id, n_name AS original_smiles, 'activity_recorded' AS source_pool FROM nation
+UNION ALL SELECT 1, 'b.csv', (row_number() OVER (ORDER BY r_regionkey) + 1)::VARCHAR, r_regionkey::VARCHAR, r_name, 'unlabeled' FROM region""")
+def source_union(spark, sf_dir):
+    """Two small tables as files of a library folder, found by name and read by content and header."""
+    folder = local_path(scratch(spark, "library"))
+    for name, file, columns in (("nation", "a_2w.csv", ["n_nationkey", "n_name"]), ("region", "b.csv", ["r_regionkey", "r_name"])):
+        rows = table(spark, sf_dir, name).select(*columns).orderBy(columns[0]).collect()  # a handful of fixed rows
+        sinks.write_text(f"{folder}/{file}", "ID,SMILES\n" + "".join(f"{a},{b}\n" for a, b in rows))
+    return tabular.read_sources(spark, folder).select("source_index", "source_file", F.col("source_row").cast("string").alias("source_row"), "compound_id", "original_smiles", "source_pool")
+
+
+@query("SELECT p_partkey::VARCHAR AS title, row_number() OVER (ORDER BY p_partkey) AS place, p_size::VARCHAR AS size, (p_partkey % 100)::DOUBLE AS x FROM part")
+def sdf_round_trip(spark, sf_dir):
+    """Parts as one-atom records, written in key order and read again; place counts over the files in their order."""
+    path, k = scratch(spark, "sdf"), F.col("p_partkey")
+    block = F.concat(k.cast("string"), F.format_string("\n\n\n  1  0  0  0  0  0  0  0  0  0999 V2000\n%10.4f%10.4f%10.4f C   0  0  0  0  0  0  0  0  0  0  0  0\nM  END", (k % 100).cast("double"), F.lit(0.0), F.lit(0.0)))
+    sinks.write_sdf(table(spark, sf_dir, "part").select("p_partkey", "p_size", block.alias("molblock")), path, "molblock", ["p_size"], ["p_partkey"])
+    back = ranking.global_index(molecular.read_sdf(spark, path), ["file", "record_index"], "place")
+    return back.select("title", "place", F.element_at("props", "p_size").alias("size"), F.element_at("atoms", 1)["x"].alias("x"))
+
+
+@query("SELECT n_nationkey::VARCHAR AS resseq, upper(substr(n_name, 1, 3)) AS resname, (n_nationkey + 0.5::DOUBLE) AS x, 'A' AS chain FROM nation WHERE n_regionkey <> 2")
+def pdb_round_trip(spark, sf_dir):
+    """Nations as atoms of a structure; one region's are hydrogens, which a scan leaves out."""
+    path, k = scratch(spark, "pdb"), F.col("n_nationkey")
+    element = F.when(F.col("n_regionkey") == 2, " H").otherwise(" C")
+    line = F.format_string("ATOM  %5d  CA  %3s A%4d    %8.3f%8.3f%8.3f  1.00  0.00          %2s", k.cast("int"), F.upper(F.substring("n_name", 1, 3)), k.cast("int"), k + F.lit(0.5), F.lit(0.0), F.lit(0.0), element)
+    table(spark, sf_dir, "nation").select(line.alias("value")).write.text(path)
+    return molecular.read_pdb_atoms(spark, path).select("resseq", "resname", "x", "chain")
+
+
+@query("""SELECT 'c' || p_partkey AS complex_id, round(9.0::DOUBLE - log10(p_size), 8) AS pk, 'KD' AS kind FROM part WHERE p_partkey % 3 <> 0""")
+def affinity_lines(spark, sf_dir):
+    """Index lines with a measurement; a third has a bound instead, which is none."""
+    path, k = scratch(spark, "index"), F.col("p_partkey")
+    sign = F.when(k % 3 == 0, "<").otherwise("=")
+    table(spark, sf_dir, "part").select(F.concat(F.lit("C"), k.cast("string"), F.lit(" 2.0 2001 Kd"), sign, F.col("p_size").cast("string"), F.lit("nM // note")).alias("value")).write.text(path)
+    return molecular.read_affinity_index(spark, path).select("complex_id", r8("pk", "pk"), "kind")
+
+
+@query("SELECT r_regionkey::VARCHAR AS r_regionkey, r_name AS r_name FROM region")
+def table_round_trip(spark, sf_dir):
+    path = scratch(spark, "tsv")
+    sinks.write_tsv(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), path, ["r_regionkey"])
+    return spark.read.csv(path, sep="\t", header=True)
+
+
+@query("SELECT p_name || ' ' || p_partkey AS line, row_number() OVER (ORDER BY p_partkey) AS place FROM part")
+def smi_round_trip(spark, sf_dir):
+    path = scratch(spark, "smi")
+    sinks.write_smi(table(spark, sf_dir, "part").select("p_name", "p_partkey"), path, "p_name", "p_partkey", "p_partkey")
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.regexp_extract("value", r" (\d+)$", 1).cast("long").alias("key"), F.col("_metadata.file_name").alias("file"))
+    return ranking.global_index(lines, ["file", "key"], "place").select("line", "place")
+
+
+@query("""SELECT o_orderpriority, ((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) // 500 + 1)::BIGINT AS chunk, o_orderkey FROM orders""")
+def chunk_folders(spark, sf_dir):
+    path = scratch(spark, "chunks")
+    chunked = ranking.chunk_numbers(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], [F.col("o_orderkey")], 500)
+    sinks.write_chunks(chunked, path, "o_orderpriority", "chunk")
+    return spark.read.parquet(path).select("o_orderpriority", F.col("chunk").cast("long").alias("chunk"), "o_orderkey")
