@@ -4,14 +4,17 @@ A unit vector u is held as s*q + e with integers q in -127..127; |e| is measured
 u.v = s*t*(q.p) + error, |error| <= |s q||f| + |e||t p| + |e||f|. A tile product of the integers is exact in floating
 point; only pairs whose upper bound reaches the threshold are computed anew, in double precision on the given numbers.
 
-Equal vectors are one class with a count. Classes are dealt to tiles around pivots (a bounded number of vectors that
-only decide which tile a vector lies in); a pair of tiles whose caps lie further apart than the threshold's angle is
-skipped, which the triangle inequality on the sphere makes safe. A tile pair emits a count per vector and a spanning
-forest of its links, never the links themselves, so a large group of near copies stays linear.
+Equal vectors are one class with a count. Classes are dealt to tiles around pivots (PIVOTS at most, vectors that only
+decide which cell a vector lies in). Cells whose pivots lie further apart than the cells reach and the threshold's angle
+are skipped, then pairs of tiles whose caps do, which the triangle inequality on the sphere makes safe. The pairs of
+cells have a bound and are told to every task; the tiles and their pairs grow with the input and are joined. A tile pair
+emits a count per vector and a spanning forest of its links, never the links themselves, so a large group of near copies
+stays linear.
 
 Defined results: null vectors, zero vectors and ones with null or non-finite components link with nothing, nor do
-vectors of different lengths; repeated rows are linked copies; null ids link but never name a component; only the
-named columns are read; an empty table gives an empty result.
+vectors of different lengths; repeated rows are linked copies; rows with a null id are linked like others, so two
+vectors meet through one, but name no component (one of nameless rows alone is null); rows of one id are one node of the components; only the named columns are read;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import components, map_batches, materialize
+from siftline.llm.common import components, discard, fresh_ids, map_batches, materialize
 
-TILE_ROWS = 4096
+TILE_ROWS = 8192
+PIVOTS = 1024
 SLACK = 1e-6
 
 
@@ -114,19 +118,43 @@ def link(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_
 
     keyed = materialize(map_batches(rows, keys, "vec_id long, key binary, raw binary"), "vectors")
     classes = materialize(keyed.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.any_value("raw").alias("raw")), "classes")
-    # A class is known to the tiles by a number that its rows agree on; ids may be null or repeated.
-    found = _tile_links(classes, threshold, kind, tile_rows)
+    nameless = classes.where("rep is null").select("key")
+    if nameless.isEmpty():
+        classes = classes.withColumn("lent", F.lit(False))
+    else:  # an id for the time being
+        ids = fresh_ids(nameless, classes.where("rep is not null").select(F.col("rep").alias("id")))
+        classes = classes.join(ids, "key", "left").select("key", F.coalesce("rep", "id").alias("rep"), "n", "raw", F.col("id").isNotNull().alias("lent"))
+        classes = materialize(classes, "named-classes")
+    # A class is known to the tiles by its digest; ids may be null or repeated.
+    found = _tile_links(classes.select("key", "n", "raw"), threshold, kind, tile_rows)
     weights = found.groupBy("key").agg(F.sum("weight").alias("weight"))
-    nodes = classes.where("rep is not null").select("key", "rep")
+    nodes = classes.select("key", "rep")
     edges = found.where("parent <> key").select("key", "parent").join(nodes.select("key", F.col("rep").alias("a")), "key").join(nodes.select(F.col("key").alias("parent"), F.col("rep").alias("b")), "parent")
     comp = components(edges.select("a", "b"), "vector-components")
     info = classes.drop("raw").join(weights, "key", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    info = info.select("key", (F.col("n") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("_component"))
-    out = keyed.select("vec_id", "key").join(info, "key", "left")
-    component = F.coalesce("_component", "vec_id")
+    info = info.select("key", "rep", "lent", (F.col("n") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("_component"))
+    if not nameless.isEmpty():
+        names = info.groupBy("_component").agg(F.min(F.when(~F.col("lent"), F.col("rep"))).alias("_name"))
+        info = info.join(names, "_component").withColumn("_component", F.col("_name"))
+    out = keyed.select("vec_id", "key").join(info.select("key", "n_links", "_component"), "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("_component"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
+def _near_cells(spark, pivots: dict, reach: list, angle: float) -> DataFrame:
+    """d, cell, other: cells that may hold similar vectors, cell <= other. PIVOTS**2 / 2 rows for a length, at most."""
+    parts = []
+    for d, p in pivots.items():
+        mine = sorted((r["cell"], r["reach"]) for r in reach if r["d"] == d)
+        cells, far = np.array([c for c, _ in mine], np.int32), np.array([x for _, x in mine])
+        apart = np.arccos(np.clip(p[cells].astype(float) @ p[cells].T.astype(float), -1, 1))
+        i, j = np.nonzero(apart <= far[:, None] + far + angle)
+        i, j = i[i <= j], j[i <= j]
+        parts.append(pa.table({"d": np.full(len(i), d, np.int32), "cell": cells[i], "other": cells[j]}))
+    none = pa.table({c: pa.array([], pa.int32()) for c in ("d", "cell", "other")})
+    return spark.createDataFrame(pa.concat_tables([none, *parts]))
+
+
 def _tile_links(classes: DataFrame, threshold: float, kind, tile_rows: int) -> DataFrame:
     """key, weight (rows of other classes linked), parent (the key it hangs from): a row per class and tile pair with links."""
     spark = classes.sparkSession
@@ -135,7 +163,7 @@ def _tile_links(classes: DataFrame, threshold: float, kind, tile_rows: int) -> D
     per = {d: max(256, min(tile_rows, (1 << 21) // d)) for d, _ in lengths}
     pivots = {}
     for d, n in lengths:
-        want = min(256, math.ceil(n / per[d]))
+        want = min(PIVOTS, math.ceil(n / per[d]))
         picked = classes.where(F.octet_length("raw") == d * size).orderBy("key").select("raw").limit(want).collect()
         pivots[d] = unit(np.stack([np.frombuffer(r["raw"], kind) for r in picked])).astype(np.float32)
     sent = spark.sparkContext.broadcast(pivots)
@@ -158,33 +186,34 @@ def _tile_links(classes: DataFrame, threshold: float, kind, tile_rows: int) -> D
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         u = unit(np.stack([np.frombuffer(r, kind) for r in pdf["raw"]]))
+        pivot = sent.value[u.shape[1]][int(pdf["cell"].iloc[0])].astype(float)
+        reach = float(np.arccos(np.clip((u @ pivot / np.linalg.norm(pivot)).min(), -1, 1)))
         centre = u.mean(0)
         norm = np.linalg.norm(centre)
         centre = centre / norm if norm > 1e-9 else u[0]
         radius = float(np.arccos(np.clip((u @ centre).min(), -1, 1)))
         d, cell, sub = (int(pdf[c].iloc[0]) for c in ("d", "cell", "sub"))
-        return pd.DataFrame({"tile": [f"{d}:{cell}:{sub}"], "d": [d], "keys": [b"".join(pdf["key"])], "ns": [pdf["n"].to_numpy(np.int64).tobytes()], "raw": [b"".join(pdf["raw"])], "centre": [centre.astype(np.float32).tobytes()], "radius": [radius]})
+        return pd.DataFrame({"tile": [f"{d}:{cell}:{sub}"], "d": [d], "cell": [cell], "reach": [reach], "keys": [b"".join(pdf["key"])], "ns": [pdf["n"].to_numpy(np.int64).tobytes()], "raw": [b"".join(pdf["raw"])], "centre": [centre.astype(np.float32).tobytes()], "radius": [radius]})
 
-    tiles = materialize(tiled.groupBy("d", "cell", "sub").applyInPandas(pack, "tile string, d int, keys binary, ns binary, raw binary, centre binary, radius double"), "tiles")
-    meta = [(r["tile"], r["d"], np.frombuffer(r["centre"], np.float32), r["radius"]) for r in tiles.select("tile", "d", "centre", "radius").orderBy("tile").collect()]  # a row for some thousand vectors
-    sent_meta = spark.sparkContext.broadcast(meta)
+    tiles = materialize(tiled.groupBy("d", "cell", "sub").applyInPandas(pack, "tile string, d int, cell int, reach double, keys binary, ns binary, raw binary, centre binary, radius double"), "tiles")
+    discard(dealt)
     angle = math.acos(min(threshold, 1.0)) + 1e-3
+    reach = tiles.groupBy("d", "cell").agg(F.max("reach").alias("reach")).collect()  # PIVOTS rows for a length, at most
+    near = F.broadcast(_near_cells(spark, pivots, reach, angle))
+    one = tiles.select("d", "cell", F.col("tile").alias("ta"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
+    two = tiles.select("d", F.col("cell").alias("other"), F.col("tile").alias("tb"), F.col("centre").alias("cb"), F.col("radius").alias("rb"))
+    met = one.join(near, ["d", "cell"]).join(two.hint("merge"), ["d", "other"]).where("cell < other or ta <= tb")
 
     def neighbours():
-        m = sent_meta.value
-
         def each(b):
-            a_out, b_out = [], []
-            for i in b.column(0).to_pylist():
-                tile, d, centre, radius = m[i]
-                for other, d2, c2, r2 in m[i:]:
-                    if d == d2 and math.acos(max(-1.0, min(1.0, float(centre @ c2)))) <= radius + r2 + angle:
-                        a_out.append(tile), b_out.append(other)
-            return pa.RecordBatch.from_arrays([pa.array(a_out), pa.array(b_out)], ["ta", "tb"])
+            ta, ca, ra, tb, cb, rb = (b.column(c).to_pylist() for c in range(6))
+            close = [math.acos(max(-1.0, min(1.0, float(np.frombuffer(x, np.float32) @ np.frombuffer(y, np.float32))))) <= r + s + angle for x, y, r, s in zip(ca, cb, ra, rb, strict=True)]
+            mask = pa.array(close, pa.bool_())
+            return pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(3).filter(mask)], ["ta", "tb"])
 
         return each
 
-    pairs = map_batches(spark.range(len(meta)), neighbours, "ta string, tb string")
+    pairs = map_batches(met.select("ta", "ca", "ra", "tb", "cb", "rb"), neighbours, "ta string, tb string")
     side = lambda s: tiles.select(F.col("tile").alias(f"t{s}"), F.col("keys").alias(f"keys_{s}"), F.col("ns").alias(f"ns_{s}"), F.col("raw").alias(f"raw_{s}"), *([F.col("d")] if s == "a" else []))
     both = pairs.join(side("a"), "ta").join(side("b"), "tb").select("ta", "tb", "d", "keys_a", "ns_a", "raw_a", "keys_b", "ns_b", "raw_b")
 
@@ -208,4 +237,6 @@ def _tile_links(classes: DataFrame, threshold: float, kind, tile_rows: int) -> D
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys[at]], pa.binary()), pa.array(weight[at]), pa.array([k.tobytes() for k in keys[label[at]]], pa.binary())], ["key", "weight", "parent"])
 
-    return materialize(both.mapInArrow(products, "key binary, weight long, parent binary"), "links")
+    out = materialize(both.mapInArrow(products, "key binary, weight long, parent binary"), "links")
+    discard(tiles)
+    return out
