@@ -2,7 +2,7 @@
 
 A term is a run of letters and digits in lower case. Terms whose inverse document frequency lies in a band form the
 lexicon; a document keeps its distinct lexicon terms, sorted, and hashes those of several randomised subsets of the
-lexicon (a subset takes a term by some bits of the term's hash, a share of 1/16 to 1/512 of all), and all of them
+lexicon (a subset takes a term by some bits of the term's hash, a share of 1/32 to 1/1024 of all), and all of them
 together. Likeness of two fingerprints is the share of equal hashes among the subsets in which either has a term.
 
 The band bounds the lexicon: a term in it occurs in at least `low` of all documents, so there are at most (mean number
@@ -10,22 +10,27 @@ of distinct terms of a document) / low of them. It becomes one constant array of
 
 Defined results: a null text is an empty one; a document without a term in the band keeps all its terms instead; texts
 without terms have the empty fingerprint and are alike to each other; repeated rows have equal fingerprints; null ids
-come last in descending order; an empty table gives an empty result; only the named columns are read.
+come last in descending order; rows of one id, or of none, come in the order of a hash of their texts; an empty table
+gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Share of documents that a lexicon term occurs in: idf from ln 5 to ln 256.
 LOW, HIGH = 1 / 256, 1 / 5
 SLOTS = 1 << 13
-#: Subsets of the lexicon: first bit of the term's hash, number of bits, the value they must have.
-SUBSETS = [
-    (0, 4, 0), (4, 5, 0), (9, 6, 0), (15, 6, 1), (21, 7, 0), (28, 7, 1), (35, 7, 2), (42, 7, 3),
-    (49, 8, 0), (56, 8, 1), (2, 8, 171), (11, 8, 77), (19, 8, 182), (26, 9, 301), (33, 9, 107), (44, 9, 450),
-]
+#: Subsets of the lexicon: first bit of the term's hash, number of bits, the value they must have. Shares of 1/32 to
+#: 1/1024, as many of each: the large ones serve short texts, the small ones texts of which only a part is the same.
+SUBSETS = [((11 * k) % (64 - bits), bits, (40503 * (k + 1)) % (1 << bits)) for k in range(48) for bits in (5 + k % 6,)]
+#: Ranges of ids for each shuffle partition, and ranges at most.
+RANGES, MOST_RANGES = 8, 1 << 16
+GROUP = 256
 
 
 def terms(text: Column) -> Column:
@@ -74,24 +79,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either > 0, count(lambda x, y: F.coalesce(x == y, F.lit(False))) / either).otherwise(1.0)
 
 
+def _constant(values: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def _range_of(order: Column, tie: Column, bounds: list[int]) -> Column:
+    """struct(at, sub): which range a row is in, ascending with (order, tie). `bounds` is sorted; one that occurs k times
+    stands for as many ranges' worth of rows, which are dealt to k parts by their tie, a hash."""
+    cuts = sorted(set(bounds))
+    times = {v: n for v, n in Counter(bounds).items() if n > 1}
+    if not cuts:
+        return F.struct(F.lit(0).alias("at"), F.lit(0).alias("sub"))
+    groups = [cuts[i : i + GROUP] for i in range(0, len(cuts), GROUP)]
+    below = lambda values: F.size(F.filter(values, lambda b: b < order))
+    group = below(_constant([g[-1] for g in groups], "array<bigint>"))
+    within = F.when(group < len(groups), below(F.element_at(_constant(groups, "array<array<bigint>>"), F.least(group + 1, F.lit(len(groups))))))
+    at = group * GROUP + F.coalesce(within, F.lit(0))
+    if not times:
+        return F.struct(at.alias("at"), F.lit(0).alias("sub"))
+    heavy = F.array_position(_constant(list(times), "array<bigint>"), order).cast("int")
+    parts = F.element_at(_constant(list(times.values()), "array<bigint>"), F.greatest(heavy, F.lit(1)))
+    sub = F.shiftright((F.shiftright(tie, 33) + (1 << 30)) * parts, 31).cast("int") + 1
+    return F.struct(at.alias("at"), F.when(heavy > 0, sub).otherwise(0).alias("sub"))
+
+
 def with_next(rows: DataFrame, id_col: str, carried: list[str], tie: Column) -> DataFrame:
     """Adds next_<c> for carried columns: those of the next row in descending id, of the first after the last.
 
-    Rows go to ranges of ids. The first row of a range is also dealt to the range before it, as a guest behind the
-    last row there, so no row needs another range.
+    Rows go to ranges of ids, several to a shuffle partition so that these even out. The first row of a range is also
+    dealt to the range before it, as a guest behind the last row there, so no row needs another range.
     """
-    spark = rows.sparkSession
-    n = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8), 2048)
+    n = min(RANGES * max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), MOST_RANGES)
     order = F.coalesce(F.bitwise_not(F.col(id_col)), F.lit((1 << 63) - 1))  # ascending where ids descend, nulls last
     keyed = rows.withColumn("_order", order).withColumn("_tie", tie)
-    bounds = keyed.agg(F.percentile_approx("_order", [i / n for i in range(1, n)], 10_000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    at = F.lit(0) if not bounds else F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("_order")))
-    keyed = keyed.withColumn("_range", at)
+    shares = ",".join(f"{i / n:.9g}D" for i in range(1, n))
+    bounds = keyed.agg(F.expr(f"percentile_approx(_order, array({shares}), {max(10_000, 4 * n)})").alias("b")).first()["b"] or []
+    keyed = keyed.withColumn("_range", _range_of(F.col("_order"), F.col("_tie"), sorted(bounds)))
     heads = keyed.groupBy("_range").agg(F.min(F.struct("_order", "_tie")).alias("_head"))
     by_range = Window.orderBy("_range")  # a row per range
     heads = heads.select("_head", F.coalesce(F.lag("_range").over(by_range), F.max("_range").over(Window.partitionBy())).alias("_guest_of"))
-    # a row per range, 2048 at most
+    # a row per range, 2 * MOST_RANGES at most
     joined = keyed.withColumn("_head", F.struct("_order", "_tie")).join(F.broadcast(heads), "_head", "left")
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("_guest_of").alias("r"), F.lit(True).alias("guest"))
