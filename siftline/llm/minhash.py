@@ -14,8 +14,9 @@ hub, by the triangle inequality of Jaccard distance (an estimate misses such a p
 that the union sketch allows are verified on full sets. No list is cut or dropped.
 
 Defined results: texts are lower-cased in A-Z; null texts and texts without words have the empty set and link with
-nothing; fewer than w words are one shingle; repeated rows are copies and share their links; rows with a null id have
-their own set but name no component; only the named columns are read; an empty table gives an empty result.
+nothing; fewer than w words are one shingle; repeated rows are copies and share their links; rows with a null id are
+linked like others, so two documents meet through one, but name no component (one of nameless rows alone is null); rows of one id are one node of the components; only
+the named columns are read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import components, discard, map_batches, materialize, own_memory, texts_of
+from siftline.llm.common import components, discard, fresh_ids, map_batches, materialize, own_memory, texts_of
 
 K = 32
 BLOCK = 128
@@ -278,9 +279,15 @@ def _list_links(lists: DataFrame, compared: DataFrame, comp: DataFrame, texts: D
 def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union of shingle sets."""
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
+    nameless, ids = docs.where("doc_id is null and text is not null"), None
+    if not nameless.isEmpty():  # each of their texts gets an id of its own for the time being
+        key = F.md5(F.col("text").cast("binary"))
+        ids = fresh_ids(nameless.select(key.alias("key")).distinct(), docs.select(F.col("doc_id").alias("id")))
+        lent = nameless.withColumn("key", key).join(ids, "key").select(F.col("id").alias("doc_id"), "text")
+        docs = docs.where("doc_id is not null or text is null").unionByName(lent)
     whole = materialize(sets(docs, width, k), "sets")
     classes = whole.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
-    classes = materialize(classes.where("rep is not null"), "set-classes")
+    classes = materialize(classes, "set-classes")
     lists = _lists(classes, k, percent)
     texts = _texts(lists, docs)
     first, lists = _meet_hub(lists, classes, texts, width, k, percent)
@@ -292,7 +299,12 @@ def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: s
     more = _hub_links(compared, comp, percent).unionByName(_list_links(lists, compared, comp, texts, width, k, percent))
     comp = components(links.unionByName(more), "components")
     named = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component_id", "rep").alias("_component"))
-    out = whole.select("doc_id", "n", "key").join(named, "key", "left")
-    component = F.coalesce("_component", "doc_id")
+    whole = whole.select("doc_id", "n", "key")
+    if ids is not None:
+        lent = ids.select(F.col("id").alias("doc_id"), F.lit(True).alias("_lent"))
+        whole = whole.join(lent, "doc_id", "left").select(F.when(F.col("_lent").isNull(), F.col("doc_id")).alias("doc_id"), "n", "key")
+        smallest = named.join(whole.groupBy("key").agg(F.min("doc_id").alias("own")), "key").groupBy("_component").agg(F.min("own").alias("_name"))
+        named = named.join(smallest, "_component").select("key", F.col("_name").alias("_component"))
+    out = whole.join(named, "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
-
