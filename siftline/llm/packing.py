@@ -6,12 +6,15 @@ in runs: the tree works on a histogram of lengths (at most `capacity` entries),
 (length, rank among pieces of that length). The plan's size depends on the capacity, not on the corpus. Pieces get
 their rank by a distributed count and look their place up in the plan.
 
+Ids are those of the library's plain call: the string of a special token in a text becomes that token.
+
 Defined results: a null text is an empty one, a single end token; repeated rows are packed each; null ids stay null;
 an empty table gives no pieces; other columns are not read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import defaultdict
@@ -40,19 +43,40 @@ class _Memo(dict):
         return value
 
 
+#: How a definition must normalise and cut for texts to be encoded by chunks. Fixed values.
+BY_CHUNKS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def by_chunks(definition: str) -> bool:
+    """Does this tokenizer cut at white space, lower-case, and have no special token that a plain word could hold?"""
+    known = json.loads(definition)
+    odd = [t for t in known["added_tokens"] if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not re.search(r"[<>{}\[\]#@_~^]", t["content"]) or re.search(r"\s", t["content"])]
+    return not odd and not known["truncation"] and known["post_processor"] is None and all(known[k] == v for k, v in BY_CHUNKS.items())
+
+
 class WordCodec:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so texts are cut there and each distinct chunk is encoded
-    once. A chunk of Latin-1 letters with at most one mark behind it is two pre-tokens in lower case, which go straight
-    to the tokenizer's merges; other chunks go through the whole tokenizer.
+    A tokenizer that `by_chunks` drops white space and never joins across it, so texts are cut there and each distinct
+    chunk is encoded once. A chunk of Latin-1 letters with at most one mark behind it is two pre-tokens in lower case,
+    which go straight to the tokenizer's merges; other chunks go through the whole tokenizer. Texts for any other
+    tokenizer go through it whole.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.by_chunks = by_chunks(definition)
         self.plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([,.;:!?|]?)").fullmatch
         self.merge, self.letters = self.tokenizer.model.tokenize, dict(enumerate(byte_letters()))
         self.chunks, self.older = _Memo(self.encode_chunk), {}
@@ -67,9 +91,14 @@ class WordCodec:
             return old
         if m := self.plain(chunk):
             return self.words[m[1].lower()] + (self.words[m[2]] if m[2] else b"")
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.encode_whole(chunk)
+
+    def encode_whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if not self.by_chunks:
+            return self.encode_whole(text)
         if len(self.chunks) > MEMO:
             self.older, self.chunks = dict(self.chunks), _Memo(self.encode_chunk)
         if len(self.words) > MEMO:
