@@ -150,30 +150,61 @@ def test_empty_and_null_ids_in_repeats(spark):
     assert got == [(50, 50), (50, 50), (54, 50)]
 
 
-def test_repeated_lines_equal_brute_force(spark):
-    rng = random.Random(9)
-    pool = [" ".join(rng.choice(["Ab", "cd,", "ef!", "gh", "ïj"]) for _ in range(rng.randrange(1, 9))) for _ in range(30)]
-    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 9))) for _ in range(40)] + [None, "", "\n\n", "a,b,c,d,e", "A B C D E", "a b c d\n" * 3]
+def brute_lines(texts, min_words):
+    """Units, removed units, (start, past the end) of runs and kept text, from the rule: pieces up to sentence marks or
+    newlines; runs of pieces that an earlier one repeats, of min_words words and more, go."""
     seen, want = set(), {}
     for d, t in enumerate(texts):
-        kept, gone, at = [], [], 0
-        lines = t.split("\n") if t else []
-        for line in lines:
-            plain = " ".join("".join(c if c.isalnum() else " " for c in line.lower()).split())
-            if len(plain.split()) >= 5 and plain in seen:
-                gone += [at, at + len(line)]
-            else:
-                kept.append(line)
+        pieces, at, t = [], 0, t or ""
+        while at < len(t):
+            end = at
+            while end < len(t) and t[end] not in "\n.!?":
+                end += 1
+            while end < len(t) and t[end] in ".!?":
+                end += 1
+            end = max(end, at + 1)
+            plain = " ".join("".join(c if c.isalnum() else " " for c in t[at:end].lower()).split())
+            if plain:
+                pieces.append((at, end, plain, plain in seen))
                 seen.add(plain)
-            at += len(line) + 1
-        want[d] = (len(lines), gone, "\n".join(kept) if gone else t)
+            at = end
+        cut, run = [], []
+        for piece in [*pieces, (0, 0, "", False)]:
+            if piece[3]:
+                run.append(piece)
+                continue
+            if sum(len(p[2].split()) for p in run) >= min_words:
+                cut.append((run[0][0], run[-1][1], len(run)))
+            run = []
+        kept = "".join(c for i, c in enumerate(t) if not any(x <= i < y for x, y, _ in cut))
+        want[d] = (len(pieces), sum(n for *_, n in cut), [v for x, y, _ in cut for v in (x, y)], kept)
+    return want
+
+
+@pytest.mark.parametrize("min_words", [1, 5, 12])
+def test_repeated_lines_equal_brute_force(spark, min_words):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice(["Ab", "cd,", "ef!", "gh", "ïj", "3.5", "?!", "k."]) for _ in range(rng.randrange(1, 9))) for _ in range(30)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 9))) for _ in range(40)] + [None, "", "\n\n", "a,b,c,d,e", "A B C D E", "a b c d\n" * 3, "...", "ab. cd\n", texts_tail := "x y z. " * 5, texts_tail]
     df = documents(spark, texts).withColumn("removed", F.lit(1)).withColumn("digest", F.lit(2))
-    got = line_dedup.remove_repeated_lines(df)
+    got = line_dedup.remove_repeated_lines(df, min_words)
     assert got.columns == ["doc_id", "text", "digest", "n_units", "n_removed", "removed"]
-    assert {r["doc_id"]: (r["n_units"], list(r["removed"]), r["text"]) for r in got.collect()} == want
+    want = brute_lines(texts, min_words)
+    assert {r["doc_id"]: (r["n_units"], r["n_removed"], list(r["removed"]), r["text"] or "") for r in got.collect()} == want
     assert line_dedup.remove_repeated_lines(df.limit(0)).count() == 0
-    twice = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e")], DOCS)
-    assert sorted(r["n_removed"] for r in line_dedup.remove_repeated_lines(twice).collect()) == [0, 1, 1]
+
+
+def test_common_lines_are_met_everywhere(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 8)
+    texts = [f"same line here\nown {i}\nin pairs {i // 2}" for i in range(60)]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.remove_repeated_lines(documents(spark, texts), 1).collect()}
+    assert got == {i: int(i > 0) + i % 2 for i in range(60)}
+
+
+def test_lines_of_repeated_rows(spark):
+    twice = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e")], DOCS)
+    got = line_dedup.remove_repeated_lines(twice, 5)
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in got.collect()) == [("1", 1), ("1", 1), ("2", 1), ("None", 0)]
 
 
 def brute_near(texts, width, percent):
@@ -230,6 +261,30 @@ def test_near_copies_of_nothing(spark):
     assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in got) == [("3", "3", True), ("3", "3", True), ("5", "5", True), ("None", "3", False)]
 
 
+def test_null_ids_link_their_neighbours(spark):
+    words = [f"w{i}" for i in range(120)]
+    text = lambda n: " ".join([*words[n:], *[f"x{i}" for i in range(n)]])  # noqa: E731  at 85 %: 0 and 8 are near, 8 and 16, but not 0 and 16
+    for middle in (None, 3):
+        rows = [(1, text(0)), (middle, text(8)), (2, text(16)), (None, "all alone in here"), (None, "all alone in here")]
+        got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.link(spark.createDataFrame(rows, DOCS), 3, 85).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, [(1, 1, True), (middle, 1, False), (2, 1, False), (None, None, False), (None, None, False)]))
+
+
+def test_null_ids_link_their_vectors(spark):
+    at = lambda degrees: [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+    for middle in (None, 3):
+        rows = [(1, at(0)), (middle, at(15)), (2, at(30)), (None, at(120)), (4, at(200)), (2, at(270))]  # rows of one id are one node
+        got = [(r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, [(1, 1, 1), (middle, 2, 1), (2, 1, 1), (None, 0, None), (4, 0, 4), (2, 0, 1)]))
+
+
+def test_lent_ids_are_free(spark):
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    clash = keys.where("key <> 'c'").select(F.xxhash64("key", F.lit(0)).alias("id"))
+    got = common.fresh_ids(keys, clash).collect()
+    assert sorted(r["key"] for r in got) == ["a", "b", "c"] and len({r["id"] for r in got} | {r["id"] for r in clash.collect()}) == 5
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["component_id"] for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -296,6 +351,61 @@ def test_fingerprints(spark):
     assert len(one) == 1 and one[0]["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
 
 
+def spark_hash(data: bytes, seed=42) -> int:
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(data, seed % (1 << 64))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_fingerprints(texts, low=fingerprint.LOW, high=fingerprint.HIGH):
+    import regex
+
+    bags = [{spark_hash(w.encode()) for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w} for t in texts]
+    df = Counter(t for bag in bags for t in bag)
+    lexicon = {t for t, n in df.items() if low * len(texts) <= n <= high * len(texts)}
+
+    def prints(text):
+        bag = {spark_hash(w.encode()) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+        kept = sorted(bag & lexicon or bag)
+
+        def digest(some):
+            h = 42
+            for t in some:
+                h = spark_hash(int(t).to_bytes(8, "little", signed=True), h)
+            return f"{h % (1 << 64):016x}" if some else "-"
+
+        return [*(digest([t for t in kept if (t % (1 << 64)) >> s & ((1 << b) - 1) == v]) for s, b, v in fingerprint.SUBSETS), digest(kept)]
+
+    return prints
+
+
+def test_fingerprints_equal_brute_force(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words[: rng.choice([20, 400])]) for _ in range(rng.randrange(1, 150))) for _ in range(80)] + [None, "", "ÀÉ b", "?"]
+    prints, ends = brute_fingerprints(texts), edited(texts)
+    alike = lambda a, b: (lambda either: sum(x == y for x, y in either) / len(either) if either else 1.0)([p for p in zip(a, b, strict=True) if p != ("-", "-")])
+    for r in fingerprint.compare_with_edited(documents(spark, texts)).collect():
+        i = r["doc_id"]
+        own, other, following = (prints(t) for t in (texts[i] or "", ends[i], texts[(i - 1) % len(texts)] or ""))
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (".".join(own), ".".join(other))
+        assert abs(r["near_edited"] - alike(own, other)) < 1e-12 and abs(r["near_next"] - alike(own, following)) < 1e-12
+
+
+@pytest.mark.parametrize("most", [4, 64])
+def test_next_rows_of_shared_and_null_ids(spark, monkeypatch, most):
+    monkeypatch.setattr(fingerprint, "MOST_RANGES", most)
+    monkeypatch.setattr(fingerprint, "GROUP", 3)
+    rng = random.Random(most)
+    rows = [(rng.choice([None, 7, 7, rng.randrange(-50, 50)]), f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("tie", F.xxhash64("text"))
+    got = fingerprint.with_next(df, "doc_id", ["text"], F.col("tie")).collect()
+    inside = lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["tie"])
+    order = [r["text"] for r in sorted(got, key=inside)]
+    assert {r["text"]: r["next_text"] for r in got} == {a: b for a, b in zip(order, order[1:] + order[:1], strict=True)} and len(got) == 300
+
+
 def test_fingerprint_of_an_empty_table(spark):
     assert fingerprint.compare_with_edited(documents(spark, ["x"]).limit(0)).count() == 0
 
@@ -370,8 +480,8 @@ def test_packing_round_trip(spark):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    texts = [*ODD, None, "word " * 900, "Wörter, und. mehr; 12%%% " * 40]
+    assert t.encode("<|endoftext|> a", add_special_tokens=False).ids == [49407, 320]
+    texts = [*ODD, "b<|startoftext|>c <|ENDOFTEXT|>", None, "word " * 900, "Wörter, und. mehr; 12%%% " * 40]
     ids = [np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4") for x in texts]
     df = documents(spark, texts).withColumn("length", F.lit(9))
     got = packing.pack(packing.pieces(df, path, capacity=64), 64).collect()
@@ -391,6 +501,15 @@ def test_packing_round_trip(spark):
     assert packing.pack(packing.pieces(df.limit(0), path), 2048).count() == 0
 
 
+def test_other_tokenizers_are_read_whole():
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        definition = open(public_tokenizers.path(name), encoding="utf-8").read()
+        codec = packing.WordCodec(definition)
+        assert codec.by_chunks == name.startswith("word")
+        for text in ODD:
+            assert codec.encode(text) == np.array(codec.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_archive_round_trip_and_lookup(spark):
     rows = [(4, "http://www.a.com/x?q=1#f", "same"), (2, "https://a.com:443/x?q=1", "same"), (9, "http://b.org", None), (7, "http://b.org", ""), (5, "http://[bad", "ünï\r\n\r\n"), (6, None, "same"), (None, "http://c.net/ä b", "same"), (2, "http://a.com/2", "same")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("id", F.lit("clash"))
