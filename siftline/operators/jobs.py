@@ -66,11 +66,11 @@ def outcomes(jobs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def rank_poses(records: DataFrame, protocol: str, state: str, order: Sequence[str]) -> DataFrame:
-    """Adds pose_rank, pose_id and ligand_record_index (1-based over protocols, the given order, states)."""
+    """Adds pose_rank, pose_id and ligand_record_index (1-based over protocols, the given order, states, ranks)."""
     w = Window.partitionBy(protocol, state).orderBy(*order)
     ranked = records.withColumn("pose_rank", F.row_number().over(w).cast("long"))
     ranked = ranked.withColumn("pose_id", pose_id(protocol, state, "pose_rank"))
-    return global_index(ranked, [protocol, *order, state], "ligand_record_index")
+    return global_index(ranked, [protocol, *order, state, "pose_rank"], "ligand_record_index")
 
 
 def require_complete(records: DataFrame, scheduled: DataFrame, protocol: str, state: str, modes: int) -> None:

@@ -328,8 +328,10 @@ def job_seeds(spark, sf_dir):
     return jobs.plan_jobs(table(spark, sf_dir, "lineitem").select("l_returnflag", *POSE_KEY), "l_returnflag", POSE_KEY, 100, 20260805)
 
 
-@query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag || '|' || l_orderkey || '|' || row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS pose_id,
-row_number() OVER (ORDER BY l_returnflag, l_partkey, l_suppkey, l_linenumber, l_orderkey) AS ligand_record_index FROM lineitem""")
+# line items that agree in every order column are told apart by their rank
+@query("""WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS k FROM lineitem)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag || '|' || l_orderkey || '|' || k AS pose_id,
+row_number() OVER (ORDER BY l_returnflag, l_partkey, l_suppkey, l_linenumber, l_orderkey, k) AS ligand_record_index FROM r""")
 def pose_ranks(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select("l_returnflag", *POSE_KEY)
     return jobs.rank_poses(items, "l_returnflag", "l_orderkey", POSE_KEY[1:]).select(*POSE_KEY, "pose_id", "ligand_record_index")
