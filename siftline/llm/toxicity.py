@@ -10,7 +10,7 @@ rare expressions say little by themselves.
 
 The two log-likelihoods of a whole text are compared a letter: evidence is their difference over the number of letters
 and word ends. A logistic curve turns it into a probability: it is fitted on a sample of labelled rows that the counts
-leave out; then these rows are counted too, so that the counts cover every labelled row, word and context. A word
+leave out, and short texts are drawn to the base rate, since a few words prove little; then these rows are counted too, so that the counts cover every labelled row, word and context. A word
 counts once in a document, so that repetitions prove nothing. No count is capped, cut off or dropped.
 
 Log ratios of strings of ORDER letters, and of contexts for letters never seen behind them, are a table in the shared
@@ -44,6 +44,8 @@ BEGIN, END = "\x02", "\x03"
 SENT = 1 << 20
 #: Words that a task remembers, and those it counts before it hands on what it has.
 REMEMBERED = 1 << 18
+#: Letters of a text whose evidence weighs as much as the base rate.
+NEUTRAL = 100
 #: Letters that are looked at together.
 SLICE = 1 << 19
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(ORDER)], np.uint64)
@@ -351,7 +353,7 @@ def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> Da
         more = _missing(df, model, sent, text_col, key).toDF("_siftline_k1", "_siftline_k2", "_siftline_more")
         out = out.join(more.hint("merge"), ["_siftline_k1", "_siftline_k2"], "left")
         total += F.coalesce("_siftline_more", F.lit(0.0))
-    return out.select(*keep, F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters")).alias("_siftline_x"))
+    return out.select(*keep, F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters")).alias("_siftline_x"), (F.col("_siftline_letters") / (F.col("_siftline_letters") + NEUTRAL)).alias("_siftline_w"))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -359,5 +361,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
     keep = [c for c in without(df, "toxic_score") if keep is None or c in keep]
     if not model.fitted:
         return df.select(*keep).withColumn("toxic_score", F.lit(model.base))
-    z = F.least(F.greatest(model.shift + model.slope * F.col("_siftline_x"), F.lit(-40.0)), F.lit(40.0))
-    return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x")
+    base = float(np.log(model.base / (1 - model.base)))  # both classes have rows
+    z = F.col("_siftline_w") * (model.shift + model.slope * F.col("_siftline_x")) + (1 - F.col("_siftline_w")) * base
+    z = F.least(F.greatest(z, F.lit(-40.0)), F.lit(40.0))
+    return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x", "_siftline_w")

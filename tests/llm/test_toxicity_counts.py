@@ -109,7 +109,7 @@ def test_odd_tables(spark, labelled):
     got = toxicity.score(odd, model)
     assert got.columns == ["id", "text", "toxic_score"]
     scores = [r["toxic_score"] for r in got.collect()]
-    assert all(0 <= x <= 1 for x in scores) and abs(scores[0] - scores[1]) < 1e-9 and scores[2] == scores[3] == scores[4] == model.base
+    assert all(0 <= x <= 1 for x in scores) and scores[0] > scores[1] > model.base and scores[2] == scores[3] == scores[4] == model.base
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
