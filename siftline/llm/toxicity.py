@@ -9,9 +9,10 @@ letters stand before a string, in either class. A context that a class has not s
 rare expressions say little by themselves.
 
 The two log-likelihoods of a whole text are compared a letter: evidence is their difference over the number of letters
-and word ends. A logistic curve turns it into a probability: it is fitted on a sample of labelled rows that the counts
-leave out, and short texts are drawn to the base rate, since a few words prove little; then these rows are counted too, so that the counts cover every labelled row, word and context. A word
-counts once in a document, so that repetitions prove nothing. No count is capped, cut off or dropped.
+and word ends. A logistic curve turns it into a probability. A few words prove little, so the curve is drawn to the base
+rate by a weight that the letters of a text's different words give it (repetitions prove nothing). It is fitted, weights
+included, on a sample of labelled rows that the counts leave out; then these rows are counted too, so that the counts
+cover every labelled row, word and context. A word counts once in a document. No count is capped, cut off or dropped.
 
 Log ratios of strings of ORDER letters, and of contexts for letters never seen behind them, are a table in the shared
 folder, as long as the labelled rows make it. The SENT most frequent ones are sent to executors; a text's strings that
@@ -44,7 +45,7 @@ BEGIN, END = "\x02", "\x03"
 SENT = 1 << 20
 #: Words that a task remembers, and those it counts before it hands on what it has.
 REMEMBERED = 1 << 18
-#: Letters of a text whose evidence weighs as much as the base rate.
+#: Letters of different words whose evidence weighs as much as the base rate.
 NEUTRAL = 100
 #: Letters that are looked at together.
 SLICE = 1 << 19
@@ -162,8 +163,10 @@ class Reader:
             self.learn(new)
         return lists
 
-    def sums(self, words: list[str]) -> tuple[float, int]:
-        return sum(map(self.total.__getitem__, words)), sum(map(len, words)) + len(words)
+    def sums(self, words: list[str]) -> tuple[float, int, int]:
+        """Log ratios, and letters and word ends: all, and those of different words."""
+        kinds = set(words)
+        return sum(map(self.total.__getitem__, words)), sum(map(len, words)) + len(words), sum(map(len, kinds)) + len(kinds)
 
 
 def _count(rows: DataFrame) -> DataFrame:
@@ -270,22 +273,27 @@ def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
     others = _ratios(counts, F.col("n0") - F.col("h0"), F.col("n1") - F.col("h1"))
     if others is not None:
         sample = _evidence(rows.where(held).select("text", "toxic"), _split(model, others), "text", ["toxic"])
-        got = np.array([tuple(r) for r in sample.select("_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 2)  # `calibration` rows
+        got = np.array([tuple(r) for r in sample.select("_siftline_x", "toxic", "_siftline_w").where("_siftline_x is not null").collect()], float).reshape(-1, 3)  # `calibration` rows
         discard(others)
         if len(set(got[:, 1])) == 2:
-            model.slope, model.shift = fit_logistic(got[:, 0], got[:, 1])
+            model.slope, model.shift = fit_logistic(*got.T, logit(model.base))
             model = replace(_split(model, _ratios(counts, F.col("n0"), F.col("n1"))), fitted=True)
     discard(counts)
     return model
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (never negative) and shift by damped Newton steps with a weak ridge on the slope."""
+def logit(p: float) -> float:
+    return float(np.log(p / (1 - p)))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, base: float) -> tuple[float, float]:
+    """Slope (never negative) and shift of w * (shift + slope * x) + (1 - w) * base, by damped Newton steps with a weak
+    ridge on the slope."""
     mean, sd = x.mean(), x.std() or 1.0
-    z = np.stack(((x - mean) / sd, np.ones_like(x)))
-    b = np.zeros(2)
+    z = np.stack(((x - mean) / sd, np.ones_like(x))) * w
+    b = np.array([0.0, base])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(b @ z, -40, 40)))
+        p = 1 / (1 + np.exp(-np.clip(b @ z + (1 - w) * base, -40, 40)))
         step = np.linalg.solve((z * (p * (1 - p))) @ z.T + np.diag([1e-2, 1e-6]), z @ (p - y) + np.array([1e-2, 0]) * b)
         b -= np.clip(step, -2, 2)
     slope = max(b[0], 0.0) / sd
@@ -324,7 +332,7 @@ def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]
 
 
 def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
-    """The columns `keep` of df and _siftline_x, null without words."""
+    """The columns `keep` of df, _siftline_x (null without words) and its weight _siftline_w."""
     sent = df.sparkSession.sparkContext.broadcast(model.sent)
     kinds, whole = dict(df.dtypes), model.joined is None
     key = [F.xxhash64(df[text_col]), F.xxhash64(df[text_col], F.lit(1))]
@@ -336,24 +344,26 @@ def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> Da
         reader = Reader(sent.value, whole)
 
         def each(batch):
-            total, letters = [], []
+            total, letters, own_letters = [], [], []
             for begin in range(0, batch.num_rows, 256):
                 for words in reader.read([t or "" for t in batch.column(at).slice(begin, 256).to_pylist()]):
-                    x, n = reader.sums(words)
-                    total.append(x), letters.append(n)
+                    x, n, own_n = reader.sums(words)
+                    total.append(x), letters.append(n), own_letters.append(own_n)
             own = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            return pa.RecordBatch.from_arrays([*own, pa.array(total, pa.float64()), pa.array(letters, pa.int64())], [*carried, "_siftline_total", "_siftline_letters"])
+            sums = pa.array(total, pa.float64()), pa.array(letters, pa.int64()), pa.array(own_letters, pa.int64())
+            return pa.RecordBatch.from_arrays([*own, *sums], [*carried, "_siftline_total", "_siftline_letters", "_siftline_kinds"])
 
         return each
 
     kinds |= {"_siftline_k1": "bigint", "_siftline_k2": "bigint"}
-    out = map_batches(rows, make, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "_siftline_total double, _siftline_letters long"]))
+    out = map_batches(rows, make, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "_siftline_total double, _siftline_letters long, _siftline_kinds long"]))
     total = F.col("_siftline_total")
     if not whole:
         more = _missing(df, model, sent, text_col, key).toDF("_siftline_k1", "_siftline_k2", "_siftline_more")
         out = out.join(more.hint("merge"), ["_siftline_k1", "_siftline_k2"], "left")
         total += F.coalesce("_siftline_more", F.lit(0.0))
-    return out.select(*keep, F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters")).alias("_siftline_x"), (F.col("_siftline_letters") / (F.col("_siftline_letters") + NEUTRAL)).alias("_siftline_w"))
+    x = F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters"))
+    return out.select(*keep, x.alias("_siftline_x"), (F.col("_siftline_kinds") / (F.col("_siftline_kinds") + NEUTRAL)).alias("_siftline_w"))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -361,7 +371,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
     keep = [c for c in without(df, "toxic_score") if keep is None or c in keep]
     if not model.fitted:
         return df.select(*keep).withColumn("toxic_score", F.lit(model.base))
-    base = float(np.log(model.base / (1 - model.base)))  # both classes have rows
-    z = F.col("_siftline_w") * (model.shift + model.slope * F.col("_siftline_x")) + (1 - F.col("_siftline_w")) * base
+    w = F.col("_siftline_w")
+    z = w * (model.shift + model.slope * F.col("_siftline_x")) + (1 - w) * logit(model.base)  # both classes have rows
     z = F.least(F.greatest(z, F.lit(-40.0)), F.lit(40.0))
     return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x", "_siftline_w")
