@@ -64,3 +64,41 @@ kept AS (SELECT o.doc_id, string_agg(o.piece, '' ORDER BY o.i) AS t FROM offsets
 SELECT d.doc_id, (SELECT count(*) FROM units u WHERE u.doc_id = d.doc_id)::BIGINT AS n_units, coalesce(p.n_removed, 0)::BIGINT AS n_removed,
     coalesce(p.removed_chars, 0)::BIGINT AS removed_chars, coalesce(p.removed, '') AS removed, sha256(coalesce(k.t, '')) AS kept_sha256, coalesce(k.t, '') AS text
 FROM docs d LEFT JOIN per_doc p ON p.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+
+def _centroids(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64, seed: int = 1) -> str:
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c, e FROM (SELECT * FROM v ORDER BY sha256('{seed}:' || vec_id) LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        distance = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))::BIGINT"
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, vec_id, e, c, d FROM (SELECT v.r, v.vec_id, v.e, c.c, {distance} AS d FROM v CROSS JOIN c{i} AS c)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(e) AS x, unnest(range({dims})) AS i FROM a{i}) GROUP BY c, i)""")
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.e, c{i}.e) AS e FROM c{i}
+    LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM s{i} GROUP BY c) m USING (c))""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(f.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN (SELECT c, e FROM c{rounds}) f USING (c)"""
+
+
+CENTROIDS = _centroids()
+
+SEARCH = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+size AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS total FROM docs WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+items AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT q, t, count(*)::BIGINT AS times FROM (SELECT q, unnest(w) AS t FROM items) GROUP BY q, t),
+weights AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, size WHERE t IN (SELECT t FROM asked) GROUP BY t, n_docs),
+sizes AS (SELECT r, doc_id, 100 - 75 + (75 * len(w)::BIGINT * n_docs) // total AS m FROM docs, size WHERE len(w) > 0),
+scores AS (SELECT q, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (t) JOIN tf USING (t) JOIN sizes USING (r) GROUP BY q, r, doc_id),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= 10"""

@@ -6,8 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, minhash, packing, suffix_array, toxicity, warc
-from siftline.llm import oracles
+from siftline.llm import byte_bpe, centroids, embedding_dedup, fingerprint, language_id, line_dedup, minhash, oracles, packing, quality_rules, ranked_search, suffix_array, toxicity, warc
 from siftline.llm.common import table
 
 
@@ -62,8 +61,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op5_fingerprint, op6_language_id, op7_line_dedup, op8_best_fit_packing, op9_warc, op10_toxicity)
+    for f in (op1_byte_bpe, op2_suffix_dedup, op3_minhash, op4_embedding_dedup, op5_fingerprint, op6_language_id, op7_line_dedup, op8_best_fit_packing, op9_warc, op10_toxicity,
+              op11_centroid_clustering, op12_ranked_search, op13_quality_rules)
 }
-ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op7_line_dedup": oracles.LINES, "op9_warc": oracles.WARC}
+ORACLE_SQL: dict[str, str] = {"op3_minhash": oracles.MINHASH, "op4_embedding_dedup": oracles.EMBEDDINGS, "op7_line_dedup": oracles.LINES, "op9_warc": oracles.WARC,
+                              "op11_centroid_clustering": oracles.CENTROIDS, "op12_ranked_search": oracles.SEARCH}
