@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftline.operators.quantiles import exact_median
+
 # Default bounds of the hard filter, inclusive.
 HARD_BOUNDS = {
     "heavy_atoms": (10, 70), "mw": (180.0, 650.0), "clogp": (-1.5, 6.5), "tpsa": (15.0, 180.0),
@@ -55,8 +57,7 @@ def reason_counts(df: DataFrame, column: str = "hard_filter_reasons") -> DataFra
 
 def at_most_median(df: DataFrame, value: str) -> DataFrame:
     """Rows whose value is at most the exact median of all rows."""
-    median = df.agg(F.median(value).alias("m")).scalar()
-    return df.where(F.col(value) <= median)
+    return df.where(F.col(value) <= F.lit(exact_median(df, value)))
 
 
 def in_scope(df: DataFrame, channel: str, allowed: Sequence[str], parent: str, order: Sequence[str], max_parents: int = 0) -> DataFrame:

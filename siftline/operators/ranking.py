@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +90,32 @@ def best_values(df: DataFrame, group: Sequence[str], order: Sequence[Column], va
     return best.select(*group, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+def cut_points(df: DataFrame, scores: Mapping[str, Column], n: int) -> dict[str, float | None]:
+    """For each named score a value that at least n rows reach, and few more than twice as many (ties apart); None where
+    all rows are needed. One pass; sketches of bounded size, whose error of 1 / 10000 of the rows is allowed for."""
+    shares = [2.0**-i for i in range(1, 14)]
+    found = df.agg(*[a for name, s in scores.items() for a in (F.count(s).alias(f"{name}_n"), F.percentile_approx(s, [1 - x for x in shares], 10_000).alias(f"{name}_q"))]).first()
+    out: dict[str, float | None] = dict.fromkeys(scores)
+    for name in scores:
+        total = found[f"{name}_n"]
+        for share, value in zip(shares, found[f"{name}_q"] or [], strict=False):
+            if total * (share - 2e-4) >= n:
+                out[name] = value
+    return out
+
+
+def head(df: DataFrame, score: Column, order: Sequence[Column], n: int) -> DataFrame:
+    """The first n rows in an order that begins with the score from the highest down. Rows that cannot be among them are
+    filtered by a cut point before any row is moved."""
+    least = cut_points(df, {"s": score}, n)["s"]
+    return (df if least is None else df.where(score >= F.lit(least))).orderBy(*order).limit(n)
+
+
+def hash_score(value: str, seed: int) -> Column:
+    """A number that falls as the stable hash grows: its first 32 bits, negative."""
+    return -F.conv(F.substring(stable_hash(value, seed), 1, 8), 16, 10).cast("long")
+
+
 def with_hash(df: DataFrame, key: str, seed: int, out: str = "_hash") -> DataFrame:
     return df.withColumn(out, stable_hash(key, seed))
 
@@ -109,7 +135,8 @@ def stratified_bottom_k(df: DataFrame, stratum: str, key: str, seed: int, total:
     text = F.concat((F.lit(seed) + F.col("_no")).cast("string"), F.lit("|"), F.col(key).cast("string")).cast("binary")
     hashed = joined.withColumn("_hash", F.substring(F.sha2(text, 256), 1, 16))
     place = F.row_number().over(Window.partitionBy(stratum).orderBy("_hash", tie))
-    return hashed.withColumn("_place", place).where("_place <= _quota").select(*df.columns, F.col("_no").alias("stratum_no"), F.col("_place").cast("int").alias("stratum_rank"))
+    # no quota is above the total: said as a number, it lets tasks drop rows before they are moved
+    return hashed.withColumn("_place", place).where(F.col("_place") <= total).where("_place <= _quota").select(*df.columns, F.col("_no").alias("stratum_no"), F.col("_place").cast("int").alias("stratum_rank"))
 
 
 def largest_remainder(fractions: dict[str, float], size: int) -> dict[str, int]:
@@ -136,7 +163,8 @@ def capped_take(df: DataFrame, group: str, order: Sequence[Column], target: int,
     else:
         df = df.withColumn("_taken", F.lit(0))
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    fits = df.withColumn("_place", place).where(F.col("_place") + F.coalesce("_taken", F.lit(0)) <= cap)
+    # the plain bound lets tasks drop rows of a full group before they are moved
+    fits = df.withColumn("_place", place).where(F.col("_place") <= cap).where(F.col("_place") + F.coalesce("_taken", F.lit(0)) <= cap)
     chosen = fits.orderBy(*order).limit(target)
     return chosen.withColumn("take_rank", F.row_number().over(Window.orderBy(*order))).drop("_place", "_taken")  # target rows
 

@@ -34,3 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The table written as Parquet in the shared folder and read back, and its path."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

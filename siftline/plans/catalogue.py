@@ -241,15 +241,59 @@ def capped_selection(spark, sf_dir):
     return out.select(F.col("structure_key").alias("key"), "take_rank")
 
 
-@query(None)
+def _final_sql(targets: dict[str, int], seed: int = 1, caps: tuple[int, int] = (6, 3), oversample: int = 8) -> str:
+    """The final selection step by step: a channel's rows, the walk under its cap, what fills it up, all so far."""
+    h = lambda s: f"substr(sha256('{s}|' || key), 1, 16)"
+    steps = [
+        CANDIDATES_SQL,
+        """f AS MATERIALIZED (SELECT printf('%012d', key) AS key, key AS ord, grp, evidence, pharm, consensus, quality, alerts, key % 10 = 0 AS active, key % 11 <> 0 AS ok, pharm * 0.5::DOUBLE AS s3,
+    list_transform(range(1, 13), lambda i: key * i * 37 % 256) AS bits FROM cand)""",
+        "o AS MATERIALIZED (SELECT * FROM f WHERE NOT active)",
+        "all0 AS (SELECT key, grp, 0 AS no, 0 AS spot FROM f WHERE false)",
+    ]
+    gates = {103: "alerts = 0 AND quality >= 0.35", 104: "quality >= 0.35", 105: "consensus <= (SELECT median(consensus) FROM o) AND alerts = 0 AND quality >= 0.45"}
+    for no, (channel, target) in enumerate(targets.items(), start=1):
+        steps.append(f"l{no} AS MATERIALIZED (SELECT * FROM o WHERE key NOT IN (SELECT key FROM all{no - 1}))")
+        steps.append(f"u{no} AS (SELECT grp, count(*) AS n FROM all{no - 1} GROUP BY grp)")
+        if channel in selection.RANKED:
+            score = {"structure3d_score": "s3", "library_evidence_score": "evidence", "pharm2d_similarity": "pharm"}[selection.RANKED[channel]]
+            cap = caps[0]
+            steps.append(f"p{no} AS (SELECT *, row_number() OVER (ORDER BY {score} DESC, quality DESC, ord) AS pos FROM l{no} WHERE {'ok' if score == 's3' else 'true'})")
+        else:
+            at, cap, most = selection.DIVERSE[channel], caps[1], max(target, int(1.25 * target))
+            steps.append(f"r{no} AS (SELECT * FROM l{no} WHERE {gates[at]} QUALIFY row_number() OVER (PARTITION BY grp ORDER BY (alerts = 0) DESC, quality DESC, {h(seed + at)}, ord) = 1)")
+            steps.append(f"""v{no} AS MATERIALIZED (SELECT list(bits ORDER BY k) AS vs, list(ord ORDER BY k) AS ids FROM
+    (SELECT *, row_number() OVER (ORDER BY {h(seed + at + 1)}, ord) AS k FROM r{no} QUALIFY k <= {max(target, min(target * oversample, selection.MOST_CANDIDATES))}))""")
+            both = "len(list_intersect(vs[i], vs[now]))"
+            steps.append(f"""w{no}(step, now, far) AS (SELECT 1, 1::BIGINT, list_transform(ids, lambda x: 9.0::DOUBLE) FROM v{no} UNION ALL
+    SELECT step + 1, list_position(nf, list_max(nf))::BIGINT, nf FROM (SELECT step, list_transform(range(1, len(ids) + 1), lambda i: CASE WHEN i = now OR far[i] < 0 THEN -1.0::DOUBLE
+        ELSE least(far[i], 1.0::DOUBLE - {both} / (len(list_distinct(vs[i])) + len(list_distinct(vs[now])) - {both})::DOUBLE) END) AS nf FROM w{no}, v{no} WHERE step < least({most}, len(ids))))""")
+            steps.append(f"""p{no} AS (SELECT o.*, pos FROM (SELECT ids[now] AS ord, step AS pos FROM w{no}, v{no} WHERE len(ids) > {target}
+    UNION ALL SELECT unnest(ids), unnest(range(1, len(ids) + 1)) FROM v{no} WHERE len(ids) <= {target}) JOIN o USING (ord))""")
+        steps.append(f"""t{no} AS MATERIALIZED (SELECT key, grp, {no} AS no, row_number() OVER (ORDER BY pos) AS spot FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY pos) AS g FROM p{no}) LEFT JOIN u{no} USING (grp)
+    WHERE g + coalesce(n, 0) <= {cap} QUALIFY spot <= {target})""")
+        steps.append(f"s{no} AS (SELECT * FROM all{no - 1} UNION ALL SELECT * FROM t{no})")
+        steps.append(f"""m{no} AS MATERIALIZED (SELECT key, grp, {no} AS no, (SELECT count(*) FROM t{no}) + row_number() OVER (ORDER BY quality DESC, {h(seed + 999)}, ord) AS spot FROM
+    (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY quality DESC, {h(seed + 999)}, ord) AS g FROM o WHERE key NOT IN (SELECT key FROM s{no})) LEFT JOIN (SELECT grp, count(*) AS n FROM s{no} GROUP BY grp) USING (grp)
+    WHERE g + coalesce(n, 0) <= {cap} QUALIFY spot <= {target})""")
+        steps.append(f"all{no} AS MATERIALIZED (SELECT * FROM s{no} UNION ALL SELECT * FROM m{no})")
+    names = " ".join(f"WHEN {no} THEN '{channel}'" for no, channel in enumerate(targets, start=1))
+    return f"""WITH RECURSIVE {", ".join(steps)},
+everything AS (SELECT key, 0 AS no, row_number() OVER (ORDER BY key) AS spot FROM f WHERE active UNION ALL SELECT key, no, spot FROM all{len(targets)})
+SELECT key AS structure_key, CASE no {names} ELSE 'activity_recorded_all' END AS selection_channel, (row_number() OVER (ORDER BY no, spot))::INTEGER AS selection_rank FROM everything"""
+
+
+FINAL_TARGETS = {"pnu_structure3d_enrichment": 8, "pnu_2d_enrichment": 8, "pnu_pharm2d_enrichment": 8, "h9e937_pocket_discovery": 10, "diversity": 20, "exploration": 10}
+
+
+@query(_final_sql(FINAL_TARGETS))
 def final_select(spark, sf_dir):
     rows = candidates(spark, sf_dir).withColumns({
         "source_pool": F.when(F.col("structure_key") % 10 == 0, "activity_recorded").otherwise("unlabeled"), "structure3d_status": F.when(F.col("structure_key") % 11 == 0, "feasible_only").otherwise("ok"),
         "structure3d_score": F.col("pharm2d_similarity") * F.lit(0.5), "qed": F.col("quality_score"), "bits": F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: (F.col("structure_key") * i * 37 % 256).cast("int")),
         "structure_key": F.format_string("%012d", "structure_key"),
     })
-    targets = {"pnu_structure3d_enrichment": 8, "pnu_2d_enrichment": 8, "pnu_pharm2d_enrichment": 8, "h9e937_pocket_discovery": 10, "diversity": 20, "exploration": 10}
-    return selection.final_selection(rows, targets, 1, "bits")
+    return selection.final_selection(rows, FINAL_TARGETS, 1, "bits")
 
 
 @query("""WITH RECURSIVE items AS (SELECT vec_id, list_filter(range(64), lambda i: embedding[i + 1] > 0.5) AS bits, substr(sha256('5|' || vec_id::VARCHAR), 1, 16) AS h FROM embeddings),

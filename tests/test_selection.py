@@ -1,7 +1,11 @@
+import hashlib
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.operators import dedupe, filters, selection
+from siftline.operators import dedupe, filters, quantiles, ranking, selection
 from siftline.operators.gates import GateError
 
 
@@ -75,12 +79,93 @@ def test_active_rows_without_a_structure(spark):
     assert selection.activity_failures(df.withColumn("structure3d_status", F.lit(None).cast("string"))).count() == 12
 
 
-def test_maxmin_refuses_more_than_it_can_hold(spark, monkeypatch):
-    monkeypatch.setattr(selection, "MOST_CANDIDATES", 3)
-    df = spark.createDataFrame([(i, [i]) for i in range(4)], "id int, v array<int>")
-    assert selection.maxmin_pick(df.limit(3), "id", "v", [F.col("id")], 2).count() == 2
-    with pytest.raises(GateError, match="3 candidates"):
-        selection.maxmin_pick(df, "id", "v", [F.col("id")], 2)
+@pytest.mark.parametrize("beside", [1, 7, 1024])
+def test_maxmin_picks_as_the_plain_walk(spark, beside):
+    rng = np.random.default_rng(3)
+    sets = [sorted({int(x) for x in rng.integers(0, 25, int(rng.integers(0, 6)))}) for _ in range(60)] + [[], [1, 2], [1, 2], None]
+    rows = [(f"k{i:02d}", i * 37 % 64, s) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "id string, o int, v array<int>").repartition(3)
+    walk = [(k, set(s or [])) for k, _, s in sorted(rows, key=lambda r: r[1])]
+    want, far = [], [math.inf] * len(walk)
+    while len(want) < 20:
+        now = max(range(len(walk)), key=lambda i: (far[i], -i))
+        want.append(walk[now][0])
+        far = [-1 if f < 0 or i == now else min(f, 1 - (len(s & walk[now][1]) / len(s | walk[now][1]) if s | walk[now][1] else 1.0)) for i, (f, (_, s)) in enumerate(zip(far, walk, strict=True))]
+    got = selection.maxmin_pick(df, "id", "v", [F.col("o")], 20, beside).orderBy("pick_rank").collect()
+    assert [r["id"] for r in got] == want
+    if beside == 7:
+        assert selection.maxmin_pick(df, "id", "v", [F.col("o")], 500, beside).count() == 64
+        assert selection.maxmin_pick(df.limit(0), "id", "v", [F.col("o")], 5).count() == 0
+
+
+def plain_channels(rows, quotas, seed):
+    h = lambda r, s: hashlib.sha256(f"{s}|{r['structure_key']}".encode()).hexdigest()[:16]
+    consensus = sorted(r["pnu_consensus"] for r in rows)
+    median = (consensus[(len(rows) - 1) // 2] + consensus[len(rows) // 2]) / 2
+    taken, out = set(), {c: [] for c in quotas}
+
+    def fill(channel, order):
+        for r in order:
+            if len(out[channel]) < quotas[channel] and r["row_ord"] not in taken:
+                taken.add(r["row_ord"])
+                out[channel].append(r["structure_key"])
+
+    by = lambda name: sorted(rows, key=lambda r: (-r[name], -r["quality_score"], r["row_ord"]))
+    for no, channel in enumerate(quotas):
+        if channel in ("pnu_2d", "pharm2d"):
+            fill(channel, by("library_evidence_score" if channel == "pnu_2d" else "pharm2d_similarity"))
+            continue
+        a, b = (1, 2) if channel == "scaffold_diversity" else (11, 12)
+        groups = {}
+        for r in rows:
+            if r["row_ord"] not in taken and (a == 1 or (r["pnu_consensus"] <= median and r["soft_alert_count"] == 0 and r["quality_score"] >= 0.35)):
+                groups.setdefault(r["murcko_scaffold"], []).append(r)
+        firsts = [min(g, key=lambda r: (r["soft_alert_count"] != 0, -r["quality_score"], h(r, seed + a), r["row_ord"])) for g in groups.values()]
+        fill(channel, sorted(firsts, key=lambda r: (h(r, seed + b), r["row_ord"])))
+    for no, channel in enumerate(quotas):
+        fill(channel, sorted(rows, key=lambda r: (-r["quality_score"], h(r, seed + 100 + no), r["row_ord"])))
+    return [(k, channel) for channel, keys in out.items() for k in keys]
+
+
+@pytest.mark.parametrize(("n", "groups", "quotas"), [(900, 300, (20, 15, 45, 20)), (900, 7, (30, 30, 40, 30)), (4000, 4000, (5, 5, 5, 5)), (90, 10, (20, 20, 30, 20))])
+def test_channels_equal_the_plain_walk(spark, n, groups, quotas):
+    rng = np.random.default_rng(n + groups)
+    third = lambda x: x if rng.random() > 0.33 else 0.5  # noqa: E731  ties, a third of all rows
+    rows = [dict(row_ord=i, structure_key=f"{i * 7919:012x}", pnu_consensus=third(float(rng.random())), pharm2d_similarity=third(float(rng.random())), quality_score=float(rng.integers(0, 20)) / 20, library_evidence_score=third(float(rng.random())), soft_alert_count=int(rng.integers(0, 3)), murcko_scaffold=f"s{0 if rng.random() < 0.3 else rng.integers(groups)}") for i in range(n)]
+    schema = "row_ord int, structure_key string, pnu_consensus double, pharm2d_similarity double, quality_score double, library_evidence_score double, soft_alert_count int, murcko_scaffold string"
+    named = dict(zip(("pnu_2d", "pharm2d", "scaffold_diversity", "exploration"), quotas, strict=True))
+    got = selection.fill_channels(spark.createDataFrame([tuple(r.values()) for r in rows], schema).repartition(4), named, 1).orderBy("prescreen_source_rank").collect()
+    want = plain_channels(rows, named, 1)
+    assert [(r["structure_key"], r["prescreen_channel"]) for r in got] == want
+
+
+def test_median_is_exact(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    rng = np.random.default_rng(8)
+    many = [float(x) for x in rng.normal(size=501)]
+    cases = [[], [1.0], [1.0, 2.0], [3.0, None, 1.0, 2.0], [5.0] * 40 + [1.0] * 39 + [9.0], many, many + [0.25] * 300, [-1.7e308, 1.7e308, 1.0, 2.0], [5e-324, 1e-323, 0.0], [-inf, inf, 0.0], [nan, nan, 1.0], [-inf, -inf, 3.0, inf], [2.0**-i for i in range(60)]]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        want = df.agg(F.median("v")).first()[0]
+        for buckets in (4, 4096):
+            monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+            got = quantiles.exact_median(df, "v")
+            assert got == want or (got != got and want != want), (values[:5], buckets)
+    seen = []
+    monkeypatch.setattr(quantiles, "BUCKETS", 16)
+    plain = quantiles._histogram
+    monkeypatch.setattr(quantiles, "_histogram", lambda *a: seen.append(plain(*a)) or seen[-1])
+    df = spark.createDataFrame([(v,) for v in many], "v double")
+    assert quantiles.order_statistics(df, "v", lambda n: [0, 17, n - 1]) == [min(many), sorted(many)[17], max(many)]
+    assert seen and max(map(len, seen)) <= 16
+
+
+def test_caps_reach_the_scan(spark):
+    df = final_rows(spark)
+    taken = df.groupBy("murcko_scaffold").agg(F.lit(1).alias("n")).limit(5)
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan(ranking.capped_take(df, "murcko_scaffold", [F.col("row_ord")], 20, 3, taken))
+    assert "WindowGroupLimit" in plan(ranking.stratified_bottom_k(df, "murcko_scaffold", "structure_key", 1, 50, "row_ord"))
 
 
 def test_maxmin_takes_the_farthest(spark):
