@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.operators.ranking import numbered
+from siftline.operators.storage import cut
+
 
 def distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
     total = None
@@ -54,30 +59,68 @@ def pocket_graph(atoms: DataFrame, ligand: DataFrame, group: str, unit: Sequence
 
 
 def neighbours(left: DataFrame, right: DataFrame, group: str, left_id: str, right_id: str, xyz: Sequence[str], cutoff: float, k: int, max_pairs: int) -> DataFrame:
-    """Per left point the k nearest right points closer than cutoff, or the single nearest one flagged invalid; then at
-    most max_pairs per group, valid ones first, by distance. Adds distance and valid."""
-    axes, others_axes = list(xyz), [f"_{c}" for c in xyz]
-    right = right.select(F.col(group).alias("_group"), F.col(right_id).alias("_right"), *[F.col(c).alias(f"_{c}") for c in xyz])
-
-    def pick(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(left_id), b.sort_values("_right")
-        out: list[tuple] = []
-        if len(a) and len(b):
-            p, q = a[axes].to_numpy(float), b[others_axes].to_numpy(float)
-            ids, others = a[left_id].to_numpy(), b["_right"].to_numpy()
-            for i in range(len(p)):
-                d = np.sqrt(((q - p[i]) ** 2).sum(1))
-                near = np.flatnonzero(d < cutoff)
-                chosen = near[np.argsort(d[near], kind="stable")[:k]] if len(near) else [int(d.argmin())]
-                out += [(a[group].iloc[0], ids[i], others[j], float(d[j]), bool(len(near))) for j in chosen]
-            if len(out) > max_pairs:
-                order = sorted(range(len(out)), key=lambda j: out[j][3] + (0.0 if out[j][4] else cutoff + 1.0))
-                out = [out[j] for j in order[:max_pairs]]
-        return pd.DataFrame(out, columns=[group, left_id, right_id, "distance", "valid"])
-
-    kinds = dict(left.dtypes) | {right_id: dict(right.dtypes)["_right"]}
-    schema = f"`{group}` {kinds[group]}, `{left_id}` {kinds[left_id]}, `{right_id}` {kinds[right_id]}, distance double, valid boolean"
-    return left.groupBy(group).cogroup(right.groupBy("_group")).applyInPandas(pick, schema)
+    """Per left point the k nearest right points of its group closer than cutoff, or the single nearest one flagged
+    invalid; then at most max_pairs per group: valid ones first, by distance, ties by the ids. Equal distances of a point
+    go to the smaller right id. Groups on one side only, and points with a null coordinate, have no pairs. Adds distance
+    and valid.
+
+    Points meet by the cells of a grid, so the points of one group are spread over tasks. Those without a near one go
+    down a tree of cells (`nearest_beyond`), and only groups with more than max_pairs are numbered, range by range.
+    """
+    whole = lambda d: d.where(reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in xyz]))
+    left, right = whole(left.select(group, left_id, *xyz)), whole(right.select(group, right_id, *xyz))
+    w = Window.partitionBy(group, left_id).orderBy("distance", right_id)
+    near = radius_pairs(left, right, group, left_id, right_id, xyz, cutoff, strict=True).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k)
+    near = cut(near.select(group, left_id, right_id, "distance", F.lit(True).alias("valid")))
+    alone = left.join(near.select(group, left_id), [group, left_id], "left_anti")
+    far = nearest_beyond(alone, right, group, left_id, right_id, xyz, cutoff)
+    pairs = cut(near.unionByName(far.withColumn("valid", F.lit(False))))
+    large = pairs.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") > max_pairs).select(group)
+    if large.isEmpty():
+        return pairs
+    order = [(~F.col("valid")).cast("int"), F.col("distance"), F.col(left_id), F.col(right_id)]
+    first = numbered(pairs.join(large, group, "left_semi"), [group], order, "_place").where(F.col("_place") <= max_pairs)
+    return pairs.join(large, group, "left_anti").unionByName(first.drop("_place"))
+
+
+def nearest_beyond(points: DataFrame, others: DataFrame, group: str, point_id: str, other_id: str, xyz: Sequence[str], size: float) -> DataFrame:
+    """group, point_id, other_id, distance: the nearest other point of the group, ties to the smaller id.
+
+    The others lie in a tree of cells, from cells of `size` up to ones as large as all of them. Each cell knows the box
+    of its points and one of them. From the top, a point looks at the cells inside those it kept, and keeps the ones
+    whose box is no further than the nearest point it knows of: cells are skipped only where they cannot hold the
+    nearest. What is left meets its points.
+    """
+    box = others.agg(*[f(c).alias(f"{c}{i}") for i, f in enumerate((F.min, F.max)) for c in xyz]).first()
+    if box[f"{xyz[0]}0"] is None:
+        return points.join(others.select(group, other_id).limit(0), group).select(group, point_id, other_id, F.lit(0.0).alias("distance"))
+    extent = max(box[f"{c}1"] - box[f"{c}0"] for c in xyz)
+    depth = min(40, max(0, math.ceil(math.log2(max(extent, size) / size))))
+    cell = lambda c, level: F.floor((F.col(c) - F.lit(box[f"{c}0"])) / F.lit(size * 2.0**level)).cast("long")
+    names = [f"_{c}" for c in xyz]
+    far = others.select(group, F.col(other_id).alias("_other"), *[F.col(c).alias(n) for c, n in zip(xyz, names, strict=True)], F.struct(*[cell(c, 0).alias(c) for c in xyz]).alias("_cell"))
+    up = lambda column: F.struct(*[F.floor(column[c] / 2).cast("long").alias(c) for c in xyz])
+    one = F.min(F.struct("_other", *names))
+    levels = [cut(far.groupBy(group, "_cell").agg(*[F.min(n).alias(f"{n}0") for n in names], *[F.max(n).alias(f"{n}1") for n in names], one.alias("_one")))]
+    for _ in range(depth):
+        ends = [F.min(f"{n}0").alias(f"{n}0") for n in names] + [F.max(f"{n}1").alias(f"{n}1") for n in names]
+        levels.append(levels[-1].groupBy(group, up(F.col("_cell")).alias("_cell")).agg(*ends, F.min("_one").alias("_one")))
+    axes = [F.col(c) for c in xyz]
+    to_box = distance([F.greatest(F.lit(0.0), F.col(f"{n}0") - a, a - F.col(f"{n}1")) for a, n in zip(axes, names, strict=True)], [F.lit(0.0)] * len(xyz))
+    to_one = distance(axes, [F.col(f"_one.{n}") for n in names])
+    kept = None
+    known = Window.partitionBy(group, point_id)
+    for level in reversed(range(depth + 1)):
+        cells = levels[level]
+        if kept is None:  # a few cells of a group
+            met = points.select(group, point_id, *xyz).join(cells, group)
+        else:
+            met = kept.join(cells.withColumn("_parent", up(F.col("_cell"))), [group, "_parent"])
+        met = met.withColumns({"_least": to_box, "_most": F.min(to_one).over(known)})
+        kept = met.where(F.col("_least") <= F.col("_most") * (1 + 1e-12)).select(group, point_id, *xyz, F.col("_cell").alias("_parent"))
+    found = kept.withColumnRenamed("_parent", "_cell").join(far, [group, "_cell"]).withColumn("distance", distance(axes, [F.col(n) for n in names]))
+    best = found.groupBy(group, point_id).agg(F.min(F.struct("distance", "_other")).alias("_best"))
+    return best.select(group, point_id, F.col("_best._other").alias(other_id), F.col("_best.distance").alias("distance"))
 
 
 def radius_graph(points: DataFrame, group: str, point_id: str, xyz: Sequence[str], cutoff: float, most: int = 32) -> DataFrame:
@@ -123,12 +166,36 @@ def match_features(reference: Sequence[dict], candidates: Sequence[dict]) -> flo
 
 
 def feature_scores(candidates: DataFrame, reference: Sequence[dict], group: str) -> DataFrame:
-    """group, feature_score of candidate features (family, x, y, z, and ord for their order)."""
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [{"family": r.family, "position": (r.x, r.y, r.z)} for r in pdf.sort_values("ord").itertuples()]
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "feature_score": [match_features(reference, own)]})
+    """group, feature_score of candidate features (family, x, y, z, and ord for their order, unique in a group), by the
+    rule of `match_features`.
 
-    return candidates.groupBy(group).applyInPandas(score, f"`{group}` {dict(candidates.dtypes)[group]}, feature_score double")
+    A reference feature can lose its best candidates only to the other references, so as many pairs of it as there are
+    references are enough: these few rows of a group are gathered and walked in order. All others are dropped where they
+    are made. Candidates with a null place or family match nothing; a group of these has 0.
+    """
+    total = sum(float(r["weight"]) for r in reference)
+    scores = candidates.select(group).distinct().withColumn("feature_score", F.lit(0.0))
+    if not total:
+        return scores
+    place = [F.col(c) for c in ("x", "y", "z")]
+
+    def pair(i: int, r: dict) -> Column:
+        d = distance(place, [F.lit(float(v)) for v in r["position"]]) / F.lit(float(r["tolerance"]))
+        mine = F.struct(F.exp(F.lit(-0.5) * d * d).alias("similarity"), F.lit(i).alias("i"), F.col("ord").cast("long").alias("j"), F.lit(float(r["weight"])).alias("weight"))
+        return F.when((F.col("family") == r["family"]) & d.isNotNull(), mine)
+
+    pairs = candidates.select(group, F.inline(F.array_compact(F.array(*[pair(i, r) for i, r in enumerate(reference)]))))
+    best = Window.partitionBy(group, "i").orderBy(F.desc("similarity"), F.desc("j"))
+    few = pairs.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= len(reference))
+    walk = F.sort_array(F.collect_list(F.struct("similarity", "i", "j", "weight")), asc=False)  # references squared, at most
+    nothing = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("i"), F.array().cast("array<bigint>").alias("j"))
+
+    def step(done: Column, p: Column) -> Column:
+        free = ~F.array_contains(done["i"], p["i"]) & ~F.array_contains(done["j"], p["j"])
+        return F.when(free, F.struct((done["score"] + p["similarity"] * p["weight"]).alias("score"), F.array_append(done["i"], p["i"]).alias("i"), F.array_append(done["j"], p["j"]).alias("j"))).otherwise(done)
+
+    matched = few.groupBy(group).agg(walk.alias("_walk")).select(group, F.aggregate("_walk", nothing, step, lambda done: done["score"] / F.lit(total)).alias("_score"))
+    return scores.join(matched, group, "left").select(group, F.coalesce("_score", "feature_score").alias("feature_score"))
 
 
 def contact_features(features: DataFrame, pocket: DataFrame, xyz: Sequence[str], cutoffs: dict[str, float], tolerances: dict[str, float], weights: dict[str, float]) -> DataFrame:

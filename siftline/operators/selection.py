@@ -149,7 +149,7 @@ def _distances(rows: Sequence[np.ndarray], picked: Sequence[np.ndarray]) -> np.n
 
 def maxmin_pick(df: DataFrame, key: str, vector: str, order: Sequence[Column], n: int, beside: int = BESIDE) -> DataFrame:
     """Greedy max-min diversity by Jaccard distance of integer sets: the first row in order, then always the row farthest
-    from all picked ones, ties to the earlier row. Adds pick_rank. A null vector is an empty set.
+    from all picked ones, ties to the earlier row. Adds pick_rank. A null vector is an empty set. Order columns ascend.
 
     Distances to the picked rows are kept in a written table. They only shrink as more is picked, so an old distance is a
     bound: the `beside` farthest rows go to the driver, which picks among them as long as the best of them comes before

@@ -465,7 +465,13 @@ def radius_graph(spark, sf_dir):
     return geometry.radius_graph(points(spark, sf_dir), "label", "vec_id", XYZ, 0.8, 4).withColumn("distance", F.round("distance", 6))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {POINTS_SQL}, refs AS (SELECT * FROM (VALUES (0, 'Donor', 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 1.8::DOUBLE, 1.0::DOUBLE), (1, 'Acceptor', 0.5, 0, 0, 1.8, 1.0), (2, 'Donor', 0, 0.5, 0.5, 2.5, 0.8)) t(i, family, rx, ry, rz, tol, weight)),
+pairs AS (SELECT label, i, vec_id AS j, weight, exp(-0.5::DOUBLE * ((x - rx) * (x - rx) + (y - ry) * (y - ry) + (z - rz) * (z - rz)) / (tol * tol)) AS s FROM pts JOIN refs ON family = CASE WHEN vec_id % 2 = 0 THEN 'Donor' ELSE 'Acceptor' END),
+lists AS MATERIALIZED (SELECT label, list(i ORDER BY s DESC, i DESC, j DESC) AS li, list(j ORDER BY s DESC, i DESC, j DESC) AS lj, list(s * weight ORDER BY s DESC, i DESC, j DESC) AS ls FROM pairs GROUP BY label),
+walk(label, spot, score, ui, uj) AS (SELECT label, 1::BIGINT, 0.0::DOUBLE, []::INTEGER[], []::BIGINT[] FROM lists UNION ALL
+    SELECT w.label, spot + 1, CASE WHEN taken THEN score ELSE score + ls[spot] END, CASE WHEN taken THEN ui ELSE list_append(ui, li[spot]) END, CASE WHEN taken THEN uj ELSE list_append(uj, lj[spot]) END
+    FROM (SELECT walk.*, li, lj, ls, list_contains(ui, li[spot]) OR list_contains(uj, lj[spot]) AS taken FROM walk JOIN lists USING (label) WHERE spot <= len(li)) w)
+SELECT l.label, round(coalesce(max(score), 0) / 2.8::DOUBLE, 8) AS feature_score FROM (SELECT DISTINCT label FROM pts) l LEFT JOIN walk USING (label) GROUP BY l.label""")
 def feature_match(spark, sf_dir):
     p = points(spark, sf_dir).withColumns({"family": F.when(F.col("vec_id") % 2 == 0, "Donor").otherwise("Acceptor"), "ord": F.col("vec_id")})
     reference = [{"family": f, "position": xyz, "tolerance": t, "weight": w} for f, xyz, t, w in (("Donor", (0, 0, 0), 1.8, 1.0), ("Acceptor", (0.5, 0, 0), 1.8, 1.0), ("Donor", (0, 0.5, 0.5), 2.5, 0.8))]

@@ -107,6 +107,58 @@ def test_neighbours_flag_the_only_far_one_and_bound_pairs(spark):
     assert sorted((r["i"], r["j"]) for r in geometry.neighbours(a, b, "g", "i", "j", ["x", "y", "z"], 2.5, 8, 2).collect()) == [(1, 1), (1, 2)]
 
 
+def plain_neighbours(a, b, cutoff, k, most):
+    out = []
+    for g in {p[0] for p in a} & {q[0] for q in b}:
+        mine = []
+        for _, i, *x in sorted(p for p in a if p[0] == g):
+            d = sorted((math.dist(x, q[2:]), q[1]) for q in b if q[0] == g)
+            near = [(e, j, True) for e, j in d if e < cutoff][:k] or [(*d[0], False)]
+            mine += [(not valid, e, i, j) for e, j, valid in near]
+        out += [(g, i, j, round(e, 9), not far) for far, e, i, j in sorted(mine)[:most]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [10**6, 40])
+def test_neighbours_equal_brute_force(spark, most):
+    rng = np.random.default_rng(5)
+    frame = lambda rows, name: spark.createDataFrame(rows, f"g string, {name} int, x double, y double, z double").repartition(4)
+    cloud = lambda g, n, at, size, first: [(g, first + i, *map(float, at + rng.normal(size=3) * size)) for i in range(n)]
+    a = cloud("hot", 120, np.zeros(3), 3, 0) + cloud("hot", 30, np.array([90.0, -40, 5]), 9, 500) + cloud("b", 5, np.zeros(3), 1, 0) + cloud("left only", 3, np.zeros(3), 1, 0)
+    b = cloud("hot", 150, np.ones(3), 4, 0) + cloud("hot", 4, np.array([-300.0, 0, 0]), 1, 900) + cloud("b", 1, np.ones(3) * 50, 1, 0) + cloud("right only", 3, np.zeros(3), 1, 0)
+    b += [("hot", 2000 + i, *b[i][2:]) for i in range(20)]  # ties
+    got = geometry.neighbours(frame(a, "i"), frame(b, "j"), "g", "i", "j", ["x", "y", "z"], 1.5, 4, most)
+    assert sorted((r["g"], r["i"], r["j"], round(r["distance"], 9), r["valid"]) for r in got.collect()) == plain_neighbours(a, b, 1.5, 4, most)
+
+
+def test_neighbours_without_points(spark):
+    a = spark.createDataFrame([("g", 1, 0.0, 0.0, 0.0), ("g", 2, None, 0.0, 0.0)], "g string, i int, x double, y double, z double")
+    b = a.withColumnRenamed("i", "j")
+    args = "g", "i", "j", ["x", "y", "z"], 1.5, 4, 10
+    assert geometry.neighbours(a, b.limit(0), *args).count() == geometry.neighbours(a.limit(0), b, *args).count() == 0
+    assert geometry.neighbours(a, b, *args).count() == 1
+
+
+def test_a_hot_group_of_neighbours_is_spread(spark):
+    points = spark.range(3000).select(F.lit("g").alias("g"), F.col("id").alias("i"), *[(F.pmod(F.xxhash64("id", F.lit(s)), F.lit(1000)) / 50.0).alias(c) for s, c in enumerate("xyz")])
+    pairs = geometry.radius_pairs(points, points.withColumnRenamed("i", "j"), "g", "i", "j", ["x", "y", "z"], 1.0)
+    assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_feature_scores_equal_the_plain_matching(spark):
+    rng = np.random.default_rng(6)
+    reference = [{"family": f, "position": tuple(map(float, rng.normal(size=3))), "tolerance": float(t), "weight": float(w)} for f, t, w in (("Donor", 1.5, 1), ("Donor", 1.5, 2), ("Donor", 2.0, 0.5), ("Acceptor", 1.0, 1), ("Aromatic", 2.2, 0.8))]
+    reference.append(dict(reference[0], weight=0.7))  # equal places: the larger index comes first
+    rows = [(f"g{i % 9}", str(rng.choice(["Donor", "Acceptor", "Other"])), *map(float, rng.normal(size=3)), i) for i in range(200)]
+    rows += [("g1", "Donor", *rows[1][2:5], 900 + i) for i in range(4)] + [("none", "Other", 0.0, 0.0, 0.0, 1), ("null", None, 0.0, 0.0, 0.0, 2), ("null", "Donor", None, 0.0, 0.0, 3)]
+    df = spark.createDataFrame(rows, "g string, family string, x double, y double, z double, ord int").repartition(3)
+    got = {r["g"]: r["feature_score"] for r in geometry.feature_scores(df, reference, "g").collect()}
+    for g in {r[0] for r in rows}:
+        own = [{"family": r[1], "position": r[2:5]} for r in sorted(rows, key=lambda r: r[5]) if r[0] == g and None not in r]
+        assert got[g] == pytest.approx(geometry.match_features(reference, own)), g
+    assert {r["feature_score"] for r in geometry.feature_scores(df, [], "g").collect()} == {0.0}
+
+
 def test_contact_features_and_penalties(spark):
     features = spark.createDataFrame([("Donor", 0.0, 0.0, 0.0), ("Donor", 9.0, 0.0, 0.0), ("Aromatic", 0.0, 5.0, 0.0)], "family string, x double, y double, z double")
     pocket = spark.createDataFrame([(0.0, 0.0, 4.2), (0.0, 5.0, 5.5)], "x double, y double, z double")
