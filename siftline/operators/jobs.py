@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import job_seed, pose_id
 from siftline.operators.gates import require_none, require_subset
 from siftline.operators.ranking import chunk_numbers, global_index
+from siftline.sources.listing import identities
 
 
 def plan_jobs(states: DataFrame, protocol: str, order: Sequence[str], chunk_size: int, seed: int) -> DataFrame:
@@ -20,29 +19,18 @@ def plan_jobs(states: DataFrame, protocol: str, order: Sequence[str], chunk_size
     return chunked.groupBy(protocol, "chunk").agg(F.count("*").alias("states")).withColumn("seed", job_seed(protocol, "chunk", seed))
 
 
-def file_identity(path: Column) -> Column:
-    """struct(path, size, mtime_ns) of a file on storage that executors mount; a missing file has no size and no time."""
-
-    @F.pandas_udf("path string, size long, mtime_ns long")
-    def look(paths: pd.Series) -> pd.DataFrame:
-        rows = []
-        for p in paths:
-            found = os.stat(p) if p and os.path.exists(p) else None
-            rows.append((os.path.realpath(p) if p else None, *((found.st_size, found.st_mtime_ns) if found else (None, None))))
-        return pd.DataFrame(rows, columns=["path", "size", "mtime_ns"]).astype({"size": "Int64", "mtime_ns": "Int64"})
-
-    return look(path)
-
-
-def signatures(jobs: DataFrame, ignore: Sequence[str] = ("output", "log"), version: int = 1, files: Sequence[str] = (), program: str | None = None) -> DataFrame:
+def signatures(jobs: DataFrame, ignore: Sequence[str] = ("output", "log"), version: int = 1, files: Sequence[str] = (), program: str | None = None, listed: DataFrame | None = None) -> DataFrame:
     """Adds signature: SHA-256 of the job's fields in name order as compact JSON, without where its results go. `files`
-    are columns of paths; with them and the program, what lies there counts too, so a changed file is new work."""
+    are columns of paths; with them and the program, the length and time of what lies there count too, so a changed file
+    is new work. `listed` says what lies where (`listing.files`)."""
     names = sorted(c for c in jobs.columns if c not in ignore)
     what = [F.lit(version).alias("version"), *names]
     if files or program:
-        found = {c: file_identity(F.col(c)) for c in files} | ({"program": file_identity(F.lit(program))} if program else {})
-        jobs = jobs.withColumns({f"_file_{c}": x for c, x in found.items()})
-        what.append(F.struct(*[F.col(f"_file_{c}").alias(c) for c in found]).alias("files"))
+        if listed is None:
+            raise ValueError("files need a listing")
+        paths = {f"_file_{c}": F.col(c) for c in files} | ({"_file_program": F.lit(program)} if program else {})
+        jobs = identities(jobs, listed, paths)
+        what.append(F.struct(*[F.col(c).alias(c.removeprefix("_file_")) for c in paths]).alias("files"))
     signed = jobs.withColumn("signature", F.sha2(F.to_json(F.struct(*what)).cast("binary"), 256))
     return signed.drop(*[c for c in signed.columns if c.startswith("_file_")])
 

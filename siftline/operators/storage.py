@@ -43,7 +43,31 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, whatever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared storage that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, fs = _place(spark, path)
+    fs.delete(target, True)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder, sorted; nothing if there is none."""
+    target, fs = _place(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small new file, under its name only once it is whole; FileExistsError where there is one."""
+    target, fs = _place(spark, path)
+    partial, _ = _place(spark, f"{path}.{uuid.uuid4().hex}.partial")
+    out = fs.create(partial, True)
+    out.write(bytearray(data))
+    out.close()
+    if fs.exists(target) or not fs.rename(partial, target):
+        fs.delete(partial, False)
+        raise FileExistsError(path)

@@ -6,14 +6,18 @@ type as group, documents for raw records with their source as precedence, embedd
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import scalars as S
 from siftline.operators import conformers, dedupe, external, filters, gates, geometry, jobs, joining, ranking, selection, splits, standardize
-from siftline.operators.storage import scratch
+from siftline.operators.committed import Parts
+from siftline.operators.storage import put, scratch
 from siftline.plans import final_score, screening
-from siftline.sources import molecular, sinks, tabular
+from siftline.sources import listing, molecular, sinks, tabular
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -724,19 +728,68 @@ def activity_failures(spark, sf_dir):
     return selection.activity_failures(rows).withColumnRenamed("structure3d_status", "status")
 
 
-def local_path(uri: str) -> str:
-    return uri.removeprefix("file://").removeprefix("file:")
+SHEET = """<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>%s</sheetData></worksheet>"""
+
+
+def workbook(rows) -> bytes:
+    """A small workbook with inline text cells."""
+    cell = lambda column, i, v: f'<c r="{column}{i}" t="inlineStr"><is><t>{v}</t></is></c>'
+    lines = [f'<row r="{i}">{cell("A", i, a)}{cell("B", i, b)}</row>' for i, (a, b) in enumerate(rows, start=1)]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/worksheets/sheet1.xml", SHEET % "".join(lines))
+    return data.getvalue()
 
 
-@query("""SELECT 0 AS source_index, 'a_2w.csv' AS source_file, (row_number() OVER (ORDER BY n_nationkey) + 1)::VARCHAR AS source_row, n_nationkey::VARCHAR AS compound_id, n_name AS original_smiles, 'activity_recorded' AS source_pool FROM nation
-UNION ALL SELECT 1, 'b.csv', (row_number() OVER (ORDER BY r_regionkey) + 1)::VARCHAR, r_regionkey::VARCHAR, r_name, 'unlabeled' FROM region""")
+@query("""SELECT 0 AS source_index, (row_number() OVER (ORDER BY n_nationkey) + 1)::VARCHAR AS source_row, n_nationkey::VARCHAR AS compound_id, n_name AS original_smiles, 'activity_recorded' AS source_pool FROM nation
+UNION ALL SELECT dense_rank() OVER (ORDER BY 'c_nationkey=' || c_nationkey)::INTEGER, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) + 1)::VARCHAR, c_custkey::VARCHAR, c_name, 'unlabeled' FROM customer""")
 def source_union(spark, sf_dir):
-    """Two small tables as files of a library folder, found by name and read by content and header."""
-    folder = local_path(scratch(spark, "library"))
-    for name, file, columns in (("nation", "a_2w.csv", ["n_nationkey", "n_name"]), ("region", "b.csv", ["r_regionkey", "r_name"])):
-        rows = table(spark, sf_dir, name).select(*columns).orderBy(columns[0]).collect()  # a handful of fixed rows
-        sinks.write_text(f"{folder}/{file}", "ID,SMILES\n" + "".join(f"{a},{b}\n" for a, b in rows))
-    return tabular.read_sources(spark, folder).select("source_index", "source_file", F.col("source_row").cast("string").alias("source_row"), "compound_id", "original_smiles", "source_pool")
+    """Customers as a CSV file per nation and nations as a workbook, found by name and read by content and header."""
+    folder = scratch(spark, "library")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("SMILES"), "c_nationkey")
+    customers.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "ID").write.partitionBy("c_nationkey").csv(f"{folder}/c", header=True)
+    nations = table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name").limit(1000).collect()  # a sheet's worth
+    put(spark, f"{folder}/a_2w.xlsx", workbook([("ID", "SMILES"), *map(tuple, nations)]))
+    return tabular.read_sources(spark, folder).select("source_index", F.col("source_row").cast("string").alias("source_row"), "compound_id", "original_smiles", "source_pool")
+
+
+@query("SELECT p_size, sum(strlen(p_name) + 1)::BIGINT + max(CASE WHEN p_size % 5 = 0 THEN 5 ELSE 0 END) AS bytes, p_size % 5 = 0 AS outstanding FROM part GROUP BY p_size")
+def changed_files(spark, sf_dir):
+    """A job for each size of parts, whose file has their names. A ledger knows the jobs by their files; then some files
+    grow by a line, and these jobs are to be done again."""
+    old, new = scratch(spark, "inputs"), scratch(spark, "inputs")
+    parts = table(spark, sf_dir, "part").select("p_size", F.col("p_name").alias("value")).repartition("p_size")
+    more = parts.select("p_size").distinct().where("p_size % 5 = 0").select("p_size", F.lit("more").alias("value"))
+    parts.write.partitionBy("p_size").text(old)
+    parts.unionByName(more).repartition("p_size").write.partitionBy("p_size").text(new)
+
+    def planned(folder):
+        """Jobs by size, with the file's path from the folder on, so that one folder can stand for the other."""
+        found = listing.files(spark, folder).select(F.regexp_extract("path", r"p_size=(\d+)/", 1).cast("long").alias("p_size"), "path", "length")
+        return found.where("p_size is not null").groupBy("p_size").agg(F.max("path").alias("input"), F.sum("length").alias("bytes"))
+
+    now = planned(new)
+    where = F.concat(F.lit("x:/"), F.col("p_size"))  # the same path before and after
+    listed = lambda jobs_: jobs_.select(where.alias("path"), F.col("bytes").alias("length"), F.lit(0).cast("timestamp").alias("modified"))
+    signed = lambda jobs_: jobs.signatures(jobs_.select("p_size", where.alias("input")), files=["input"], listed=listed(jobs_))
+    ledger = signed(planned(old)).select("p_size", "signature", F.lit(True).alias("valid"))
+    again = jobs.outstanding(signed(now), ledger, ["p_size"]).select("p_size", F.lit(True).alias("_again"))
+    return now.join(again, "p_size", "left").select("p_size", "bytes", F.coalesce("_again", F.lit(False)).alias("outstanding"))
+
+
+@query("""WITH ranked AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) AS i, count(*) OVER () // 4 + 1 AS step FROM customer)
+SELECT i, c_custkey, CASE WHEN i <= 2 * step THEN 'first' ELSE 'second' END AS run, round(c_acctbal / 100.0::DOUBLE, 8) AS prediction FROM ranked""")
+def committed_predictions(spark, sf_dir):
+    """Predictions in four parts. The first run ends behind its third part, before it is committed."""
+    rows = ranking.global_index(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").cast("double").alias("balance")), ["c_custkey"], "i")
+    step = rows.count() // 4 + 1
+    done = Parts(spark, scratch(spark, "predictions"), "i", "c_custkey")
+    work = lambda run: lambda part: external.predicted(part, lambda: lambda pdf: pdf["balance"] / 100.0, "p").withColumn("run", F.lit(run))
+    for no in range(3):
+        entry = done.write(work("first")(rows.where(F.col("i").between(no * step + 1, (no + 1) * step))), no * step + 1, (no + 1) * step)
+        if no < 2:
+            done.commit(entry)
+    return done.complete(rows, work("second"), step).select("i", "c_custkey", "run", r8("p", "prediction"))
 
 
 @query("SELECT p_partkey::VARCHAR AS title, row_number() OVER (ORDER BY p_partkey) AS place, p_size::VARCHAR AS size, (p_partkey % 100)::DOUBLE AS x FROM part")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.operators.gates import GateError, duplicates, orphans
+from siftline.operators.gates import GateError
 from siftline.sources.sinks import write_json, write_text
 
 
@@ -30,13 +32,79 @@ class Run:
     ligand_records: int | None = None
 
 
-def _n(df: DataFrame) -> int:
-    return df.count()
+def key_counts(run: Run) -> dict:
+    """What the tables of a run say of its keys, by one pass over them: each row becomes flags, flags are added up by
+    key, and the keys are counted."""
+    active, ok3d = F.col("source_pool") == "activity_recorded", F.col("structure3d_status").isin("ok", "feasible_only")
+    zero = F.lit(0)
+    flags = {
+        "pool": (run.pool, "structure_key", {"pool": F.lit(True)}),
+        "scored": (run.scored, "structure_key", {"wanted": (F.col("hard_filter_pass") == 1) & active}),
+        "scored3d": (run.scored3d, "structure_key", {"success": F.col("structure3d_status") == "ok", "feasible": active & ok3d}),
+        "selected": (run.selected, "structure_key", {"selected": F.lit(True)}),
+        "states": (run.states, "parent_structure_key", {"states": F.lit(True)}),
+        "failures": (run.failures, "parent_structure_key", {"failures": F.lit(True)}),
+    }
+    names = [n for _, _, own in flags.values() for n in own]
+    rows = [t.select(F.col(key).alias("key"), *[F.coalesce(own[n].cast("int"), zero).alias(n) if n in own else zero.alias(n) for n in names]) for t, key, own in flags.values() if t is not None]
+    if not rows:
+        return {}
+    by_key = reduce(DataFrame.unionByName, rows).groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
+    col, has = F.col, lambda n: F.col(n) > 0
+    lost = has("selected") & ~has("states")
+    return by_key.agg(
+        *[F.coalesce(F.sum(n), zero).alias(n) for n in names],
+        F.count_if(col("pool") > 1).alias("pool_repeated"), F.coalesce(F.sum(F.when(~has("pool"), col("wanted"))), zero).alias("wanted_left_out"),
+        F.coalesce(F.sum(F.when(~has("selected"), col("feasible"))), zero).alias("feasible_left_out"),
+        F.count_if(col("states") > 1).alias("states_repeated"), F.coalesce(F.sum(F.when(lost & ~has("failures"), col("selected"))), zero).alias("unreported"),
+    ).first().asDict()
+
+
+def selection_counts(selected: DataFrame) -> tuple[dict[str, int], int]:
+    """Rows by channel, and the most of one group, of rows that are not active; both by one pass."""
+    others = selected.where(F.col("source_pool") != "activity_recorded").select("selection_channel", "murcko_scaffold")
+    entry = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("name"))
+    each = others.select(F.inline(F.array(entry("channel", "selection_channel"), entry("group", "murcko_scaffold"))))
+    counts = each.groupBy("kind", "name").agg(F.count("*").alias("n"))
+    channels = F.collect_list(F.when(F.col("kind") == "channel", F.struct("name", "n")))  # a few channels
+    got = counts.agg(channels.alias("channels"), F.max(F.when(F.col("kind") == "group", F.col("n"))).alias("most")).first()
+    return {r["name"]: r["n"] for r in got["channels"]}, got["most"] or 0
+
+
+def state_counts(states: DataFrame, entered: DataFrame) -> dict:
+    """States that entered jobs, the embedded ones, those that entered without being embedded, and different ones."""
+    embedded = states.where("embed_status like 'ok%'").select("state_id", F.lit(1).alias("embedded"), F.lit(0).alias("entered"))
+    by = embedded.unionByName(entered.select("state_id", F.lit(0).alias("embedded"), F.lit(1).alias("entered"))).groupBy("state_id").agg(F.sum("embedded").alias("embedded"), F.sum("entered").alias("entered"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return by.agg(total("embedded").alias("embedded"), total("entered").alias("entered"), total(F.when(F.col("embedded") == 0, F.col("entered"))).alias("others"), F.count_if(F.col("entered") > 0).alias("kinds")).first().asDict()
+
+
+def job_counts(jobs: DataFrame, protocols: Sequence[str]) -> dict:
+    bad = F.coalesce((F.col("seed") < 0) | (F.col("seed") >= 2147483647), F.lit(True))
+    by = jobs.groupBy("seed").agg(F.count("*").alias("n"), F.count_if(~F.col("protocol_id").isin(*protocols)).alias("others"), F.count_if(bad).alias("bad"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return by.agg(total("n"), total("others"), total("bad"), F.count_if(F.col("n") > 1).alias("repeated")).first().asDict()
+
+
+def layout_problems(settings: dict, wanted: dict) -> dict:
+    """Settings of the machines that are not as wanted: name -> (is, wanted). Names are paths joined by dots."""
+    found = {}
+    for path, value in wanted.items():
+        at = settings
+        for part in path.split("."):
+            at = at.get(part) if isinstance(at, dict) else None
+        if at != value:
+            found[path] = (at, value)
+    return found
 
 
 def checks(run: Run):
-    """(name, passed, detail) in order."""
+    """(name, passed, detail) in order. A pass over the tables by key, and one each over the selection, the states that
+    entered jobs, the jobs and the mapping; nothing is read for a check whose tables are missing."""
     s, ref = run.settings, run.reference or {}
+    if "layout" in s:
+        odd = layout_problems(s, s["layout"])
+        yield "machine_layout", not odd, ", ".join(f"{k} is {a}, not {b}" for k, (a, b) in odd.items()) or "as wanted"
     if ref:
         yield "reference_bound_instance", ref.get("bound_heavy_atoms") == ref.get("expected_heavy_atoms"), f"{ref.get('bound_heavy_atoms')} heavy atoms"
         yield "target_structures_known", set(ref.get("targets", [])) <= set(ref.get("known_targets", [])), str(ref.get("targets"))
@@ -44,50 +112,48 @@ def checks(run: Run):
         yield "2d_self_score", abs(ref.get("self_2d", 0.0) - 1) <= 1e-9, str(ref.get("self_2d"))
         yield "3d_reference_self", ref.get("self_3d", 0.0) >= 0.80, str(ref.get("self_3d"))
     if run.mapping is not None and run.raw_records is not None:
-        n = _n(run.mapping)
+        n = run.mapping.count()
         if s.get("sample"):
             yield "sample_input_count", run.raw_records == s["sample"], f"{run.raw_records} records"
         yield "mapping_traceability", n == run.raw_records, f"{n} rows for {run.raw_records} records"
+    k = key_counts(run)
     if run.pool is not None:
-        yield "3d_pool_size", (n := _n(run.pool)) == s["pool_size"], f"{n} rows"
-        yield "3d_pool_exact_unique", (n := _n(duplicates(run.pool, ["structure_key"]))) == 0, f"{n} repeated keys"
+        yield "3d_pool_size", k["pool"] == s["pool_size"], f"{k['pool']} rows"
+        yield "3d_pool_exact_unique", k["pool_repeated"] == 0, f"{k['pool_repeated']} repeated keys"
         if run.scored is not None:
-            wanted = run.scored.where("hard_filter_pass = 1 and source_pool = 'activity_recorded'")
-            yield "all_active_in_pool", (n := _n(orphans(wanted, run.pool, ["structure_key"]))) == 0, f"{n} left out"
+            yield "all_active_in_pool", k["wanted_left_out"] == 0, f"{k['wanted_left_out']} left out"
     if run.scored3d is not None:
-        yield "3d_has_success", (n := _n(run.scored3d.where("structure3d_status = 'ok'"))) > 0, f"{n} rows"
+        yield "3d_has_success", k["success"] > 0, f"{k['success']} rows"
     if run.selected is not None:
-        active = F.col("source_pool") == "activity_recorded"
-        others = run.selected.where(~active)
-        counts = {r["selection_channel"]: r["count"] for r in others.groupBy("selection_channel").count().collect()}
+        counts, most = selection_counts(run.selected)
         if run.scored3d is not None:
-            feasible = run.scored3d.where(active & F.col("structure3d_status").isin("ok", "feasible_only"))
-            n_active = _n(feasible)
-            yield "dynamic_final_size", (n := _n(run.selected)) == n_active + s["unlabeled_count"], f"{n} rows"
-            yield "all_feasible_active_included", (n := _n(orphans(feasible, run.selected, ["structure_key"]))) == 0, f"{n} left out"
+            yield "dynamic_final_size", k["selected"] == k["feasible"] + s["unlabeled_count"], f"{k['selected']} rows"
+            yield "all_feasible_active_included", k["feasible_left_out"] == 0, f"{k['feasible_left_out']} left out"
         yield "fixed_unlabeled_quota", (n := sum(counts.values())) == s["unlabeled_count"], f"{n} rows"
-        yield "unlabeled_channel_quotas", counts == s["channel_counts"], str(counts)
-        most = others.groupBy("murcko_scaffold").count().agg(F.max("count")).first()[0] or 0
+        yield "unlabeled_channel_quotas", counts == s["channel_counts"], str(dict(sorted(counts.items(), key=str)))
         yield "unlabeled_scaffold_cap", most <= s["scaffold_cap"], f"{most} of one group"
     if run.states is not None and run.selected is not None:
-        gone = run.failures if run.failures is not None else run.states.limit(0)
-        total = _n(run.states) + _n(gone)
-        yield "selected_parent_ligand_accounting", total == (n := _n(run.selected)), f"{total} states and failures for {n} parents"
-        yield "one_state_per_parent", (n := _n(duplicates(run.states, ["parent_structure_key"]))) == 0, f"{n} parents with several"
-        lost = orphans(run.selected.select(F.col("structure_key").alias("parent_structure_key")), run.states, ["parent_structure_key"])
-        yield "failures_are_reported", (n := _n(orphans(lost, gone, ["parent_structure_key"]))) == 0, f"{n} unreported"
+        total = k["states"] + k["failures"]
+        yield "selected_parent_ligand_accounting", total == k["selected"], f"{total} states and failures for {k['selected']} parents"
+        yield "one_state_per_parent", k["states_repeated"] == 0, f"{k['states_repeated']} parents with several"
+        yield "failures_are_reported", k["unreported"] == 0, f"{k['unreported']} unreported"
         if run.ligand_records is not None:
-            yield "ligand_record_count", run.ligand_records == (n := _n(run.states)), f"{run.ligand_records} records for {n} states"
+            yield "ligand_record_count", run.ligand_records == k["states"], f"{run.ligand_records} records for {k['states']} states"
+    kinds = 0
     if run.job_states is not None and run.states is not None:
-        yield "only_embedded_states_enter", (n := _n(orphans(run.job_states, run.states.where("embed_status like 'ok%'"), ["state_id"]))) == 0, f"{n} others"
-        yield "job_input_state_count", (n := _n(run.job_states)) == _n(run.states.where("embed_status like 'ok%'")), f"{n} states"
+        j = state_counts(run.states, run.job_states)
+        kinds = j["kinds"]
+        yield "only_embedded_states_enter", j["others"] == 0, f"{j['others']} others"
+        yield "job_input_state_count", j["entered"] == j["embedded"], f"{j['entered']} states"
     if run.jobs is not None:
-        yield "has_scheduled_protocols", (n := _n(run.jobs)) > 0, f"{n} jobs"
-        yield "only_enabled_protocols", (n := _n(run.jobs.where(~F.col("protocol_id").isin(*s["protocols"])))) == 0, f"{n} jobs of others"
-        bad = run.jobs.where((F.col("seed") < 0) | (F.col("seed") >= 2147483647))
-        yield "reproducible_seeds", _n(bad) == 0 and _n(duplicates(run.jobs, ["seed"])) == 0, "seeds are distinct and in range"
+        j = job_counts(run.jobs, s["protocols"])
+        yield "has_scheduled_protocols", j["n"] > 0, f"{j['n']} jobs"
+        yield "only_enabled_protocols", j["others"] == 0, f"{j['others']} jobs of others"
+        yield "reproducible_seeds", j["bad"] == 0 and j["repeated"] == 0, "seeds are distinct and in range"
         if s.get("max_parents"):
-            yield "scope_bounded", (n := _n(run.job_states.select("state_id").distinct()) if run.job_states is not None else 0) <= s["max_parents"], f"{n} parents"
+            if run.job_states is not None and run.states is None:
+                kinds = run.job_states.select("state_id").distinct().count()
+            yield "scope_bounded", kinds <= s["max_parents"], f"{kinds} parents"
 
 
 def report(spark: SparkSession, run: Run) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 import pandas as pd
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import ATOM_CODES, RESIDUES, coded, parsed_affinity
+from siftline.sources.listing import files, qualified
 
 SDF_SCHEMA = "title string, props map<string,string>, atoms array<struct<element:string,x:double,y:double,z:double,charge:int>>, bonds array<struct<a:int,b:int,order:int>>, molblock string"
 # Charge codes of the atom block.
@@ -54,18 +54,53 @@ def parse_sdf_record(record: str) -> dict:
     return {"title": lines[0].strip(), "props": props, "atoms": atoms, "bonds": bonds, "molblock": "\n".join(lines[: end + 1])}
 
 
-def read_sdf(spark: SparkSession, path: str) -> DataFrame:
-    """file, record_index (1-based within its file, in order) and the parsed record. A malformed record is an error."""
-    text = spark.read.text(path, lineSep="$$$$\n").select(F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start")).alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
-    kept = text.where(F.trim(F.translate("value", "\r\n", "")) != "")
-    # lines of a file are read in order within a block; blocks are ordered by their start
-    numbered = kept.withColumn("record_index", F.row_number().over(Window.partitionBy("file").orderBy("_block", "_at")).cast("long")).drop("_block", "_at")
+def _between_separators(batches):
+    """(file, block, place, text) of the records of a task, empty ones left out; place counts within a block."""
+    part, place, begins = None, 0, False
+    for pdf in batches:
+        for file, block, value in zip(pdf["file"], pdf["block"], pdf["value"], strict=True):
+            if (file, block) != part:
+                part, place, begins = (file, block), 0, block == 0
+            # behind a separator comes the end of its line; only a file's first record has none before it
+            text = (value if begins else value.partition("\n")[2]).replace("\r\n", "\n").removesuffix("\r")
+            begins = False
+            if text.strip():
+                place += 1
+                yield file, block, place, text
+
 
-    @F.pandas_udf(SDF_SCHEMA)
-    def parse(values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse_sdf_record(v.replace("\r\n", "\n")) for v in values], columns=["title", "props", "atoms", "bonds", "molblock"])
+def read_sdf(spark: SparkSession, path: str) -> DataFrame:
+    """file, record_index (1-based within its file, in order) and the parsed record. A malformed record is an error; blank
+    ones are left out and not counted. Records end with a line that starts with $$$$; lines end either way.
+
+    A large file is read in the blocks that Spark cuts it into. One pass counts the records of each block, and a record's
+    index is its place in its block behind those of the blocks before: no task sees a whole file.
+    """
+    text = spark.read.text(path, lineSep="\n$$$$")
+    records = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    columns = ["title", "props", "atoms", "bonds", "molblock"]
+
+    def count(batches):
+        last: dict[tuple, int] = {}
+        for file, block, place, _ in _between_separators(batches):
+            last[file, block] = place
+        yield pd.DataFrame([(*k, n) for k, n in last.items()], columns=["file", "block", "n"])
+
+    def parse(batches):
+        rows = []
+        for file, block, place, record in _between_separators(batches):
+            found = parse_sdf_record(record)
+            rows.append((file, block, place, *(found[c] for c in columns)))
+            if len(rows) == 1000:
+                yield pd.DataFrame(rows, columns=["file", "block", "place", *columns])
+                rows = []
+        yield pd.DataFrame(rows, columns=["file", "block", "place", *columns])
 
-    return numbered.select("file", "record_index", parse("value").alias("r")).select("file", "record_index", "r.*")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block
+    counts = records.mapInPandas(count, "file string, block long, n long")
+    starts = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    placed = records.mapInPandas(parse, f"file string, block long, place long, {SDF_SCHEMA}").join(starts, ["file", "block"])
+    return placed.select("file", (F.col("start") + F.col("place")).alias("record_index"), *columns)
 
 
 def sdf_record(molblock: str, props: Sequence[str]) -> Column:
@@ -177,20 +212,18 @@ def rigid_atoms(text: str) -> int:
 
 
 def located(codes: DataFrame, folder: str, code: str = "complex_id") -> DataFrame:
-    """Adds ligand_path and pocket_path: the first file of each kind in a complex's folder on mounted storage, named by
-    the code in lower case, then in upper case, SDF before MOL2; null if there is none."""
-
-    @F.pandas_udf("ligand_path string, pocket_path string")
-    def find(values: pd.Series) -> pd.DataFrame:
-        rows = []
-        for v in values:
-            inside = lambda name, v=v: os.path.join(folder, v, name)
-            spelled = (v.lower(), v.upper())
-            ligands = [inside(f"{c}_ligand.{end}") for end in ("sdf", "mol2") for c in spelled]
-            rows.append([next((p for p in paths if os.path.isfile(p)), None) for paths in (ligands, [inside(f"{c}_pocket.pdb") for c in spelled])])
-        return pd.DataFrame(rows, columns=["ligand_path", "pocket_path"])
-
-    return codes.withColumn("_found", find(code)).select(*codes.columns, "_found.*")
+    """Adds ligand_path and pocket_path: the first file of each kind in a complex's folder, named by the code in lower
+    case, then in upper case, SDF before MOL2; null if there is none. Files are those that Spark lists below `folder`."""
+    spark = codes.sparkSession
+    parts = F.split(F.substring(F.col("path"), F.lit(len(qualified(spark, folder)) + 2), F.length("path")), "/")
+    inside = files(spark, folder).select("path", parts.alias("_p")).where(F.size("_p") == 2).select("path", F.col("_p")[0].alias("_code"), F.col("_p")[1].alias("_name"))
+    ends = {"ligand_path": ("_ligand.sdf", "_ligand.mol2"), "pocket_path": ("_pocket.pdb",)}
+    names = [(kind, case, end) for kind, given in ends.items() for end in given for case in (F.lower, F.upper)]
+    wanted = F.array(*[F.struct(F.lit(kind).alias("_kind"), F.lit(i).alias("_place"), F.concat(case("_code"), F.lit(end)).alias("_name")) for i, (kind, case, end) in enumerate(names)])
+    asked = codes.select(F.col(code).alias("_code")).distinct().select("_code", F.inline(wanted))
+    first = [F.min_by(F.when(F.col("_kind") == kind, F.col("path")), F.when(F.col("_kind") == kind, F.col("_place"))).alias(kind) for kind in ends]
+    found = asked.join(inside, ["_code", "_name"]).groupBy("_code").agg(*first)
+    return codes.join(found, F.col(code) == F.col("_code"), "left").drop("_code")
 
 
 def receptor_subset(spark: SparkSession, path: str, chains: Sequence[str], removed: Sequence[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Raw tables: discovery, format by content, header aliases, and an XLSX data source."""
+"""Raw tables: discovery, format by content, header aliases and workbooks, on any storage that Spark reads."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
-from pathlib import Path
+from pathlib import PurePosixPath
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+
+from siftline.sources.listing import files, qualified
 
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 # Header spellings of each field, first match wins.
@@ -26,24 +27,25 @@ ALIASES = {
 }
 
 
-def discover(folder: str) -> tuple[str, list[str]]:
+def discover(spark: SparkSession, folder: str) -> tuple[str, list[str]]:
     """The active file and the candidate files below a folder: the only file with "2w" in its name is active, else the
     only XLSX file. Candidates come in path order and there must be one."""
-    files = sorted(p for p in Path(folder).rglob("*") if p.suffix.lower() in (".csv", ".xlsx"))
-    named = [p for p in files if "2w" in p.name.lower()]
-    active = named or [p for p in files if p.suffix.lower() == ".xlsx"]
+    listed = [r["path"] for r in files(spark, folder).where(F.lower("path").rlike(r"\.(csv|xlsx)$")).select("path").collect()]  # source files
+    paths = sorted(listed, key=lambda p: PurePosixPath(p).parts)
+    named = [p for p in paths if "2w" in PurePosixPath(p).name.lower()]
+    active = named or [p for p in paths if p.lower().endswith(".xlsx")]
     if len(active) != 1:
         raise ValueError(f"exactly one active file is needed, found {len(active)}")
-    rest = [str(p) for p in files if p != active[0]]
+    rest = [p for p in paths if p != active[0]]
     if not rest:
         raise ValueError("no candidate file")
-    return str(active[0]), rest
+    return active[0], rest
 
 
-def is_xlsx(path: str) -> bool:
+def is_xlsx(spark: SparkSession, path: str) -> bool:
     """By the first bytes, whatever the name."""
-    with open(path, "rb") as f:
-        return f.read(2) == b"PK"
+    first = spark.read.text(path).limit(1).collect()
+    return bool(first) and first[0]["value"].startswith("PK")
 
 
 def _cell_text(cell: ET.Element, shared: list[str]) -> str:
@@ -78,43 +80,22 @@ def xlsx_rows(data: bytes) -> Iterator[tuple[str, dict[str, str]]]:
                 row.clear()
 
 
-class _Files(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-class _XlsxReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
-
-    def partitions(self) -> list[_Files]:
-        return [_Files(p) for p in self.paths]
-
-    def read(self, partition: _Files):
-        data = Path(partition.path).read_bytes()
-        for row, fields in xlsx_rows(data):
-            yield partition.path, row, fields
-
-
-class XlsxSource(DataSource):
-    """spark.read.format("xlsx_rows").load(path): file, source_row, fields (map). A task per file."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "xlsx_rows"
-
-    def schema(self) -> str:
-        return "file string, source_row string, fields map<string,string>"
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        path = Path(self.options["path"])
-        return _XlsxReader(sorted(map(str, path.glob("*.xlsx"))) if path.is_dir() else [str(path)])
+def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
+    """file, source_row, fields (map) of workbooks, a task per workbook: it is one compressed stream, and its format ends
+    at 1,048,576 rows. Rows are handed on while the sheet is read."""
 
+    def rows(batches):
+        for pdf in batches:
+            for file, data in zip(pdf["path"], pdf["content"], strict=True):
+                held: list[tuple] = []
+                for row, fields in xlsx_rows(data):
+                    held.append((file, row, fields))
+                    if len(held) == 1000:
+                        yield pd.DataFrame(held, columns=["file", "source_row", "fields"])
+                        held = []
+                yield pd.DataFrame(held, columns=["file", "source_row", "fields"])
 
-def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(XlsxSource)
-    return spark.read.format("xlsx_rows").load(path)
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, "file string, source_row string, fields map<string,string>")
 
 
 def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -141,8 +122,8 @@ def aliased(df: DataFrame, file: str, pool: str, source_index: int) -> DataFrame
 
 
 def read_raw(spark: SparkSession, path: str, pool: str, source_index: int, root: str) -> DataFrame:
-    name = str(Path(path).relative_to(root))
-    if is_xlsx(path):
+    name = path.removeprefix(qualified(spark, root) + "/")
+    if is_xlsx(spark, path):
         rows = read_xlsx(spark, path)
         keys = [r[0] for r in rows.select(F.explode(F.map_keys("fields"))).distinct().collect()]  # header cells
         rows = rows.select("source_row", *[F.coalesce(F.element_at("fields", F.lit(k)), F.lit("")).alias(k) for k in keys])
@@ -153,7 +134,7 @@ def read_raw(spark: SparkSession, path: str, pool: str, source_index: int, root:
 
 def read_sources(spark: SparkSession, folder: str) -> DataFrame:
     """All raw records: the active file first, then candidates in path order (source_index)."""
-    active, rest = discover(folder)
+    active, rest = discover(spark, folder)
     out = read_raw(spark, active, "activity_recorded", 0, folder)
     for i, path in enumerate(rest, start=1):
         out = out.unionByName(read_raw(spark, path, "unlabeled", i, folder))

@@ -9,7 +9,7 @@ from siftline import __main__ as cli
 from siftline.operators import conformers, jobs
 from siftline.operators.gates import GateError
 from siftline.plans import handoff, qc, reference
-from siftline.sources import fetch, molecular
+from siftline.sources import fetch, listing, molecular
 from test_sources import PDB, atom, record
 
 DBREF = "DBREF  1ABC A    1   999  UNP    P12345   X_HUMAN          1    999\n"
@@ -36,7 +36,8 @@ def test_files_of_complexes(spark, tmp_path):
     for code, names in (("1abc", ["1abc_ligand.mol2", "1ABC_ligand.sdf", "1abc_pocket.pdb"]), ("2abc", ["2ABC_pocket.pdb"])):
         (tmp_path / code).mkdir()
         for name in names:
-            (tmp_path / code / name).write_text("")
+            (tmp_path / code / name).write_text("x")
+    (tmp_path / "2abc" / "2abc_ligand.sdf").write_text("")  # an empty file is none
     got = {r["complex_id"]: [p and p.rsplit("/", 1)[1] for p in (r["ligand_path"], r["pocket_path"])] for r in molecular.located(spark.createDataFrame([("1abc",), ("2abc",), ("3abc",)], "complex_id string"), str(tmp_path)).collect()}
     assert got == {"1abc": ["1ABC_ligand.sdf", "1abc_pocket.pdb"], "2abc": [None, "2ABC_pocket.pdb"], "3abc": [None, None]}
 
@@ -45,14 +46,16 @@ def test_changed_files_change_signatures(spark, tmp_path):
     receptor, program = tmp_path / "r.pdb", tmp_path / "dock"
     receptor.write_text("a"), program.write_text("b")
     df = spark.createDataFrame([(1, str(receptor), "/out/1")], "chunk int, receptor string, output string")
-    sign = lambda d=df: jobs.signatures(d, files=["receptor"], program=str(program)).first()["signature"]
+    sign = lambda d=df: jobs.signatures(d, files=["receptor"], program=str(program), listed=listing.files(spark, str(tmp_path))).first()["signature"]
     first = sign()
     assert first == sign() == sign(df.withColumn("output", F.lit("/elsewhere")))
     receptor.write_text("longer")
     second = sign()
     program.write_text("other one")
     assert len({first, second, sign()}) == 3
-    assert jobs.signatures(df, files=["receptor"]).columns == ["chunk", "receptor", "output", "signature"]
+    assert jobs.signatures(df, files=["receptor"], listed=listing.files(spark, str(tmp_path))).columns == ["chunk", "receptor", "output", "signature"]
+    receptor.unlink()
+    assert sign() not in (first, second)
 
 
 def test_structure_statuses(spark):

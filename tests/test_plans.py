@@ -88,6 +88,37 @@ def test_quality_report_names_every_failure(spark):
         qc.require(spark, run)
 
 
+def test_quality_checks_see_each_fault_in_a_few_jobs(spark):
+    keys = spark.range(8).selectExpr("cast(id as string) as structure_key", "if(id < 3, 'activity_recorded', 'unlabeled') as source_pool", "if(id = 7, 'failed', 'ok') as structure3d_status", "1 as hard_filter_pass", "concat('s', id % 4) as murcko_scaffold", "if(id < 3, 'activity_recorded_all', if(id % 2 = 0, 'a', 'b')) as selection_channel").cache()
+    chosen = keys.where("structure_key <> '7'")
+    states = chosen.where("structure_key <> '6'").selectExpr("structure_key as parent_structure_key", "concat('t', structure_key) as state_id", "if(structure_key = '5', 'failed', 'ok') as embed_status")
+    gone = spark.createDataFrame([("6",)], "parent_structure_key string")
+    jobs = spark.createDataFrame([("p", 1), ("p", 2)], "protocol_id string, seed long")
+    entered = states.where("embed_status = 'ok'").select("state_id")
+    settings = {"pool_size": 8, "unlabeled_count": 4, "channel_counts": {"a": 2, "b": 2}, "scaffold_cap": 2, "protocols": ["p"], "max_parents": 6, "nodes": 2, "docking": {"jobs": 64}, "layout": {"nodes": 2, "docking.jobs": 64}}
+    whole = dict(settings=settings, raw_records=8, mapping=keys, scored=keys, pool=keys, scored3d=keys, selected=chosen, states=states, failures=gone, jobs=jobs, job_states=entered, ligand_records=6)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quality", "")
+    failed = lambda **change: {name for name, ok, _ in qc.checks(qc.Run(**(whole | change))) if not ok}
+    try:
+        assert failed() == set()
+    finally:
+        n_jobs = len(tracker.getJobIdsForGroup("quality"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert n_jobs <= 16  # shuffles of five passes; adaptive plans count each of their stages as a job
+    assert failed(settings=settings | {"nodes": 1}) == {"machine_layout"}
+    assert failed(pool=keys.unionByName(keys.limit(1))) == {"3d_pool_size", "3d_pool_exact_unique"}
+    assert failed(pool=keys.where("structure_key <> '1'")) == {"3d_pool_size", "all_active_in_pool"}
+    assert failed(selected=chosen.where("structure_key <> '1'")) == {"dynamic_final_size", "all_feasible_active_included", "selected_parent_ligand_accounting"}
+    assert failed(selected=chosen.where("structure_key <> '4'")) == {"dynamic_final_size", "fixed_unlabeled_quota", "unlabeled_channel_quotas", "selected_parent_ligand_accounting"}
+    assert failed(failures=None) == {"selected_parent_ligand_accounting", "failures_are_reported"}
+    assert failed(states=states.unionByName(states.limit(1))) >= {"one_state_per_parent", "ligand_record_count"}
+    assert failed(job_states=states.select("state_id")) == {"only_embedded_states_enter", "job_input_state_count"}
+    assert failed(jobs=spark.createDataFrame([("p", 1), ("q", 1)], jobs.schema)) == {"only_enabled_protocols", "reproducible_seeds"}
+    assert failed(jobs=spark.createDataFrame([("p", -1)], jobs.schema)) == {"reproducible_seeds"} and failed(jobs=jobs.limit(0)) == {"has_scheduled_protocols"}
+    assert failed(settings=settings | {"max_parents": 3, "scaffold_cap": 1}) == {"scope_bounded"} | ({"unlabeled_scaffold_cap"} if qc.selection_counts(chosen)[1] > 1 else set())
+
+
 def test_streaming_counts_equal_batch(spark, tmp_path):
     table = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     table.repartition(3).write.parquet(str(tmp_path / "in"))

@@ -3,7 +3,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from siftline.operators import external, jobs
+from siftline.operators import committed, external, jobs
 from siftline.operators.gates import GateError
 from siftline.sources import fetch, molecular, sinks, tabular
 
@@ -30,13 +30,13 @@ def test_sources_by_content_and_alias(spark, tmp_path):
     ]
 
 
-def test_discovery_needs_one_active_and_a_candidate(tmp_path):
+def test_discovery_needs_one_active_and_a_candidate(spark, tmp_path):
     (tmp_path / "a_2w.csv").write_text("ID\n")
     with pytest.raises(ValueError, match="no candidate"):
-        tabular.discover(str(tmp_path))
+        tabular.discover(spark, str(tmp_path))
     (tmp_path / "b_2w.csv").write_text("ID\n")
     with pytest.raises(ValueError, match="exactly one"):
-        tabular.discover(str(tmp_path))
+        tabular.discover(spark, str(tmp_path))
 
 
 def atom(element, x, code=0):
@@ -48,6 +48,63 @@ def record(title, atoms, bonds, props):
     return "\n".join(lines) + "\n" + "".join(f">  <{k}>\n{v}\n\n" for k, v in props.items()) + "$$$$\n"
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_one_sdf_file_in_several_tasks(spark, tmp_path, end):
+    path = tmp_path / "in.sdf"
+    records = [record(f"s{i}" if i % 7 else "", [atom("C", float(i % 50))] * (1 + i % 5), [], {"n": str(i), "note": "x $$$$ inside\nsecond"} if i % 3 else {}) for i in range(400)]
+    text = "".join(records[:200]) + "$$$$\n" + "".join(records[200:])  # a blank record in between
+    path.write_bytes(text.replace("\n", end).encode())
+    (tmp_path / "other.sdf").write_bytes(records[0].replace("\n", end).encode().rstrip())
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = molecular.read_sdf(spark, str(tmp_path / "*.sdf"))
+        blocks = spark.read.text(str(path), lineSep="\n$$$$").select("_metadata.file_block_start").distinct().count()
+        got = df.orderBy("file", "record_index").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    mine = [r for r in got if r["file"].endswith("in.sdf")]
+    assert blocks > 5 and len(got) == len(mine) + 1
+    assert [(r["record_index"], r["title"], r["props"].get("n"), len(r["atoms"])) for r in mine] == [(i + 1, f"s{i}" if i % 7 else "", str(i) if i % 3 else None, 1 + i % 5) for i in range(400)]
+    assert mine[1]["props"]["note"] == "x $$$$ inside\nsecond"
+
+
+def test_parts_survive_an_end_between_write_and_commit(spark, tmp_path, monkeypatch):
+    rows = spark.range(1, 11).selectExpr("cast(id as int) as i", "concat('p', id) as pose_id")
+    worked = []
+
+    def work(run):
+        return lambda part: worked.append((run, part.agg(F.min("i"), F.max("i")).first()[:])) or part.withColumn("run", F.lit(run))
+
+    def dies(self, entry):
+        if entry["first"] == 7:
+            raise KeyboardInterrupt
+        return commit(self, entry)
+
+    commit = committed.Parts.commit
+    done = committed.Parts(spark, str(tmp_path / "parts"), "i")
+    monkeypatch.setattr(committed.Parts, "commit", dies)
+    with pytest.raises(KeyboardInterrupt):
+        done.complete(rows, work("first"), 3)
+    monkeypatch.undo()
+    assert done.reached() == 6 and done.table().count() == 6
+    out = committed.Parts(spark, str(tmp_path / "parts"), "i").complete(rows, work("second"), 3)
+    assert sorted((r["i"], r["run"]) for r in out.collect()) == [(i, "first" if i <= 6 else "second") for i in range(1, 11)]
+    assert worked == [("first", (1, 3)), ("first", (4, 6)), ("first", (7, 9)), ("second", (7, 9)), ("second", (10, 10))]
+    assert len(done.sweep()) == 1 and done.sweep() == [] and done.table().count() == 10
+    assert done.complete(rows, work("third"), 3).where("run = 'third'").count() == 0
+    with pytest.raises(GateError, match="another run"):
+        done.commit({"part": "x", "first": 4, "last": 6})
+    with pytest.raises(GateError, match="unknown i and pose_id"):
+        done.complete(rows.where("i < 5"), work("x"), 3)
+    with pytest.raises(GateError, match="unknown i and pose_id"):
+        done.complete(rows.withColumn("pose_id", F.lit("z")), work("x"), 3)
+    other = committed.Parts(spark, str(tmp_path / "odd"), "i")
+    with pytest.raises(GateError, match="are not 1 to 5"):
+        other.complete(rows, lambda part: part.where("i <> 2"), 5)
+    assert other.reached() == 0 and other.table() is None
+
+
 def test_sdf_round_trip(spark, tmp_path):
     path = tmp_path / "in.sdf"
     path.write_text(record("s1", [atom("C", 0.0), atom("H", 1.0), atom("O", 2.0, 5)], [(1, 2, 1), (1, 3, 1)], {"state_id": "s1", "minimizedAffinity": "-7.25"}) + record("s2", [atom("C", 0.0)], [], {}))
