@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
 import os
 import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from siftline.operators import selection
+from siftline.operators import conformers, external, jobs, selection
 from siftline.plans import config as configuration
 from siftline.plans import final_score, handoff, qc, screening
-from siftline.sources import sinks, tabular
+from siftline.sources import fetch, sinks, tabular
 
 
 def _final_score(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -79,6 +82,40 @@ def _qc(spark: SparkSession, a: argparse.Namespace) -> None:
         raise SystemExit(f"{found['failed']} checks failed, see {a.run}/QC_REPORT.md")
 
 
+def _kernel(name: str):
+    """A function named module:function, which brings an outside toolkit."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def _score3d(spark: SparkSession, a: argparse.Namespace) -> None:
+    conformers.structure_scores(spark.read.parquet(a.pool), _kernel(a.embed), _kernel(a.align)).write.mode("errorifexists").parquet(a.out)
+
+
+def _ligands(spark: SparkSession, a: argparse.Namespace) -> None:
+    good, failed = screening.states(spark.read.parquet(a.selected), _kernel(a.embed))
+    good.write.mode("errorifexists").parquet(f"{a.out}/states")
+    failed.write.mode("errorifexists").parquet(f"{a.out}/failures")
+
+
+def _smina(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Jobs are rows with receptor, ligands, output and log on storage that executors mount."""
+    rows = jobs.signatures(spark.read.parquet(a.jobs), ignore=("output", "log"))
+    program = a.program
+    done = external.run_jobs(rows, lambda job, out, log: external.docking_command(program, job, out, log), external.check_docking, ["protocol_id", "chunk"])
+    done.write.mode("errorifexists").parquet(a.out)
+
+
+def _postdock3d(spark: SparkSession, a: argparse.Namespace) -> None:
+    conformers.pose_similarities(spark.read.parquet(a.poses), _kernel(a.align), a.least).write.mode("errorifexists").parquet(a.out)
+
+
+def _references(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A JSON list of {url, file, sha256}: each is read once and checked."""
+    for item in json.loads(Path(a.list).read_text(encoding="utf-8")):
+        fetch.fetch(item["url"], os.path.join(a.out, item["file"]), item.get("sha256"))
+
+
 def _path(spark: SparkSession, a: argparse.Namespace) -> None:
     print(configuration.load(a.config)["output_dir"])
 
@@ -93,6 +130,11 @@ COMMANDS = {
     "score2d": (_score2d, ["parents", "reference", "out"]),
     "pool3d": (_pool3d, ["config", "scored", "out"]),
     "select": (_select, ["config", "scored", "out"]),
+    "references": (_references, ["list", "out"]),
+    "score3d": (_score3d, ["pool", "embed", "align", "out"]),
+    "ligands": (_ligands, ["selected", "embed", "out"]),
+    "smina": (_smina, ["jobs", "program", "out"]),
+    "postdock3d": (_postdock3d, ["poses", "align", "out"]),
     "prepare-jobs": (_jobs, ["config", "states", "out"]),
     "activity-failures": (_select_failures, ["scored", "out"]),
     "collect-docking": (_collect, ["records", "states", "job-states", "modes", "out"]),
@@ -111,6 +153,8 @@ def parser() -> argparse.ArgumentParser:
         p = commands.add_parser(name)
         for option in options:
             p.add_argument(f"--{option}", required=True)
+        if name == "postdock3d":
+            p.add_argument("--least", type=float)
         if name == "final-score":
             p.add_argument("--similarity")
             p.add_argument("--required", action="append", default=[])

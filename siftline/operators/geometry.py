@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.operators.gates import GateError
 from siftline.operators.ranking import numbered
 from siftline.operators.storage import cut
 
@@ -227,13 +228,36 @@ def coordinates(value) -> np.ndarray | None:
     return a if a.ndim == 2 and a.shape[1] == 3 else None
 
 
-def pooled(df: DataFrame, graph: str, value: str, gate: str, top: int = 8) -> DataFrame:
-    """Per graph: mean, max, sum, softmax-weighted mean by gate, and mean of the `top` values of largest gate."""
-    peak = F.max(gate).over(Window.partitionBy(graph))
-    place = F.row_number().over(Window.partitionBy(graph).orderBy(F.desc(gate), F.desc(value)))
-    rows = df.withColumns({"_e": F.exp(F.col(gate) - peak), "_k": place})
-    return rows.groupBy(graph).agg(
-        F.avg(value).alias("mean"), F.max(value).alias("max"), F.sum(value).alias("sum"),
-        (F.sum(F.col("_e") * F.col(value)) / F.sum("_e")).alias("softmax_mean"),
-        F.avg(F.when(F.col("_k") <= top, F.col(value))).alias("top_mean"), F.log1p(F.count("*")).alias("log_count"),
+def pooled(df: DataFrame, graph: str, value: str, gate: str, top: int = 8, mask: str | None = None) -> DataFrame:
+    """Per graph, of `value`: mean, max, sum, sum over the root of the number, mean weighted by the softmax of gate, mean of
+    the `top` values of largest gate and of those of largest size, the logarithm of one plus the number; mean and max of
+    the rows for which `mask` holds (0 without any). Sums are partial, and of each graph only `top` rows are sorted."""
+    held = F.col(mask) if mask else F.lit(True)
+    peaks = df.groupBy(graph).agg(F.max(gate).alias("_peak"))
+    weight = F.exp(F.col(gate) - F.col("_peak"))
+    sums = df.join(peaks, graph).groupBy(graph).agg(
+        F.avg(value).alias("mean"), F.max(value).alias("max"), F.sum(value).alias("sum"), (F.sum(value) / F.sqrt(F.count("*"))).alias("scaled_sum"),
+        (F.sum(weight * F.col(value)) / F.sum(weight)).alias("softmax_mean"), F.log1p(F.count("*")).alias("log_count"),
+        F.coalesce(F.avg(F.when(held, F.col(value))), F.lit(0.0)).alias("masked_mean"), F.coalesce(F.max(F.when(held, F.col(value))), F.lit(0.0)).alias("masked_max"),
     )
+    for name, order in (("top_mean", [F.desc(gate), F.desc(value)]), ("top_size_mean", [F.desc(F.abs(value)), F.desc(value)])):
+        place = F.row_number().over(Window.partitionBy(graph).orderBy(*order))
+        sums = sums.join(df.withColumn("_k", place).where(F.col("_k") <= top).groupBy(graph).agg(F.avg(value).alias(name)), graph)
+    return sums
+
+
+def pocket_summary(atoms: DataFrame, ligand: DataFrame, group: str, unit: Sequence[str], point_id: str, xyz: Sequence[str], radius: float) -> DataFrame:
+    """group, atoms, residues, nearest of each group of ligand points: the atoms and units of its pocket within radius, 0
+    if there are none, and the distance of the nearest atom at all (null without atoms)."""
+    near = whole_groups_within(atoms, ligand, group, unit, xyz, radius).groupBy(group).agg(F.count("*").alias("atoms"), F.count_distinct(F.struct(*unit)).alias("residues"))
+    marked = ligand.withColumn("_i", F.monotonically_increasing_id())
+    nearest = nearest_beyond(marked, atoms, group, "_i", point_id, xyz, radius).groupBy(group).agg(F.min("distance").alias("nearest"))
+    out = ligand.select(group).distinct().join(near, group, "left").join(nearest, group, "left")
+    return out.select(group, F.coalesce("atoms", F.lit(0)).alias("atoms"), F.coalesce("residues", F.lit(0)).alias("residues"), "nearest")
+
+
+def require_pockets(summary: DataFrame, group: str, radius: float) -> DataFrame:
+    """An error names a group without a residue within radius, and how far the nearest atom is."""
+    if row := summary.where("residues = 0").orderBy(group).first():
+        raise GateError(f"no residue within {radius} of {row[group]}; the nearest atom is {row['nearest']} away")
+    return summary

@@ -487,11 +487,45 @@ def centred_points(spark, sf_dir):
     return geometry.centred(points(spark, sf_dir), "label", XYZ).select("vec_id", (F.round("x", 6) + F.lit(0.0)).alias("cx"))
 
 
-@query(f"""WITH {POINTS_SQL}, g AS (SELECT *, y - max(y) OVER (PARTITION BY label) AS h, row_number() OVER (PARTITION BY label ORDER BY y DESC, x DESC) AS k FROM pts)
-SELECT label, round(avg(x), 6) AS mean, round(max(x), 6) AS max, round(sum(exp(h) * x) / sum(exp(h)), 6) AS softmax_mean, round(avg(x) FILTER (WHERE k <= 8), 6) AS top_mean, round(ln(1 + count(*)), 6) AS log_count FROM g GROUP BY label""")
+@query(f"""WITH {POINTS_SQL}, g AS (SELECT *, y - max(y) OVER (PARTITION BY label) AS h, row_number() OVER (PARTITION BY label ORDER BY y DESC, x DESC) AS k, row_number() OVER (PARTITION BY label ORDER BY abs(x) DESC, x DESC) AS a FROM pts)
+SELECT label, round(avg(x), 6) AS mean, round(max(x), 6) AS max, round(sum(exp(h) * x) / sum(exp(h)), 6) AS softmax_mean, round(avg(x) FILTER (WHERE k <= 8), 6) AS top_mean, round(ln(1 + count(*)), 6) AS log_count,
+round(sum(x) / sqrt(count(*)), 6) AS scaled_sum, round(avg(x) FILTER (WHERE a <= 8), 6) AS top_size_mean, round(coalesce(avg(x) FILTER (WHERE z > 0), 0), 6) AS masked_mean, round(coalesce(max(x) FILTER (WHERE z > 0), 0), 6) AS masked_max FROM g GROUP BY label""")
 def graph_pooling(spark, sf_dir):
-    out = geometry.pooled(points(spark, sf_dir), "label", "x", "y")
-    return out.select("label", *[F.round(c, 6).alias(c) for c in ("mean", "max", "softmax_mean", "top_mean", "log_count")])
+    out = geometry.pooled(points(spark, sf_dir).withColumn("held", F.col("z") > 0), "label", "x", "y", mask="held")
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("mean", "max", "softmax_mean", "top_mean", "log_count", "scaled_sum", "top_size_mean", "masked_mean", "masked_max")])
+
+
+@query(f"""WITH {ROLES_SQL}, d AS (SELECT a.label, b.vec_id, {DIST_SQL} AS d FROM roled a JOIN roled b ON a.label = b.label AND a.ligand AND NOT b.ligand),
+units AS (SELECT DISTINCT label, vec_id // 20 AS unit FROM d WHERE d <= 0.3::DOUBLE), near AS (SELECT label, count(*) AS n FROM roled WHERE NOT ligand AND (label, vec_id // 20) IN (SELECT (label, unit) FROM units) GROUP BY label)
+SELECT l.label, coalesce(n, 0) AS atoms, (SELECT count(*) FROM units WHERE units.label = l.label) AS residues, (SELECT round(min(d), 6) FROM d WHERE d.label = l.label) AS nearest FROM (SELECT DISTINCT label FROM roled WHERE ligand) l LEFT JOIN near USING (label)""")
+def pocket_summary(spark, sf_dir):
+    ligand, pocket = by_role(spark, sf_dir)
+    out = geometry.pocket_summary(pocket.withColumn("unit", F.floor(F.col("vec_id") / 20)), ligand.select("label", *XYZ), "label", ["unit"], "vec_id", XYZ, 0.3)
+    return out.withColumn("nearest", F.round("nearest", 6))
+
+
+PDB_SQL = "a AS (SELECT p_partkey, substr('ABC ', p_partkey % 4 + 1, 1) AS chain, ['ALA', 'HOH', 'GLY', ''][p_partkey % 5 % 4 + 1] AS resname FROM part)"
+
+
+@query(f"""WITH {PDB_SQL} SELECT reason, CASE WHEN name = '' THEN CASE reason WHEN 'removed_residue' THEN 'UNKNOWN' ELSE 'NONE' END ELSE name END AS name, count(*) AS n, max(CASE WHEN reason = 'included' THEN (SELECT count(*) FROM a WHERE chain IN ('A', 'B') AND resname NOT IN ('HOH', '')) + 1 ELSE 0 END) AS lines FROM
+(SELECT *, CASE WHEN chain NOT IN ('A', 'B') THEN 'other_chain' WHEN resname IN ('HOH', '') THEN 'removed_residue' ELSE 'included' END AS reason, CASE WHEN chain IN ('A', 'B') AND resname IN ('HOH', '') THEN resname ELSE trim(chain) END AS name FROM a) GROUP BY 1, 2""")
+def receptor_subset(spark, sf_dir):
+    """Parts as atoms of four chains, one of them blank: what is kept is written, all is counted."""
+    source, target, k = scratch(spark, "receptor"), scratch(spark, "receptor"), F.col("p_partkey")
+    chain, residue = F.substring(F.lit("ABC "), (k % 4 + 1).cast("int"), F.lit(1)), F.element_at(F.array(*map(F.lit, ["ALA", "HOH", "GLY", ""])), (k % 5 % 4 + 1).cast("int"))
+    table(spark, sf_dir, "part").select(F.format_string("ATOM  %5d  CA  %3s %1s%4d", (k % 100_000).cast("int"), residue, chain, (k % 10_000).cast("int")).alias("value")).write.text(source)
+    counts = sinks.write_receptor(molecular.receptor_subset(spark, source, ["A", "B"], ["HOH", ""]), target)
+    lines = spark.read.text(target).agg(F.count("*").alias("m"))  # one row
+    return counts.crossJoin(F.broadcast(lines)).select("reason", "name", "n", F.when(F.col("reason") == "included", F.col("m")).otherwise(0).cast("long").alias("lines"))
+
+
+@query("SELECT o_orderpriority AS source_pool, o_orderstatus AS source_index, o_orderkey::VARCHAR AS key, round(o_totalprice)::BIGINT::VARCHAR AS price FROM orders")
+def source_folders(spark, sf_dir):
+    """Orders in a folder of compressed CSV for each priority and status, read again."""
+    path = scratch(spark, "sources")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source_pool"), F.col("o_orderstatus").alias("source_index"), F.col("o_orderkey").alias("key"), F.round("o_totalprice").cast("long").alias("price"))
+    sinks.write_by_source(rows, path, ["key"])
+    return spark.read.csv(path, header=True).select("source_pool", "source_index", "key", "price")
 
 
 @query("""SELECT p_partkey, round(exp(-0.5::DOUBLE * pow((p_size / 10.0::DOUBLE - 1.0::DOUBLE) / 1.0::DOUBLE, 2)), 8) AS rbf_1, round(exp(-0.5::DOUBLE * pow((p_size / 10.0::DOUBLE - 5.0::DOUBLE) / 1.0::DOUBLE, 2)), 8) AS rbf_5 FROM part""")

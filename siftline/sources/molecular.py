@@ -227,11 +227,19 @@ def located(codes: DataFrame, folder: str, code: str = "complex_id") -> DataFram
 
 
 def receptor_subset(spark: SparkSession, path: str, chains: Sequence[str], removed: Sequence[str]) -> DataFrame:
-    """Lines of kept chains without the removed residues, in order; excluded ones carry their reason."""
+    """ord, value, chain, resname, reason of atom lines in order: included, other_chain or removed_residue."""
     lines = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
     atoms = lines.where(F.col("value").startswith("ATOM  ") | F.col("value").startswith("HETATM"))
-    reason = F.when(~_field(22, 22).isin(*chains), "other_chain").when(F.trim(_field(18, 20)).isin(*removed), "removed_residue").otherwise("included")
-    return atoms.select("ord", "value", reason.alias("reason"))
+    atoms = atoms.select("ord", "value", F.trim(_field(22, 22)).alias("chain"), F.trim(_field(18, 20)).alias("resname"))
+    reason = F.when(~F.col("chain").isin(*chains), "other_chain").when(F.col("resname").isin(*removed), "removed_residue").otherwise("included")
+    return atoms.withColumn("reason", reason)
+
+
+def receptor_counts(subset: DataFrame) -> DataFrame:
+    """reason, name, n: atoms kept and left out by their chain, removed ones by their residue. Blank chains are NONE, blank
+    residues UNKNOWN."""
+    chain, residue = (F.when(F.col(c) == "", F.lit(blank)).otherwise(F.col(c)) for c, blank in (("chain", "NONE"), ("resname", "UNKNOWN")))
+    return subset.groupBy("reason", F.when(F.col("reason") == "removed_residue", residue).otherwise(chain).alias("name")).agg(F.count("*").alias("n"))
 
 
 def read_affinity_index(spark: SparkSession, path: str, kinds: Sequence[str] = ()) -> DataFrame:

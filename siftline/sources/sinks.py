@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.sources.molecular import sdf_record
+from siftline.operators.gates import GateError
+from siftline.sources.molecular import receptor_counts, sdf_record
 
 
 def write_text(path: str, text: str) -> None:
@@ -59,6 +60,26 @@ def write_sdf(df: DataFrame, path: str, molblock: str, props: Sequence[str], ord
     rows.write.option("lineSep", "$$$$\n").text(path)
 
 
+def write_receptor(subset: DataFrame, path: str) -> DataFrame:
+    """The included lines of `receptor_subset` in order, then END, as text across part files; returns the counts of all
+    lines. A selection without atoms is an error."""
+    counts = receptor_counts(subset)
+    if counts.where("reason = 'included'").isEmpty():
+        raise GateError("the receptor selection has no atoms")
+    kept = subset.where("reason = 'included'").select("ord", "value")
+    end = subset.sparkSession.createDataFrame([((1 << 63) - 1, "END")], kept.schema)
+    kept.unionByName(end).repartitionByRange("ord").sortWithinPartitions("ord").select("value").write.text(path)
+    return counts
+
+
+def write_by_source(df: DataFrame, path: str, order: Sequence[str], pool: str = "source_pool", source: str = "source_index") -> None:
+    """Compressed CSV with a header in a folder per pool and source, each in order over its part files. A large source is
+    written by several tasks."""
+    ranged = df.repartitionByRange(pool, source, *order).sortWithinPartitions(pool, source, *order)
+    text = ranged.select(pool, source, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns if c not in (pool, source)])
+    text.write.mode("errorifexists").partitionBy(pool, source).csv(path, header=True, compression="gzip", emptyValue="")
+
+
 def write_chunks(df: DataFrame, path: str, protocol: str = "protocol_id", chunk: str = "chunk") -> None:
     """A folder per protocol and chunk, each written by one task."""
     df.repartition(protocol, chunk).write.mode("errorifexists").partitionBy(protocol, chunk).parquet(path)

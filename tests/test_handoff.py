@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftline import __main__ as cli
-from siftline.operators import conformers, jobs
+from siftline.operators import conformers, geometry, jobs
 from siftline.operators.gates import GateError
 from siftline.plans import handoff, qc, reference
-from siftline.sources import fetch, listing, molecular
+from siftline.sources import fetch, listing, molecular, sinks
 from test_sources import PDB, atom, record
 
 DBREF = "DBREF  1ABC A    1   999  UNP    P12345   X_HUMAN          1    999\n"
@@ -108,6 +108,51 @@ def test_package(spark, tmp_path):
         handoff.package(spark, str(tmp_path / "again"), t["poses"], t["parents"], t["states"], t["similarity"].limit(1), str(tmp_path / "r.pdb"), str(tmp_path / "poses.sdf"))
 
 
+def embedded(df):
+    block = F.array(F.struct(F.lit(0).alias("conformer_id"), F.lit("block").alias("molblock")))
+    return df.withColumns({"embed_error": F.lit(None).cast("string"), "embedding_method": F.lit("m"), "conformers": block, "embed_status": F.when(F.col("compound_id") == "c2", "failed").otherwise("ok") if "compound_id" in df.columns else F.lit("ok")})
+
+
+def aligned(df):
+    return df.withColumns({n: F.lit(v) for n, v in (("combined", 0.9), ("feature", 0.5), ("shape", 0.5), ("clash", 0.0), ("o3a", 1.0))})
+
+
+def test_commands_with_outside_kernels(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    spark.createDataFrame([("k1", "pnu_2d"), ("k2", "exploration")], "structure_key string, prescreen_channel string").write.parquet(at("pool"))
+    assert cli.main(["score3d", "--pool", at("pool"), "--embed", "test_handoff:embedded", "--align", "test_handoff:aligned", "--out", at("scored")]) == 0
+    assert {(r["structure_key"], r["structure3d_status"]) for r in spark.read.parquet(at("scored")).collect()} == {("k1", "ok"), ("k2", "feasible_only")}
+    names = "structure_key string, compound_id string, source_pool string, selection_channel string, standardized_smiles string"
+    spark.createDataFrame([("0" * 40, "c1", "unlabeled", "a", "CCO"), ("1" * 40, "c2", "unlabeled", "a", "CCN")], names).write.parquet(at("selected"))
+    assert cli.main(["ligands", "--selected", at("selected"), "--embed", "test_handoff:embedded", "--out", at("ligands")]) == 0
+    assert [spark.read.parquet(at(f"ligands/{t}")).first()["compound_id"] for t in ("states", "failures")] == ["c1", "c2"]
+    spark.createDataFrame([("p1", "b"), ("p2", None)], "pose_id string, molblock string").write.parquet(at("poses"))
+    args = ["postdock3d", "--poses", at("poses"), "--align", "test_handoff:aligned"]
+    assert cli.main([*args, "--out", at("similarity")]) == 0 and spark.read.parquet(at("similarity")).where("postdock_3d_status = 'ok'").count() == 1
+    with pytest.raises(GateError, match="post-docking"):
+        cli.main([*args, "--least", "0.95", "--out", at("strict")])
+    (tmp_path / "x").write_text("here")
+    (tmp_path / "list.json").write_text(json.dumps([{"url": f"file://{tmp_path}/x", "file": "y", "sha256": fetch.sha256(at("x"))}]))
+    assert cli.main(["references", "--list", at("list.json"), "--out", at("refs")]) == 0 and (tmp_path / "refs" / "y").read_text() == "here"
+
+
+def test_receptor_needs_atoms_and_pockets_need_residues(spark, tmp_path):
+    (tmp_path / "r.pdb").write_text(PDB)
+    subset = molecular.receptor_subset(spark, str(tmp_path / "r.pdb"), ["A"], [])
+    counts = sinks.write_receptor(subset, str(tmp_path / "out"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert len(lines) == counts.where("reason = 'included'").agg(F.sum("n")).first()[0] + 1 and "END" in lines
+    with pytest.raises(GateError, match="no atoms"):
+        sinks.write_receptor(molecular.receptor_subset(spark, str(tmp_path / "r.pdb"), ["Q"], []), str(tmp_path / "none"))
+    atoms = spark.createDataFrame([("g", 1, 1, 5.0, 0.0, 0.0), ("g", 1, 2, 30.0, 0.0, 0.0), ("g", 2, 3, 9.0, 0.0, 0.0)], "g string, unit int, i int, x double, y double, z double")
+    ligand = spark.createDataFrame([("g", 0.0, 0.0, 0.0), ("h", 0.0, 0.0, 0.0)], "g string, x double, y double, z double")
+    args = "g", ["unit"], "i", ["x", "y", "z"]
+    assert sorted(map(tuple, geometry.pocket_summary(atoms, ligand, *args, 6.0).collect())) == [("g", 2, 1, 5.0), ("h", 0, 0, None)]
+    far = geometry.pocket_summary(atoms, ligand.where("g = 'g'"), *args, 2.0)
+    with pytest.raises(GateError, match="nearest atom is 5.0"):
+        geometry.require_pockets(far, "g", 2.0)
+
+
 def test_quality_report_files(spark, tmp_path):
     states = spark.createDataFrame([("k", "s", "ok")], "parent_structure_key string, state_id string, embed_status string")
     selected = spark.createDataFrame([("k", "unlabeled", "a", "g")], "structure_key string, source_pool string, selection_channel string, murcko_scaffold string")
