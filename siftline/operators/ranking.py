@@ -9,39 +9,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import stable_hash
-from siftline.operators.storage import cut
-
-
-#: Rows from which the bounds of ranges are taken, for each range and at most; bounds that are looked at together.
-SAMPLED, MOST_SAMPLED, BESIDE = 100, 200_000, 64
+from siftline.operators.storage import cut, written
 
 
 def in_ranges(df: DataFrame, key: Sequence[Column]) -> DataFrame:
-    """Adds _range: rows in the order of the key go to as many ranges as there are shuffle partitions, rows of one key to
-    the same. The bounds are of a hash sample; any would be right, these are even. A row's range is found in two steps."""
+    """The rows in the order of the key, as a written table, with _range (as many as there are shuffle partitions, all rows
+    of one key in the same) and _row, from 0, in it. The input is read twice: for the bounds, which Spark draws from a
+    sample, and for its rows."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)])
-    keys = df.select(own.alias("k"))
-    sample = keys.orderBy(F.xxhash64("k")).limit(min(SAMPLED * parts, MOST_SAMPLED))  # as many rows in each task, at most
-    cuts = sample.withColumn("i", F.ntile(parts).over(Window.orderBy("k"))).groupBy("i").agg(F.max("k").alias("k")).orderBy("i")
-    bounds = [r["k"] for r in cuts.collect()][:-1]
-    kinds = [f.dataType for f in keys.schema["k"].dataType.fields]
-    literal = lambda b: F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(b, kinds, strict=True))])
-    below = lambda values: F.size(F.filter(values, lambda b: b < own))
-    groups = [bounds[i : i + BESIDE] for i in range(0, len(bounds), BESIDE)]
-    if not groups:
-        return df.withColumn("_range", F.lit(0))
-    group = below(F.array(*[literal(g[-1]) for g in groups]))
-    inside = F.element_at(F.array(*[F.array(*map(literal, g)) for g in groups]), F.least(group + 1, F.lit(len(groups))))
-    return df.withColumn("_range", group * BESIDE + F.when(group < len(groups), below(inside)).otherwise(0))
+    ordered = df.repartitionByRange(parts, *key).sortWithinPartitions(*key).withColumn("_id", F.monotonically_increasing_id())
+    table, _ = written(ordered, "ranges")
+    # an id is the number of its partition and, in the lower 33 bits, of its row there
+    return table.withColumns({"_range": F.shiftright("_id", 33).cast("int"), "_row": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
 
 
 def _with_starts(ranged: DataFrame, group: Sequence[str], size: Column) -> DataFrame:
-    """Adds _start: the sizes of a group's earlier ranges, and _total: those of all."""
-    sizes = ranged.groupBy("_range", *group).agg(size.alias("_size"))
+    """Adds _start: the sizes of a group's earlier ranges, _total: those of all, and _first: where it begins in its range."""
+    sizes = ranged.groupBy("_range", *group).agg(size.alias("_size"), F.min("_row").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        F.col("_range").alias("_at"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col("_range").alias("_at"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_first",
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"), F.sum("_size").over(Window.partitionBy(*group)).alias("_total"),
     )
     same = F.col("_range") == F.col("_at")
@@ -53,10 +40,9 @@ def _with_starts(ranged: DataFrame, group: Sequence[str], size: Column) -> DataF
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """Adds the 1-based position of a row in its group in this order, which ends with a unique column. Ranges are counted,
-    and each adds the counts of those before it: a single group is spread over tasks."""
+    and each adds the counts of those before it: a single group is spread over tasks, and no row is sorted again."""
     ranged = _with_starts(in_ranges(df, [*[F.col(g) for g in group], *order]), group, F.count("*"))
-    place = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order))
-    return ranged.withColumn(out, (place + F.col("_start")).cast("long")).drop("_range", "_start", "_total")
+    return ranged.withColumn(out, (F.col("_row") - F.col("_first") + F.col("_start") + 1).cast("long")).drop("_range", "_row", "_first", "_start", "_total")
 
 
 def average_rank_percentile(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:

@@ -22,9 +22,17 @@ def test_one_group_is_in_several_ranges(spark):
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:], strict=False))
 
 
-@pytest.mark.parametrize("beside", [1, 2, 64])
-def test_chunks_and_numbers(spark, monkeypatch, beside):
-    monkeypatch.setattr(ranking, "BESIDE", beside)
+@pytest.mark.parametrize("parts", ["1", "4", "50"])
+def test_chunks_and_numbers(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        numbers(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def numbers(spark):
     df = rows(spark)
     by_group = {}
     for r in sorted(df.collect(), key=lambda r: r["i"]):
