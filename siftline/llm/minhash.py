@@ -279,12 +279,18 @@ def _list_links(lists: DataFrame, compared: DataFrame, comp: DataFrame, texts: D
 def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union of shingle sets."""
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
-    nameless, ids = docs.where("doc_id is null and text is not null"), None
-    if not nameless.isEmpty():  # each of their texts gets an id of its own for the time being
-        key = F.md5(F.col("text").cast("binary"))
-        ids = fresh_ids(nameless.select(key.alias("key")).distinct(), docs.select(F.col("doc_id").alias("id")))
-        lent = nameless.withColumn("key", key).join(ids, "key").select(F.col("id").alias("doc_id"), "text")
-        docs = docs.where("doc_id is not null or text is null").unionByName(lent)
+    content = F.xxhash64("text")
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg((F.min(content) != F.max(content)).alias("differ")).where("differ").select("doc_id")
+    several = materialize(several, "shared-ids")
+    strange = docs.where("doc_id is null and text is not null").unionByName(docs.where("text is not null").join(several, "doc_id", "left_semi"))
+    ids = None
+    if not strange.isEmpty():  # texts without an id, and texts of an id that has others too, get an id of their own for the time being
+        key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.col("text")).cast("binary"))
+        strange = strange.withColumn("key", key)
+        ids = fresh_ids(strange.select("key").distinct(), docs.select(F.col("doc_id").alias("id")).distinct())
+        lent = strange.withColumnRenamed("doc_id", "own").join(ids, "key").select(F.col("id").alias("doc_id"), "text", "own")
+        docs = docs.where("doc_id is not null or text is null").join(several, "doc_id", "left_anti").unionByName(docs.where("text is null").join(several, "doc_id", "left_semi")).unionByName(lent.select("doc_id", "text"))
+        ids = materialize(lent.select("doc_id", "own").distinct(), "lent-ids")
     whole = materialize(sets(docs, width, k), "sets")
     classes = whole.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
     classes = materialize(classes, "set-classes")
@@ -297,14 +303,20 @@ def link(df: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: s
     # members linked to one hub are connected; labels that say no more than that need no rounds, and a hub has its own id
     comp = materialize(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component_id")), "labels")
     more = _hub_links(compared, comp, percent).unionByName(_list_links(lists, compared, comp, texts, width, k, percent))
-    comp = components(links.unionByName(more), "components")
+    links = links.unionByName(more)
+    if ids is not None:  # the texts of one id are one node
+        of_one = whole.join(ids.where("own is not null"), "doc_id").join(classes.select("key", "rep"), "key").select("own", "rep").distinct()
+        links = links.unionByName(of_one.join(of_one.groupBy("own").agg(F.min("rep").alias("a")), "own").select("a", F.col("rep").alias("b")))
+    comp = components(links, "components")
     named = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component_id", "rep").alias("_component"))
     whole = whole.select("doc_id", "n", "key")
     if ids is not None:
-        lent = ids.select(F.col("id").alias("doc_id"), F.lit(True).alias("_lent"))
-        whole = whole.join(lent, "doc_id", "left").select(F.when(F.col("_lent").isNull(), F.col("doc_id")).alias("doc_id"), "n", "key")
+        whole = whole.join(ids.withColumn("_lent", F.lit(True)), "doc_id", "left").select(F.when(F.col("_lent"), F.col("own")).otherwise(F.col("doc_id")).alias("doc_id"), "n", "key")
         smallest = named.join(whole.groupBy("key").agg(F.min("doc_id").alias("own")), "key").groupBy("_component").agg(F.min("own").alias("_name"))
         named = named.join(smallest, "_component").select("key", F.col("_name").alias("_component"))
     out = whole.join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
+    if ids is not None:  # and so are its rows without words
+        of_one = whole.join(several, "doc_id", "left_semi").join(named, "key").groupBy("doc_id").agg(F.min("_component").alias("_own"))
+        out = out.join(of_one, "doc_id", "left").withColumn("_component", F.coalesce("_component", "_own"))
+    component = F.when(F.col("key").isNull(), F.coalesce("_component", "doc_id")).otherwise(F.col("_component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
