@@ -116,7 +116,7 @@ def link(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_
 
         return each
 
-    keyed = materialize(map_batches(rows, keys, "vec_id long, key binary, raw binary"), "vectors")
+    keyed = materialize(map_batches(rows, keys, "vec_id long, key binary, raw binary").withColumn("content", F.xxhash64("key")), "vectors")
     classes = materialize(keyed.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.any_value("raw").alias("raw")), "classes")
     nameless = classes.where("rep is null").select("key")
     if nameless.isEmpty():
@@ -130,14 +130,21 @@ def link(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_
     weights = found.groupBy("key").agg(F.sum("weight").alias("weight"))
     nodes = classes.select("key", "rep")
     edges = found.where("parent <> key").select("key", "parent").join(nodes.select("key", F.col("rep").alias("a")), "key").join(nodes.select(F.col("key").alias("parent"), F.col("rep").alias("b")), "parent")
-    comp = components(edges.select("a", "b"), "vector-components")
+    # the vectors of one id are one node: ids with different ones are linked to their classes
+    several = keyed.where("vec_id is not null").groupBy("vec_id").agg((F.min("content") != F.max("content")).alias("differ")).where("differ").select("vec_id")
+    several = materialize(several, "shared-ids")
+    of_one = keyed.join(several, "vec_id", "left_semi").join(nodes, "key").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
+    comp = components(edges.select("a", "b").unionByName(of_one), "vector-components")
     info = classes.drop("raw").join(weights, "key", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     info = info.select("key", "rep", "lent", (F.col("n") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("_component"))
     if not nameless.isEmpty():
         names = info.groupBy("_component").agg(F.min(F.when(~F.col("lent"), F.col("rep"))).alias("_name"))
         info = info.join(names, "_component").withColumn("_component", F.col("_name"))
     out = keyed.select("vec_id", "key").join(info.select("key", "n_links", "_component"), "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("_component"))
+    if not several.isEmpty():  # and so are its rows that link with nothing
+        own = out.join(several, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("_component").alias("_own"))
+        out = out.join(own, "vec_id", "left").withColumn("_component", F.coalesce("_component", "_own"))
+    component = F.when(F.col("key").isNull(), F.coalesce("_component", "vec_id")).otherwise(F.col("_component"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
