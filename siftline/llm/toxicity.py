@@ -315,9 +315,8 @@ def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]
                     for w, times in Counter(words).items():
                         for item in reader.open.get(w, ()):
                             found[item] += times
-                    rows = [(a, b, *item, n) for item, n in found.items()]
-                    for row in [*rows, (a, b, None, None, None, 0)] if rows else []:  # the last one counts texts of this key
-                        for column, value in zip(out, row, strict=True):
+                    for (code, context, known), n in found.items():
+                        for column, value in zip(out, (a, b, code, context, known, n), strict=True):
                             column.append(value)
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["k1", "k2", "code", "context", "known", "n"])
@@ -325,10 +324,18 @@ def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]
         return each
 
     asked = map_batches(df.select(key[0].alias("k1"), key[1].alias("k2"), text_col), make, "k1 long, k2 long, code string, context string, known double, n long")
+    # copies of a text ask the same: they are added up before anything moves, and their number is taken from the texts
+    asked = asked.groupBy("k1", "k2", "code", "context", "known").agg(F.sum("n").alias("n"))
     rest = model.joined.hint("merge")
-    found = asked.join(rest.withColumnRenamed("ratio", "own"), "code", "left").join(rest.select(F.col("code").alias("context"), F.col("ratio").alias("behind")), "context", "left")
+    found = asked.join(rest.withColumnRenamed("ratio", "own"), "code", "left")
+    # a row that needs no context looks for one that is none, so that such rows do not all meet in one task
+    nowhere = F.concat(F.lit(END + END), F.col("code"))
+    found = found.withColumn("context", F.when(F.coalesce("known", "own").isNull(), F.col("context")).otherwise(nowhere))
+    found = found.join(rest.select(F.col("code").alias("context"), F.col("ratio").alias("behind")), "context", "left")
     value = F.coalesce("own", "known", "behind", F.lit(0.0)) * F.col("n")
-    return found.groupBy("k1", "k2").agg((F.sum(value) / F.count_if(F.col("code").isNull())).alias("more"))
+    texts = df.select(key[0].alias("k1"), key[1].alias("k2")).groupBy("k1", "k2").agg(F.count("*").alias("texts"))
+    sums = found.groupBy("k1", "k2").agg(F.sum(value).alias("more"))
+    return sums.join(texts, ["k1", "k2"]).select("k1", "k2", (F.col("more") / F.col("texts")).alias("more"))
 
 
 def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
