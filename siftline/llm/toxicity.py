@@ -1,22 +1,26 @@
-"""Toxicity from two class-conditional Kneser-Ney models of spelling.
-
-A text is its words: runs of letters, digits and underscores in lower case, of LONGEST letters at most (a longer run is
-several words). A word is spelled behind ORDER - 1 marks and with one mark at its end, so that its first letters and
-its stem have contexts of their own; inflected and made-up forms share what their letters have in common. Each class
-has p(c|context) = (max(n - D, 0) + D * followers(context) * shared(c|shorter context)) / n(context) over contexts of
+"""Toxicity from class-conditional Kneser-Ney models of words and of their spelling.
+
+A text is its different words: runs of letters, digits and underscores in lower case, of LONGEST letters at most (a longer
+run is several words). Counts are documents that hold a word. Each class has
+p(w) = (max(n - D, 0) + D * kinds * shared(w)) / total, where shared(w) is the word's part of the counts of both classes:
+what a class has not seen, it owes to both. A word is also spelled behind ORDER - 1 marks and with one mark at its end,
+so that forms which share a stem share what is known of it: each class has
+p(c|context) = (max(n - D, 0) + D * followers(context) * shared(c|shorter context)) / n(context) over contexts of
 ORDER - 1 letters. The shorter contexts are shared by both classes and hold continuation counts: how many different
-letters stand before a string, in either class. A context that a class has not seen has the shared probability, so
-rare expressions say little by themselves.
+letters stand before a string, in either class.
+
+A log ratio of the classes counts as far as it exceeds SURE standard errors of the two counts, or of what a class that
+lacks the word should have had. So rare expressions say little by themselves, many words of no meaning do not add up to
+noise, and a single insult shows in a long text. Strings that no labelled row has say nothing.
 
-The two log-likelihoods of a whole text are compared a letter: evidence is their difference over the number of letters
-and word ends. A logistic curve turns it into a probability. A few words prove little, so the curve is drawn to the base
-rate by a weight that the letters of a text's different words give it (repetitions prove nothing). It is fitted, weights
-included, on a sample of labelled rows that the counts leave out; then these rows are counted too, so that the counts
-cover every labelled row, word and context. A word counts once in a document. No count is capped, cut off or dropped.
+The two log-likelihoods of a whole text, by words and by spelling, are compared over the root of its number of different
+words, which is how their chance differences grow. A logistic curve turns both into a probability. It is fitted on a
+sample of labelled rows that the counts leave out; then these rows are counted too, so that the counts cover every
+labelled row and word. A word counts once in a document, when it is counted and when it is scored. No count is capped,
+cut off or dropped.
 
-Log ratios of strings of ORDER letters, and of contexts for letters never seen behind them, are a table in the shared
-folder, as long as the labelled rows make it. The SENT most frequent ones are sent to executors; a text's strings that
-are not among them are joined to the rest.
+If more than SENT log ratios are not zero, the most frequent are sent to executors and all others are a table in the
+shared folder, as long as the labelled rows make it; a text's words and strings that were not sent are joined to it.
 
 Defined results: null and empty texts and texts without words get the base rate; without labelled rows of both classes
 (an empty table is one case) every score is the base rate (0 without any); null ids and labels other than 0 and 1 are
@@ -40,16 +44,16 @@ LONGEST = 256
 WORDS = re.compile(r"\w{1,%d}" % LONGEST)
 ORDER = 5
 D = 0.75
-BEGIN, END = "\x02", "\x03"
+BEGIN, END, WORD = "\x02", "\x03", "\x04"
+#: Standard errors that a log ratio must exceed; what exceeds them counts.
+SURE = 2.5
 #: Log ratios that executors hold, the most frequent; all others are joined.
 SENT = 1 << 20
 #: Words that a task remembers, and those it counts before it hands on what it has.
 REMEMBERED = 1 << 18
-#: Letters of different words whose evidence weighs as much as the base rate.
-NEUTRAL = 100
 #: Letters that are looked at together.
 SLICE = 1 << 19
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(ORDER)], np.uint64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(LONGEST + 1)], np.uint64)
 
 
 def words_of(text: str) -> list[str]:
@@ -75,7 +79,7 @@ def codes(letters: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 
 def codes_of(strings: list[str]) -> np.ndarray:
-    """The same of strings of any lengths up to ORDER."""
+    """The same of strings of any lengths up to LONGEST + 1."""
     n = np.fromiter(map(len, strings), np.int64, len(strings))
     letters = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
     at, out = np.cumsum(n) - n, np.zeros(len(n), np.uint64)
@@ -125,63 +129,66 @@ class Model:
     sent: Ratios = field(default_factory=Ratios)
     joined: DataFrame | None = None  # code, ratio of all others
     base: float = 0.0
-    slope: float = 0.0
+    slopes: tuple[float, float] = (0.0, 0.0)  # of words and of spelling
     shift: float = 0.0
     fitted: bool = False
 
 
 class Reader:
-    """Sums of log ratios of words, remembered, and the strings of a word whose ratios the sent table may lack."""
+    """Log ratios of words and of their spelling, remembered, and the codes that the sent table may lack."""
 
     def __init__(self, known: Ratios, all_sent: bool):
         self.known, self.all_sent = known, all_sent
-        self.total: dict[str, float] = {}
-        self.open: dict[str, list[tuple[str, str, float | None]]] = {}  # string, context, ratio of the context
+        self.total: dict[str, tuple[float, float]] = {}
+        self.open: dict[str, list[tuple[int, bool]]] = {}  # code, whether it is the word's own
 
     def learn(self, words: set[str]) -> None:
         for part in slices(list(words)):
             letters, at, n = spelled(part)
-            x, context = self.known.find(codes(letters, at, ORDER)), self.known.find(codes(letters, at, ORDER - 1))
-            lacking = np.isnan(x)
-            if self.all_sent:
-                x = np.where(lacking, np.nan_to_num(context), x)
-            else:
-                x = np.where(lacking, 0.0, x)
-                where = np.flatnonzero(lacking)
-                owner = np.repeat(np.arange(len(part)), n)[where].tolist()
-                found = zip(owner, strings_at(letters, at[where], ORDER), context[where].tolist(), strict=True)
-                for i, gram, c in found:
-                    self.open.setdefault(part[i], []).append((gram, gram[:-1], None if c != c else c))
-            self.total.update(zip(part, np.add.reduceat(x, np.cumsum(n) - n).tolist(), strict=True))
+            named, strings = codes_of([WORD + w for w in part]), codes(letters, at, ORDER)
+            own, x = self.known.find(named), self.known.find(strings)
+            if not self.all_sent:
+                for i in np.flatnonzero(np.isnan(own)).tolist():
+                    self.open.setdefault(part[i], []).append((int(named[i].view(np.int64)), True))
+                where = np.flatnonzero(np.isnan(x))
+                for i, code in zip(np.repeat(np.arange(len(part)), n)[where].tolist(), strings[where].view(np.int64).tolist(), strict=True):
+                    self.open.setdefault(part[i], []).append((code, False))
+            by_letters = np.add.reduceat(np.nan_to_num(x), np.cumsum(n) - n)
+            self.total.update(zip(part, zip(np.nan_to_num(own).tolist(), by_letters.tolist(), strict=True), strict=True))
 
     def read(self, texts: list[str]) -> list[list[str]]:
-        """Words of the texts, all remembered."""
+        """Different words of the texts in a fixed order, all remembered."""
         if len(self.total) > REMEMBERED:
             self.total.clear(), self.open.clear()
-        lists = [words_of(t) for t in texts]
+        lists = [sorted(set(words_of(t))) for t in texts]
         if new := set().union(*lists).difference(self.total):
             self.learn(new)
         return lists
 
-    def sums(self, words: list[str]) -> tuple[float, int, int]:
-        """Log ratios, and letters and word ends: all, and those of different words."""
-        kinds = set(words)
-        return sum(map(self.total.__getitem__, words)), sum(map(len, words)) + len(words), sum(map(len, kinds)) + len(kinds)
+    def sums(self, words: list[str]) -> tuple[float, float]:
+        found = [self.total[w] for w in words]
+        return sum(own for own, _ in found), sum(x for _, x in found)
 
 
 def _count(rows: DataFrame) -> DataFrame:
-    """gram, and the documents by class whose words have it, as often as they do: n0, n1; of them in the sample h0, h1."""
+    """code (of a word, or of a string of ORDER letters, which is the column gram; null for words), and the documents by
+    class that hold the word, or whose words have the string, as often as they do: n0, n1; of them in the sample h0, h1."""
+    names = ["code", "gram", "n0", "n1", "h0", "h1"]
 
     def run(batches):
         held: list[Counter] = [Counter() for _ in range(4)]
 
+        def batch(code, gram, by):
+            counts = by[0] + by[2], by[1] + by[3], by[2], by[3]
+            return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(gram, pa.string()), *map(pa.array, counts)], names)
+
         def hand_on():
             for part in slices(list(set().union(*held))):
+                times = [np.array([h[w] for w in part], np.int64) for h in held]
+                yield batch(codes_of([WORD + w for w in part]), [None] * len(part), times)
                 letters, at, n = spelled(part)
                 found, first, inverse = np.unique(codes(letters, at, ORDER), return_index=True, return_inverse=True)
-                by = [np.bincount(inverse, np.repeat([h[w] for w in part], n), len(found)).astype(np.int64) for h in held]
-                counts = by[0] + by[2], by[1] + by[3], by[2], by[3]
-                yield pa.RecordBatch.from_arrays([pa.array(strings_at(letters, at[first], ORDER)), *map(pa.array, counts)], ["gram", "n0", "n1", "h0", "h1"])
+                yield batch(found, strings_at(letters, at[first], ORDER), [np.bincount(inverse, np.repeat(t, n), len(found)).astype(np.int64) for t in times])
             for h in held:
                 h.clear()
 
@@ -192,8 +199,8 @@ def _count(rows: DataFrame) -> DataFrame:
                     yield from hand_on()
         yield from hand_on()
 
-    parts = rows.select("text", "toxic", "held").mapInArrow(run, "gram string, n0 long, n1 long, h0 long, h1 long")
-    return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "h0", "h1")])
+    parts = rows.select("text", "toxic", "held").mapInArrow(run, "code long, gram string, n0 long, n1 long, h0 long, h1 long")
+    return parts.groupBy("code", "gram").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 
 def _shared(seen: DataFrame) -> DataFrame:
@@ -213,48 +220,59 @@ def _shared(seen: DataFrame) -> DataFrame:
     return p
 
 
+def _sure(ratio: Column, low: Column, t0: Column, t1: Column) -> Column:
+    """What of a log ratio exceeds SURE standard errors; of `t0` and `t1` counts, the part `low` is to be expected."""
+    errors = [1 / F.greatest(F.col(f"n{c}"), t * low) for c, t in enumerate((t0, t1))]
+    beyond = F.greatest(F.abs(ratio) - SURE * F.sqrt(errors[0] + errors[1]), F.lit(0.0))
+    return F.when((t0 > 0) & (t1 > 0), F.signum(ratio) * beyond).otherwise(0.0).cast("float").alias("ratio")
+
+
 def _ratios(counts: DataFrame, n0: Column, n1: Column) -> DataFrame | None:
-    """code (a string of ORDER letters, or a context), n, ratio for such counts, as a written table; None if a class has
-    no word."""
-    col = F.col
-    seen = counts.select("gram", n0.alias("n0"), n1.alias("n1")).where("n0 + n1 > 0")
-    sums = seen.agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1")).first()
+    """code, n, ratio for such counts, with the strings' part written; None if a class has no word."""
+    col, n = F.col, (F.col("n0") + F.col("n1")).alias("n")
+    seen = counts.select("code", "gram", n0.alias("n0"), n1.alias("n1")).where("n0 + n1 > 0")
+    words = seen.where("gram is null")
+    sums = words.agg(*[f.alias(name) for c in "01" for f, name in ((F.sum(f"n{c}"), f"s{c}"), (F.count_if(col(f"n{c}") > 0), f"kinds{c}"))]).first()
     if not sums["s0"] or not sums["s1"]:
         return None
-    p = _shared(seen)
-    context = Window.partitionBy("context")
-    own = seen.withColumn("context", F.substring("gram", 1, ORDER - 1)).withColumn("end", F.substring("gram", 2, ORDER - 1))
+    part = n / (sums["s0"] + sums["s1"])
+    mine = [(F.greatest(col(f"n{c}") - D, F.lit(0.0)) + D * sums[f"kinds{c}"] * part) / sums[f"s{c}"] for c in "01"]
+    words = words.select("code", n, _sure(F.log(mine[1] / mine[0]), part, F.lit(sums["s0"]), F.lit(sums["s1"])))
+
+    p = _shared(seen.where("gram is not null"))
+    context = Window.partitionBy(F.substring("gram", 1, ORDER - 1))  # as many rows as there are letters, at most
+    own = seen.where("gram is not null").withColumn("end", F.substring("gram", 2, ORDER - 1))
     for c in "01":
         own = own.withColumn(f"t{c}", F.sum(f"n{c}").over(context)).withColumn(f"kinds{c}", F.count_if(col(f"n{c}") > 0).over(context))
     rest = lambda c: F.when(col(f"t{c}") > 0, D * col(f"kinds{c}") / col(f"t{c}")).otherwise(1.0)  # noqa: E731  what the shared level has
-    mine = lambda c: F.when(col(f"t{c}") > 0, F.greatest(col(f"n{c}") - D, F.lit(0.0)) / col(f"t{c}")).otherwise(0.0) + rest(c) * col("low")
+    had = lambda c: F.when(col(f"t{c}") > 0, F.greatest(col(f"n{c}") - D, F.lit(0.0)) / col(f"t{c}")).otherwise(0.0) + rest(c) * col("low")
     grams = own.join(p.select(col("gram").alias("end"), col("p").alias("low")), "end")
-    grams = grams.select(col("gram").alias("code"), (col("n0") + col("n1")).alias("n"), F.log(mine(1) / mine(0)).cast("float").alias("ratio"))
-    contexts = own.dropDuplicates(["context"]).select(col("context").alias("code"), (col("t0") + col("t1")).alias("n"), F.log(rest(1) / rest(0)).cast("float").alias("ratio"))
-    return materialize(grams.unionByName(contexts), "ratios")
+    grams = materialize(grams.select("code", n, _sure(F.log(had(1) / had(0)), n / (col("t0") + col("t1")), col("t0"), col("t1"))), "ratios")
+    both = grams.unionByName(words)
+    both._siftline_path = grams._siftline_path
+    return both
 
 
 def _split(model: Model, ratios: DataFrame) -> Model:
-    """The model with the most frequent log ratios, SENT at most, at hand and the others as a table."""
-    step = F.floor(F.log2("n") * 4)
-    steps = sorted(((r["step"], r["count"]) for r in ratios.groupBy(step.alias("step")).count().collect()), reverse=True)  # some 200 rows at most
-    least, room = float("inf"), SENT
-    for at, n in steps:
-        room -= n
-        if room < 0:
-            break
-        least = at
-    rare = F.lit(True) if least == float("inf") else step < least
-
-    def make():
-        def each(b):
-            return pa.RecordBatch.from_arrays([pa.array(codes_of(b.column(0).to_pylist()).view(np.int64)), b.column(1)], ["code", "ratio"])
-
-        return each
-
-    top = map_batches(ratios.where(~rare).select("code", "ratio"), make, "code long, ratio float").toPandas()  # SENT rows at most
-    joined = ratios.where(rare).select("code", "ratio") if room < 0 else None
-    return replace(model, sent=Ratios.of(top["code"].to_numpy(np.int64).view(np.uint64), top["ratio"].to_numpy()), joined=joined)
+    """The model with SENT log ratios at most at hand: all, or all that are not zero, or the most frequent with those of
+    the others that are not zero as a table."""
+    step, tells = F.floor(F.log2("n") * 4), F.col("ratio") != 0
+    steps = sorted((tuple(r) for r in ratios.groupBy(step.alias("step")).agg(F.count("*"), F.count_if(tells)).collect()), reverse=True)  # some 200 rows at most
+    if sum(n for _, n, _ in steps) <= SENT:
+        top, joined = ratios, None
+    elif sum(n for _, _, n in steps) <= SENT:
+        top, joined = ratios.where(tells), None
+    else:
+        least, room = float("inf"), SENT
+        for at, n, _ in steps:
+            room -= n
+            if room < 0:
+                break
+            least = at
+        rare = F.lit(True) if least == float("inf") else step < least
+        top, joined = ratios.where(~rare), ratios.where(rare & tells).select("code", "ratio")
+    held = top.select("code", "ratio").toArrow()  # SENT rows at most
+    return replace(model, sent=Ratios.of(held["code"].to_numpy().view(np.uint64), held["ratio"].to_numpy()), joined=joined)
 
 
 def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
@@ -273,11 +291,15 @@ def learn(labelled: DataFrame, calibration: int = 20_000) -> Model:
     others = _ratios(counts, F.col("n0") - F.col("h0"), F.col("n1") - F.col("h1"))
     if others is not None:
         sample = _evidence(rows.where(held).select("text", "toxic"), _split(model, others), "text", ["toxic"])
-        got = np.array([tuple(r) for r in sample.select("_siftline_x", "toxic", "_siftline_w").where("_siftline_x is not null").collect()], float).reshape(-1, 3)  # `calibration` rows
+        got = np.array([tuple(r) for r in sample.select("_siftline_w", "_siftline_x", "toxic").where("_siftline_x is not null").collect()], float).reshape(-1, 3)  # `calibration` rows
         discard(others)
-        if len(set(got[:, 1])) == 2:
-            model.slope, model.shift = fit_logistic(*got.T, logit(model.base))
-            model = replace(_split(model, _ratios(counts, F.col("n0"), F.col("n1"))), fitted=True)
+        if len(set(got[:, 2])) == 2:
+            model.slopes, model.shift = fit_logistic(got[:, :2], got[:, 2], logit(model.base))
+            ratios = _ratios(counts, F.col("n0"), F.col("n1"))
+            model = replace(_split(model, ratios), fitted=True)
+            if model.joined is not None:
+                return model  # it reads both tables
+            discard(ratios)
     discard(counts)
     return model
 
@@ -286,60 +308,55 @@ def logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, base: float) -> tuple[float, float]:
-    """Slope (never negative) and shift of w * (shift + slope * x) + (1 - w) * base, by damped Newton steps with a weak
-    ridge on the slope."""
-    mean, sd = x.mean(), x.std() or 1.0
-    z = np.stack(((x - mean) / sd, np.ones_like(x))) * w
-    b = np.array([0.0, base])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(b @ z + (1 - w) * base, -40, 40)))
-        step = np.linalg.solve((z * (p * (1 - p))) @ z.T + np.diag([1e-2, 1e-6]), z @ (p - y) + np.array([1e-2, 0]) * b)
-        b -= np.clip(step, -2, 2)
-    slope = max(b[0], 0.0) / sd
-    return float(slope), float(b[1] - slope * mean)
+def fit_logistic(x: np.ndarray, y: np.ndarray, base: float) -> tuple[tuple[float, ...], float]:
+    """Slopes of the columns of x (never negative: a column that would have such a one is left out) and shift, by damped
+    Newton steps with a weak ridge on the slopes."""
+    mean, sd = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    used = list(range(x.shape[1]))
+    while True:
+        z = np.vstack((((x - mean) / sd).T[used], np.ones(len(x))))
+        ridge = np.array([1e-2] * len(used) + [0])
+        b = np.array([0.0] * len(used) + [base])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(b @ z, -40, 40)))
+            b -= np.clip(np.linalg.solve((z * (p * (1 - p))) @ z.T + np.diag(ridge + 1e-6), z @ (p - y) + ridge * b), -2, 2)
+        if (b[:-1] >= 0).all():
+            break
+        used.pop(int(np.argmin(b[:-1])))
+    slopes = np.zeros(x.shape[1])
+    slopes[used] = b[:-1] / sd[used]
+    return tuple(slopes.tolist()), float(b[-1] - slopes @ mean)
 
 
 def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]) -> DataFrame:
-    """k1, k2 (128 bits of a text) and the sum of the log ratios of its strings that executors do not hold."""
+    """k1, k2 (128 bits of a text) and the sums of the log ratios that executors do not hold, of its words and strings."""
 
     def make():
         reader = Reader(sent.value, False)
 
         def each(batch):
             for at in range(0, batch.num_rows, 256):
-                out: tuple[list, ...] = tuple([] for _ in range(6))
+                out: tuple[list, ...] = tuple([] for _ in range(5))
                 k1, k2, texts = (batch.column(c).slice(at, 256).to_pylist() for c in range(3))
                 for a, b, words in zip(k1, k2, reader.read([t or "" for t in texts]), strict=True):
-                    found: Counter = Counter()
-                    for w, times in Counter(words).items():
-                        for item in reader.open.get(w, ()):
-                            found[item] += times
-                    for (code, context, known), n in found.items():
-                        for column, value in zip(out, (a, b, code, context, known, n), strict=True):
+                    for (code, own), n in Counter(item for w in words for item in reader.open.get(w, ())).items():
+                        for column, value in zip(out, (a, b, code, own, n), strict=True):
                             column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["k1", "k2", "code", "context", "known", "n"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["k1", "k2", "code", "own", "n"])
 
         return each
 
-    asked = map_batches(df.select(key[0].alias("k1"), key[1].alias("k2"), text_col), make, "k1 long, k2 long, code string, context string, known double, n long")
-    # copies of a text ask the same: they are added up before anything moves, and their number is taken from the texts
-    asked = asked.groupBy("k1", "k2", "code", "context", "known").agg(F.sum("n").alias("n"))
-    rest = model.joined.hint("merge")
-    found = asked.join(rest.withColumnRenamed("ratio", "own"), "code", "left")
-    # a row that needs no context looks for one that is none, so that such rows do not all meet in one task
-    nowhere = F.concat(F.lit(END + END), F.col("code"))
-    found = found.withColumn("context", F.when(F.coalesce("known", "own").isNull(), F.col("context")).otherwise(nowhere))
-    found = found.join(rest.select(F.col("code").alias("context"), F.col("ratio").alias("behind")), "context", "left")
-    value = F.coalesce("own", "known", "behind", F.lit(0.0)) * F.col("n")
-    texts = df.select(key[0].alias("k1"), key[1].alias("k2")).groupBy("k1", "k2").agg(F.count("*").alias("texts"))
-    sums = found.groupBy("k1", "k2").agg(F.sum(value).alias("more"))
-    return sums.join(texts, ["k1", "k2"]).select("k1", "k2", (F.col("more") / F.col("texts")).alias("more"))
+    # copies of a text ask the same, so each asks once
+    texts = df.select(key[0].alias("k1"), key[1].alias("k2"), F.col(text_col).alias("text")).groupBy("k1", "k2").agg(F.any_value("text").alias("text"))
+    asked = map_batches(texts, make, "k1 long, k2 long, code long, own boolean, n long")
+    found = asked.join(model.joined.hint("merge"), "code")
+    value = F.col("ratio") * F.col("n")
+    return found.groupBy("k1", "k2").agg(F.sum(F.when(F.col("own"), value)).alias("w"), F.sum(F.when(~F.col("own"), value)).alias("x"))
 
 
 def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
-    """The columns `keep` of df, _siftline_x (null without words) and its weight _siftline_w."""
+    """The columns `keep` of df, _siftline_w and _siftline_x: evidence of words and of spelling (null without words)."""
     sent = df.sparkSession.sparkContext.broadcast(model.sent)
     kinds, whole = dict(df.dtypes), model.joined is None
     key = [F.xxhash64(df[text_col]), F.xxhash64(df[text_col], F.lit(1))]
@@ -351,26 +368,23 @@ def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> Da
         reader = Reader(sent.value, whole)
 
         def each(batch):
-            total, letters, own_letters = [], [], []
+            found = []
             for begin in range(0, batch.num_rows, 256):
-                for words in reader.read([t or "" for t in batch.column(at).slice(begin, 256).to_pylist()]):
-                    x, n, own_n = reader.sums(words)
-                    total.append(x), letters.append(n), own_letters.append(own_n)
+                found += [(*reader.sums(words), len(words)) for words in reader.read([t or "" for t in batch.column(at).slice(begin, 256).to_pylist()])]
             own = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            sums = pa.array(total, pa.float64()), pa.array(letters, pa.int64()), pa.array(own_letters, pa.int64())
-            return pa.RecordBatch.from_arrays([*own, *sums], [*carried, "_siftline_total", "_siftline_letters", "_siftline_kinds"])
+            sums = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.float64(), pa.float64(), pa.int64()), strict=True)]
+            return pa.RecordBatch.from_arrays([*own, *sums], [*carried, "_siftline_w", "_siftline_x", "_siftline_n"])
 
         return each
 
     kinds |= {"_siftline_k1": "bigint", "_siftline_k2": "bigint"}
-    out = map_batches(rows, make, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "_siftline_total double, _siftline_letters long, _siftline_kinds long"]))
-    total = F.col("_siftline_total")
+    out = map_batches(rows, make, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "_siftline_w double, _siftline_x double, _siftline_n long"]))
+    w, x, n = F.col("_siftline_w"), F.col("_siftline_x"), F.col("_siftline_n")
     if not whole:
-        more = _missing(df, model, sent, text_col, key).toDF("_siftline_k1", "_siftline_k2", "_siftline_more")
+        more = _missing(df, model, sent, text_col, key).toDF("_siftline_k1", "_siftline_k2", "_siftline_more_w", "_siftline_more_x")
         out = out.join(more.hint("merge"), ["_siftline_k1", "_siftline_k2"], "left")
-        total += F.coalesce("_siftline_more", F.lit(0.0))
-    x = F.when(F.col("_siftline_letters") > 0, total / F.col("_siftline_letters"))
-    return out.select(*keep, x.alias("_siftline_x"), (F.col("_siftline_kinds") / (F.col("_siftline_kinds") + NEUTRAL)).alias("_siftline_w"))
+        w, x = w + F.coalesce("_siftline_more_w", F.lit(0.0)), x + F.coalesce("_siftline_more_x", F.lit(0.0))
+    return out.select(*keep, F.when(n > 0, w / F.sqrt(n)).alias("_siftline_w"), F.when(n > 0, x / F.sqrt(n)).alias("_siftline_x"))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -378,7 +392,6 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
     keep = [c for c in without(df, "toxic_score") if keep is None or c in keep]
     if not model.fitted:
         return df.select(*keep).withColumn("toxic_score", F.lit(model.base))
-    w = F.col("_siftline_w")
-    z = w * (model.shift + model.slope * F.col("_siftline_x")) + (1 - w) * logit(model.base)  # both classes have rows
+    z = model.shift + model.slopes[0] * F.col("_siftline_w") + model.slopes[1] * F.col("_siftline_x")
     z = F.least(F.greatest(z, F.lit(-40.0)), F.lit(40.0))
-    return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_x", "_siftline_w")
+    return _evidence(df, model, text_col, keep).withColumn("toxic_score", F.when(F.col("_siftline_x").isNull(), model.base).otherwise(1 / (1 + F.exp(-z)))).drop("_siftline_w", "_siftline_x")
