@@ -49,10 +49,12 @@ BEGIN, END, WORD = "\x02", "\x03", "\x04"
 SURE = 2.5
 #: Log ratios that executors hold, the most frequent; all others are joined.
 SENT = 1 << 20
-#: Words that a task remembers, and those it counts before it hands on what it has.
-REMEMBERED = 1 << 18
-#: Letters that are looked at together.
+#: Words that a task remembers when it scores, and those it counts before it hands on what it has.
+REMEMBERED = 1 << 16
+COUNTED = 1 << 18
+#: Letters that are looked at together, and texts.
 SLICE = 1 << 19
+TEXTS = 64
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(LONGEST + 1)], np.uint64)
 
 
@@ -92,14 +94,14 @@ def strings_at(letters: np.ndarray, at: np.ndarray, width: int) -> list[str]:
     return np.ascontiguousarray(letters[at[:, None] + np.arange(width)]).view(f"<U{width}").ravel().tolist() if len(at) else []
 
 
-def slices(words: list[str]):
-    """The words in parts of about SLICE letters."""
-    begin, room = 0, SLICE
+def slices(words: list[str], size: int):
+    """The words in parts of about `size` letters."""
+    begin, room = 0, size
     for i, w in enumerate(words):
         room -= len(w) + 1
         if room <= 0:
             yield words[begin : i + 1]
-            begin, room = i + 1, SLICE
+            begin, room = i + 1, size
     if begin < len(words):
         yield words[begin:]
 
@@ -143,7 +145,7 @@ class Reader:
         self.open: dict[str, list[tuple[int, bool]]] = {}  # code, whether it is the word's own
 
     def learn(self, words: set[str]) -> None:
-        for part in slices(list(words)):
+        for part in slices(list(words), SLICE >> 2):
             letters, at, n = spelled(part)
             named, strings = codes_of([WORD + w for w in part]), codes(letters, at, ORDER)
             own, x = self.known.find(named), self.known.find(strings)
@@ -183,7 +185,7 @@ def _count(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(gram, pa.string()), *map(pa.array, counts)], names)
 
         def hand_on():
-            for part in slices(list(set().union(*held))):
+            for part in slices(list(set().union(*held)), SLICE):
                 times = [np.array([h[w] for w in part], np.int64) for h in held]
                 yield batch(codes_of([WORD + w for w in part]), [None] * len(part), times)
                 letters, at, n = spelled(part)
@@ -195,7 +197,7 @@ def _count(rows: DataFrame) -> DataFrame:
         for b in batches:
             for text, toxic, sample in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held[toxic + 2 * sample].update(set(words_of(text)))
-                if sum(map(len, held)) > REMEMBERED:
+                if sum(map(len, held)) > COUNTED:
                     yield from hand_on()
         yield from hand_on()
 
@@ -335,9 +337,9 @@ def _missing(df: DataFrame, model: Model, sent, text_col: str, key: list[Column]
         reader = Reader(sent.value, False)
 
         def each(batch):
-            for at in range(0, batch.num_rows, 256):
+            for at in range(0, batch.num_rows, TEXTS):
                 out: tuple[list, ...] = tuple([] for _ in range(5))
-                k1, k2, texts = (batch.column(c).slice(at, 256).to_pylist() for c in range(3))
+                k1, k2, texts = (batch.column(c).slice(at, TEXTS).to_pylist() for c in range(3))
                 for a, b, words in zip(k1, k2, reader.read([t or "" for t in texts]), strict=True):
                     for (code, own), n in Counter(item for w in words for item in reader.open.get(w, ())).items():
                         for column, value in zip(out, (a, b, code, own, n), strict=True):
@@ -369,8 +371,8 @@ def _evidence(df: DataFrame, model: Model, text_col: str, keep: list[str]) -> Da
 
         def each(batch):
             found = []
-            for begin in range(0, batch.num_rows, 256):
-                found += [(*reader.sums(words), len(words)) for words in reader.read([t or "" for t in batch.column(at).slice(begin, 256).to_pylist()])]
+            for begin in range(0, batch.num_rows, TEXTS):
+                found += [(*reader.sums(words), len(words)) for words in reader.read([t or "" for t in batch.column(at).slice(begin, TEXTS).to_pylist()])]
             own = [batch.column(i) for i in range(batch.num_columns) if i != at]
             sums = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.float64(), pa.float64(), pa.int64()), strict=True)]
             return pa.RecordBatch.from_arrays([*own, *sums], [*carried, "_siftline_w", "_siftline_x", "_siftline_n"])
