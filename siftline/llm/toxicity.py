@@ -311,17 +311,23 @@ def logit(p: float) -> float:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, base: float) -> tuple[tuple[float, ...], float]:
-    """Slopes of the columns of x (never negative: a column that would have such a one is left out) and shift, by damped
-    Newton steps with a weak ridge on the slopes."""
+    """Slopes of the columns of x (never negative: a column that would have such a one is left out) and shift, with a weak
+    ridge on the slopes. Newton steps are halved until the loss falls: it is convex, so they end at its least value, while
+    whole steps may swing past it for ever where the classes are far apart."""
     mean, sd = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
     used = list(range(x.shape[1]))
     while True:
         z = np.vstack((((x - mean) / sd).T[used], np.ones(len(x))))
         ridge = np.array([1e-2] * len(used) + [0])
         b = np.array([0.0] * len(used) + [base])
-        for _ in range(50):
+        loss = lambda v: float(np.logaddexp(0, v @ z).sum() - v @ z @ y + (ridge * v * v).sum() / 2)
+        now, gain = loss(b), float("inf")
+        while gain > 1e-9:
             p = 1 / (1 + np.exp(-np.clip(b @ z, -40, 40)))
-            b -= np.clip(np.linalg.solve((z * (p * (1 - p))) @ z.T + np.diag(ridge + 1e-6), z @ (p - y) + ridge * b), -2, 2)
+            step = np.linalg.solve((z * (p * (1 - p))) @ z.T + np.diag(ridge + 1e-6), z @ (p - y) + ridge * b)
+            tried = next((t for t in (b - step / 2.0**k for k in range(40)) if loss(t) < now), b)
+            b, gain = tried, now - loss(tried)
+            now -= gain
         if (b[:-1] >= 0).all():
             break
         used.pop(int(np.argmin(b[:-1])))
