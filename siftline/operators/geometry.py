@@ -125,10 +125,70 @@ def nearest_beyond(points: DataFrame, others: DataFrame, group: str, point_id: s
 
 
 def radius_graph(points: DataFrame, group: str, point_id: str, xyz: Sequence[str], cutoff: float, most: int = 32) -> DataFrame:
-    """Edges between points of a group within cutoff, no loops, the `most` nearest of each point."""
-    pairs = radius_pairs(points, points.withColumnRenamed(point_id, "neighbour"), group, point_id, "neighbour", xyz, cutoff)
+    """Edges between points of a group within cutoff, no loops, the `most` nearest of each point, ties to the smaller id.
+    Points with a null coordinate, id or group have none.
+
+    Not all pairs within cutoff are made, which would grow as the square of the points. Places (points at one place are
+    one, of which the most + 1 smallest ids can matter) lie in a tree of cells, from cells of `cutoff` down. The smallest
+    cell around a place that holds more than `most` points bounds how far it has to look, and it meets only cells that
+    this ball touches, of the ball's size. At most a fixed number of places a cell look into it from each level.
+    Groups in which an id is repeated make all pairs.
+    """
+    known = points.where(reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in xyz])).where(F.col(point_id).isNotNull() & F.col(group).isNotNull())
+    known = known.select(group, point_id, *[(F.col(c) + F.lit(0.0)).alias(c) for c in xyz])  # -0.0 is 0.0
+    mixed = cut(known.groupBy(group, point_id).count().where("count > 1").select(group).distinct())
+    if mixed.isEmpty():
+        return _nearest_places(known, group, point_id, xyz, cutoff, most)
+    few = known.join(mixed, group, "left_semi")
+    pairs = radius_pairs(few, few.withColumnRenamed(point_id, "neighbour"), group, point_id, "neighbour", xyz, cutoff)
+    w = Window.partitionBy(group, point_id).orderBy("distance", "neighbour")
+    pairs = pairs.where(F.col(point_id) != F.col("neighbour")).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most).drop("_k")
+    return pairs.unionByName(_nearest_places(known.join(mixed, group, "left_anti"), group, point_id, xyz, cutoff, most))
+
+
+def _nearest_places(whole: DataFrame, group: str, point_id: str, xyz: Sequence[str], cutoff: float, most: int) -> DataFrame:
+    names, need = [f"_{c}" for c in xyz], most + 1
+    place = Window.partitionBy(group, *xyz).orderBy(point_id)
+    few = cut(whole.withColumn("_k", F.row_number().over(place)).where(F.col("_k") <= need))
+    size = lambda level: F.lit(cutoff * (1 + 1e-9)) / F.pow(F.lit(2.0), level)
+    cells = lambda df, level: df.withColumn("_cell", F.struct(*[F.floor(F.col(c) / size(level)).cast("long").alias(c) for c in xyz]))
+    d = distance([F.col(c) for c in xyz], [F.col(n) for n in names])
+    others = few.select(group, F.col(point_id).alias("neighbour"), *[F.col(c).alias(n) for c, n in zip(xyz, names, strict=True)], *xyz)
+
+    # the smallest cell with more than `most` points; in it, the distance within which there are as many
+    crowded, live, depth = [], few, 0
+    while depth < 40:
+        inside = cells(live, F.lit(depth))
+        dense = inside.groupBy(group, "_cell").agg(F.count("*").alias("_n"), F.count_if(F.col("_k") == 1).alias("_places")).where(F.col("_n") > most)
+        held = cut(inside.join(dense, [group, "_cell"]).withColumn("_level", F.lit(depth)))
+        if held.isEmpty():
+            break
+        crowded.append(held.where("_k = 1").select(group, *xyz, "_level", "_cell"))
+        live, depth = held.where("_places > 1").select(*few.columns), depth + 1
+    spots = few.where("_k = 1").select(group, *xyz)
+    if crowded:
+        deepest = reduce(DataFrame.unionByName, crowded).groupBy(group, *xyz).agg(F.max_by(F.struct("_level", "_cell"), "_level").alias("_at")).select(group, *xyz, "_at.*")
+        levels = F.array(*[F.lit(i) for i in range(depth)])
+        tree = cut(cells(others.withColumn("_level", F.explode(levels)).drop(*xyz).withColumnsRenamed(dict(zip(names, xyz, strict=True))), F.col("_level")).withColumnsRenamed(dict(zip(xyz, names, strict=True))))
+        near = deepest.join(tree, [group, "_level", "_cell"]).withColumn("_d", d)
+        nth = Window.partitionBy(group, *xyz).orderBy("_d", "neighbour")
+        bound = near.withColumn("_k", F.row_number().over(nth)).where(F.col("_k") <= need).groupBy(group, *xyz, "_level").agg(F.max("_d").alias("_r"))
+        spots = spots.join(bound, [group, *xyz], "left")
+    else:
+        tree = cells(others.withColumn("_level", F.lit(0)), F.lit(0)).drop(*xyz)
+        spots = spots.withColumns({"_level": F.lit(0), "_r": F.lit(None).cast("double")})
+    spots = spots.withColumn("_r", F.least(F.coalesce("_r", F.lit(cutoff)), F.lit(cutoff))).withColumn("_level", F.coalesce("_level", F.lit(0)))
+    spots = spots.withColumn("_level", F.when((F.col("_level") > 0) & (F.col("_r") > size(F.col("_level"))), F.col("_level") - 1).otherwise(F.col("_level")))
+    for c, n in zip(xyz, names, strict=True):
+        reach = F.col("_r") * (1 + 1e-9) + F.abs(c) * 1e-12
+        spots = spots.withColumn(f"_at{n}", F.explode(F.sequence(*[F.floor(end / size(F.col("_level"))).cast("long") for end in (F.col(c) - reach, F.col(c) + reach)])))
+    looked = spots.withColumn("_cell", F.struct(*[F.col(f"_at{n}").alias(c) for c, n in zip(xyz, names, strict=True)])).select(group, *xyz, "_level", "_r", "_cell")
+    found = looked.join(tree, [group, "_level", "_cell"]).withColumn("distance", d).where(F.col("distance") <= F.col("_r"))
+    nearest = Window.partitionBy(group, *xyz).orderBy("distance", "neighbour")
+    found = found.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= need).select(group, *xyz, "neighbour", "distance")
     w = Window.partitionBy(group, point_id).orderBy("distance", "neighbour")
-    return pairs.where(F.col(point_id) != F.col("neighbour")).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most).drop("_k")
+    edges = whole.join(found, [group, *xyz]).where(F.col(point_id) != F.col("neighbour")).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most)
+    return edges.select(group, point_id, "neighbour", "distance")
 
 
 def clash_fraction(points: DataFrame, obstacles: DataFrame, group: str, point_id: str, xyz: Sequence[str], limit: float) -> DataFrame:

@@ -131,6 +131,33 @@ def test_neighbours_equal_brute_force(spark, most):
     assert sorted((r["g"], r["i"], r["j"], round(r["distance"], 9), r["valid"]) for r in got.collect()) == plain_neighbours(a, b, 1.5, 4, most)
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_radius_graph_equals_brute_force(spark, repeated):
+    rng = np.random.default_rng(8)
+    cloud = lambda g, n, at, size, first: [(g, first + i, *map(float, at + rng.normal(size=3) * size)) for i in range(n)]
+    rows = cloud("hot", 250, np.zeros(3), 1, 0) + cloud("hot", 60, np.array([1.0, 0, 0]), 1e-3, 1000) + cloud("b", 3, np.zeros(3), 1, 0)
+    rows += [("hot", 2000 + i, *rows[i % 7][2:]) for i in range(60)] + [("edge", i, 0.8 * i, -0.0, 0.0) for i in range(12)] + [("one", 1, 0.0, 0.0, 0.0)]
+    rows += [("b", 50, None, 0.0, 0.0), ("b", 51, float("nan"), 0.0, 0.0), ("b", None, 0.0, 0.0, 0.0), (None, 1, 0.0, 0.0, 0.0)]
+    rows += [("b", 0, 0.1, 0.0, 0.0), ("b", 1, *rows[311][2:])] if repeated else []
+    want = []
+    for g, i in sorted({r[:2] for r in rows if None not in r[:2]}):
+        here = [q for q in rows if q[0] == g and q[1] is not None and q[2] is not None and q[2] == q[2]]
+        d = sorted((math.sqrt(sum((x - y) ** 2 for x, y in zip(p[2:], q[2:], strict=True))), q[1]) for p in here if p[1] == i for q in here if q[1] != i)
+        want += [(g, i, j, round(e, 12)) for e, j in [x for x in d if x[0] <= 0.8][:4]]
+    frame = spark.createDataFrame(rows, "g string, i int, x double, y double, z double").repartition(4)
+    got = geometry.radius_graph(frame, "g", "i", ["x", "y", "z"], 0.8, 4)
+    assert got.columns == ["g", "i", "neighbour", "distance"]
+    assert sorted((r["g"], r["i"], r["neighbour"], round(r["distance"], 12)) for r in got.collect()) == sorted(want)
+
+
+def test_radius_graph_does_not_make_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    n = 3000
+    frame = spark.createDataFrame([("g", i, *map(float, r)) for i, r in enumerate(rng.normal(size=(n, 3)))], "g string, i int, x double, y double, z double")
+    monkeypatch.setattr(geometry, "radius_pairs", None)  # 9,000,000 pairs at this cutoff
+    assert geometry.radius_graph(frame, "g", "i", ["x", "y", "z"], 100.0, 4).count() == 4 * n
+
+
 def test_neighbours_without_points(spark):
     a = spark.createDataFrame([("g", 1, 0.0, 0.0, 0.0), ("g", 2, None, 0.0, 0.0)], "g string, i int, x double, y double, z double")
     b = a.withColumnRenamed("i", "j")
