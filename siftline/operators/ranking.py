@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scalars import stable_hash
-from siftline.operators.storage import cut, written
+from siftline.operators.storage import remove, written
 
 
 def in_ranges(df: DataFrame, key: Sequence[Column]) -> DataFrame:
@@ -45,35 +45,47 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
     return ranged.withColumn(out, (F.col("_row") - F.col("_first") + F.col("_start") + 1).cast("long")).drop("_range", "_row", "_first", "_start", "_total")
 
 
-def average_rank_percentile(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:
-    """1 for the lowest score of a group, 0 for the highest; ties share their mean rank; a single row has 1.
+def rank_percentiles(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:
+    """Per group and different score: 1 for the lowest score of a group, 0 for the highest; ties share their mean rank; a
+    single row has 1.
 
     Scores are counted per group and value first; the distinct scores of a group are then ranked range by range.
     """
-    values = cut(df.groupBy(*group, score).agg(F.count("*").alias("_ties")))
+    values, path = written(df.groupBy(*group, score).agg(F.count("*").alias("_ties")), "values")
     ranged = _with_starts(in_ranges(values, [*[F.col(g) for g in group], F.col(score)]), group, F.sum("_ties"))
+    remove(df.sparkSession, path)  # the ranges are written
     running = Window.partitionBy("_range", *group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     before, n = F.col("_start") + F.coalesce(F.sum("_ties").over(running), F.lit(0)), F.col("_total")
     percentile = F.when(n == 1, F.lit(1.0)).otherwise(F.lit(1.0) - (before + (F.col("_ties") - 1) / F.lit(2.0)) / (n - 1))
-    keyed = ranged.select(*[F.col(g).alias(f"_{g}") for g in group], F.col(score).alias("_score"), percentile.alias(out))
+    return ranged.select(*group, score, percentile.alias(out))
+
+
+def with_percentiles(df: DataFrame, found: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:
+    """Adds the percentiles of `rank_percentiles` to rows."""
+    keyed = found.select(*[F.col(g).alias(f"_{g}") for g in group], F.col(score).alias("_score"), out)
     same = df[score].eqNullSafe(keyed["_score"])
     for g in group:
         same = same & df[g].eqNullSafe(keyed[f"_{g}"])
     return df.join(keyed, same).drop("_score", *[f"_{g}" for g in group])
 
 
+def average_rank_percentile(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:
+    """df with the percentiles of its scores."""
+    return with_percentiles(df, rank_percentiles(df, group, score, out), group, score, out)
+
+
 def best_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each group in this order."""
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def best_values(df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str]) -> DataFrame:
+def best_values(df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str], *more: Column) -> DataFrame:
     """The named values of the first row of each group, by partial aggregation: no sort of whole groups. The order
-    columns must be ascending in what comes first."""
+    columns must be ascending in what comes first. `more` are aggregates of the group."""
     key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    best = df.groupBy(*group).agg(F.min_by(F.struct(*values), key).alias("_best"))
-    return best.select(*group, *[F.col(f"_best.{v}").alias(v) for v in values])
+    best = df.groupBy(*group).agg(F.min_by(F.struct(*values), key).alias("_best"), *more)
+    return best.select(*group, *[F.col(f"_best.{v}").alias(v) for v in values], *best.columns[len(group) + 1 :])
 
 
 def cut_points(df: DataFrame, scores: Mapping[str, Column], n: int) -> dict[str, float | None]:

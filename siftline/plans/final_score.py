@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.scalars import or_aggregate, percent_score, scaled_affinity
 from siftline.operators.gates import GateError, require_coverage, require_none, require_subset, require_unique
-from siftline.operators.ranking import average_rank_percentile, best_values, global_index, top_n
+from siftline.operators.ranking import best_values, global_index, rank_percentiles, top_n, with_percentiles
 
 # Components of the integrated score and their weights.
 WEIGHTS = {"wt_affinity": 0.55, "postdock_3d_similarity": 0.20, "docking_consensus": 0.15, "qed": 0.10}
@@ -56,26 +56,36 @@ def check(parents: DataFrame, poses: DataFrame, affinity: DataFrame, similarity:
             raise GateError(f"required protocols without poses: {missing}")
 
 
-def per_parent(poses: DataFrame, affinity: DataFrame, similarity: DataFrame | None, s: Settings, order: Sequence[str]) -> DataFrame:
-    """Per parent: wt_affinity, docking_consensus, postdock_3d_similarity, protocol and pose counts.
+def with_evidence(poses: DataFrame, affinity: DataFrame, similarity: DataFrame | None) -> DataFrame:
+    """The poses that have a prediction, with predicted_paffinity and postdock_3d_similarity (null unless its status is ok)."""
+    matched = poses.join(affinity.select("pose_id", "predicted_paffinity"), "pose_id")
+    if similarity is None:
+        return matched.withColumn("postdock_3d_similarity", F.lit(None).cast("double"))
+    side = similarity.select("pose_id", F.when(F.col("postdock_3d_status") == "ok", F.col("postdock_3d_similarity")).alias("postdock_3d_similarity"))
+    return matched.join(side, "pose_id", "left")
+
+
+def best_per_parent(poses: DataFrame, matched: DataFrame, s: Settings, order: Sequence[str]) -> DataFrame:
+    """Per parent: wt_affinity, docking_consensus, postdock_3d_similarity, protocol and pose counts. `matched` are poses
+    with their evidence, as `with_evidence` gives them.
 
     Percentiles are over all poses of a protocol. Per parent and protocol one pose counts, the first of highest affinity
-    evidence in pose order, for all three kinds of evidence.
+    evidence in pose order, for all three kinds of evidence; only these look up the percentile of their score.
     """
-    used = poses.where(~F.col("protocol_id").isin(*s.excluded)) if s.excluded else poses
-    ranked = average_rank_percentile(used, ["protocol_id"], "smina_score", "docking_percentile")
-    matched = ranked.join(affinity.select("pose_id", "predicted_paffinity"), "pose_id")
-    if similarity is not None:
-        side = similarity.select("pose_id", F.when(F.col("postdock_3d_status") == "ok", F.col("postdock_3d_similarity")).alias("_similarity"))
-        matched = matched.join(side, "pose_id", "left")
-    else:
-        matched = matched.withColumn("_similarity", F.lit(None).cast("double"))
-    matched = matched.withColumn("evidence", scaled_affinity("predicted_paffinity", s.midpoint, s.scale)).withColumn("similarity", F.coalesce("_similarity", F.lit(0.0)))
+    evidence = scaled_affinity("predicted_paffinity", s.midpoint, s.scale).alias("evidence")
     keys = ["parent_structure_key", "protocol_id"]
-    best = best_values(matched, keys, [-F.col("evidence"), *[F.col(o) for o in order]], ["evidence", "docking_percentile", "similarity"])
-    counts = matched.groupBy("parent_structure_key").agg(F.count("*").alias("affinity_pose_count"))
-    totals = best.groupBy("parent_structure_key").agg(or_aggregate("evidence").alias("wt_affinity"), or_aggregate("docking_percentile").alias("docking_consensus"), or_aggregate("similarity").alias("postdock_3d_similarity"), F.count("*").alias("wt_protocol_count"))
-    return totals.join(counts, "parent_structure_key")
+    matched = matched.select(*keys, "smina_score", evidence, F.coalesce("postdock_3d_similarity", F.lit(0.0)).alias("similarity"), *order)
+    first = best_values(matched, keys, [-F.col("evidence"), *[F.col(o) for o in order]], ["evidence", "smina_score", "similarity"], F.count("*").alias("_poses"))
+    percentiles = rank_percentiles(poses, ["protocol_id"], "smina_score", "docking_percentile")
+    best = with_percentiles(first, percentiles, ["protocol_id"], "smina_score", "docking_percentile")
+    totals = [or_aggregate("evidence").alias("wt_affinity"), or_aggregate("docking_percentile").alias("docking_consensus"), or_aggregate("similarity").alias("postdock_3d_similarity")]
+    return best.groupBy("parent_structure_key").agg(*totals, F.count("*").alias("wt_protocol_count"), F.sum("_poses").alias("affinity_pose_count"))
+
+
+def per_parent(poses: DataFrame, affinity: DataFrame, similarity: DataFrame | None, s: Settings, order: Sequence[str]) -> DataFrame:
+    """`best_per_parent` of poses without the excluded protocols and their evidence."""
+    used = poses.where(~F.col("protocol_id").isin(*s.excluded)) if s.excluded else poses
+    return best_per_parent(used, with_evidence(used, affinity, similarity), s, order)
 
 
 def integrated(parents: DataFrame, evidence: DataFrame, s: Settings) -> DataFrame:
