@@ -10,7 +10,7 @@ A score is a sum, so the model is stored as what each string adds to a log proba
 backoff weight, a string its own value less what its shorter form and its context would give. A string is seen only if
 its suffix and its context are, so adding what is found gives the model's value. The table of 64-bit hashes and addends
 is cut by the first bits of the hash to shards of HELD entries at most on average, which tasks hold one at a time as
-sorted arrays and bisect; documents are read once for each shard, and the parts add up. No count is capped or dropped.
+sorted arrays and look up by the step of their range; documents are read once for each shard, and the parts add up. No count is capped or dropped.
 
 A document has two perplexities: by letter (code points and word ends) and by word. In each language, both have a lower
 and an upper band: Tukey's fences, FENCE interquartile ranges beyond the quartiles, once of the log perplexities and
@@ -53,7 +53,7 @@ SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\v\f\r"
 _CONTINUES = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that begin no code point
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(ORDER)], np.uint64)
-_MARKS = dict.fromkeys((0, ord(BEGIN), ord(END)), "\ufffd")
+_MARKS = ("\0", BEGIN, END)
 
 
 def n_repeated(words: list[bytes], width: int = 5) -> int:
@@ -101,7 +101,10 @@ def hashed(letters: np.ndarray, at: np.ndarray, width: int, seed: int | np.ndarr
 
 
 def plain(words: list[bytes]) -> list[str]:
-    return [w.decode("utf-8", "replace").translate(_MARKS) for w in words]
+    text = b" ".join(words).decode("utf-8", "replace")  # a space ends a broken code point as the end of a word does
+    for mark in _MARKS:
+        text = text.replace(mark, "\ufffd")
+    return text.split(" ") if words else []
 
 
 def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -244,14 +247,27 @@ class Reader:
 
     def __init__(self, hashes: np.ndarray, adds: np.ndarray):
         self.hashes, self.adds = hashes, adds
+        if len(hashes):  # hashes are even, so about one of them lies in a step of their range
+            self.shift = np.uint64(max(0, int(hashes[-1] - hashes[0]).bit_length() - len(hashes).bit_length()))
+            steps = ((hashes - hashes[0]) >> self.shift).astype(np.int64)
+            self.begin = np.concatenate(([0], np.cumsum(np.bincount(steps)))).astype(np.int32)
         self.totals: dict[str, dict[bytes, float]] = defaultdict(dict)
         self.size = 0
 
     def add(self, wanted: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(wanted))
         if not len(self.hashes):
-            return np.zeros(len(wanted))
-        k = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
-        return np.where(self.hashes[k] == wanted, self.adds[k].astype(float), 0.0)
+            return out
+        left = np.flatnonzero((wanted >= self.hashes[0]) & (wanted <= self.hashes[-1]))
+        step = ((wanted[left] - self.hashes[0]) >> self.shift).astype(np.int64)
+        at, end = self.begin[step], self.begin[step + 1]
+        while len(left):
+            some = at < end
+            left, at, end = left[some], at[some], end[some]
+            same = self.hashes[at] == wanted[left]
+            out[left[same]] = self.adds[at[same]]
+            left, at, end = left[~same], at[~same] + 1, end[~same]
+        return out
 
     def learn(self, lang: str, words: list[bytes]) -> None:
         seed = seed_of(lang)
@@ -272,9 +288,9 @@ class Reader:
         for lang, words in zip(langs, lists, strict=True):
             new[lang].update(words)
         for lang, words in new.items():
-            words.difference_update(self.totals[lang])
-            self.learn(lang, list(words))
-            self.size += len(words)
+            unknown = list(words.difference(self.totals[lang]))  # this looks each word up; difference_update walks all that is known
+            self.learn(lang, unknown)
+            self.size += len(unknown)
         return [math.fsum(map(self.totals[lang].__getitem__, words)) for lang, words in zip(langs, lists, strict=True)]
 
 
